@@ -7,6 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from placeweave.llm.jaccard_join import ngram_jaccard_join
+from placeweave.llm.mixing import mix_sources
+from placeweave.llm.packing import pack_documents
+from placeweave.llm.sharding import kd_shards
+from placeweave.llm.token_counts import token_counts
+from placeweave.llm.url_filters import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -21,6 +26,105 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+#: host, path, verdict
+URL_RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+]
+
+
+@query
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+_RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+ORACLE_SQL["op3_url_filters"] = f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {_RULE_ROWS}),
+rest AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+  FROM pages),
+parts AS (
+  SELECT page_id,
+    translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest)
+SELECT page_id, host, path,
+  arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+  coalesce(arg_max(rule_verdict, length(rule_host || rule_path)), 'allow') AS verdict
+FROM parts LEFT JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY page_id, host, path
+"""
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(table(spark, sf_dir, "documents"), shards=24)
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.selectExpr(
+        "doc_id", "source", "lang", "topic", "n_tokens", "round(weight, 6) as weight", "round(probability, 6) as probability", "kept"
+    )
+
+
+def _mixing_sql(power: float = 0.7, keep: float = 0.8, rounds: int = 8, seed: int = 17) -> str:
+    """The same raking, written out pass by pass."""
+    dims = ("source", "lang", "topic")
+    steps = [
+        f"""docs AS (SELECT doc_id, source AS s, lang AS l, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+  CASE WHEN coalesce(length(text), 0) = 0 THEN 'empty' WHEN contains(text, ' | ') THEN 'table'
+       WHEN contains(text, '://') OR contains(text, '@') THEN 'web' ELSE 'prose' END AS topic,
+  CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT) + 1 AS n_tokens FROM documents)""",
+        "cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)",
+    ]
+    for d in dims:
+        steps.append(
+            f"goal_{d} AS MATERIALIZED (SELECT {d}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS share FROM cells GROUP BY {d})"
+        )
+    last = "(SELECT *, tokens AS weight, sum(tokens) OVER () AS total FROM cells)"
+    for k in range(rounds):
+        for d in dims:
+            name = f"pass_{k}_{d}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT w.source, w.lang, w.topic, tokens, total, weight * share * total / sum(weight) OVER (PARTITION BY w.{d}) AS weight "
+                f"FROM {last} w JOIN goal_{d} g ON w.{d} = g.{d})"
+            )
+            last = name
+    draw = f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0"
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, s AS source, l AS lang, d.topic AS topic, n_tokens, round(p.weight / tokens, 6) AS weight,
+  round(least(1.0, {keep} * p.weight / tokens), 6) AS probability, {draw} < least(1.0, {keep} * (p.weight / tokens)) AS kept
+FROM docs d JOIN {last} p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic"""
+
+
+ORACLE_SQL["op10_mixing"] = _mixing_sql()
