@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placeweave.llm.gif import media_digests
 from placeweave.llm.jaccard_join import ngram_jaccard_join
+from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.mixing import mix_sources
 from placeweave.llm.packing import pack_documents
 from placeweave.llm.sharding import kd_shards
@@ -128,3 +130,16 @@ FROM docs d JOIN {last} p ON d.source = p.source AND d.lang = p.lang AND d.topic
 
 
 ORACLE_SQL["op10_mixing"] = _mixing_sql()
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.where(~held_out("doc_id")))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digests(table(spark, sf_dir, "documents"))
