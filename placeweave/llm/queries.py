@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from placeweave.llm.gif import media_digests
 from placeweave.llm.jaccard_join import ngram_jaccard_join
@@ -13,6 +14,7 @@ from placeweave.llm.mixing import mix_sources
 from placeweave.llm.packing import pack_documents
 from placeweave.llm.sharding import kd_shards
 from placeweave.llm.token_counts import token_counts
+from placeweave.llm.topk_search import voronoi_knn_join
 from placeweave.llm.url_filters import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +145,20 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_media_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn_join(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+ORACLE_SQL["op9_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
