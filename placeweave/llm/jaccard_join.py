@@ -18,16 +18,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import staged
+from placeweave.llm.shared import may_be_member, staged
 from placeweave.llm.text_arrays import set_digest, shingle_sets
-from placeweave.llm.tiles import POSTINGS, SETS, bitmap, bucket_count, postings_rows, similar_components
+from placeweave.llm.tiles import ITEMS, POSTINGS, SETS, bitmap, bucket_count, postings_rows, similar_components
 
 #: Most shingles that count as frequent; the broadcast is 16 bytes for each.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: Rarer shingles are never moved.
-FREQUENT_FROM = 16
-_SUMMARY = 1 << 15
+FREQUENT_FROM = 12
+_SUMMARY = 1 << 17
 _BUFFER = 1 << 21
+#: Prefixes hold the smallest hashes of a set, so only the lower half is counted.
+_LOWER_HALF = np.uint64(1 << 63)
 
 
 def _summary(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -50,6 +52,7 @@ def _summary(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
 
     for batch in batches:
         for _, hashes in shingle_sets(batch.column(0), width):
+            hashes = hashes[: np.searchsorted(hashes, _LOWER_HALF)]
             held.append(hashes)
             size += len(hashes)
             if size >= _BUFFER:
@@ -136,22 +139,34 @@ def ngram_jaccard_join(
 
         yield from postings_rows(chunks(), buckets)
 
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            held = []
+            for row, hashes in shingle_sets(batch.column(1), width):
+                n = len(hashes)
+                held.append((int(ids[row]), n, set_digest(hashes) if n else int(ids[row]), bitmap(hashes)))
+            yield _batch(held, ["id", "n", "digest", "bits"])
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             held, size = [], 0
             for row, hashes in shingle_sets(batch.column(1), width):
-                held.append((int(ids[row]), len(hashes), bitmap(hashes), hashes.tobytes()))
+                held.append((int(ids[row]), hashes.tobytes()))
                 size += len(hashes)
-                if size > 1 << 20:
-                    yield _set_rows(held)
+                if size > 1 << 18:
+                    yield _batch(held, ["id", "hashes"])
                     held, size = [], 0
             if held:
-                yield _set_rows(held)
-
-    postings = staged(known.mapInArrow(post, POSTINGS))
-    first = lambda df: df.mapInArrow(sets, SETS).dropDuplicates(["id"])
-    items, found = similar_components(postings, known, "id", first, num, den)
+                yield _batch(held, ["id", "hashes"])
+
+    items = staged(known.mapInArrow(describe, ITEMS))
+    postings = known.mapInArrow(post, POSTINGS)
+    least = items.groupBy("digest").agg(F.min("id").alias("first"))
+    copies = items.join(least, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    fetch = lambda found: may_be_member(known, "id", found).mapInArrow(sets, SETS)
+    found = similar_components(lambda _: items, postings, fetch, num, den, copies)
     joined = items.join(found, "id", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
@@ -163,11 +178,10 @@ def _chunk(ids, at, sizes, digests, keys, counts):
     return ids[at], np.array(sizes, np.int64), np.array(digests, np.int64), np.concatenate(keys), np.array(counts)
 
 
-def _set_rows(held: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(x), t) for x, t in zip(zip(*held, strict=True), kinds, strict=True)], names=["id", "n", "bits", "hashes"]
-    )
+def _batch(held: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = {"bits": pa.binary(), "hashes": pa.binary()}
+    cells = zip(*held, strict=True) if held else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(x), kinds.get(k, pa.int64())) for x, k in zip(cells, names, strict=True)], names=names)
 
 
 def without_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

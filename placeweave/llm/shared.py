@@ -43,8 +43,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _filter_slot(column) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+def _filter_slot(column: str) -> F.Column:
+    return F.pmod(F.col(column).bitwiseXOR(F.shiftright(column, 23)), F.lit(FILTER_BITS))
+
+
+def passes(found: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids may be in the filter, inside a task."""
+    part, bit = _bucket((ids ^ (ids >> 23)) % FILTER_BITS)
+    return ((found[part, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
 
 
 def member_filter(ids: DataFrame, column: str) -> np.ndarray:
@@ -67,19 +73,15 @@ def member_filter(ids: DataFrame, column: str) -> np.ndarray:
 
 
 def may_be_member(df: DataFrame, column: str, found: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose id may be in the filter; adds no column."""
+    """Rows of ``df`` whose id may be in the filter."""
     shared = df.sparkSession.sparkContext.broadcast(found)
-    schema = df.schema
+    place = df.columns.index(column)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for batch in batches:
-            slot = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            part, bit = _bucket(slot)
-            hit = (table[part, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(hit.astype(bool))).select(range(batch.num_columns - 1))
+            yield batch.filter(pa.array(passes(shared.value, batch.column(place).to_numpy(zero_copy_only=False))))
 
-    return df.withColumn("__slot", _filter_slot(column)).mapInArrow(keep, schema)
+    return df.mapInArrow(keep, df.schema)
 
 
 def _bucket(slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,7 +1,7 @@
 """Vectorised views of text columns: words, shingle hashes and packed blocks.
 
 Everything here works on one Arrow batch inside a task.  Bytes of many documents
-are handled together in blocks of about one megabyte, so temporaries stay small
+are handled together in blocks of about half a megabyte, so temporaries stay small
 whatever the size of the batch; a longer document is a block of its own.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95

@@ -10,28 +10,34 @@ copies:
 1. every item of a tile is paired with one leader of its size band;
 2. pairs are bounded from above by the bit counts of hashed bitmaps, survivors
    are verified by intersecting the sorted arrays, links give components;
-3. only items of one tile that are still in different components are paired,
-   bounded and verified the same way.
+3. only items of one tile that are still in different components are compared,
+   inside the tile (a large one is cut into cells), by bitmaps and block by block,
+   and only pairs that pass the bound leave it to be verified the same way.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import components, may_be_member, member_filter, shuffle_width, staged
+from placeweave.llm.shared import components, member_filter, shuffle_width, staged
 from placeweave.llm.text_arrays import mix64
 
-POSTINGS = "bucket int, keys binary, owners binary, ids binary, sizes binary, digests binary"
-SETS = "id long, n long, bits binary, hashes binary"
-FLUSH_KEYS = 1 << 21
-FLUSH_ITEMS = 1 << 17
-#: Bucket of the rows that list a task's items instead of keys.
-MEMBERS = -1
+#: Keys with the place of their item in the lists of ids (from ``base`` on) and sizes;
+#: whole numbers take as few bytes as the row's largest needs.
+POSTINGS = "bucket int, keys binary, owners binary, base long, items long, ids binary, sizes binary"
+ITEMS = "id long, n long, digest long, bits binary"
+SETS = "id long, hashes binary"
+#: Items of a cell, about; a tile of more is cut into a triangle of cells.
+CELL_ITEMS = 2048
+#: Gives the rows (ITEMS or SETS) of the ids that pass a membership filter.
+Fetch = Callable[[np.ndarray], DataFrame]
+FLUSH_KEYS = 1 << 20
+FLUSH_ITEMS = 1 << 16
 
 
 def postings_rows(
@@ -52,7 +58,7 @@ def postings_rows(
         if total >= FLUSH_KEYS or count >= FLUSH_ITEMS:
             yield from _pack(held, seen, buckets)
             held, total, count = [], 0, 0
-            if len(seen) > FLUSH_ITEMS:
+            if len(seen) > 4 * FLUSH_ITEMS:
                 seen.clear()
     if held:
         yield from _pack(held, seen, buckets)
@@ -66,7 +72,6 @@ def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.Record
     if seen:
         fresh &= np.fromiter((d not in seen for d in digests.tolist()), dtype=bool, count=len(digests))
     seen.update(digests[fresh].tolist())
-    rows: list[tuple] = [(MEMBERS, b"", b"", ids.tobytes(), sizes.tobytes(), digests.tobytes())]
     owner = np.repeat(np.arange(len(ids), dtype=np.uint32), counts)
     use = fresh[owner]
     owner, keys = owner[use], keys[use]
@@ -74,54 +79,52 @@ def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.Record
     order = np.argsort(part, kind="stable")
     owner, keys, part = owner[order], keys[order], part[order]
     edges = np.searchsorted(part, np.arange(buckets + 1))
+    rows: list[tuple] = []
     for b in range(buckets):
         s = slice(edges[b], edges[b + 1])
         if s.start < s.stop:
             who, at = np.unique(owner[s], return_inverse=True)
-            rows.append((b, keys[s].tobytes(), at.astype(np.uint32).tobytes(), ids[who].tobytes(), sizes[who].tobytes(), digests[who].tobytes()))
-    kinds = (pa.int32(), *[pa.binary()] * 5)
-    names = ("bucket", "keys", "owners", "ids", "sizes", "digests")
-    for at in range(0, len(rows), 64):
-        cells = zip(*rows[at : at + 64], strict=True)
+            own, least = ids[who], int(ids[who].min())
+            if int(own.max()) - least < 1 << 32:
+                own = (own - least).astype(np.uint32)
+            kind = np.uint16 if len(who) < 1 << 16 else np.uint32
+            n = sizes[who].astype(np.uint16 if sizes[who].max() < 1 << 16 else np.uint32)
+            rows.append((b, keys[s].tobytes(), at.astype(kind).tobytes(), least, len(who), own.tobytes(), n.tobytes()))
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    names = ("bucket", "keys", "owners", "base", "items", "ids", "sizes")
+    for at in range(0, len(rows), 16):
+        cells = zip(*rows[at : at + 16], strict=True)
         yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(cells, kinds, strict=True)], names=list(names))
 
 
-def bucket_count(df: DataFrame) -> int:
-    return 2 * shuffle_width(df.sparkSession)
-
+def _whole(raw: bytes, count: int) -> np.ndarray:
+    kind = {2: np.uint16, 4: np.uint32, 8: np.int64}[len(raw) // count]
+    return np.frombuffer(raw, kind).astype(np.int64)
 
-def members(postings: DataFrame) -> DataFrame:
-    """(id, n, digest) of every item that was posted."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, sizes, digests in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(x, np.int64)) for x in (ids, sizes, digests)], names=["id", "n", "digest"]
-                )
-
-    return postings.where(F.col("bucket") == MEMBERS).select("ids", "sizes", "digests").mapInArrow(rows, "id long, n long, digest long")
+def bucket_count(df: DataFrame) -> int:
+    return max(64, shuffle_width(df.sparkSession))
 
 
 def _tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Leader pairs (tile null) and the items of tiles of three or more (other null)."""
+    """Leader pairs (tile null) and the items of tiles of three or more (other null),
+    where tiles of one smallest id are taken together."""
     band = np.log(den / num)
 
     def group(table: pa.Table) -> pa.Table:
-        keys, owners, ids, sizes, digests, base = [], [], [], [], [], 0
-        for k, o, i, n, d in zip(*(table.column(c).to_pylist() for c in ("keys", "owners", "ids", "sizes", "digests")), strict=True):
+        keys, owners, ids, sizes, base = [], [], [], [], 0
+        columns = ("keys", "owners", "base", "items", "ids", "sizes")
+        for k, o, least, count, i, n in zip(*(table.column(c).to_pylist() for c in columns), strict=True):
             keys.append(np.frombuffer(k, np.uint64))
-            owners.append(np.frombuffer(o, np.uint32).astype(np.int64) + base)
-            ids.append(np.frombuffer(i, np.int64))
-            sizes.append(np.frombuffer(n, np.int64))
-            digests.append(np.frombuffer(d, np.int64))
-            base += len(ids[-1])
-        key, own, item, n, dig = (np.concatenate(x) for x in (keys, owners, ids, sizes, digests))
-        order = np.lexsort((item[own], dig[own], key))
+            owners.append(_whole(o, len(keys[-1])) + base)
+            ids.append(_whole(i, count) + (least if len(i) < 8 * count else 0))
+            sizes.append(_whole(n, count))
+            base += count
+        key, own, item, n = (np.concatenate(x) for x in (keys, owners, ids, sizes))
+        order = np.lexsort((item[own], key))
         key, own = key[order], own[order]
-        same = (key[1:] == key[:-1]) & (dig[own[1:]] == dig[own[:-1]])
-        one = np.concatenate([[True], ~same])  # a set once per tile
-        key, own = key[one], own[one]
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (item[own[1:]] != item[own[:-1]])])
+        key, own = key[once], own[once]
         run = np.concatenate([[True], key[1:] != key[:-1]])
         tile = np.cumsum(run) - 1
         size = np.bincount(tile)
@@ -144,31 +147,28 @@ def _tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
         a, b = np.minimum(a, b), np.maximum(a, b)
         if len(a):
             a, b = np.unique(np.stack([a, b]), axis=1)
-        # a tile of two is settled by its leader pair; of tiles with the same items one is enough
+        # a tile of two is settled by its leader pair; larger ones go under their smallest id,
+        # so the many tiles of one group of documents become one
         many = size >= 3
-        key, tile, item, n = key[many], tile[many], item[many], n[many]
+        tile, item, n = tile[many], item[many], n[many]
+        first = item
         if len(tile):
             starts = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
-            mark = np.add.reduceat(mix64(item.view(np.uint64)), starts)
-            _, first = np.unique(mark, return_index=True)
-            chosen = np.zeros(len(starts), bool)
-            chosen[first] = True
-            use = np.repeat(chosen, np.diff(np.append(starts, len(tile))))
-            key, item, n = key[use], item[use], n[use]
+            first = np.repeat(np.minimum.reduceat(item, starts), np.diff(np.append(starts, len(tile))))
+            order = np.lexsort((item, first))
+            first, item, n = first[order], item[order], n[order]
+            once = np.concatenate([[True], (first[1:] != first[:-1]) | (item[1:] != item[:-1])])
+            first, item, n = first[once], item[once], n[once]
         return pa.table(
             {
-                "tile": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(key.view(np.int64))]),
+                "tile": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(first)]),
                 "id": pa.array(np.concatenate([a, item])),
                 "other": pa.concat_arrays([pa.array(b), pa.nulls(len(item), pa.int64())]),
                 "n": pa.array(np.concatenate([np.zeros(len(a), np.int64), n])),
             }
         )
 
-    return (
-        postings.where(F.col("bucket") != MEMBERS)
-        .groupBy("bucket")
-        .applyInArrow(group, "tile long, id long, other long, n long")
-    )
+    return postings.groupBy("bucket").applyInArrow(group, "tile long, id long, other long, n long")
 
 
 def _compatible(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -197,8 +197,93 @@ def overlap_bound(n: int, a: bytes, m: int, b: bytes) -> int:
     return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets have a Jaccard similarity of num / den or more."""
+def _cell_pairs(rows: list[tuple], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a cell's items (id, n, component, part, bits) that pass the bound.
+
+    Items of different parts meet only the other part's; if all are of one part,
+    all meet.  Similar sizes have bitmaps of one width or of neighbouring widths.
+    """
+    ids, n, c, part = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:4])
+    bits = [np.frombuffer(r[4], np.uint64) for r in rows]
+    crossing = part.min() != part.max()
+    width = np.array([len(x) for x in bits])
+    left, right = [], []
+    for w in np.unique(width):
+        own, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        folded = [bits[k][:w] | bits[k][w:] for k in wide]
+        all_at = np.concatenate([own, wide])
+        table = np.stack([bits[k] for k in own] + folded)
+        for i, k in enumerate(own):
+            ok = (c[all_at] != c[k]) & _compatible(n[all_at], n[k], num, den)
+            ok[: i + 1] = False
+            if crossing:
+                ok &= part[all_at] != part[k]
+            ok = np.flatnonzero(ok)
+            if not len(ok):
+                continue
+            x, y = table[i], table[ok]
+            most = np.minimum(
+                n[k] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[all_at[ok]] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+            )
+            hit = all_at[ok[(num + den) * most >= num * (n[k] + n[all_at[ok]])]]
+            left.append(np.full(len(hit), ids[k]))
+            right.append(ids[hit])
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = np.concatenate(left), np.concatenate(right)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+
+
+def _open_pairs(placed: DataFrame, items: Fetch, num: int, den: int) -> DataFrame:
+    """Pairs of one tile and different components ``c`` that pass the bitmap bound."""
+    counts = placed.groupBy("tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi")
+    rows = placed.join(counts.select("tile", "m"), "tile").withColumn("parts", F.ceil(F.col("m") / CELL_ITEMS).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "id", "n", "c")
+    rows = rows.join(items(member_filter(rows, "id")).select("id", "bits"), "id")
+    ordered = rows.repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "id").select("tile", "p", "q", "id", "n", "c", "part", "bits")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, out = None, [], []
+
+        def close() -> None:
+            if len(held) > 1:
+                out.append(_cell_pairs(held, num, den))
+            held.clear()
+
+        for batch in batches:
+            for tile, p, q, *item in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if (tile, p, q) != cell:
+                    close()
+                    cell = (tile, p, q)
+                held.append(tuple(item))
+            if sum(len(a) for a, _ in out) > 1 << 16:
+                yield _pair_rows(out)
+                out = []
+        close()
+        if out:
+            yield _pair_rows(out)
+
+    return ordered.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _pair_rows(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    if len(a):
+        a, b = np.unique(np.stack([a, b]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _linked(pairs: DataFrame, items: Fetch | None, sets: Fetch, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sets have a Jaccard similarity of num / den or more.
+
+    ``items`` is None where the pairs have passed the bound already.
+    """
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,44 +300,38 @@ def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 keep.append(den * common >= num * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    left = sets.select(F.col("id").alias("a"), "n", "bits")
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
-    survivors = staged(pairs.join(left, "a").join(right, "b").select("a", "b", "n", "bits", "m", "bits2").mapInArrow(bounded, "a long, b long"))
-    x = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
-    return staged(survivors.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(exact, "a long, b long"))
+    if items is not None:
+        signed = items(member_filter(_ids(pairs), "id"))
+        left = signed.select(F.col("id").alias("a"), "n", "bits")
+        right = signed.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
+        met = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "bits", "m", "bits2")
+        pairs = met.mapInArrow(bounded, "a long, b long")
+    survivors = staged(pairs)
+    # the arrays of survivors only, each side by a scan of its own
+    x, y = (
+        sets(member_filter(survivors, side)).select(F.col("id").alias(side), F.col("hashes").alias(name))
+        for side, name in (("a", "x"), ("b", "y"))
+    )
+    met = survivors.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    return staged(met.mapInArrow(exact, "a long, b long"))
 
 
-def similar_components(postings: DataFrame, source: DataFrame, column: str, sets_of, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """((id, n, digest) of all items, (id, component) of those with a link).
+def similar_components(
+    items: Fetch, postings: DataFrame, sets: Fetch, num: int, den: int, equal: DataFrame | None = None
+) -> DataFrame:
+    """(id, component) of the ids that have a link.
 
-    ``source`` has the items' rows with an id in ``column``; ``sets_of`` turns
-    those rows that may be needed into SETS.
+    ``equal``: pairs (a, b) that are known to be linked, such as copies.
     """
-    items = members(postings)
     tiles = staged(_tiles(postings, num, den))
-    pairs = tiles.where("tile is null").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    pairs = staged(pairs)
-    grouped = tiles.where("tile is not null").select("tile", "id", "n")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(grouped.select("id"))
-    sets = staged(sets_of(may_be_member(source, column, member_filter(ids, "id"))))
-    links = _linked(pairs, sets, num, den)
-    least = items.groupBy("digest").agg(F.min("id").alias("first"))
-    copies = items.join(least, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    found = staged(components(links.unionByName(copies)))
-
-    placed = grouped.join(found, "id", "left").select("tile", "id", "n", F.coalesce("component", "id").alias("c"))
-    open_tiles = placed.groupBy("tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("tile")
-    placed = staged(placed.join(open_tiles, "tile", "left_semi"))
-    p, q = placed.alias("p"), placed.alias("q")
-    more = (
-        p.join(q, F.expr(f"p.tile = q.tile and p.id < q.id and p.c <> q.c and {den} * least(p.n, q.n) >= {num} * greatest(p.n, q.n)"))
-        .select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    late = _linked(more, sets, num, den)
+    pairs = staged(tiles.where("tile is null").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    grouped = tiles.where("tile is not null").select("tile", "id", "n").distinct()
+    links = _linked(pairs, items, sets, num, den)
+    found = staged(components(links if equal is None else links.unionByName(equal)))
+
+    placed = staged(grouped.join(found, "id", "left").select("tile", "id", "n", F.coalesce("component", "id").alias("c")))
+    more = _open_pairs(placed, items, num, den).join(pairs, ["a", "b"], "left_anti")
+    late = _linked(more, None, sets, num, den)
     if late.isEmpty():
-        return items, found
-    joined = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(late)
-    return items, components(joined)
+        return found
+    return components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(late))
