@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from placeweave.llm.gif import media_digests
 from placeweave.llm.jaccard_join import ngram_jaccard_join
 from placeweave.llm.language_id import held_out, identify, learn
+from placeweave.llm.line_dedup import dedup_lines
 from placeweave.llm.mixing import mix_sources
 from placeweave.llm.packing import pack_documents
 from placeweave.llm.sharding import kd_shards
@@ -162,3 +163,9 @@ scores AS (
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
