@@ -170,13 +170,13 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: in
     placed = lines.join(found.withColumnRenamed("id", "line"), "line", "left").select("doc", "number", F.coalesce("component", "line").alias("c"))
     first = placed.groupBy("c").agg(F.min(F.struct("doc", "number")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     gone = placed.join(first, "c").where((F.col("doc") != F.col("first.doc")) | (F.col("number") != F.col("first.number")))
-    per_doc = gone.groupBy("doc").agg(F.collect_set("number").alias("__gone"))  # of one document
+    per_doc = gone.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("number").alias("__gone"))  # of one document
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     parts = F.split(F.col(text), "\n", -1)
     left = F.array_join(F.filter(parts, lambda line, k: ~F.array_contains(F.col("__gone"), k)), "\n")
     return (
         docs.select(*kept)
-        .join(per_doc, F.col(id) == F.col("doc"), "left")
+        .join(per_doc, F.col(id) == F.col("__doc"), "left")
         .withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)))
         .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
         .withColumn(text, F.when(F.col("__gone").isNotNull(), left).otherwise(F.col(text)))
