@@ -54,6 +54,36 @@ AREA_NATURES = [
     ("other", None),
 ]
 
+#: name of an area of significance: slug
+AREA_NAMES = {
+    "Agriculture": "agriculture", "Architecture": "architecture", "Archaeology": "archaeology", "Art": "art",
+    "Commerce": "commerce", "Communications": "communications", "Community Planning and Development": "community-planning",
+    "Conservation": "conservation", "Economics": "economics", "Education": "education", "Engineering": "engineering",
+    "Entertainment/Recreation": "entertainment-recreation", "Ethnic Heritage": "ethnic-heritage",
+    "Exploration/Settlement": "exploration-settlement", "Health/Medicine": "health-medicine", "Industry": "industry",
+    "Invention": "invention", "Landscape Architecture": "landscape-architecture", "Law": "law", "Literature": "literature",
+    "Maritime History": "maritime-history", "Military": "military", "Performing Arts": "performing-arts",
+    "Philosophy": "philosophy", "Politics/Government": "politics-government", "Religion": "religion",
+    "Science": "science", "Social History": "social-history", "Transportation": "transportation", "Other": "other",
+}
+
+#: names that say nothing of a record in a state's survey
+SURVEY_TERMS = [
+    "house", "barn", "church", "school", "bridge", "store", "shed", "garage", "cabin", "mill", "office", "duplex",
+    "outbuilding", "outbldg", "cemetery", "log house", "frame house", "log cabin", "commercial building",
+    "commercial bldg", "frame building", "brick house", "stone house", "tobacco barn", "frame barn", "frame dwelling",
+    "brick dwelling", "dwelling", "residence", "multiple dwelling", "single dwelling", "residential", "commercial",
+    "industrial", "row houses", "row house", "rural survey property", "rural survey properties", "no name given",
+    "no name property", "not named", "unnamed", "unknown", "not determined", "farm", "apartment building", "apartments",
+    "single family", "multi-family", "business", "gas station", "warehouse", "factory",
+]
+
+#: designation: order, marker colour (an unknown one: last, gray)
+DESIGNATIONS = {
+    "Federal NHL": (1, "red"), "Federal NRHP": (2, "blue"), "NPS Unit": (3, "green"), "State Register": (4, "orange"),
+    "Local Landmark": (5, "purple"), "Tribal": (6, "darkred"), "Private/NGO": (6, "cadetblue"),
+}
+
 GENERIC_NAMES = [
     "historic district", "historic site", "historic building", "site", "building", "district", "house", "church",
     "school", "bridge", "cemetery", "fort", "park", "monument",

@@ -14,6 +14,10 @@ from placeweave.functions import scores as S
 from placeweave.operators import enrich, profile, resolve, scoring, tables, validate
 from placeweave.plans import views
 from placeweave.plans.views import with_tables
+from placeweave.session import staged
+from placeweave.sinks import exports
+from placeweave.sources import documents, features
+from placeweave.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -456,3 +460,108 @@ def priority_merge(spark, sf_dir):
     source = F.when(k == 0, "arcgis").when(k == 1, "shpo").when(k == 2, "nps_parks").otherwise("other")
     rows = views.sites(spark, sf_dir).select((F.col("site_id") % 100).alias("site_id"), source.alias("source"), "name", "city")
     return tables.priority_wins(rows, {"arcgis": 1, "nps_parks": 2, "shpo": 3}, ["name", "city"])
+
+
+# --- sources, exports and streams ----------------------------------------------------------
+
+
+@query("SELECT page_id, coalesce(len(regexp_extract_all(html, '(?s)<li[^>]*>.*?</li>')), 0) AS n_items, nullif(trim(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)), '') AS heading FROM pages")
+def page_fields(spark, sf_dir):
+    pages = views.table(spark, sf_dir, "pages")
+    heading = F.nullif(F.trim(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
+    items = F.size(F.regexp_extract_all("html", F.lit(r"(?s)(<li[^>]*>.*?</li>)"), F.lit(1)))
+    return pages.select("page_id", items.cast("long").alias("n_items"), heading.alias("heading"))
+
+
+@query()
+def page_rows(spark, sf_dir):
+    """Listing rows of all pages; list items stand for table rows."""
+    pages = views.table(spark, sf_dir, "pages")
+    cells = F.regexp_replace(F.regexp_replace("html", r"<li[^>]*>", "<tr><td>"), "</li>", "</td></tr>")
+    return documents.listing_rows(pages.withColumn("html", cells))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def json_props(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events")
+    attributes = F.from_json("props", "map<string,string>")
+    return events.select("event_id", features.first_filled(attributes, ["missing", "k"]).alias("k"))
+
+
+@query(with_tables("sites", body=" SELECT site_id, state, name, round(longitude, 6) AS lon, round(latitude, 6) AS lat FROM sites WHERE latitude IS NOT NULL AND longitude IS NOT NULL"))
+def geojson_features(spark, sf_dir):
+    lines = exports.geojson_features(views.sites(spark, sf_dir))
+    read = F.from_json("feature", "struct<geometry:struct<coordinates:array<double>>,properties:map<string,string>>")
+    return lines.select("site_id", "state", read.alias("f")).select(
+        "site_id", "state", F.col("f.properties")["name"].alias("name"), F.round(F.col("f.geometry.coordinates")[0], 6).alias("lon"), F.round(F.col("f.geometry.coordinates")[1], 6).alias("lat")
+    )
+
+
+@query(
+    with_tables(
+        "sites",
+        body=""", k AS (SELECT coalesce(state, 'Unknown') AS state, name, site_id FROM sites WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY name, site_id) AS rn, count(*) OVER (PARTITION BY state) AS m FROM k)
+SELECT state, coalesce(CASE WHEN m > 2000 THEN (rn - 1) // 2000 + 1 END, 0) AS part, count(*) AS n FROM n GROUP BY 1, 2""",
+    )
+)
+def kml_parts(spark, sf_dir):
+    marks = exports.kml_placemarks(views.sites(spark, sf_dir))
+    return marks.groupBy("state", F.coalesce("part", F.lit(0)).alias("part")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS started, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def run_progress_windows(spark, sf_dir):
+    return incremental.progress_windows(views.table(spark, sf_dir, "events"), "event_type")
+
+
+@query(with_tables("sites", body=""", d AS (SELECT site_id, CASE site_id % 8 WHEN 0 THEN 'Federal NRHP' WHEN 1 THEN 'Tribal' WHEN 2 THEN 'NPS Unit' WHEN 3 THEN 'Local Landmark' ELSE 'State Register' END AS t FROM sites
+  UNION ALL SELECT site_id, 'Federal NHL' FROM sites WHERE site_id % 5 = 0),
+r AS (SELECT site_id, t, CASE t WHEN 'Federal NHL' THEN 1 WHEN 'Federal NRHP' THEN 2 WHEN 'NPS Unit' THEN 3 WHEN 'State Register' THEN 4 WHEN 'Local Landmark' THEN 5 ELSE 6 END AS k FROM d)
+SELECT site_id, arg_min(t, k) AS designation_type, CASE arg_min(t, k) WHEN 'Federal NHL' THEN 'red' WHEN 'Federal NRHP' THEN 'blue' WHEN 'NPS Unit' THEN 'green' WHEN 'State Register' THEN 'orange' WHEN 'Local Landmark' THEN 'purple' ELSE 'darkred' END AS colour FROM r GROUP BY site_id"""))
+def best_designation(spark, sf_dir):
+    rows = views.sites(spark, sf_dir)
+    k = F.col("site_id") % 8
+    kind = F.when(k == 0, "Federal NRHP").when(k == 1, "Tribal").when(k == 2, "NPS Unit").when(k == 3, "Local Landmark").otherwise("State Register")
+    both = rows.select("site_id", kind.alias("designation_type")).unionByName(rows.where(F.col("site_id") % 5 == 0).select("site_id", F.lit("Federal NHL").alias("designation_type")))
+    return exports.best_designation(both)
+
+
+@query(
+    with_tables(
+        "sites",
+        body=" SELECT site_id, CASE WHEN address IS NOT NULL THEN concat_ws(', ', nullif(trim(address), ''), nullif(trim(city), ''), nullif(trim(state), ''), 'United States') END AS by_address, "
+        "concat_ws(', ', nullif(trim(name), ''), nullif(trim(city), ''), nullif(trim(state), ''), 'United States') AS by_name, "
+        "CASE WHEN city IS NOT NULL THEN concat_ws(', ', nullif(trim(city), ''), nullif(trim(state), ''), 'United States') END AS by_city FROM sites",
+    )
+)
+def geocode_queries(spark, sf_dir):
+    return exports.query_strings(views.sites(spark, sf_dir))
+
+
+@query()
+def park_matches(spark, sf_dir):
+    inc, sites = _sides(spark, sf_dir)
+    return resolve.park_matches(inc, sites)
+
+
+@query()
+def battlefield_matches(spark, sf_dir):
+    inc, sites = _sides(spark, sf_dir)
+    return resolve.battlefield_matches(inc, sites)
+
+
+@query()
+def near_misses(spark, sf_dir):
+    inc, sites = _sides(spark, sf_dir)
+    return resolve.near_misses(inc, sites, resolve.cascade(inc, sites).where("pass <= 2"))
+
+
+@query()
+def insert_leaders(spark, sf_dir):
+    """Records that are inserted when they arrive one after the other (same address or number)."""
+    inc, sites = _sides(spark, sf_dir)
+    pairs = resolve.refnum_matches(inc, inc).select("i_id", "e_id").unionByName(resolve.address_matches(inc, inc).select("i_id", "e_id"))
+    edges = pairs.where("i_id > e_id").select(F.col("i_id").alias("later"), F.col("e_id").alias("earlier")).distinct()
+    taken = resolve.refnum_matches(inc, sites).select(F.col("i_id").alias("id")).distinct()
+    return resolve.leaders(inc, edges, taken, staged)
