@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from placeweave.constants import AREA_NAMES
 from placeweave.functions.normalize import blank_to_null, literal_map, title_case
@@ -21,7 +20,7 @@ AREA_LISTS = ["Areas of Significance", "AreaOfSignificance", "AreasOfSig"]
 YES = ["X", "Y", "YES", "TRUE", "1"]
 DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 
-PARK = StructType.fromDDL(
+PARK = (
     "id string, parkCode string, fullName string, name string, description string, url string, states string, latLong string, "
     "operatingHours array<struct<standardHours:map<string,string>>>, entranceFees array<struct<cost:string,title:string>>"
 )
@@ -115,7 +114,7 @@ def parse_battlefields(collections: DataFrame, war: str) -> DataFrame:
 
 
 #: The schema that parse_battlefields reads; coordinates stay text until their type is known.
-GEOJSON = StructType.fromDDL("features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>")
+GEOJSON = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
 
 
 def _plain(html: Column) -> Column:

@@ -11,15 +11,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from placeweave.constants import STATE_CODES
 from placeweave.functions.names import is_generic, pick_entry, strip_invisible, strip_patterns, unshout
 from placeweave.functions.normalize import blank_to_null, epoch_ms_to_iso, literal_map
 
-FEATURE = StructType.fromDDL(
-    "attributes map<string,string>, geometry struct<x:double,y:double,points:array<array<double>>,rings:array<array<array<double>>>>"
-)
+FEATURE = "attributes map<string,string>, geometry struct<x:double,y:double,points:array<array<double>>,rings:array<array<array<double>>>>"
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
@@ -29,8 +26,7 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 def read_collection(spark: SparkSession, path: str) -> DataFrame:
     """A landed collection with its features under ``features``."""
-    schema = StructType.fromDDL(f"features array<{FEATURE.simpleString()}>")
-    return spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
+    return spark.read.schema(f"features array<struct<{FEATURE}>>").option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
 
 
 def first_filled(attributes: Column, aliases: list[str]) -> Column:
