@@ -35,31 +35,29 @@ def token_estimate(text: F.Column) -> F.Column:
 
 def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     """Target shares (value, share) in proportion to the observed tokens ** power."""
-    sums = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").alias("t"))
-    total = sums.agg(F.sum(F.pow("t", F.lit(power))).alias("all"))
-    return sums.join(F.broadcast(total)).select("value", (F.pow("t", F.lit(power)) / F.col("all")).alias("share"))
+    sums = cells.groupBy(F.col(dimension).alias("value")).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("t"))
+    whole = sums.agg(F.sum("t")).first()[0] or 1.0  # one number
+    return sums.select("value", (F.col("t") / whole).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``weight``: tokens raked to the targets.
 
     Targets are DataFrames (value, share) for each dimension; values without a
-    target get no weight.  Each round is one pass over each dimension; the cells,
-    a summary of the corpus, are staged every other round.
+    target get no weight.  Each round is one pass over each dimension; after each
+    pass the cells, a summary of the corpus, are staged, so plans stay small.
     """
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
-    total = now.agg(F.sum("weight").alias("total"))
-    now = staged(now.join(F.broadcast(total)))
-    for k in range(rounds):
+    for _ in range(rounds):
         for dimension, target in targets.items():
-            sums = now.groupBy(dimension).agg(F.sum("weight").alias("__sum"), F.first("total").alias("__total"))
+            sums = now.groupBy(dimension).agg(F.sum("weight").alias("__sum"))
+            share = F.coalesce("share", F.lit(0.0))
             factor = sums.join(target.withColumnRenamed("value", dimension), dimension, "left").select(
-                dimension, F.when(F.col("__sum") > 0, F.coalesce("share", F.lit(0.0)) * F.col("__total") / F.col("__sum")).otherwise(0.0).alias("__factor")
+                dimension, F.when(F.col("__sum") > 0, share * total / F.col("__sum")).otherwise(0.0).alias("__factor")
             )
-            now = now.join(factor, dimension).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__factor")
-        if k % 2 or k == rounds - 1:
-            now = staged(now)
-    return now.drop("total")
+            now = staged(now.join(factor, dimension).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__factor"))
+    return now
 
 
 def mix_sources(
