@@ -1,44 +1,23 @@
-"""Staged tables, bounded membership filters and distributed components."""
+"""Bounded membership filters and distributed components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeweave.session import shared_folder, staged
+
+__all__ = ["components", "may_be_member", "member_filter", "passes", "shared_folder", "shuffle_width", "staged"]
+
 #: Bits of the membership filter: a fixed megabyte however many ids there are.
 FILTER_BITS = 1 << 23
 _BITMAP_BITS = 32_768
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: the session's checkpoint folder.
-
-    ``spark.checkpoint.dir`` decides; only where it is unset (tests on one
-    machine) a folder of our own is set.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir()
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts the lineage, and what the table holds outlives lost executors.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -124,13 +103,3 @@ def _stars(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-
-
-def rows_in_arrow(schema: str, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], df: DataFrame) -> DataFrame:
-    """mapInArrow with a function for one batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from make(batch)
-
-    return df.mapInArrow(run, schema)
