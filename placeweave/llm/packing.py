@@ -86,45 +86,83 @@ def curve_keys(ids: np.ndarray, column: pa.Array) -> np.ndarray:
     return (hilbert(places, AXIS_BITS) << TIE_BITS) | tie
 
 
+#: How this vocabulary family splits lower-cased text (a fixed value).
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-in of every byte in byte-level vocabularies: printable
+    Latin-1 bytes stand for themselves, the others for U+0100 and up in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
+
+
 class _Encoder:
     """Ids of whole texts, from the ids of their pieces between white space.
 
     This vocabulary family drops white space and nothing it matches spans it, so
-    the pieces of a text encode independently.  A text with one of the control
-    characters U+001C..U+001F, which Python alone counts as white space, is
-    encoded whole.
+    the pieces of a text encode independently.  A new piece of plain Latin letters
+    is split into words, and only words that are new are merged by the library's
+    model; other pieces, and those that may hold a special string, go through the
+    whole library.  A text with one of the control characters U+001C..U+001F,
+    which Python alone counts as white space, is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = load_tokenizer(path)
+        self.model = self.tokenizer.model
         self.odd = regex.compile("[\x1c-\x1f]")
-        self.cache: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
+        # letters below U+0250 are composed already and lower-case one by one, but for U+0130
+        self.foreign = regex.compile("[^\x21-\u012f\u0131-\u024f]|<\\|")
+        self.word = regex.compile(WORD)
+        self.letters = _byte_letters()
+        self.codes = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
+        self.pieces = _Pieces(self._piece)
+        self.words: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in coded]
 
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            codes = self.codes
+            ids = b"".join([codes[t.id] for t in self.model.tokenize(mapped)])
+            if len(self.words) < CACHE:
+                self.words[word] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece; letters alone or before one mark need no splitting pattern."""
+        if ("<" in piece) if piece.isascii() else self.foreign.search(piece):
+            return self._whole([piece])[0]
+        low = piece.lower()
+        if low.isalpha():
+            return self._word(low)
+        if low[-1] in ",." and low[:-1].isalpha():
+            return self._word(low[:-1]) + self._word(low[-1])
+        return b"".join(map(self._word, self.word.findall(low)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        pieces = [None if self.odd.search(t) else t.split() for t in texts]
-        unknown = set()
-        for p in pieces:
-            if p is not None:
-                unknown.update(p)
-        unknown = list(unknown.difference(cache))
-        room = max(0, CACHE - len(cache))
-        late: dict[str, bytes] = {}
-        for k, (word, ids) in enumerate(zip(unknown, self._raw(unknown), strict=True)):
-            (cache if k < room else late)[word] = ids
-        out = []
-        for text, p in zip(texts, pieces, strict=True):
-            if p is None:
-                out.append(self._raw([text])[0])
-            elif late:
-                out.append(b"".join([cache[w] if w in cache else late[w] for w in p]))
-            else:
-                out.append(b"".join(map(cache.__getitem__, p)))
-        return out
+        ids_of = self.pieces.__getitem__
+        return [self._whole([t])[0] if self.odd.search(t) else b"".join(map(ids_of, t.split())) for t in texts]
+
+
+class _Pieces(dict):
+    """Ids of pieces; while there is room, new ones are kept."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.make(piece)
+        if len(self) < CACHE:
+            self[piece] = ids
+        return ids
 
 
 _encoders: dict[str, _Encoder] = {}
