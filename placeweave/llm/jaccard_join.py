@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import may_be_member, staged
+from placeweave.llm.shared import passes, staged
 from placeweave.llm.text_arrays import set_digest, shingle_sets
 from placeweave.llm.tiles import ITEMS, POSTINGS, SETS, bitmap, bucket_count, postings_rows, similar_components
 
@@ -148,24 +148,30 @@ def ngram_jaccard_join(
                 held.append((int(ids[row]), n, set_digest(hashes) if n else int(ids[row]), bitmap(hashes)))
             yield _batch(held, ["id", "n", "digest", "bits"])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            held, size = [], 0
-            for row, hashes in shingle_sets(batch.column(1), width):
-                held.append((int(ids[row]), hashes.tobytes()))
-                size += len(hashes)
-                if size > 1 << 18:
+    def fetch(found: np.ndarray) -> DataFrame:
+        wanted = docs.sparkSession.sparkContext.broadcast(found)
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                hit = passes(wanted.value, ids)
+                ids, texts = ids[hit], batch.column(1).filter(pa.array(hit))
+                held, size = [], 0
+                for row, hashes in shingle_sets(texts, width):
+                    held.append((int(ids[row]), hashes.tobytes()))
+                    size += len(hashes)
+                    if size > 1 << 18:
+                        yield _batch(held, ["id", "hashes"])
+                        held, size = [], 0
+                if held:
                     yield _batch(held, ["id", "hashes"])
-                    held, size = [], 0
-            if held:
-                yield _batch(held, ["id", "hashes"])
+
+        return known.mapInArrow(sets, SETS)
 
     items = staged(known.mapInArrow(describe, ITEMS))
     postings = known.mapInArrow(post, POSTINGS)
     least = items.groupBy("digest").agg(F.min("id").alias("first"))
     copies = items.join(least, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    fetch = lambda found: may_be_member(known, "id", found).mapInArrow(sets, SETS)
     found = similar_components(lambda _: items, postings, fetch, num, den, copies)
     joined = items.join(found, "id", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")

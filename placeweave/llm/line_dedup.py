@@ -53,10 +53,15 @@ class _Lines:
             POWERS.need(len(code) + 1)
             inverse = POWERS.down
             weighted = np.concatenate([[np.uint64(0)], np.cumsum(code * POWERS.up[: len(code)], dtype=np.uint64)])
+            self.sums, self.inverse = weighted, inverse
             size = (self.ends - self.starts).astype(np.uint64)
             self.ids = mix64((weighted[self.ends] - weighted[self.starts]) * inverse[self.starts] + size * _ODD).view(np.int64)
-            m = max(len(code) - SHINGLE + 1, 0)
-            self.shingles = mix64((weighted[SHINGLE : SHINGLE + m] - weighted[:m]) * inverse[:m])
+
+    def shingles(self, places: np.ndarray | slice) -> np.ndarray:
+        """Hashes of the shingles that start at the given places."""
+        after = slice(places.start + SHINGLE, places.stop + SHINGLE) if isinstance(places, slice) else places + SHINGLE
+        with np.errstate(over="ignore"):
+            return mix64((self.sums[after] - self.sums[places]) * self.inverse[places])
 
     def long(self) -> np.ndarray:
         return np.flatnonzero(self.ends - self.starts >= SHINGLE)
@@ -67,7 +72,7 @@ class _Lines:
         counts = stops - starts
         at = np.cumsum(counts) - counts
         places = np.arange(int(counts.sum())) - np.repeat(at, counts) + np.repeat(starts, counts)
-        short = (self.shingles[places] >> np.uint64(32)).astype(np.uint32)
+        short = (self.shingles(places) >> np.uint64(32)).astype(np.uint32)
         keys = np.zeros((len(which), BANDS), dtype=np.uint64)
         with np.errstate(over="ignore"):
             for k in range(BANDS * ROWS):
@@ -78,7 +83,7 @@ class _Lines:
 
     def set_of(self, k: int) -> np.ndarray:
         a, b = self.starts[k], self.ends[k] - SHINGLE + 1
-        return np.unique(self.shingles[a:b]) if b > a else self.ids[k : k + 1].view(np.uint64)
+        return np.unique(self.shingles(slice(a, b))) if b > a else self.ids[k : k + 1].view(np.uint64)
 
 
 def _line_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, _Lines]]:

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeweave.session import shared_folder, staged
 
-__all__ = ["components", "may_be_member", "member_filter", "passes", "shared_folder", "shuffle_width", "staged"]
+__all__ = ["components", "member_filter", "passes", "shared_folder", "shuffle_width", "staged"]
 
 #: Bits of the membership filter: a fixed megabyte however many ids there are.
 FILTER_BITS = 1 << 23
@@ -51,18 +48,6 @@ def member_filter(ids: DataFrame, column: str) -> np.ndarray:
     return found
 
 
-def may_be_member(df: DataFrame, column: str, found: np.ndarray) -> DataFrame:
-    """Rows of ``df`` whose id may be in the filter."""
-    shared = df.sparkSession.sparkContext.broadcast(found)
-    place = df.columns.index(column)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(passes(shared.value, batch.column(place).to_numpy(zero_copy_only=False))))
-
-    return df.mapInArrow(keep, df.schema)
-
-
 def _bucket(slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What bitmap_bucket_number and bitmap_bit_position give for slots >= 0."""
     part = np.where(slot > 0, 1 + (slot - 1) // _BITMAP_BITS, 0)

@@ -282,7 +282,7 @@ def _pair_rows(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
 def _linked(pairs: DataFrame, items: Fetch | None, sets: Fetch, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of num / den or more.
 
-    ``items`` is None where the pairs have passed the bound already.
+    ``items`` is None where the bound is not to be applied (again).
     """
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
