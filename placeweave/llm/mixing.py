@@ -2,8 +2,9 @@
 
 Documents are counted into cells (source, language, topic) of tokens.  Iterative
 proportional fitting rakes the cells' token weights until each marginal has its
-target shares; a document is then kept with a probability that is calibrated by
-its cell's weight and decided by a hash of its id.
+target shares; a document is then taken so many times, in the mean, as its cell's
+weight asks for: whole copies, and one more with the probability of the rest,
+decided by a hash of its id.
 """
 
 from __future__ import annotations
@@ -70,17 +71,21 @@ def mix_sources(
     rounds: int = 8,
     seed: int = 17,
 ) -> DataFrame:
-    """All rows of ``docs`` with topic, n_tokens, weight, probability and kept added.
-
-    ``weight`` is the raked over the observed token mass of the document's cell,
-    ``probability`` = min(1, keep * weight), ``kept`` whether the hash of seed and
-    id falls below it: rows of one id are kept or dropped together.  Without
+    """All rows of ``docs`` with topic, n_tokens, weight, probability, kept and copies added.
+
+    ``weight`` is the raked over the observed token mass of the document's cell;
+    ``copies`` is keep * weight rounded up or down, up where the hash of seed and id
+    falls below its fraction, so that each cell's expected tokens are keep times its
+    raked ones.  ``probability`` = min(1, keep * weight) is that of a copy or more,
+    ``kept`` whether there is one: where weights exceed 1 / keep, rows that are kept
+    reach the targets only when taken ``copies`` times (see ``sampled``).  Rows of
+    one id of one cell have the same number of copies.  Without
     ``targets`` the marginals are tempered by ``power``.  A null source or
     language is a value of its own, an empty or null text has the topic
     ``empty`` and one token; columns of ``docs`` named like an added one are
     replaced.  An empty table gives no rows.
     """
-    added = ("topic", "n_tokens", "weight", "probability", "kept")
+    added = ("topic", "n_tokens", "weight", "probability", "kept", "copies")
     kept = [c for c in docs.columns if c not in added]
     keys = {d: f"__{d}" for d in DIMENSIONS}
     placed = docs.select(
@@ -94,9 +99,16 @@ def mix_sources(
     goals = {keys[d]: t for d, t in targets.items()} if targets else {k: staged(tempered(cells, k, power)) for k in keys.values()}
     raked = rake(cells, goals, rounds).select(*keys.values(), (F.col("weight") / F.col("tokens")).alias("weight"))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / 4294967296.0
+    whole = F.floor(keep * F.col("weight"))
     return (
         placed.join(raked, list(keys.values()), "left")
         .withColumn("probability", F.least(F.lit(1.0), keep * F.col("weight")))
         .withColumn("kept", draw < F.col("probability"))
+        .withColumn("copies", whole + (draw < keep * F.col("weight") - whole).cast("long"))
         .select(*kept, *added)
     )
+
+
+def sampled(mixed: DataFrame) -> DataFrame:
+    """A row, numbered by ``copy`` from 1 on, for each copy of the rows of ``mix_sources``."""
+    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))

@@ -11,7 +11,7 @@ from placeweave.llm.gif import media_digests
 from placeweave.llm.jaccard_join import ngram_jaccard_join
 from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.line_dedup import dedup_lines
-from placeweave.llm.mixing import mix_sources
+from placeweave.llm.mixing import mix_sources, sampled
 from placeweave.llm.packing import pack_documents
 from placeweave.llm.sharding import kd_shards
 from placeweave.llm.token_counts import token_counts
@@ -135,6 +135,13 @@ FROM docs d JOIN {last} p ON d.source = p.source AND d.lang = p.lang AND d.topic
 ORACLE_SQL["op10_mixing"] = _mixing_sql()
 
 
+@query
+def op10_mixing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample itself, with the copies that op10_mixing's columns cannot show."""
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return sampled(mixed).select("doc_id", "copy", "source", "lang", "topic", "n_tokens")
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

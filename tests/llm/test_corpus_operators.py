@@ -17,7 +17,7 @@ from placeweave.llm import gif
 from placeweave.llm.jaccard_join import ngram_jaccard_join, without_near_copies
 from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.line_dedup import dedup_lines
-from placeweave.llm.mixing import mix_sources
+from placeweave.llm.mixing import mix_sources, sampled
 from placeweave.llm.packing import hilbert, pack_documents
 from placeweave.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from placeweave.llm.shared import components
@@ -414,6 +414,30 @@ def test_mixing(spark, docs, empty):
     assert abs(kept["big"] - kept["small"]) < 0.15 * sum(kept.values())
 
 
+def test_mixing_reaches_its_targets(spark):
+    """Rare values with weights far above 1 / keep: only copies reach their share."""
+    many = spark.range(20_000).selectExpr("id as doc_id", "repeat('word ', 20) as text", "if(id % 50 = 0, 'rare', 'big') as source", "if(id % 20 = 1, 'es', 'en') as lang")
+    share = lambda *xs: spark.createDataFrame(list(xs), "value string, share double")
+    goals = {"source": {"rare": 0.3, "big": 0.7}, "lang": {"es": 0.2, "en": 0.8}, "topic": {"prose": 1.0}}
+    mixed = mix_sources(many, targets={d: share(*g.items()) for d, g in goals.items()}).cache()
+    rows = mixed.collect()
+    assert all(r.kept == (r.copies > 0) and abs(r.copies - 0.8 * r.weight) < 1 for r in rows) and max(r.copies for r in rows) > 5
+    taken = sampled(mixed).cache()
+    assert taken.count() == sum(r.copies for r in rows) == taken.select("doc_id", "copy").distinct().count()
+    whole = sum(r.n_tokens for r in rows)
+    assert taken.agg(F.sum("n_tokens")).first()[0] == pytest.approx(0.8 * whole, rel=0.02)
+    for d, goal in goals.items():
+        got = {r[0]: r[1] for r in taken.groupBy(d).agg(F.sum("n_tokens")).collect()}
+        assert {v: n / sum(got.values()) for v, n in got.items()} == pytest.approx(goal, abs=0.01)
+
+
+def test_mixing_sample_table(spark, table):
+    """The registered sample has each cell's raked tokens, up to a copy's rounding."""
+    mixed = mix_sources(table("documents")).collect()
+    got = Counter(r.doc_id for r in QUERIES["op10_mixing_sample"](spark, SF).collect())
+    assert max(got.values()) > 1 and all(abs(got[r.doc_id] - 0.8 * r.weight) < 1 for r in mixed)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
