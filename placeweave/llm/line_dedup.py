@@ -2,9 +2,11 @@
 
 A line is the set of its character shingles.  Minima of random orders of the
 shingles give signatures, bands of them open tiles; lines of one tile are verified
-by their exact Jaccard similarity (tiles.py), components come from a distributed
-union-find, and one line of each component stays: the first by document id and
-place.
+by their exact Jaccard similarity (tiles.py).  A short line loses too large a share
+of its shingles to a single edit, so short lines are also linked where one inserted,
+deleted or replaced character is all they differ by, found exactly.  Components
+come from a distributed union-find, and one line of each component stays: the first
+by document id and place.
 """
 
 from __future__ import annotations
@@ -16,15 +18,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import passes, staged
+from placeweave.llm.shared import member_filter, passes, staged
 from placeweave.llm.text_arrays import _POWERS as POWERS
 from placeweave.llm.text_arrays import mix64, text_buffer
 from placeweave.llm.tiles import ITEMS, POSTINGS, SETS, bitmap, bucket_count, postings_rows, similar_components
 
 SHINGLE = 8
 #: A pair of similarity s shares a tile with probability 1 - (1 - s**ROWS)**BANDS:
-#: 0.990 at 0.75, 0.998 at 0.8, above 0.999997 at 0.9.
-BANDS, ROWS = 12, 4
+#: 0.9998 at 0.75, 0.99998 at 0.8, above 0.999999998 at 0.9.
+BANDS, ROWS = 16, 3
+#: Lines of so many characters are also linked by a single edit; from 63 characters
+#: on, one replaced character leaves a similarity of 0.75.
+SHORT, SHORT_END = 20, 80
 _BLOCK_CHARS = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MASKS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32)
@@ -81,6 +86,45 @@ class _Lines:
                 keys[:, band] = (keys[:, band] + least + np.uint64(1)) * _ODD
             return mix64(keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
+    def short(self) -> np.ndarray:
+        size = self.ends - self.starts
+        return np.flatnonzero((size >= SHORT) & (size <= SHORT_END))
+
+    def halves(self, which: np.ndarray) -> np.ndarray:
+        """Four keys a line: two lines that differ by one edit share one or more.
+
+        An edit of the longer of two lines, of n characters, leaves its first n // 2
+        or its other characters as they are; a line may be the longer or the shorter.
+        """
+        starts, ends = self.starts[which], self.ends[which]
+        keys = np.zeros((len(which), 4), dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(2):
+                n = ends - starts + k
+                first, rest = n // 2, n - n // 2
+                for side, (a, b) in enumerate(((starts, starts + first), (ends - rest, ends))):
+                    tag = (2 * n + side).astype(np.uint64) * _ODD
+                    keys[:, 2 * k + side] = mix64((self.sums[b] - self.sums[a]) * self.inverse[a] + tag)
+        return keys.view(np.int64)
+
+    def edits(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, what is left at one place, what is left) of lines without one character each.
+
+        The first key is shared by lines that differ at that place only; the second
+        is the id of the line that is left.
+        """
+        starts, ends = self.starts[which], self.ends[which]
+        counts = ends - starts
+        owner = np.repeat(np.arange(len(which)), counts)
+        place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        s, e, at = starts[owner], ends[owner], starts[owner] + place
+        with np.errstate(over="ignore"):
+            left = ((self.sums[at] - self.sums[s]) + (self.sums[e] - self.sums[at + 1]) * self.inverse[1]) * self.inverse[s]
+            size = counts[owner].astype(np.uint64)
+            rest = mix64(left + (size - np.uint64(1)) * _ODD).view(np.int64)
+            here = mix64((rest.view(np.uint64) + place.astype(np.uint64)) * _ODD).view(np.int64)
+        return self.ids[which][owner], here, rest
+
     def set_of(self, k: int) -> np.ndarray:
         a, b = self.starts[k], self.ends[k] - SHINGLE + 1
         return np.unique(self.shingles(slice(a, b))) if b > a else self.ids[k : k + 1].view(np.uint64)
@@ -108,8 +152,13 @@ def line_components(docs: DataFrame, num: int = 3, den: int = 4) -> tuple[DataFr
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             for first, lines in _line_blocks(batch):
+                short = lines.short()
+                counts = np.zeros(len(lines.ids) + 1, dtype=np.int32)
+                counts[short + 1] = 4
+                halves = pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(lines.halves(short).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[first + lines.doc]), pa.array(lines.number.astype(np.int32)), pa.array(lines.ids)], names=["doc", "number", "line"]
+                    [pa.array(doc[first + lines.doc]), pa.array(lines.number.astype(np.int32)), pa.array(lines.ids), halves],
+                    names=["doc", "number", "line", "halves"],
                 )
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,21 +200,57 @@ def line_components(docs: DataFrame, num: int = 3, den: int = 4) -> tuple[DataFr
 
         return fetch
 
-    lines = staged(docs.mapInArrow(occurrences, "doc long, number int, line long"))
+    lines = staged(docs.mapInArrow(occurrences, "doc long, number int, line long, halves array<long>"))
     postings = docs.mapInArrow(post, POSTINGS)
     items = of_lines(["id", "n", "digest", "bits"], lambda id, s: (id, len(s), id, bitmap(s)))
     sets = of_lines(["id", "hashes"], lambda id, s: (id, s.tobytes()))
-    found = similar_components(lambda bits: items(bits, ITEMS), postings, lambda bits: sets(bits, SETS), num, den)
-    return lines, found
+    found = similar_components(lambda bits: items(bits, ITEMS), postings, lambda bits: sets(bits, SETS), num, den, _edited(docs, lines))
+    return lines.drop("halves"), found
+
+
+def _edited(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links (a, b) between short lines that differ by one edit.
+
+    Only lines that share a half with another line are taken apart; of lines that
+    differ at one place each is linked with the least, so no pairs are enumerated.
+    """
+    halves = lines.where("size(halves) > 0").select(F.explode("halves").alias("key"), "line")
+    common = halves.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi")
+    shared = docs.sparkSession.sparkContext.broadcast(member_filter(common, "key"))
+
+    def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, block in _line_blocks(batch):
+                which = block.short()
+                _, once = np.unique(block.ids[which], return_index=True)
+                which = which[once]
+                if len(which):
+                    which = which[passes(shared.value, block.halves(which).ravel()).reshape(-1, 4).any(axis=1)]
+                if len(which):
+                    id, here, rest = block.edits(which)
+                    own = block.ids[which]
+                    kind = np.repeat(np.array([0, 1, 2], dtype=np.int32), [len(id), len(id), len(own)])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(kind), pa.array(np.concatenate([here, rest, own])), pa.array(np.concatenate([id, id, own]))], names=["kind", "key", "id"]
+                    )
+
+    parts = staged(docs.mapInArrow(take_apart, "kind int, key long, id long").distinct())
+    place = parts.where("kind = 0")
+    least = place.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a <> hi")
+    replaced = place.join(least, "key").where("id <> a").select("a", F.col("id").alias("b"))
+    whole = parts.where("kind = 2").select("key")
+    inserted = parts.where("kind = 1").join(whole, "key").select(F.col("key").alias("a"), F.col("id").alias("b"))
+    return replaced.unionByName(inserted)
 
 
 def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: int = 3, den: int = 4) -> DataFrame:
     """``docs`` with n_lines, n_dropped and the text without repeated lines.
 
     Lines end at ``\\n``.  Of lines that are equal, or linked by a Jaccard similarity
-    of num/den or more over SHINGLE characters, the one with the smallest (id,
-    place) stays and the others go, with their line ends.  Lines of fewer than
-    SHINGLE characters match equal ones only; blank lines stay.  Null and empty
+    of num/den or more over SHINGLE characters, or, with SHORT to SHORT_END
+    characters each, by one inserted, deleted or replaced character, the one with
+    the smallest (id, place) stays and the others go, with their line ends.  Lines
+    of fewer than SHINGLE characters match equal ones only; blank lines stay.  Null and empty
     texts stay as they are; rows with a null id are returned unchanged and take no
     part; rows of one id are one document and lose the same lines.  ``n_lines``
     counts all lines.  Columns of ``docs`` named like an added one are replaced.

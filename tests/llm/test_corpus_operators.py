@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from placeweave.llm import gif
 from placeweave.llm.jaccard_join import ngram_jaccard_join, without_near_copies
 from placeweave.llm.language_id import held_out, identify, learn
-from placeweave.llm.line_dedup import dedup_lines
+from placeweave.llm.line_dedup import BANDS, ROWS, dedup_lines
 from placeweave.llm.mixing import mix_sources, sampled
 from placeweave.llm.packing import hilbert, pack_documents
 from placeweave.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
@@ -301,6 +301,26 @@ def test_line_dedup(spark, docs, empty):
     assert dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_short_edits(spark):
+    """A single edit in a line of 20 to 62 characters; two edits of a short line are no link."""
+    assert (1 - 0.75**ROWS) ** BANDS < 0.0002
+    rows, gone, r = [], set(), np.random.default_rng(8)
+    for n in range(20, 63):
+        line = "".join(chr(97 + k) if k < 26 else " " for k in r.integers(28, size=n - 2))
+        line = f"a{line}z"
+        at = int(r.integers(1, n - 1))
+        edited = [line[:at] + "é" + line[at + 1 :], line[:at] + "日" + line[at:], line[:at] + line[at + 1 :] if n > 20 else line]
+        twice = f"a{line[1 : n // 3]}X{line[n // 3 + 1 : 2 * n // 3]}Y{line[2 * n // 3 + 1 :]}"
+        for k, x in enumerate([line, *edited, *([twice] if n < 60 else [])]):
+            rows.append((10 * n + k, f"{x}\n\n-"))
+            if 0 < k < 4:
+                gone.add(10 * n + k)
+    got = {x.doc_id: x.text for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {k: "" if k in gone else t.split("\n")[0] + "\n" for k, t in rows}
+    want[200] += "\n-"
+    assert got == want
+
+
 def frame(index, palette=b"\0\0\0\xff\0\0\0\xff\0\0\0\xff", flags=0x81, disposal=0, clear=None, left=0, top=0, w=2, h=2, interlace=False, delay=7) -> bytes:
     """A frame of four colours (root of two bits): a clear code before each sample keeps codes at three bits."""
     bits = "".join(f"{c:03b}"[::-1] for s in index for c in (4, s)) + f"{5:03b}"[::-1]
