@@ -75,18 +75,28 @@ def by_city(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def by_length(incoming: DataFrame, existing: DataFrame, band: int = 4) -> DataFrame:
-    """Pairs of one state whose names may score SCORE_ANYWHERE, incoming without a city.
+    """Pairs of one state whose names may score SCORE_ANYWHERE, incoming without a city."""
+    return _length_bands(incoming.where("city_key is null"), existing, SCORE_ANYWHERE, band).where(_visible())
 
-    Names in reach have lengths within a tenth; each incoming record meets the
-    bands its reach covers.
+
+def without_place(incoming: DataFrame, existing: DataFrame, band: int = 4) -> DataFrame:
+    """Pairs of one state whose names may score SCORE_MATCH, without coordinates on a side or both."""
+    to_all = _length_bands(incoming.where("not placed"), existing, SCORE_MATCH, band)
+    return to_all.unionByName(_length_bands(incoming.where("placed"), existing.where("not placed"), SCORE_MATCH, band))
+
+
+def _length_bands(incoming: DataFrame, existing: DataFrame, least: float, band: int) -> DataFrame:
+    """Pairs of one state whose names may score ``least``, from their lengths.
+
+    Each incoming record meets the bands of lengths that its reach covers.
     """
-    i, e = _sides(incoming.where("city_key is null"), existing)
+    i, e = _sides(incoming, existing)
     n = F.length("i_tokens")
-    reach = SCORE_ANYWHERE / (200.0 - SCORE_ANYWHERE)
+    reach = least / (200.0 - least)
     bands = F.sequence(F.floor(n * reach / band), F.floor(n / reach / band))
     i = i.withColumn("band", F.explode(bands))
     e = e.withColumn("e_band", F.floor(F.length("e_tokens") / band))
-    return i.join(e, (F.col("i_state") == F.col("e_state")) & (F.col("band") == F.col("e_band"))).drop("band", "e_band").where(_visible())
+    return i.join(e, (F.col("i_state") == F.col("e_state")) & (F.col("band") == F.col("e_band"))).drop("band", "e_band")
 
 
 def with_scores(pairs: DataFrame, least: float) -> DataFrame:
@@ -119,6 +129,17 @@ def match_type(score: Column, km: Column) -> Column:
     )
 
 
+def fuzzy_matches(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+    """Every pair with a match_type, score and km among all a record can see.
+
+    Without a distance a match needs SCORE_MATCH, which is what bounds the lengths
+    of names where coordinates are missing.
+    """
+    near = with_scores(neighbours(incoming, existing), SCORE_CANDIDATE)
+    rest = with_scores(without_place(incoming, existing), SCORE_MATCH)
+    return near.unionByName(rest).withColumn("match_type", match_type(F.col("score"), F.col("km"))).where("match_type is not null")
+
+
 def candidates(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Every pair that a pass of the cascade accepts: (record, site, pass, score, km).
 
@@ -152,9 +173,12 @@ def cascade(incoming: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def near_misses(incoming: DataFrame, existing: DataFrame, matched: DataFrame) -> DataFrame:
-    """The best candidate of each record without a match, from SCORE_CANDIDATE on."""
+    """The best fuzzy match (J05) of each record that no pass accepted.
+
+    ``matched``: the records (record_id) that any pass of the cascade matches.
+    """
     rest = incoming.join(matched.select(F.col("record_id").alias("id")), "id", "left_anti")
-    seen = with_scores(neighbours(rest, existing), SCORE_CANDIDATE)
+    seen = fuzzy_matches(rest, existing)
     order = Window.partitionBy("i_id").orderBy(F.desc("score"), "e_id")
     return seen.withColumn("__r", F.row_number().over(order)).where("__r = 1").select(F.col("i_id").alias("record_id"), F.col("e_id").alias("site_id"), "score", "km")
 
@@ -190,7 +214,7 @@ def match_audit(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Doubtful fuzzy matches with their risk (J18): no refnum hit, no perfect score, names differ."""
     known = refnum_matches(incoming, existing).select(F.col("i_id").alias("id")).distinct()
     rest = incoming.join(known, "id", "left_anti")
-    scored = with_scores(neighbours(rest, existing), SCORE_CANDIDATE).withColumn("match_type", match_type(F.col("score"), F.col("km"))).where("match_type is not null")
+    scored = fuzzy_matches(rest, existing)
     order = Window.partitionBy("i_id").orderBy(F.desc("score"), "e_id")
     best = scored.withColumn("__r", F.row_number().over(order)).where("__r = 1")
     doubtful = best.where((F.col("score") < 100) & (comparison_name(F.col("i_name")) != comparison_name(F.col("e_name"))))

@@ -554,7 +554,7 @@ def battlefield_matches(spark, sf_dir):
 @query()
 def near_misses(spark, sf_dir):
     inc, sites = _sides(spark, sf_dir)
-    return resolve.near_misses(inc, sites, resolve.cascade(inc, sites).where("pass <= 2"))
+    return resolve.near_misses(inc, sites, resolve.cascade(inc, sites))
 
 
 @query()

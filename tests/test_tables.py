@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from placeweave.operators import enrich, resolve, scoring, tables
+from placeweave.plans import registry
 from placeweave.session import staged
 from placeweave.sinks import exports
 from placeweave.streaming import incremental
@@ -82,6 +83,66 @@ def test_leaders_equal_a_sequential_model(spark):
         assert {x["id"] for x in got.collect() if x["leader"]} == model
 
 
+def places(spark, id: str, start: int, n: int, seed: int):
+    """Keyed records of a few similar names, a third without coordinates, some without a city."""
+    r = random.Random(seed)
+    words = ["Oldham", "Mill", "Stone", "Bridge", "Harbor", "Chapel", "Grange", "Barn"]
+    rows = []
+    for k in range(n):
+        name = " ".join(r.sample(words, 3)) + r.choice(["", "s", " No. 1", " No. 2"])
+        at = (None, None) if r.random() < 0.35 else (40.0 + r.choice([0, 0.003, 0.03, 0.4]), -75.0)
+        rows.append((start + k, f"R{k % 50}" if r.random() < 0.1 else None, name, r.choice(["PA", "NJ"]), r.choice(["Town", "Ville", None]), r.choice([None, None, f"{k % 9} Main St"]), *at))
+    df = spark.createDataFrame(rows, f"{id} long, nris_refnum string, name string, state string, city string, address string, latitude double, longitude double")
+    return resolve.keyed(df, id)
+
+
+def score(a: str, b: str) -> float:
+    last = [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+        last = row
+    return 200.0 * last[-1] / (len(a) + len(b))
+
+
+def fuzzy_model(i, sites) -> list[tuple]:
+    """(score, site, km, type) of all that a record sees, best first, one pair after the other."""
+    found = []
+    for e in sites:
+        near = not i.placed or not e.placed or abs(i.cx - e.cx) <= 1 and abs(i.cy - e.cy) <= 1
+        if i.state == e.state and near and min(len(i.plain), len(e.plain)) / max(len(i.plain), len(e.plain)) >= 0.4:
+            s = score(i.tokens, e.tokens)
+            km = abs(i.latitude - e.latitude) * 111.195 if i.placed and e.placed else None
+            kind = "proximity_match" if km is not None and km <= 0.5 and s >= 70 else "name_only_match" if s >= 90 else "name_match" if s >= 85 else None
+            if kind:
+                found.append((s, e.id, km, kind))
+    return sorted(found, key=lambda x: (-x[0], x[1]))
+
+
+def test_audit_and_near_misses_see_what_has_no_coordinates(spark):
+    inc, sites = places(spark, "record_id", 1000, 120, 3).cache(), places(spark, "site_id", 1, 120, 4).cache()
+    records, stored = inc.collect(), sites.collect()
+    numbers = {e.nris_refnum for e in stored} - {None}
+    tops = {i.id: fuzzy_model(i, stored)[0] for i in records if fuzzy_model(i, stored)}
+    plain = {x.id: x.name.lower().replace(".", "") for x in records + stored}
+    want = {(i.id, tops[i.id][1], tops[i.id][3]) for i in records if i.id in tops and i.nris_refnum not in numbers and tops[i.id][0] < 100 and plain[i.id] != plain[tops[i.id][1]]}
+    got = resolve.match_audit(inc, sites).collect()
+    assert {(x.record_id, x.site_id, x.match_type) for x in got} == want
+    assert any(x.km is None for x in got)
+    matched = resolve.cascade(inc, sites).select("record_id").cache()
+    taken = {x.record_id for x in matched.collect()}
+    missed = resolve.near_misses(inc, sites, matched).collect()
+    assert {(x.record_id, x.site_id) for x in missed} == {(i, t[1]) for i, t in tops.items() if i not in taken}
+    assert any(x.km is None for x in missed)
+
+
+def test_registered_near_misses_have_no_match(spark):
+    data = "/root/testdata/sf0.001"
+    accepted = registry.QUERIES["match_cascade"](spark, data)
+    assert registry.QUERIES["near_misses"](spark, data).join(accepted, "record_id", "left_semi").count() == 0
+
+
 def test_exports(spark, tmp_path):
     sites = spark.createDataFrame([(1, "A & B", "PA", "Town", 40.0, -75.0, "flagged", 3, 0.25), (2, "C", None, None, None, None, "approved", 1, 0.9)],
         "site_id int, name string, state string, city string, latitude double, longitude double, review_status string, review_priority int, confidence_score double")
