@@ -249,3 +249,12 @@ def leaders(records: DataFrame, edges: DataFrame, taken: DataFrame, stage) -> Da
                 .alias("leader"),
             )
         )
+
+
+def insert_leaders(incoming: DataFrame, existing: DataFrame, stage) -> DataFrame:
+    """(id, leader) of records in order of their ids, where each meets the stored
+    sites and the records inserted before it by all passes of the cascade (J12)."""
+    pairs = candidates(incoming, incoming).where("i_id > e_id")
+    edges = pairs.select(F.col("i_id").alias("later"), F.col("e_id").alias("earlier")).distinct()
+    taken = candidates(incoming, existing).select(F.col("i_id").alias("id")).distinct()
+    return leaders(incoming, edges, taken, stage)

@@ -559,9 +559,5 @@ def near_misses(spark, sf_dir):
 
 @query()
 def insert_leaders(spark, sf_dir):
-    """Records that are inserted when they arrive one after the other (same address or number)."""
-    inc, sites = _sides(spark, sf_dir)
-    pairs = resolve.refnum_matches(inc, inc).select("i_id", "e_id").unionByName(resolve.address_matches(inc, inc).select("i_id", "e_id"))
-    edges = pairs.where("i_id > e_id").select(F.col("i_id").alias("later"), F.col("e_id").alias("earlier")).distinct()
-    taken = resolve.refnum_matches(inc, sites).select(F.col("i_id").alias("id")).distinct()
-    return resolve.leaders(inc, edges, taken, staged)
+    """Records that are inserted when they arrive one after the other."""
+    return resolve.insert_leaders(*_sides(spark, sf_dir), staged)

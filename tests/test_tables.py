@@ -143,6 +143,26 @@ def test_registered_near_misses_have_no_match(spark):
     assert registry.QUERIES["near_misses"](spark, data).join(accepted, "record_id", "left_semi").count() == 0
 
 
+def test_inserts_meet_all_passes(spark):
+    """Each record meets stored sites and earlier inserts by number, address, distance and name."""
+    cols = "nris_refnum string, name string, state string, city string, address string, latitude double, longitude double"
+    stored = [(1, None, "Alder Mill", "PA", "Town", "1 Main St", None, None), (2, None, "Birch Bridge", "PA", "Town", None, 40.0, -75.0), (3, None, "Cedar Chapel", "PA", "Ville", None, None, None), (4, "R4", "Dogwood Barn", "NJ", "Town", None, None, None)]
+    rows = [
+        (11, None, "Other Name", "PA", "Town", "1 Main St", None, None), (12, None, "Birch Bridges", "PA", None, None, 40.001, -75.0), (13, None, "Cedar Chapel", "PA", "Ville", None, None, None), (14, "R4", "Any", "PA", None, None, None, None),
+        (21, "R9", "Elm Grange", "PA", "Town", "7 Oak St", 41.0, -75.0), (22, "R9", "Quite Different", "PA", None, None, None, None), (23, None, "Unlike", "PA", "Town", "7 Oak St", None, None), (24, None, "Elm Granges", "PA", "Ville", None, 41.001, -75.0),
+        (25, None, "Elm Grange", "PA", "Town", None, None, None), (26, None, "Elm Grange", "NJ", "Town", None, None, None), (27, None, "Unlike", "PA", "Ville", None, None, None), (28, None, "Elm Grange", "PA", "Ville", None, 43.0, -75.0),
+    ]
+    inc, sites = resolve.keyed(spark.createDataFrame(rows, f"record_id long, {cols}"), "record_id"), resolve.keyed(spark.createDataFrame(stored, f"site_id long, {cols}"), "site_id")
+    got = {x["id"]: x["leader"] for x in resolve.insert_leaders(inc, sites, staged).collect()}
+    assert len(got) == len(rows) and {k for k, v in got.items() if v} == {21, 26, 27, 28}
+
+
+def test_registered_inserts_match_no_site(spark):
+    data = "/root/testdata/sf0.001"
+    inserted = registry.QUERIES["insert_leaders"](spark, data).where("leader").select(F.col("id").alias("record_id"))
+    assert inserted.join(registry.QUERIES["match_cascade"](spark, data), "record_id", "left_semi").count() == 0
+
+
 def test_exports(spark, tmp_path):
     sites = spark.createDataFrame([(1, "A & B", "PA", "Town", 40.0, -75.0, "flagged", 3, 0.25), (2, "C", None, None, None, None, "approved", 1, 0.9)],
         "site_id int, name string, state string, city string, latitude double, longitude double, review_status string, review_priority int, confidence_score double")
