@@ -128,7 +128,7 @@ class _Encoder:
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            mapped = word.encode().decode("latin-1").translate(self.letters)
             codes = self.codes
             ids = b"".join([codes[t.id] for t in self.model.tokenize(mapped)])
             if len(self.words) < CACHE:

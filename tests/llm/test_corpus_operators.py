@@ -18,7 +18,7 @@ from placeweave.llm.jaccard_join import ngram_jaccard_join, without_near_copies
 from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.line_dedup import BANDS, ROWS, dedup_lines
 from placeweave.llm.mixing import mix_sources, sampled
-from placeweave.llm.packing import hilbert, pack_documents
+from placeweave.llm.packing import _Encoder, hilbert, pack_documents
 from placeweave.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from placeweave.llm.shared import components
 from placeweave.llm.sharding import kd_shards
@@ -245,6 +245,26 @@ def check_packing(rows, texts: list[tuple], path: str, length: int):
             assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
 
 
+ODD_CHARACTERS = [chr(k) for k in range(0x250)] + list("\u0300\u0301\u0327\u0345\u0384\u1100\u1161\u11a8\u1680\u2003\u2028\u2029\u202f\u205f\u212a\u212b\u3000\ufb01\uff21\U0001d400\U0001f600日本ΣσςİıſẞǅŒ")
+
+
+def odd_texts(n: int, seed: int) -> list[str]:
+    """Texts of odd characters, contractions, special strings and some plain words."""
+    r = np.random.default_rng(seed)
+    plain = [*"abcxyzABC'\"<|>.,;0123456789 \n\t", "'s", "'LL", "<|endoftext|>", "<|startoftext|>", "<|", "word", " Word", "can't ", "ÉCOLE ", "straße", "e\u0301"]
+    picks = r.integers(0, 3, size=(n, 24))
+    return ["".join(plain[r.integers(len(plain))] if p else ODD_CHARACTERS[r.integers(len(ODD_CHARACTERS))] for p in row[: r.integers(1, 24)]) for row in picks]
+
+
+def test_packing_gives_every_id():
+    """Ids of texts with control characters, marks, odd spaces and special strings: the library's."""
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = ["a\x00b \x1b[0m bell\x07", "x\x7fy", "\x7f", "\x01 \x02a.\x03", *odd_texts(10_000, 11)]
+    coded = load_tokenizer(path).encode_batch(texts, add_special_tokens=False)
+    want = [np.array(e.ids, "<u4").tobytes() for e in coded]
+    assert [t for t, a, b in zip(texts, _Encoder(path).encode(texts), want, strict=True) if a != b] == []
+
+
 def test_packing(spark, docs, empty, table):
     path = tokenizer_path("word_bpe_49k.json")
     for df, length in ((docs, 64), (table("documents"), 2048)):
