@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -50,12 +51,15 @@ def ship_package(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: the session's checkpoint folder.
 
-    ``spark.checkpoint.dir`` decides; only where it is unset (tests on one
-    machine) a folder of our own is set.
+    ``spark.checkpoint.dir`` decides; only where it is unset and Spark runs on one
+    machine (as in tests) a folder of our own is set.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
@@ -63,8 +67,18 @@ def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage, and what the table holds outlives lost executors.
+    ``discard`` removes it; what a result still reads stays as long as the folder.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_path = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
