@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import passes, staged
+from placeweave.llm.shared import discard, passes, released, staged
 from placeweave.llm.text_arrays import set_digest, shingle_sets
-from placeweave.llm.tiles import ITEMS, POSTINGS, SETS, bitmap, bucket_count, postings_rows, similar_components
+from placeweave.llm.tiles import BODIES, ITEMS, POSTINGS, Postings, bitmap, bucket_count, hash_arrays, link_counts, open_tiles, similar_components
 
 #: Most shingles that count as frequent; the broadcast is 16 bytes for each.
 FREQUENT = 1 << 18
@@ -69,7 +69,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text", width: int = 5) -> tu
     """
     found = (
         docs.select(text)
-        .mapInArrow(lambda batches: _summary(batches, width), "h long, c long")
+        .mapInArrow(released(lambda batches: _summary(batches, width)), "h long, c long")
         .groupBy("h")
         .agg(F.sum("c").alias("c"))
         .where(F.col("c") >= FREQUENT_FROM)
@@ -100,11 +100,12 @@ def _prefix(hashes: np.ndarray, length: int, frequent: np.ndarray, rank: np.ndar
 def ngram_jaccard_join(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4
 ) -> DataFrame:
-    """Rows (id, n_shingles, component_id) of the links with similarity num/den or more.
+    """Rows (id, n_shingles, component_id, n_links) of the links with similarity num/den or more.
 
     Words are runs of bytes other than space and \\t..\\r, A-Z counted as a-z; a
     document's set are its distinct shingles of ``width`` words, with fewer words
-    the whole sequence.  Null and empty texts have the empty set and no links.
+    the whole sequence.  ``n_links`` is the number of other rows a row is linked
+    with, copies included.  Null and empty texts have the empty set and no links.
     Repeated rows and repeated ids each give a row; rows of one id are one
     document to the components.  Rows with a null id keep a null component and
     take no part.  An empty table gives no rows; further columns are ignored.
@@ -112,32 +113,31 @@ def ngram_jaccard_join(
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     known = rows.where("id is not null")
     buckets = bucket_count(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(known, "text", width))
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(frequent_shingles(known, "text", width))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank = shared.value
-
-        def chunks():
-            for batch in batches:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                at, sizes, digests, keys, counts, held = [], [], [], [], [], 0
-                for row, hashes in shingle_sets(batch.column(1), width):
-                    n = len(hashes)
-                    key = _prefix(hashes, n - -(-num * n // den) + 1, frequent, rank) if n else hashes
-                    at.append(row)
-                    sizes.append(n)
-                    # an empty set equals no other: its digest is its own
-                    digests.append(set_digest(hashes) if n else int(ids[row]))
-                    keys.append(key)
-                    counts.append(len(key))
-                    held += len(key)
-                    if held > 1 << 18:
-                        yield _chunk(ids, at, sizes, digests, keys, counts)
-                        at, sizes, digests, keys, counts, held = [], [], [], [], [], 0
-                if at:
-                    yield _chunk(ids, at, sizes, digests, keys, counts)
-
-        yield from postings_rows(chunks(), buckets)
+        packer = Postings(buckets)
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            at, sizes, digests, keys, counts, held = [], [], [], [], [], 0
+            for row, hashes in shingle_sets(batch.column(1), width):
+                n = len(hashes)
+                key = _prefix(hashes, n - -(-num * n // den) + 1, frequent, rank) if n else hashes
+                at.append(row)
+                sizes.append(n)
+                # an empty set equals no other: its digest is its own
+                digests.append(set_digest(hashes) if n else int(ids[row]))
+                keys.append(key)
+                counts.append(len(key))
+                held += len(key)
+                if held > 1 << 18:
+                    yield from packer.add(*_chunk(ids, at, sizes, digests, keys, counts))
+                    at, sizes, digests, keys, counts, held = [], [], [], [], [], 0
+            if at:
+                yield from packer.add(*_chunk(ids, at, sizes, digests, keys, counts))
+        yield from packer.close()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,8 +148,8 @@ def ngram_jaccard_join(
                 held.append((int(ids[row]), n, set_digest(hashes) if n else int(ids[row]), bitmap(hashes)))
             yield _batch(held, ["id", "n", "digest", "bits"])
 
-    def fetch(found: np.ndarray) -> DataFrame:
-        wanted = docs.sparkSession.sparkContext.broadcast(found)
+    def bodies(found: np.ndarray) -> DataFrame:
+        wanted = context.broadcast(found)
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -158,25 +158,33 @@ def ngram_jaccard_join(
                 ids, texts = ids[hit], batch.column(1).filter(pa.array(hit))
                 held, size = [], 0
                 for row, hashes in shingle_sets(texts, width):
-                    held.append((int(ids[row]), hashes.tobytes()))
+                    held.append((int(ids[row]), set_digest(hashes), hashes.tobytes()))
                     size += len(hashes)
                     if size > 1 << 18:
-                        yield _batch(held, ["id", "hashes"])
+                        yield _batch(held, ["id", "digest", "body"])
                         held, size = [], 0
                 if held:
-                    yield _batch(held, ["id", "hashes"])
-
-        return known.mapInArrow(sets, SETS)
-
-    items = staged(known.mapInArrow(describe, ITEMS))
-    postings = known.mapInArrow(post, POSTINGS)
-    least = items.groupBy("digest").agg(F.min("id").alias("first"))
-    copies = items.join(least, "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    found = similar_components(lambda _: items, postings, fetch, num, den, copies)
-    joined = items.join(found, "id", "left").select(
-        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+                    yield _batch(held, ["id", "digest", "body"])
+
+        return known.mapInArrow(released(sets), BODIES)
+
+    items = staged(known.mapInArrow(released(describe), ITEMS))
+    tiles = staged(open_tiles(known.mapInArrow(released(post), POSTINGS), num, den))
+    classes = items.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("weight"), F.first("n").alias("n"))
+    classes = staged(classes)
+    copies = items.join(classes.where("weight > 1").select("digest", "first"), "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    found = staged(similar_components(tiles, bodies, hash_arrays, num, den, copies, items))
+    discard(tiles)
+    members = classes.where("n > 0").join(found, F.col("first") == F.col("id")).select(F.col("first").alias("id"), "digest", "n", F.col("component").alias("c"), "weight")
+    counted = link_counts(members, bodies, hash_arrays, num, den)
+    # other texts, and the other copies of its own
+    links = F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.col("weight") - 1).otherwise(0).cast("long")
+    known_classes = classes.join(counted, "digest", "left").select("digest", F.col("first").alias("leader"), links.alias("n_links"))
+    joined = items.join(known_classes, "digest").join(found.withColumnRenamed("id", "leader"), "leader", "left").select(
+        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "leader").alias("component_id"), "n_links"
     )
-    nulls = rows.where("id is null").select("id", F.lit(None).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    nothing = F.lit(None).cast("long")
+    nulls = rows.where("id is null").select("id", nothing.alias("n_shingles"), nothing.alias("component_id"), nothing.alias("n_links"))
     return joined.unionByName(nulls).withColumnRenamed("id", id)
 
 
@@ -185,7 +193,7 @@ def _chunk(ids, at, sizes, digests, keys, counts):
 
 
 def _batch(held: list[tuple], names: list[str]) -> pa.RecordBatch:
-    kinds = {"bits": pa.binary(), "hashes": pa.binary()}
+    kinds = {"bits": pa.binary(), "body": pa.binary()}
     cells = zip(*held, strict=True) if held else [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(list(x), kinds.get(k, pa.int64())) for x, k in zip(cells, names, strict=True)], names=names)
 

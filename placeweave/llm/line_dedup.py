@@ -17,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
-from placeweave.llm.shared import member_filter, passes, staged
+from placeweave.llm.shared import discard, member_filter, passes, released, staged
 from placeweave.llm.text_arrays import _POWERS as POWERS
 from placeweave.llm.text_arrays import mix64, text_buffer
-from placeweave.llm.tiles import ITEMS, POSTINGS, SETS, bitmap, bucket_count, postings_rows, similar_components
+from placeweave.llm.tiles import POSTINGS, Postings, bucket_count, open_tiles, similar_components
 
 SHINGLE = 8
 #: A pair of similarity s shares a tile with probability 1 - (1 - s**ROWS)**BANDS:
@@ -37,54 +39,77 @@ _FACTORS = (mix64(np.arange(101, BANDS * ROWS + 101, dtype=np.uint64)) >> np.uin
 _LINE_END = 10
 
 
+_CODES = mix64(np.arange(256, dtype=np.uint64) + _ODD)
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: A set's hashes have 52 bits; the 12 above hold the line's place while lines are sorted together.
+_TOGETHER, _SET_BITS = 1 << 12, np.uint64(52)
+
+
 class _Lines:
     """The non-blank lines of a block of documents, as arrays of code points."""
 
     def __init__(self, texts: list[str]) -> None:
-        points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-        self.points = np.concatenate([x for p in points for x in (p, np.array([_LINE_END], np.uint32))]) if points else np.zeros(0, np.uint32)
-        ends = np.flatnonzero(self.points == _LINE_END)
-        starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-        lengths = np.array([len(p) + 1 for p in points], dtype=np.int64)
+        joined = "\n".join(texts) + "\n"
+        try:  # a byte a character where all have code points below 256
+            points = np.frombuffer(joined.encode("latin-1"), np.uint8)
+            code, blank = _CODES[points], _BLANK[points]
+        except UnicodeEncodeError:
+            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+            code, blank = mix64(points.astype(np.uint64) + _ODD), _BLANK[np.minimum(points, 255)]
+        self.text = joined
+        ends = np.flatnonzero(points == _LINE_END)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         doc_starts = np.cumsum(lengths) - lengths
         doc = np.searchsorted(doc_starts, starts, side="right") - 1
         number = np.arange(len(starts)) - np.searchsorted(starts, doc_starts[doc])
-        blank = np.isin(self.points, [9, 10, 11, 12, 13, 32])
-        filled = np.concatenate([[0], np.cumsum(~blank)])
-        use = filled[ends] > filled[starts]
+        use = np.logical_or.reduceat(~blank, starts)
         self.starts, self.ends, self.doc, self.number = starts[use], ends[use], doc[use], number[use]
+        POWERS.need(len(code) + 1)
+        self.inverse = POWERS.down
         with np.errstate(over="ignore"):
-            code = mix64(self.points.astype(np.uint64) + _ODD)
-            POWERS.need(len(code) + 1)
-            inverse = POWERS.down
-            weighted = np.concatenate([[np.uint64(0)], np.cumsum(code * POWERS.up[: len(code)], dtype=np.uint64)])
-            self.sums, self.inverse = weighted, inverse
+            self.sums = np.zeros(len(code) + 1, dtype=np.uint64)
+            np.cumsum(code * POWERS.up[: len(code)], out=self.sums[1:])
             size = (self.ends - self.starts).astype(np.uint64)
-            self.ids = mix64((weighted[self.ends] - weighted[self.starts]) * inverse[self.starts] + size * _ODD).view(np.int64)
+            self.ids = mix64((self.sums[self.ends] - self.sums[self.starts]) * self.inverse[self.starts] + size * _ODD).view(np.int64)
+
+    def line(self, k: int) -> str:
+        return self.text[self.starts[k] : self.ends[k]]
 
-    def shingles(self, places: np.ndarray | slice) -> np.ndarray:
+    def shingles(self, places: np.ndarray) -> np.ndarray:
         """Hashes of the shingles that start at the given places."""
-        after = slice(places.start + SHINGLE, places.stop + SHINGLE) if isinstance(places, slice) else places + SHINGLE
         with np.errstate(over="ignore"):
-            return mix64((self.sums[after] - self.sums[places]) * self.inverse[places])
-
-    def long(self) -> np.ndarray:
-        return np.flatnonzero(self.ends - self.starts >= SHINGLE)
+            return mix64((self.sums[places + SHINGLE] - self.sums[places]) * self.inverse[places])
 
-    def bands(self, which: np.ndarray) -> np.ndarray:
-        """Band keys (lines x BANDS) of lines of SHINGLE characters or more."""
+    def _all_shingles(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, number of each line, where each line's begin) of lines of SHINGLE characters or more."""
         starts, stops = self.starts[which], self.ends[which] - SHINGLE + 1
         counts = stops - starts
         at = np.cumsum(counts) - counts
-        places = np.arange(int(counts.sum())) - np.repeat(at, counts) + np.repeat(starts, counts)
-        short = (self.shingles(places) >> np.uint64(32)).astype(np.uint32)
+        places = np.arange(int(counts.sum())) + np.repeat(starts - at, counts)
+        return self.shingles(places), counts, at
+
+    def long(self) -> np.ndarray:
+        return np.flatnonzero(self.ends - self.starts >= SHINGLE)
+
+    def bands(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Band keys (lines x BANDS) and set sizes of lines of SHINGLE characters or more."""
+        hashes, counts, at = self._all_shingles(which)
+        short = (hashes >> np.uint64(32)).astype(np.uint32)
         keys = np.zeros((len(which), BANDS), dtype=np.uint64)
         with np.errstate(over="ignore"):
             for k in range(BANDS * ROWS):
                 least = np.minimum.reduceat((short ^ _MASKS[k]) * _FACTORS[k], at).astype(np.uint64)
                 band = k // ROWS
                 keys[:, band] = (keys[:, band] + least + np.uint64(1)) * _ODD
-            return mix64(keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+            keys = mix64(keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+        return keys, np.concatenate([size for _, size in _sorted_sets(hashes, counts)])
+
+    def sets(self, which: np.ndarray) -> list[np.ndarray]:
+        """The sorted distinct shingle hashes of lines of SHINGLE characters or more."""
+        hashes, counts, _ = self._all_shingles(which)
+        return [x for values, size in _sorted_sets(hashes, counts) for x in np.split(values, np.cumsum(size)[:-1])]
 
     def short(self) -> np.ndarray:
         size = self.ends - self.starts
@@ -125,9 +150,27 @@ class _Lines:
             here = mix64((rest.view(np.uint64) + place.astype(np.uint64)) * _ODD).view(np.int64)
         return self.ids[which][owner], here, rest
 
-    def set_of(self, k: int) -> np.ndarray:
-        a, b = self.starts[k], self.ends[k] - SHINGLE + 1
-        return np.unique(self.shingles(slice(a, b))) if b > a else self.ids[k : k + 1].view(np.uint64)
+
+def _sorted_sets(hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(sorted distinct hashes, number of them in each line) for some lines at a time."""
+    ends = np.cumsum(counts)
+    for first in range(0, len(counts), _TOGETHER):
+        own = counts[first : first + _TOGETHER]
+        part = hashes[ends[first] - counts[first] : ends[min(first + _TOGETHER, len(counts)) - 1]] >> np.uint64(12)
+        part |= np.repeat(np.arange(len(own), dtype=np.uint64) << _SET_BITS, own)
+        part.sort()
+        fresh = np.ones(len(part), dtype=bool)
+        fresh[1:] = part[1:] != part[:-1]
+        part = part[fresh]
+        yield part & np.uint64((1 << 52) - 1), np.bincount((part >> _SET_BITS).astype(np.int64), minlength=len(own))
+
+
+def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
+    """The shingle sets of lines given as UTF-8, each of SHINGLE characters or more."""
+    if not bodies:
+        return []
+    lines = _Lines([x.decode() for x in bodies])
+    return lines.sets(np.arange(len(bodies)))
 
 
 def _line_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, _Lines]]:
@@ -141,14 +184,27 @@ def _line_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, _Lines]]:
         first = last
 
 
-def line_components(docs: DataFrame, num: int = 3, den: int = 4) -> tuple[DataFrame, DataFrame]:
-    """((doc, number, line) of all non-blank lines, (id, component) of similar ones).
+_SCAN = f"doc long, number int, line long, halves array<long>, {POSTINGS}"
+_NEEDED = "kind int, key long, id long, body binary"
+_REPLACED, _SHORTENED, _WHOLE, _BODY = range(4)
 
-    ``docs``: (doc, text).  ``line`` is a 64-bit id of the line's characters.
-    """
-    buckets = bucket_count(docs)
 
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _widened(schema: StructType, columns: dict[str, pa.Array], rows: int) -> pa.RecordBatch:
+    names = schema.fieldNames()
+    return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(rows, to_arrow_type(f.dataType)) for f in schema], names=names)
+
+
+def _scan(docs: DataFrame) -> DataFrame:
+    """One pass over the texts: a row for each line, and the postings of the bands."""
+    buckets, schema = bucket_count(docs), StructType.fromDDL(_SCAN)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Postings(buckets)
+
+        def wide(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for x in found:
+                yield _widened(schema, dict(zip(x.schema.names, x.columns, strict=True)), x.num_rows)
+
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             for first, lines in _line_blocks(batch):
@@ -156,93 +212,87 @@ def line_components(docs: DataFrame, num: int = 3, den: int = 4) -> tuple[DataFr
                 counts = np.zeros(len(lines.ids) + 1, dtype=np.int32)
                 counts[short + 1] = 4
                 halves = pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(lines.halves(short).ravel()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[first + lines.doc]), pa.array(lines.number.astype(np.int32)), pa.array(lines.ids), halves],
-                    names=["doc", "number", "line", "halves"],
-                )
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def chunks():
-            for batch in batches:
-                for _, lines in _line_blocks(batch):
-                    which = lines.long()
-                    _, once = np.unique(lines.ids[which], return_index=True)
-                    which = which[once]
-                    if len(which):
-                        # the number of shingles stands for the size of the set until it is verified
-                        size = np.array([len(lines.set_of(k)) for k in which])
-                        ids = lines.ids[which]
-                        yield ids, size, ids, lines.bands(which).ravel(), np.full(len(which), BANDS)
-
-        yield from postings_rows(chunks(), buckets)
-
-    def of_lines(names: list[str], make):
-        def fetch(found: np.ndarray, schema: str) -> DataFrame:
-            shared = docs.sparkSession.sparkContext.broadcast(found)
-
-            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                seen: set[int] = set()
-                for batch in batches:
-                    for _, lines in _line_blocks(batch):
-                        rows = []
-                        for k in np.flatnonzero(passes(shared.value, lines.ids)):
-                            id = int(lines.ids[k])
-                            if id not in seen:
-                                if len(seen) > 1 << 16:
-                                    seen.clear()
-                                seen.add(id)
-                                rows.append(make(id, lines.set_of(k)))
-                        cells = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-                        kinds = {"bits": pa.binary(), "hashes": pa.binary()}
-                        yield pa.RecordBatch.from_arrays([pa.array(list(c), kinds.get(n, pa.int64())) for c, n in zip(cells, names, strict=True)], names=names)
-
-            return docs.mapInArrow(run, schema).dropDuplicates(["id"])
-
-        return fetch
-
-    lines = staged(docs.mapInArrow(occurrences, "doc long, number int, line long, halves array<long>"))
-    postings = docs.mapInArrow(post, POSTINGS)
-    items = of_lines(["id", "n", "digest", "bits"], lambda id, s: (id, len(s), id, bitmap(s)))
-    sets = of_lines(["id", "hashes"], lambda id, s: (id, s.tobytes()))
-    found = similar_components(lambda bits: items(bits, ITEMS), postings, lambda bits: sets(bits, SETS), num, den, _edited(docs, lines))
-    return lines.drop("halves"), found
+                own = {"doc": pa.array(doc[first + lines.doc]), "number": pa.array(lines.number.astype(np.int32)), "line": pa.array(lines.ids), "halves": halves}
+                yield _widened(schema, own, len(lines.ids))
+                which = lines.long()
+                _, once = np.unique(lines.ids[which], return_index=True)
+                which = which[once]
+                if len(which):
+                    ids = lines.ids[which]
+                    keys, size = lines.bands(which)
+                    yield from wide(packer.add(ids, size, ids, keys.ravel(), np.full(len(which), BANDS)))
+        yield from wide(packer.close())
 
+    return docs.mapInArrow(released(run), _SCAN)
 
-def _edited(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Links (a, b) between short lines that differ by one edit.
 
-    Only lines that share a half with another line are taken apart; of lines that
-    differ at one place each is linked with the least, so no pairs are enumerated.
-    """
-    halves = lines.where("size(halves) > 0").select(F.explode("halves").alias("key"), "line")
-    common = halves.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi")
-    shared = docs.sparkSession.sparkContext.broadcast(member_filter(common, "key"))
+def _needed(docs: DataFrame, tiled: np.ndarray, halves: np.ndarray) -> DataFrame:
+    """A second pass: the lines that may be in a tile, and the short ones that may
+    share a half with another, without one character each."""
+    shared, schema = docs.sparkSession.sparkContext.broadcast((tiled, halves)), StructType.fromDDL(_NEEDED)
 
-    def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tiled, halves = shared.value
+        seen: set[int] = set()
         for batch in batches:
-            for _, block in _line_blocks(batch):
-                which = block.short()
-                _, once = np.unique(block.ids[which], return_index=True)
-                which = which[once]
+            for _, lines in _line_blocks(batch):
+                _, once = np.unique(lines.ids, return_index=True)
+                once = once[[x not in seen for x in lines.ids[once].tolist()]] if seen else once
+                if len(seen) > 1 << 18:
+                    seen.clear()
+                seen.update(lines.ids[once].tolist())
+                hit = once[passes(tiled, lines.ids[once]) & (lines.ends[once] - lines.starts[once] >= SHINGLE)]
+                if len(hit):
+                    own = {"id": pa.array(lines.ids[hit]), "body": pa.array([lines.line(k).encode() for k in hit], pa.binary()), "kind": pa.array(np.full(len(hit), _BODY, np.int32))}
+                    yield _widened(schema, own, len(hit))
+                which = np.intersect1d(once, lines.short())
                 if len(which):
-                    which = which[passes(shared.value, block.halves(which).ravel()).reshape(-1, 4).any(axis=1)]
+                    which = which[passes(halves, lines.halves(which).ravel()).reshape(-1, 4).any(axis=1)]
                 if len(which):
-                    id, here, rest = block.edits(which)
-                    own = block.ids[which]
-                    kind = np.repeat(np.array([0, 1, 2], dtype=np.int32), [len(id), len(id), len(own)])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(kind), pa.array(np.concatenate([here, rest, own])), pa.array(np.concatenate([id, id, own]))], names=["kind", "key", "id"]
-                    )
-
-    parts = staged(docs.mapInArrow(take_apart, "kind int, key long, id long").distinct())
-    place = parts.where("kind = 0")
+                    id, here, rest = lines.edits(which)
+                    own = lines.ids[which]
+                    kind = np.repeat(np.array([_REPLACED, _SHORTENED, _WHOLE], dtype=np.int32), [len(id), len(id), len(own)])
+                    rows = {"kind": pa.array(kind), "key": pa.array(np.concatenate([here, rest, own])), "id": pa.array(np.concatenate([id, id, own]))}
+                    yield _widened(schema, rows, len(kind))
+
+    return docs.mapInArrow(released(run), _NEEDED)
+
+
+def _edited(parts: DataFrame) -> DataFrame:
+    """Links (a, b) between short lines that differ by one edit.
+
+    Of lines that differ at one place each is linked with the least, so no pairs are
+    enumerated.
+    """
+    place = parts.where(F.col("kind") == _REPLACED).select("key", "id")
     least = place.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("hi")).where("a <> hi")
     replaced = place.join(least, "key").where("id <> a").select("a", F.col("id").alias("b"))
-    whole = parts.where("kind = 2").select("key")
-    inserted = parts.where("kind = 1").join(whole, "key").select(F.col("key").alias("a"), F.col("id").alias("b"))
+    whole = parts.where(F.col("kind") == _WHOLE).select("key").distinct()
+    inserted = parts.where(F.col("kind") == _SHORTENED).select("key", "id").join(whole, "key").select(F.col("key").alias("a"), F.col("id").alias("b"))
     return replaced.unionByName(inserted)
 
 
+def line_components(docs: DataFrame, num: int = 3, den: int = 4) -> tuple[DataFrame, DataFrame]:
+    """((doc, number, line) of all non-blank lines, (id, component) of similar ones).
+
+    ``docs``: (doc, text).  ``line`` is a 64-bit id of the line's characters.  Texts
+    are read twice: for ids and bands, and for the lines that bands brought together.
+    """
+    scanned = staged(_scan(docs))
+    lines = scanned.where("line is not null").select("doc", "number", "line", "halves")
+    tiles = staged(open_tiles(scanned.where("bucket is not null").select(*StructType.fromDDL(POSTINGS).fieldNames()), num, den))
+    keys = lines.where("size(halves) > 0").select(F.explode("halves").alias("key"), "line")
+    common = staged(keys.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo <> hi").select("key"))
+    tiled = staged(tiles.select("id").unionByName(tiles.where("other is not null").select(F.col("other").alias("id"))).distinct())
+    parts = staged(_needed(docs, member_filter(tiled, "id"), member_filter(common, "key")))
+    bodies = staged(parts.where(F.col("kind") == _BODY).join(tiled, "id", "left_semi").groupBy("id").agg(F.first("body").alias("body")))
+    edits = staged(_edited(parts))
+    discard(common, tiled, parts)
+    found = staged(similar_components(tiles, lambda _: bodies, line_sets, num, den, edits))
+    discard(tiles, bodies, edits)
+    return lines.drop("halves"), found
+
+
 def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: int = 3, den: int = 4) -> DataFrame:
     """``docs`` with n_lines, n_dropped and the text without repeated lines.
 
@@ -257,18 +307,25 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: in
     """
     known = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
     lines, found = line_components(known, num, den)
-    placed = lines.join(found.withColumnRenamed("id", "line"), "line", "left").select("doc", "number", F.coalesce("component", "line").alias("c"))
-    first = placed.groupBy("c").agg(F.min(F.struct("doc", "number")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    gone = placed.join(first, "c").where((F.col("doc") != F.col("first.doc")) | (F.col("number") != F.col("first.number")))
+    each = lines.groupBy("line").agg(F.min(F.struct("doc", "number")).alias("first"), F.count("*").alias("n"))
+    each = each.join(found.withColumnRenamed("id", "line"), "line", "left").withColumn("c", F.coalesce("component", "line"))
+    groups = each.groupBy("c").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    kept_line = each.select("line", "c").join(groups, "c").select("line", "first")
+    gone = lines.join(kept_line, "line").where((F.col("doc") != F.col("first.doc")) | (F.col("number") != F.col("first.number")))
     per_doc = gone.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("number").alias("__gone"))  # of one document
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     parts = F.split(F.col(text), "\n", -1)
-    left = F.array_join(F.filter(parts, lambda line, k: ~F.array_contains(F.col("__gone"), k)), "\n")
     return (
         docs.select(*kept)
         .join(per_doc, F.col(id) == F.col("__doc"), "left")
-        .withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)))
+        .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1))
         .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
-        .withColumn(text, F.when(F.col("__gone").isNotNull(), left).otherwise(F.col(text)))
-        .select(*kept, F.when(F.col(text).isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"), "n_dropped")
+        .withColumn(text, F.when(F.col("__gone").isNotNull(), _without(parts, F.col("__gone"))).otherwise(F.col(text)))
+        .select(*kept, "n_lines", "n_dropped")
     )
+
+
+def _without(parts: F.Column, gone: F.Column) -> F.Column:
+    """The parts whose numbers are not gone, joined again, in time linear in their number."""
+    left = F.transform(F.array(parts), lambda p: F.transform(F.array_except(F.sequence(F.lit(0), F.size(p) - 1), gone), lambda k: F.get(p, k)))
+    return F.array_join(F.element_at(left, 1), "\n")

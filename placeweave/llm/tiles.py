@@ -1,6 +1,6 @@
 """Set-similarity links from tiles: who shares a key, bounded, then verified.
 
-An item is a set of 64-bit hashes under a 64-bit id.  ``postings`` packs the keys
+An item is a set of 64-bit hashes under a 64-bit id.  ``Postings`` packs the keys
 of many items as a few binary rows per task and bucket, so a shuffle moves plain
 arrays instead of millions of rows.  Items that share a key form a tile; inside a
 tile, items are banded by size, since two sets of very different sizes cannot be
@@ -11,57 +11,67 @@ copies:
 2. pairs are bounded from above by the bit counts of hashed bitmaps, survivors
    are verified by intersecting the sorted arrays, links give components;
 3. only items of one tile that are still in different components are compared,
-   inside the tile (a large one is cut into cells), by bitmaps and block by block,
-   and only pairs that pass the bound leave it to be verified the same way.
+   in cells of bounded size: by bitmaps first, then exactly, and a cell gives at
+   most one link for each item, so no pairs leave it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import components, member_filter, shuffle_width, staged
+from placeweave.llm.shared import components, discard, member_filter, released, shuffle_width, staged
 from placeweave.llm.text_arrays import mix64
 
 #: Keys with the place of their item in the lists of ids (from ``base`` on) and sizes;
 #: whole numbers take as few bytes as the row's largest needs.
 POSTINGS = "bucket int, keys binary, owners binary, base long, items long, ids binary, sizes binary"
 ITEMS = "id long, n long, digest long, bits binary"
-SETS = "id long, hashes binary"
-#: Items of a cell, about; a tile of more is cut into a triangle of cells.
-CELL_ITEMS = 2048
-#: Gives the rows (ITEMS or SETS) of the ids that pass a membership filter.
+BODIES = "id long, digest long, body binary"
+#: Items and elements of a part of a cell, about; a larger tile is cut into parts that meet.
+CELL_ITEMS, CELL_ELEMENTS = 2048, 1 << 21
+#: Gives the rows (ITEMS or BODIES) of the ids that pass a membership filter.
 Fetch = Callable[[np.ndarray], DataFrame]
+#: Gives the sorted distinct hashes of each body.
+Sets = Callable[[list[bytes]], list[np.ndarray]]
 FLUSH_KEYS = 1 << 20
 FLUSH_ITEMS = 1 << 16
 
 
-def postings_rows(
-    items: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]], buckets: int
-) -> Iterator[pa.RecordBatch]:
-    """Pack chunks of (ids, sizes, digests, keys, number of keys of each id).
+def hash_arrays(bodies: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in bodies]
+
+
+class Postings:
+    """Packs chunks of (ids, sizes, digests, keys, number of keys of each id).
 
     Items of the same digest are the same set; within a task only the first is
     posted, so a set that fills a third of the corpus arrives once per task.
     """
-    seen: set[int] = set()
-    held: list[tuple] = []
-    total = count = 0
-    for chunk in items:
-        held.append(chunk)
-        total += len(chunk[3])
-        count += len(chunk[0])
-        if total >= FLUSH_KEYS or count >= FLUSH_ITEMS:
-            yield from _pack(held, seen, buckets)
-            held, total, count = [], 0, 0
-            if len(seen) > 4 * FLUSH_ITEMS:
-                seen.clear()
-    if held:
-        yield from _pack(held, seen, buckets)
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
+        self.seen: set[int] = set()
+        self.held: list[tuple] = []
+        self.keys = self.items = 0
+
+    def add(self, *chunk: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(chunk)
+        self.keys += len(chunk[3])
+        self.items += len(chunk[0])
+        if self.keys >= FLUSH_KEYS or self.items >= FLUSH_ITEMS:
+            yield from self.close()
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield from _pack(self.held, self.seen, self.buckets)
+        self.held, self.keys, self.items = [], 0, 0
+        if len(self.seen) > 4 * FLUSH_ITEMS:
+            self.seen.clear()
 
 
 def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -103,10 +113,10 @@ def _whole(raw: bytes, count: int) -> np.ndarray:
 
 
 def bucket_count(df: DataFrame) -> int:
-    return max(64, shuffle_width(df.sparkSession))
+    return max(64, 4 * shuffle_width(df.sparkSession))
 
 
-def _tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
+def open_tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
     """Leader pairs (tile null) and the items of tiles of three or more (other null),
     where tiles of one smallest id are taken together."""
     band = np.log(den / num)
@@ -177,7 +187,11 @@ def _compatible(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
 
 def bitmap(hashes: np.ndarray) -> bytes:
     """A hashed bitmap of about two bits per element, a power of two wide."""
-    width = 1 << min(max(int(2 * len(hashes)).bit_length(), 8), 16)
+    return _bits(hashes, 2, 16)
+
+
+def _bits(hashes: np.ndarray, times: int, most: int) -> bytes:
+    width = 1 << min(max(int(times * len(hashes)).bit_length(), 8), most)
     bits = np.zeros(width, dtype=bool)
     bits[(hashes % np.uint64(width)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -197,92 +211,173 @@ def overlap_bound(n: int, a: bytes, m: int, b: bytes) -> int:
     return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
-def _cell_pairs(rows: list[tuple], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a cell's items (id, n, component, part, bits) that pass the bound.
-
-    Items of different parts meet only the other part's; if all are of one part,
-    all meet.  Similar sizes have bitmaps of one width or of neighbouring widths.
-    """
-    ids, n, c, part = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:4])
-    bits = [np.frombuffer(r[4], np.uint64) for r in rows]
-    crossing = part.min() != part.max()
-    width = np.array([len(x) for x in bits])
-    left, right = [], []
-    for w in np.unique(width):
-        own, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
-        folded = [bits[k][:w] | bits[k][w:] for k in wide]
-        all_at = np.concatenate([own, wide])
-        table = np.stack([bits[k] for k in own] + folded)
-        for i, k in enumerate(own):
-            ok = (c[all_at] != c[k]) & _compatible(n[all_at], n[k], num, den)
-            ok[: i + 1] = False
-            if crossing:
-                ok &= part[all_at] != part[k]
-            ok = np.flatnonzero(ok)
-            if not len(ok):
-                continue
-            x, y = table[i], table[ok]
-            most = np.minimum(
-                n[k] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[all_at[ok]] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
-            )
-            hit = all_at[ok[(num + den) * most >= num * (n[k] + n[all_at[ok]])]]
-            left.append(np.full(len(hit), ids[k]))
-            right.append(ids[hit])
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = np.concatenate(left), np.concatenate(right)
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def _ids(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+class _Cell:
+    """Items of a cell (id, label, part, set); those of different parts meet, or all,
+    if there is one part only."""
+
+    def __init__(self, rows: list[tuple], sets: Sets, num: int, den: int) -> None:
+        self.ids, self.label, self.part = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:3])
+        found = sets([r[3] for r in rows])
+        self.n = np.array([len(x) for x in found], dtype=np.int64)
+        self.num, self.den = num, den
+        _, self.codes = np.unique(np.concatenate(found), return_inverse=True)
+        self.at = np.concatenate([[0], np.cumsum(self.n)])
+        self.mark = np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=bool)
+        self.bits = [np.frombuffer(_bits(x, 8, 15), np.uint64) for x in found]
+
+    def _own(self, k: int) -> np.ndarray:
+        return self.codes[self.at[k] : self.at[k + 1]]
+
+    def _candidates(self, open_with: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """Each item with those behind it whose size and bitmap allow a link."""
+        n, num, den = self.n, self.num, self.den
+        crossing = self.part.min() != self.part.max()
+        width = np.array([len(x) for x in self.bits])
+        for w in np.unique(width):
+            # similar sizes have bitmaps of one width or of neighbouring widths
+            equal, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+            both = np.concatenate([equal, wide])
+            table = np.stack([self.bits[k] for k in equal] + [self.bits[k][:w] | self.bits[k][w:] for k in wide])
+            for i, k in enumerate(equal):
+                ok = _compatible(n[both], n[k], num, den) & open_with(k, both)
+                ok[: i + 1] = False
+                if crossing:
+                    ok &= self.part[both] != self.part[k]
+                ok = np.flatnonzero(ok)
+                if not len(ok):
+                    continue
+                x, y = table[i], table[ok]
+                most = np.minimum(
+                    n[k] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[both[ok]] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+                )
+                hits = both[ok[(num + den) * most >= num * (n[k] + n[both[ok]])]]
+                if len(hits):
+                    yield k, hits
+
+    def _enough(self, common: np.ndarray | int, k: int, j: np.ndarray | int):
+        return self.den * common >= self.num * (self.n[k] + self.n[j] - common)
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Verified links between labels, at most one for each two labels that they join."""
+        c = self.label
+        left, right = [], []
+        for k, hits in self._candidates(lambda k, both: c[both] != c[k]):
+            self.mark[self._own(k)] = True
+            for j in hits:
+                if c[j] != c[k] and self._enough(int(np.count_nonzero(self.mark[self._own(j)])), k, j):
+                    left.append(self.ids[k])
+                    right.append(self.ids[j])
+                    c[c == c[j]] = c[k]
+            self.mark[self._own(k)] = False
+        a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def counts(self) -> np.ndarray:
+        """For each item the labels (weights here) of all items that it is linked with, added up."""
+        total = np.zeros(len(self.ids), dtype=np.int64)
+        anyone = np.ones(1, dtype=bool)
+        for k, hits in self._candidates(lambda k, both: anyone):
+            self.mark[self._own(k)] = True
+            if len(hits) > 32:
+                common = np.add.reduceat(self.mark[self.codes], self.at[:-1], dtype=np.int64)[hits]
+            else:
+                common = np.array([np.count_nonzero(self.mark[self._own(j)]) for j in hits])
+            self.mark[self._own(k)] = False
+            linked = hits[self._enough(common, k, hits)]
+            total[k] += self.label[linked].sum()
+            total[linked] += self.label[k]
+        return total
+
+
+def _parts(items: str, elements: str) -> F.Column:
+    return F.ceil(F.greatest(F.col(items) / CELL_ITEMS, F.col(elements) / CELL_ELEMENTS)).cast("int")
+
+
+def _by_cell(rows: DataFrame, bodies: DataFrame, sets: Sets, num: int, den: int, make: Callable[[_Cell], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``make`` gives for every cell (tile, p, q) of rows (id, label, part)."""
+    full = rows.join(bodies.select("id", "body"), "id")
+    ordered = full.repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "id").select("tile", "p", "q", "id", "label", "part", "body")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+        for batch in batches:
+            for tile, p, q, *item in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if (tile, p, q) != cell:
+                    if len(held) > 1:
+                        yield make(_Cell(held, sets, num, den))
+                    cell, held = (tile, p, q), []
+                held.append(tuple(item))
+        if len(held) > 1:
+            yield make(_Cell(held, sets, num, den))
 
+    return ordered.mapInArrow(released(run), schema)
 
-def _open_pairs(placed: DataFrame, items: Fetch, num: int, den: int) -> DataFrame:
-    """Pairs of one tile and different components ``c`` that pass the bitmap bound."""
-    counts = placed.groupBy("tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo < hi")
-    rows = placed.join(counts.select("tile", "m"), "tile").withColumn("parts", F.ceil(F.col("m") / CELL_ITEMS).cast("int"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "id", "n", "c")
-    rows = rows.join(items(member_filter(rows, "id")).select("id", "bits"), "id")
-    ordered = rows.repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "id").select("tile", "p", "q", "id", "n", "c", "part", "bits")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, out = None, [], []
+def _open_links(placed: DataFrame, bodies: Fetch, sets: Sets, num: int, den: int) -> DataFrame | None:
+    """Verified links between items of one tile and different components ``c``.
 
-        def close() -> None:
-            if len(held) > 1:
-                out.append(_cell_pairs(held, num, den))
-            held.clear()
+    The members of a tile's largest component are never compared with each other:
+    they are cut into parts that meet only the parts of the other items.  Returns
+    None where no tile has two components.
+    """
+    by_component = placed.groupBy("tile", "c").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    totals = by_component.groupBy("tile").agg(
+        F.count("*").alias("k"), F.sum("m").alias("m"), F.sum("s").alias("s"), F.max(F.struct("m", "s", "c")).alias("main")
+    )
+    totals = totals.where("k > 1").select(
+        "tile", F.col("main.c").alias("main"), F.col("main.m").alias("main_m"), F.col("main.s").alias("main_s"),
+        (F.col("m") - F.col("main.m")).alias("rest_m"), (F.col("s") - F.col("main.s")).alias("rest_s"),
+    )
+    totals = staged(totals.select("tile", "main", _parts("main_m", "main_s").alias("mains"), _parts("rest_m", "rest_s").alias("rests")))
+    if totals.isEmpty():
+        discard(totals)
+        return None
+    largest, draw, rests, mains = F.col("c") == F.col("main"), F.xxhash64("id"), F.col("rests"), F.col("mains")
+    part = F.when(largest, rests + F.pmod(draw, mains.cast("long"))).otherwise(F.pmod(draw, rests.cast("long")))
+    met = F.when(largest, F.sequence(F.lit(0), rests - 1)).otherwise(F.sequence(F.lit(0), rests + mains - 1))
+    rows = placed.join(totals, "tile").select("tile", "id", F.col("c").alias("label"), part.cast("int").alias("part"), F.explode(met).alias("other"))
+    rows = staged(rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "label", "part"))
+
+    def make(cell: _Cell) -> pa.RecordBatch:
+        a, b = cell.links()
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    links = staged(_by_cell(rows, bodies(member_filter(rows, "id")), sets, num, den, make, "a long, b long").distinct())
+    discard(totals, rows)
+    return links
+
+
+def link_counts(members: DataFrame, bodies: Fetch, sets: Sets, num: int, den: int) -> DataFrame:
+    """(digest, links): the weights of all sets of a set's component that it is linked with.
+
+    ``members`` (id, digest, n, c, weight) are different sets, a row each, under an
+    id that has it.  A component is cut into parts and every two parts meet once;
+    only sums leave a cell.
+    """
+    totals = members.groupBy("c").agg(F.count("*").alias("m"), F.sum("n").alias("s")).where("m > 1").select("c", _parts("m", "s").alias("parts"))
+    part = F.pmod(F.xxhash64("digest"), F.col("parts").cast("long")).cast("int")
+    rows = members.join(totals, "c").select(
+        F.col("c").alias("tile"), "id", "digest", F.col("weight").alias("label"), part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    )
+    rows = staged(rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), F.col("id").alias("doc"), F.col("digest").alias("id"), "label", "part"))
 
-        for batch in batches:
-            for tile, p, q, *item in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                if (tile, p, q) != cell:
-                    close()
-                    cell = (tile, p, q)
-                held.append(tuple(item))
-            if sum(len(a) for a, _ in out) > 1 << 16:
-                yield _pair_rows(out)
-                out = []
-        close()
-        if out:
-            yield _pair_rows(out)
+    def make(cell: _Cell) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(cell.ids), pa.array(cell.counts())], names=["digest", "links"])
 
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+    each = bodies(member_filter(rows, "doc")).groupBy(F.col("digest").alias("id")).agg(F.first("body").alias("body"))
+    counted = staged(_by_cell(rows, each, sets, num, den, make, "digest long, links long").groupBy("digest").agg(F.sum("links").alias("links")))
+    discard(rows)
+    return counted
 
 
-def _pair_rows(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-    if len(a):
-        a, b = np.unique(np.stack([a, b]), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
 
 
-def _linked(pairs: DataFrame, items: Fetch | None, sets: Fetch, num: int, den: int) -> DataFrame:
+def _linked(pairs: DataFrame, items: DataFrame | None, bodies: Fetch, sets: Sets, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of num / den or more.
 
-    ``items`` is None where the bound is not to be applied (again).
+    ``items`` (ITEMS) is None where bodies are so small that bounding first does not pay.
     """
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,44 +389,47 @@ def _linked(pairs: DataFrame, items: Fetch | None, sets: Fetch, num: int, den: i
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * common >= num * (len(x) + len(y) - common))
+            for x, y in zip(sets(batch.column("x").to_pylist()), sets(batch.column("y").to_pylist()), strict=True):
+                both = np.concatenate([x, y])
+                both.sort()
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                keep.append(den * common >= num * (len(both) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
+    survivors = pairs
     if items is not None:
-        signed = items(member_filter(_ids(pairs), "id"))
-        left = signed.select(F.col("id").alias("a"), "n", "bits")
-        right = signed.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
+        left = items.select(F.col("id").alias("a"), "n", "bits")
+        right = items.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("bits2"))
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "bits", "m", "bits2")
-        pairs = met.mapInArrow(bounded, "a long, b long")
-    survivors = staged(pairs)
-    # the arrays of survivors only, each side by a scan of its own
-    x, y = (
-        sets(member_filter(survivors, side)).select(F.col("id").alias(side), F.col("hashes").alias(name))
-        for side, name in (("a", "x"), ("b", "y"))
-    )
+        survivors = staged(met.mapInArrow(released(bounded), "a long, b long"))
+    whole = bodies(member_filter(_ids(survivors), "id"))
+    x, y = (whole.select(F.col("id").alias(side), F.col("body").alias(name)) for side, name in (("a", "x"), ("b", "y")))
     met = survivors.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return staged(met.mapInArrow(exact, "a long, b long"))
+    links = staged(met.mapInArrow(released(exact), "a long, b long"))
+    if items is not None:
+        discard(survivors)
+    return links
 
 
 def similar_components(
-    items: Fetch, postings: DataFrame, sets: Fetch, num: int, den: int, equal: DataFrame | None = None
+    tiles: DataFrame, bodies: Fetch, sets: Sets, num: int, den: int, equal: DataFrame | None = None, items: DataFrame | None = None
 ) -> DataFrame:
     """(id, component) of the ids that have a link.
 
-    ``equal``: pairs (a, b) that are known to be linked, such as copies.
+    ``tiles``: what ``open_tiles`` gives.  ``bodies`` and ``sets``: an item's body and
+    the set it stands for.  ``items``: sizes and bitmaps, see ``_linked``.  ``equal``:
+    pairs (a, b) that are known to be linked, such as copies.
     """
-    tiles = staged(_tiles(postings, num, den))
-    pairs = staged(tiles.where("tile is null").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
-    grouped = tiles.where("tile is not null").select("tile", "id", "n").distinct()
-    links = _linked(pairs, items, sets, num, den)
+    pairs = tiles.where("tile is null").select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
+    pairs = staged(pairs)
+    links = _linked(pairs, items, bodies, sets, num, den)
     found = staged(components(links if equal is None else links.unionByName(equal)))
+    discard(pairs, links)
 
+    grouped = tiles.where("tile is not null").select("tile", "id", "n").distinct()
     placed = staged(grouped.join(found, "id", "left").select("tile", "id", "n", F.coalesce("component", "id").alias("c")))
-    more = _open_pairs(placed, items, num, den).join(pairs, ["a", "b"], "left_anti")
-    late = _linked(more, None, sets, num, den)
-    if late.isEmpty():
+    late = _open_links(placed, bodies, sets, num, den)
+    discard(placed)
+    if late is None or late.isEmpty():
         return found
     return components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(late))
