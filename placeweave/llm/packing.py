@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +19,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import shuffle_width
-from placeweave.llm.text_arrays import blocks, mix64, text_buffer
+from placeweave.llm.shared import released, shuffle_width
+from placeweave.llm.text_arrays import blocks, mix64, span_hashes, text_buffer, words
 from placeweave.llm.token_counts import CACHE, load_tokenizer
 
 AXES, AXIS_BITS = 3, 10
 #: Low bits of a key: a hash of the id, so a range can end inside equal places.
 TIE_BITS = 30
 _TRIGRAMS = 1 << 16
+#: Bytes of text for which a key counts once more when ranges are cut.
+RANGE_UNIT = 4096
 
 
 def _projection() -> np.ndarray:
@@ -98,71 +101,174 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
 
 
+#: White space beyond ASCII, as UTF-8; the library's pattern drops it too (fixed values).
+_WIDE_SPACES = [*"\u0085\u00a0\u1680\u2028\u2029\u202f\u205f\u3000", *map(chr, range(0x2000, 0x200B))]
+#: Pieces and ids that a worker's table keeps; when it is full it starts anew.
+KEPT_PIECES, KEPT_IDS = 1 << 20, 1 << 23
+
+
+def _without_wide_spaces(raw: np.ndarray) -> np.ndarray:
+    """The bytes with spaces in place of white space beyond ASCII."""
+    leads = {c.encode()[0] for c in _WIDE_SPACES}
+    at = np.flatnonzero(np.isin(raw, np.array(sorted(leads), np.uint8)))
+    if not len(at):
+        return raw
+    after = np.concatenate([raw, np.zeros(3, np.uint8)])
+    out = None
+    for c in _WIDE_SPACES:
+        code = c.encode()
+        hit = at[after[at] == code[0]]
+        for k in range(1, len(code)):
+            hit = hit[after[hit + k] == code[k]]
+        if len(hit):
+            out = raw.copy() if out is None else out
+            for k in range(len(code)):
+                out[hit + k] = 0x20
+    return raw if out is None else out
+
+
+class _Table:
+    """Numbers of 64-bit hashes in the order in which they came: open addressing on arrays."""
+
+    def __init__(self, room: int) -> None:
+        self.room, self.mask = room, np.int64(2 * room - 1)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(2 * self.room, dtype=np.uint64)
+        self.numbers = np.zeros(2 * self.room, dtype=np.int32)
+        self.count = 0
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(20)).astype(np.int64) & self.mask
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash (none is 0), -1 where it is new."""
+        slot = self._slots(hashes)
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        key = self.keys[slot]
+        hit = key == hashes
+        found[hit] = self.numbers[slot[hit]]
+        left = np.flatnonzero(~hit & (key != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            key = self.keys[slot[left]]
+            hit = key == hashes[left]
+            found[left[hit]] = self.numbers[slot[left[hit]]]
+            left = left[~hit & (key != 0)]
+        return found
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of hashes that are all new and different."""
+        numbers = np.arange(self.count, self.count + len(hashes))
+        slot, left = self._slots(hashes), np.arange(len(hashes))
+        while len(left):
+            free = self.keys[slot[left]] == 0
+            here, first = np.unique(slot[left[free]], return_index=True)
+            placed = left[free][first]
+            self.keys[here], self.numbers[here] = hashes[placed], numbers[placed]
+            stay = np.ones(len(left), dtype=bool)
+            stay[np.flatnonzero(free)[first]] = False
+            left = left[stay]
+            slot[left] = (slot[left] + 1) & self.mask
+        self.count += len(hashes)
+        return numbers
+
+
+class _Grown:
+    """An array that is added to at its end."""
+
+    def __init__(self, kind: type) -> None:
+        self.data, self.size = np.zeros(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.data):
+            self.data = np.concatenate([self.data[: self.size], np.zeros(2 * need - self.size, self.data.dtype)])
+        self.data[self.size : need] = values
+        self.size = need
+
+
 class _Encoder:
     """Ids of whole texts, from the ids of their pieces between white space.
 
     This vocabulary family drops white space and nothing it matches spans it, so
-    the pieces of a text encode independently.  A new piece of plain Latin letters
-    is split into words, and only words that are new are merged by the library's
-    model; other pieces, and those that may hold a special string, go through the
-    whole library.  A text with one of the control characters U+001C..U+001F,
-    which Python alone counts as white space, is encoded whole.
+    the pieces of a text encode independently.  All pieces of a block are hashed
+    together and looked up; only new ones are coded: one of plain Latin letters and
+    marks is split into words, each merged by the library's model; any other goes
+    through the whole library.  Two pieces of a worker's table have the same 64-bit
+    hash with a probability of about 1e-8.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = load_tokenizer(path)
         self.model = self.tokenizer.model
-        self.odd = regex.compile("[\x1c-\x1f]")
         # letters below U+0250 are composed already and lower-case one by one, but for U+0130
-        self.foreign = regex.compile("[^\x21-\u012f\u0131-\u024f]|<\\|")
+        self.foreign = regex.compile("[^\x21-\x7e\xa1-\u012f\u0131-\u024f]|<\\|")
         self.word = regex.compile(WORD)
         self.letters = _byte_letters()
-        self.codes = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
-        self.pieces = _Pieces(self._piece)
-        self.words: dict[str, bytes] = {}
+        self.table = _Table(KEPT_PIECES)
+        self._clear()
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in coded]
+    def _clear(self) -> None:
+        self.table.clear()
+        self.words: dict[str, list[int]] = {}
+        self.ids, self.starts, self.counts = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
 
-    def _word(self, word: str) -> bytes:
+    def _word(self, word: str) -> list[int]:
         ids = self.words.get(word)
         if ids is None:
-            mapped = word.encode().decode("latin-1").translate(self.letters)
-            codes = self.codes
-            ids = b"".join([codes[t.id] for t in self.model.tokenize(mapped)])
-            if len(self.words) < CACHE:
+            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+            if len(self.words) < CACHE and len(word) < 64:
                 self.words[word] = ids
         return ids
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str) -> list[int]:
         """Ids of a piece; letters alone or before one mark need no splitting pattern."""
-        if ("<" in piece) if piece.isascii() else self.foreign.search(piece):
-            return self._whole([piece])[0]
+        if self.foreign.search(piece):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
         low = piece.lower()
         if low.isalpha():
             return self._word(low)
         if low[-1] in ",." and low[:-1].isalpha():
             return self._word(low[:-1]) + self._word(low[-1])
-        return b"".join(map(self._word, self.word.findall(low)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        ids_of = self.pieces.__getitem__
-        return [self._whole([t])[0] if self.odd.search(t) else b"".join(map(ids_of, t.split())) for t in texts]
-
-
-class _Pieces(dict):
-    """Ids of pieces; while there is room, new ones are kept."""
-
-    def __init__(self, make) -> None:
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.make(piece)
-        if len(self) < CACHE:
-            self[piece] = ids
-        return ids
+        return list(chain.from_iterable(map(self._word, self.word.findall(low))))
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows one after the other, number of them in each row), ``end_id`` behind each row."""
+        raw = _without_wide_spaces(raw)
+        starts, ends, row = words(raw, offsets)
+        hashes = span_hashes(raw, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+        hashes[hashes == 0] = 1
+        if self.table.count + len(hashes) > self.table.room or self.ids.size > KEPT_IDS:
+            # room for whatever the block brings; a block of more pieces than the table holds gets a larger one
+            if len(hashes) > self.table.room:
+                self.table = _Table(1 << len(hashes).bit_length())
+            self._clear()
+        number = self.table.find(hashes)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            fresh, first = np.unique(hashes[new], return_index=True)
+            first = new[first]
+            data = raw.tobytes()
+            coded = [self._piece(data[a:b].decode()) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            counts = np.fromiter(map(len, coded), np.int64, len(coded))
+            more = np.fromiter(chain.from_iterable(coded), np.uint32, int(counts.sum()))
+            self.table.add(fresh)
+            self.starts.add(self.ids.size + np.cumsum(counts) - counts)
+            self.counts.add(counts)
+            self.ids.add(more)
+            number[new] = self.table.find(hashes[new])
+        counts = self.counts.data[number]
+        before = np.cumsum(counts) - counts
+        total = int(counts.sum())
+        rows = len(offsets) - 1
+        out = np.empty(total + rows, dtype=np.uint32)
+        steps = np.arange(total)
+        out[steps + np.repeat(row, counts)] = self.ids.data[steps + np.repeat(self.starts.data[number] - before, counts)]
+        sizes = np.bincount(row, weights=counts, minlength=rows).astype(np.int64) + 1
+        out[np.cumsum(sizes) - 1] = end_id
+        return out, sizes
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -186,38 +292,38 @@ def pack_documents(
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(curve_keys(ids, batch.column(1)))], names=["key"])
+            _, offsets = text_buffer(batch.column(1))
+            # a key for every so many bytes, so that ranges are equal in bytes
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(curve_keys(ids, batch.column(1)), 1 + np.diff(offsets) // RANGE_UNIT))], names=["key"])
 
     ranges = 2 * shuffle_width(docs.sparkSession)
     shares = [k / ranges for k in range(1, ranges)]
-    cuts = rows.mapInArrow(keys, "key long").agg(F.percentile_approx("key", shares, 10 * ranges)).first()[0] or []
+    cuts = rows.mapInArrow(released(keys), "key long").agg(F.percentile_approx("key", shares, 10 * ranges)).first()[0] or []
     bounds = np.array(sorted(set(cuts)), dtype=np.int64)  # fewer than there are ranges
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
             _encoders[path] = _Encoder(path)
-        encoder, end = _encoders[path], np.array([end_id], dtype="<u4").tobytes()
+        encoder = _encoders[path]
         narrow = encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
+        unit = 2 if narrow else 4
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
             key = curve_keys(ids, batch.column(1))
             place = np.searchsorted(bounds, key, side="right").astype(np.int32)
-            _, offsets = text_buffer(batch.column(1))
-            column = batch.column(1).fill_null("")
+            raw, offsets = text_buffer(batch.column(1))
             for first, last in blocks(offsets):
-                coded = [x + end for x in encoder.encode(column.slice(first, last - first).to_pylist())]
-                if narrow:
-                    coded = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in coded]
+                coded, sizes = encoder.encode(raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], end_id)
+                ends = np.concatenate([[0], np.cumsum(sizes * unit)])
+                data = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(coded.astype(f"<u{unit}"))]
+                column = pa.Array.from_buffers(pa.large_binary(), last - first, data).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(place[first:last]), pa.array(key[first:last]), batch.column(0).slice(first, last - first),
-                        pa.array(coded, pa.binary()), pa.array(np.full(last - first, 2 if narrow else 4, np.int32)),
-                    ],
+                    [pa.array(place[first:last]), pa.array(key[first:last]), batch.column(0).slice(first, last - first), column, pa.array(np.full(last - first, unit, np.int32))],
                     names=["place", "key", "id", "ids", "unit"],
-                )
+                )
 
-    coded = rows.mapInArrow(encode, "place int, key long, id long, ids binary, unit int")
-    ordered = coded.repartition("place").sortWithinPartitions("place", "key", "id")
+    coded = rows.mapInArrow(released(encode), "place int, key long, id long, ids binary, unit int")
+    ordered = coded.repartitionById(ranges, F.col("place")).sortWithinPartitions("place", "key", "id")
     schema = f"`{id}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     names = [id, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -233,7 +339,7 @@ def pack_documents(
         if packer.out:
             yield packer.rows(names)
 
-    return ordered.mapInArrow(pack, schema)
+    return ordered.mapInArrow(released(pack), schema)
 
 
 class _Packer:

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from placeweave.llm.packing import _Encoder, hilbert, pack_documents
 from placeweave.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from placeweave.llm.shared import components
 from placeweave.llm.sharding import kd_shards
+from placeweave.llm.text_arrays import text_buffer
 from placeweave.llm.tiles import bitmap, overlap_bound
 from placeweave.llm.token_counts import load_tokenizer, proven_whole, token_counts
 from placeweave.llm.topk_search import voronoi_knn_join
@@ -261,8 +263,13 @@ def test_packing_gives_every_id():
     path = tokenizer_path("word_bpe_49k.json")
     texts = ["a\x00b \x1b[0m bell\x07", "x\x7fy", "\x7f", "\x01 \x02a.\x03", *odd_texts(10_000, 11)]
     coded = load_tokenizer(path).encode_batch(texts, add_special_tokens=False)
-    want = [np.array(e.ids, "<u4").tobytes() for e in coded]
-    assert [t for t, a, b in zip(texts, _Encoder(path).encode(texts), want, strict=True) if a != b] == []
+    want = [[*e.ids, 1] for e in coded]
+    encoder = _Encoder(path)
+    raw, offsets = text_buffer(pa.array(texts))
+    for _ in range(2):  # with pieces that are new, then known
+        ids, sizes = encoder.encode(raw, offsets, 1)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
 
 
 def test_packing(spark, docs, empty, table):
