@@ -2,9 +2,11 @@
 
 Documents are counted into cells (source, language, topic) of tokens.  Iterative
 proportional fitting rakes the cells' token weights until each marginal has its
-target shares; a document is then taken so many times, in the mean, as its cell's
-weight asks for: whole copies, and one more with the probability of the rest,
-decided by a hash of its id.
+target shares.  ``calibrated_sample`` then keeps each document once or not, with a
+probability in proportion to its cell's weight: the largest ones that stay at one
+or below, so nothing that the raking asked for is cut off.  ``mix_sources`` takes a
+document as often, in the mean, as its cell's weight asks for: whole copies, and one
+more with the probability of the rest.  Draws are hashes of ids.
 """
 
 from __future__ import annotations
@@ -12,9 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import staged
+from placeweave.llm.shared import discard, staged
 
 DIMENSIONS = ("source", "lang", "topic")
+#: Without targets a dimension's shares are in proportion to its observed tokens to this
+#: power: sources and languages are evened out, topics are held at what they are.
+POWERS = {"source": 0.7, "lang": 0.7, "topic": 1.0}
+#: Raking ends when no factor of a round is further from one, or after so many rounds.
+TOLERANCE, ROUNDS = 1e-10, 60
 #: What a null dimension counts as.
 MISSING = "(none)"
 
@@ -41,24 +48,118 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return sums.select("value", (F.col("t") / whole).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``weight``: tokens raked to the targets.
 
     Targets are DataFrames (value, share) for each dimension; values without a
-    target get no weight.  Each round is one pass over each dimension; after each
-    pass the cells, a summary of the corpus, are staged, so plans stay small.
+    target get no weight.  A round is one pass over each dimension.  After each two
+    rounds the cells, a summary of the corpus, are staged, so plans stay small, and
+    the largest change is read.  Where no weights meet all targets, the last
+    dimension's are met.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(rounds):
-        for dimension, target in targets.items():
-            sums = now.groupBy(dimension).agg(F.sum("weight").alias("__sum"))
-            share = F.coalesce("share", F.lit(0.0))
-            factor = sums.join(target.withColumnRenamed("value", dimension), dimension, "left").select(
-                dimension, F.when(F.col("__sum") > 0, share * total / F.col("__sum")).otherwise(0.0).alias("__factor")
-            )
-            now = staged(now.join(factor, dimension).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__factor"))
-    return now
+    now = staged(cells.withColumn("weight", F.col("tokens").cast("double")))
+    done = 0
+    while done < rounds:
+        step, last = now, now
+        for k in range(min(2, rounds - done)):
+            step = step.withColumn("__moved", F.lit(0.0))
+            for dimension, target in targets.items():
+                sums = step.groupBy(dimension).agg(F.sum("weight").alias("__sum"))
+                share = F.coalesce("share", F.lit(0.0))
+                factor = sums.join(target.withColumnRenamed("value", dimension), dimension, "left").select(
+                    dimension, F.when(F.col("__sum") > 0, share * total / F.col("__sum")).otherwise(0.0).alias("__factor")
+                )
+                moved = F.greatest("__moved", F.when(F.col("weight") > 0, F.abs(F.col("__factor") - 1)).otherwise(0.0))
+                step = step.join(factor, dimension).withColumns({"__moved": moved, "weight": F.col("weight") * F.col("__factor")}).drop("__factor")
+            done += 1
+        now = staged(step)
+        discard(last)
+        if (now.agg(F.max("__moved")).first()[0] or 0.0) <= tolerance:  # one number
+            break
+    return now.drop("__moved")
+
+
+def _placed(docs: DataFrame, kept: list[str], text: str, topic_of: F.Column | None, tokens_of: F.Column | None) -> tuple[DataFrame, list[str]]:
+    """``kept`` columns, topic and n_tokens, and the three dimensions under names of their own."""
+    keys = [f"__{d}" for d in DIMENSIONS]
+    found = docs.select(
+        *kept,
+        (topic(F.col(text)) if topic_of is None else topic_of).alias("topic"),
+        (token_estimate(F.col(text)) if tokens_of is None else tokens_of).alias("n_tokens"),
+        *[F.coalesce(F.col(d).cast("string"), F.lit(MISSING)).alias(k) for d, k in zip(DIMENSIONS[:2], keys[:2], strict=True)],
+    )
+    return found.withColumn(keys[2], F.coalesce(F.col("topic").cast("string"), F.lit(MISSING))), keys
+
+
+def _draw(id: str, seed: int) -> F.Column:
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / 4294967296.0
+
+
+def calibrated_sample(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    targets: dict[str, DataFrame] | None = None,
+    keep: float = 0.8,
+    seed: int = 17,
+    topic_of: F.Column | None = None,
+    tokens_of: F.Column | None = None,
+) -> DataFrame:
+    """All rows of ``docs`` with topic, n_tokens, weight, probability and kept added.
+
+    ``weight`` is the raked over the observed token mass of the document's cell,
+    ``probability`` = weight * min(keep, 1 / the largest weight of a cell): expected
+    tokens of each value of each dimension are in proportion to its target.  A
+    document is kept where the hash of seed and id is below it.  ``targets`` has
+    DataFrames (value, share) for each of DIMENSIONS; a value without one is never
+    kept; without ``targets`` shares follow POWERS.  ``topic_of`` and ``tokens_of``
+    are columns that replace the estimates.  A null source, language or topic is the
+    value MISSING, an empty or null text has the topic ``empty`` and one token; rows
+    of one id of one cell are kept together; columns of ``docs`` named like an added
+    one are replaced.  An empty table gives no rows.
+    """
+    added = ("topic", "n_tokens", "weight", "probability", "kept")
+    kept = [c for c in docs.columns if c not in added]
+    placed, keys = _placed(docs, kept, text, topic_of, tokens_of)
+    cells = staged(placed.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")))
+    goals = _goals(cells, keys, targets)
+    raked = staged(rake(cells, goals).select(*keys, (F.col("weight") / F.col("tokens")).alias("weight")))
+    largest = raked.agg(F.max("weight")).first()[0] or 0.0  # one number
+    scale = min(keep, 1 / largest) if largest > 0 else keep
+    return (
+        placed.join(raked, keys, "left")
+        .withColumn("probability", F.least(F.lit(1.0), scale * F.col("weight")))  # a rounding error above one
+        .withColumn("kept", _draw(id, seed) < F.col("probability"))
+        .select(*kept, *added)
+    )
+
+
+def _goals(cells: DataFrame, keys: list[str], targets: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    if targets:
+        return {k: targets[d] for d, k in zip(DIMENSIONS, keys, strict=True)}
+    return {k: staged(tempered(cells, k, POWERS[d])) for d, k in zip(DIMENSIONS, keys, strict=True)}
+
+
+def shares(mixed: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(dimension, value, target, expected, achieved): shares of tokens in the result of
+    ``calibrated_sample``, from its probabilities and from what it kept."""
+    tokens = F.col("n_tokens")
+    names = [F.coalesce(F.col(d).cast("string"), F.lit(MISSING)).alias(d) for d in DIMENSIONS]
+    cells = staged(
+        mixed.groupBy(*names).agg(
+            F.sum(tokens).alias("tokens"), F.sum(tokens * F.col("probability")).alias("expected"), F.sum(F.when(F.col("kept"), tokens).otherwise(0)).alias("achieved")
+        )
+    )
+    goals = _goals(cells, list(DIMENSIONS), targets)
+    whole = cells.agg(F.sum("expected"), F.sum("achieved")).first()  # two numbers
+    parts = [
+        cells.groupBy(F.col(d).alias("value")).agg(F.sum("expected").alias("e"), F.sum("achieved").alias("a"))
+        .join(goals[d], "value", "left")
+        .select(F.lit(d).alias("dimension"), "value", F.coalesce("share", F.lit(0.0)).alias("target"), (F.col("e") / (whole[0] or 1.0)).alias("expected"), (F.col("a") / (whole[1] or 1)).alias("achieved"))
+        for d in DIMENSIONS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def mix_sources(
@@ -68,7 +169,7 @@ def mix_sources(
     targets: dict[str, DataFrame] | None = None,
     power: float = 0.7,
     keep: float = 0.8,
-    rounds: int = 8,
+    rounds: int = ROUNDS,
     seed: int = 17,
 ) -> DataFrame:
     """All rows of ``docs`` with topic, n_tokens, weight, probability, kept and copies added.
@@ -87,21 +188,14 @@ def mix_sources(
     """
     added = ("topic", "n_tokens", "weight", "probability", "kept", "copies")
     kept = [c for c in docs.columns if c not in added]
-    keys = {d: f"__{d}" for d in DIMENSIONS}
-    placed = docs.select(
-        *kept,
-        topic(F.col(text)).alias("topic"),
-        token_estimate(F.col(text)).alias("n_tokens"),
-        F.coalesce(F.col("source").cast("string"), F.lit(MISSING)).alias(keys["source"]),
-        F.coalesce(F.col("lang").cast("string"), F.lit(MISSING)).alias(keys["lang"]),
-    ).withColumn(keys["topic"], F.col("topic"))
-    cells = staged(placed.groupBy(*keys.values()).agg(F.sum("n_tokens").alias("tokens")))
-    goals = {keys[d]: t for d, t in targets.items()} if targets else {k: staged(tempered(cells, k, power)) for k in keys.values()}
-    raked = rake(cells, goals, rounds).select(*keys.values(), (F.col("weight") / F.col("tokens")).alias("weight"))
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / 4294967296.0
+    placed, keys = _placed(docs, kept, text, None, None)
+    cells = staged(placed.groupBy(*keys).agg(F.sum("n_tokens").alias("tokens")))
+    goals = {k: targets[d] if targets else staged(tempered(cells, k, power)) for d, k in zip(DIMENSIONS, keys, strict=True)}
+    raked = rake(cells, goals, rounds).select(*keys, (F.col("weight") / F.col("tokens")).alias("weight"))
+    draw = _draw(id, seed)
     whole = F.floor(keep * F.col("weight"))
     return (
-        placed.join(raked, list(keys.values()), "left")
+        placed.join(raked, keys, "left")
         .withColumn("probability", F.least(F.lit(1.0), keep * F.col("weight")))
         .withColumn("kept", draw < F.col("probability"))
         .withColumn("copies", whole + (draw < keep * F.col("weight") - whole).cast("long"))

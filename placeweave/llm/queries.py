@@ -11,7 +11,7 @@ from placeweave.llm.gif import media_digests
 from placeweave.llm.jaccard_join import ngram_jaccard_join
 from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.line_dedup import dedup_lines
-from placeweave.llm.mixing import mix_sources, sampled
+from placeweave.llm.mixing import DIMENSIONS, POWERS, calibrated_sample, mix_sources, sampled, shares
 from placeweave.llm.packing import pack_documents
 from placeweave.llm.sharding import kd_shards
 from placeweave.llm.token_counts import token_counts
@@ -96,29 +96,31 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    mixed = calibrated_sample(table(spark, sf_dir, "documents"))
     return mixed.selectExpr(
         "doc_id", "source", "lang", "topic", "n_tokens", "round(weight, 6) as weight", "round(probability, 6) as probability", "kept"
     )
 
 
-def _mixing_sql(power: float = 0.7, keep: float = 0.8, rounds: int = 8, seed: int = 17) -> str:
-    """The same raking, written out pass by pass."""
-    dims = ("source", "lang", "topic")
+def _cells_sql() -> list[str]:
     steps = [
-        f"""docs AS (SELECT doc_id, source AS s, lang AS l, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+        """docs AS (SELECT doc_id, source AS s, lang AS l, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
   CASE WHEN coalesce(length(text), 0) = 0 THEN 'empty' WHEN contains(text, ' | ') THEN 'table'
        WHEN contains(text, '://') OR contains(text, '@') THEN 'web' ELSE 'prose' END AS topic,
   CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT) + 1 AS n_tokens FROM documents)""",
         "cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL)",
     ]
-    for d in dims:
-        steps.append(
-            f"goal_{d} AS MATERIALIZED (SELECT {d}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS share FROM cells GROUP BY {d})"
-        )
+    for d in DIMENSIONS:
+        steps.append(f"goal_{d} AS MATERIALIZED (SELECT {d}, pow(sum(tokens), {POWERS[d]}) / sum(pow(sum(tokens), {POWERS[d]})) OVER () AS share FROM cells GROUP BY {d})")
+    return steps
+
+
+def _mixing_sql(keep: float = 0.8, rounds: int = 40, seed: int = 17) -> str:
+    """Raking written out pass by pass, with more rounds than it takes to settle."""
+    steps = _cells_sql()
     last = "(SELECT *, tokens AS weight, sum(tokens) OVER () AS total FROM cells)"
     for k in range(rounds):
-        for d in dims:
+        for d in DIMENSIONS:
             name = f"pass_{k}_{d}"
             steps.append(
                 f"{name} AS MATERIALIZED (SELECT w.source, w.lang, w.topic, tokens, total, weight * share * total / sum(weight) OVER (PARTITION BY w.{d}) AS weight "
@@ -126,15 +128,30 @@ def _mixing_sql(power: float = 0.7, keep: float = 0.8, rounds: int = 8, seed: in
             )
             last = name
     draw = f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0"
-    return f"""WITH {", ".join(steps)}
+    return f"""WITH {", ".join(steps)}, scaled AS (SELECT *, least({keep}, 1 / max(weight / tokens) OVER ()) AS scale FROM {last})
 SELECT doc_id, s AS source, l AS lang, d.topic AS topic, n_tokens, round(p.weight / tokens, 6) AS weight,
-  round(least(1.0, {keep} * p.weight / tokens), 6) AS probability, {draw} < least(1.0, {keep} * (p.weight / tokens)) AS kept
-FROM docs d JOIN {last} p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic"""
+  round(least(1.0, scale * (p.weight / tokens)), 6) AS probability, {draw} < scale * (p.weight / tokens) AS kept
+FROM docs d JOIN scaled p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic"""
 
 
 ORACLE_SQL["op10_mixing"] = _mixing_sql()
 
 
+@query
+def op10_mixing_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and expected shares of each source, language and topic."""
+    found = shares(calibrated_sample(table(spark, sf_dir, "documents")))
+    return found.select("dimension", "value", F.round("target", 6).alias("target"), F.round("expected", 6).alias("expected"))
+
+
+#: What is expected are the targets: no raking on this side.
+ORACLE_SQL["op10_mixing_shares"] = (
+    "WITH "
+    + ", ".join(_cells_sql())
+    + " UNION ALL ".join(f" SELECT '{d}' AS dimension, {d} AS value, round(share, 6) AS target, round(share, 6) AS expected FROM goal_{d}" for d in DIMENSIONS)
+)
+
+
 @query
 def op10_mixing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample itself, with the copies that op10_mixing's columns cannot show."""

@@ -18,7 +18,7 @@ from placeweave.llm import gif
 from placeweave.llm.jaccard_join import ngram_jaccard_join, without_near_copies
 from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.line_dedup import BANDS, ROWS, dedup_lines
-from placeweave.llm.mixing import mix_sources, sampled
+from placeweave.llm.mixing import calibrated_sample, mix_sources, sampled, shares
 from placeweave.llm.packing import _Encoder, hilbert, pack_documents
 from placeweave.llm.queries import ORACLE_SQL, QUERIES, tokenizer_path
 from placeweave.llm.shared import components
@@ -485,6 +485,30 @@ def test_mixing_sample_table(spark, table):
     assert max(got.values()) > 1 and all(abs(got[r.doc_id] - 0.8 * r.weight) < 1 for r in mixed)
 
 
+def test_calibrated_sample(spark, docs, empty, table):
+    """Expected marginals are the targets, whatever the weights; kept ones within sampling error."""
+    many = spark.range(60_000).selectExpr("id as doc_id", "repeat('word ', 20) as text", "if(id % 10 < 9, 'big', 'small') as source", "if(id % 7 = 1, 'es', 'en') as lang")
+    share = lambda *xs: spark.createDataFrame(list(xs), "value string, share double")
+    goals = {"source": {"small": 0.5, "big": 0.5}, "lang": {"es": 0.3, "en": 0.7}, "topic": {"prose": 1.0}}
+    targets = {d: share(*g.items()) for d, g in goals.items()}
+    mixed = calibrated_sample(many, targets=targets).cache()
+    assert mixed.agg(F.max("probability")).first()[0] == pytest.approx(1.0)
+    for d, goal in goals.items():
+        for how, tolerance in ((F.col("probability") * F.col("n_tokens"), 1e-8), (F.when(F.col("kept"), F.col("n_tokens")), 0.015)):
+            got = {r[0]: r[1] for r in mixed.groupBy(d).agg(F.sum(how)).collect()}
+            assert {v: n / sum(got.values()) for v, n in got.items()} == pytest.approx(goal, abs=tolerance)
+    report = {(r.dimension, r.value): r for r in shares(mixed, targets).collect()}
+    assert all(report[d, v].target == x and report[d, v].expected == pytest.approx(x, abs=1e-8) for d, g in goals.items() for v, x in g.items())
+    for r in shares(calibrated_sample(table("documents"))).collect():
+        assert r.expected == pytest.approx(r.target, abs=1e-7)
+    odd = calibrated_sample(docs).collect()
+    assert len(odd) == len(awkward()) and all(0 <= r.probability <= 1 for r in odd)
+    assert len({(r.doc_id, r.kept) for r in odd if r.doc_id == 9}) == 1
+    assert calibrated_sample(empty).count() == 0
+    own = calibrated_sample(many, topic_of=F.when(F.col("doc_id") % 2 == 0, "even"), tokens_of=F.lit(3).cast("long")).first()
+    assert own.n_tokens == 3 and own.topic in ("even", None)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
