@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from placeweave.llm.jaccard_join import without_near_copies
 from placeweave.llm.language_id import UNKNOWN, held_out, identify, learn
 from placeweave.llm.line_dedup import dedup_lines
-from placeweave.llm.mixing import mix_sources
+from placeweave.llm.mixing import calibrated_sample
 from placeweave.llm.packing import pack_documents
 from placeweave.llm.queries import table, tokenizer_path
 from placeweave.llm.shared import staged
@@ -51,7 +51,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled by their calibrated probabilities."""
-    return mix_sources(docs).where("kept").select(*docs.columns)
+    ship_package(with_settings(spark))
+    return calibrated_sample(docs).where("kept").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,9 @@ from placeweave.llm.shared import components, discard, member_filter, released,
 from placeweave.llm.text_arrays import mix64
 
 #: Keys with the place of their item in the lists of ids (from ``base`` on) and sizes;
-#: whole numbers take as few bytes as the row's largest needs.
+#: whole numbers take as few bytes as the row's largest needs, keys KEY_BYTES: two keys of
+#: one bucket that agree in those only open a tile more.
+KEY_BYTES = 5
 POSTINGS = "bucket int, keys binary, owners binary, base long, items long, ids binary, sizes binary"
 ITEMS = "id long, n long, digest long, bits binary"
 BODIES = "id long, digest long, body binary"
@@ -99,7 +101,7 @@ def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.Record
                 own = (own - least).astype(np.uint32)
             kind = np.uint16 if len(who) < 1 << 16 else np.uint32
             n = sizes[who].astype(np.uint16 if sizes[who].max() < 1 << 16 else np.uint32)
-            rows.append((b, keys[s].tobytes(), at.astype(kind).tobytes(), least, len(who), own.tobytes(), n.tobytes()))
+            rows.append((b, _short(keys[s]), at.astype(kind).tobytes(), least, len(who), own.tobytes(), n.tobytes()))
     kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
     names = ("bucket", "keys", "owners", "base", "items", "ids", "sizes")
     for at in range(0, len(rows), 16):
@@ -107,6 +109,16 @@ def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(cells, kinds, strict=True)], names=list(names))
 
 
+def _short(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // KEY_BYTES, 8), dtype=np.uint8)
+    out[:, :KEY_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, KEY_BYTES)
+    return out.view("<u8").ravel()
+
+
 def _whole(raw: bytes, count: int) -> np.ndarray:
     kind = {2: np.uint16, 4: np.uint32, 8: np.int64}[len(raw) // count]
     return np.frombuffer(raw, kind).astype(np.int64)
@@ -125,7 +137,7 @@ def open_tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
         keys, owners, ids, sizes, base = [], [], [], [], 0
         columns = ("keys", "owners", "base", "items", "ids", "sizes")
         for k, o, least, count, i, n in zip(*(table.column(c).to_pylist() for c in columns), strict=True):
-            keys.append(np.frombuffer(k, np.uint64))
+            keys.append(_long(k))
             owners.append(_whole(o, len(keys[-1])) + base)
             ids.append(_whole(i, count) + (least if len(i) < 8 * count else 0))
             sizes.append(_whole(n, count))
