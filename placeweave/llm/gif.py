@@ -12,14 +12,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from placeweave.llm.shared import released
+from placeweave.llm.text_arrays import blocks
+
 WIDTH = 64
 FRAME_ROWS = 256
 DELAY_MS = 100
+#: Bins of each of the three colour channels.
 HISTOGRAM = 16
+#: A file that says it is larger is not decoded, and bytes of a worker's batch, about.
+MOST_PIXELS, BATCH_BYTES = 1 << 26, 1 << 23
 #: The format's limits: clear and end code of 8-bit images, most codes.
 CLEAR, END, FIRST, CODES = 256, 257, 258, 4096
 
@@ -186,11 +193,14 @@ def read_gif(data: bytes) -> Iterator[Frame]:
     """The frames of a GIF as they are shown one after the other.
 
     Disposal 2 clears a frame's rectangle to transparent, 3 restores what was
-    there before, others leave it.  Raises ValueError where the file is broken.
+    there before, others leave it.  Raises ValueError where the file is broken or
+    has more than MOST_PIXELS pixels.
     """
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         raise ValueError("no GIF header")
     width, height = (int.from_bytes(data[k : k + 2], "little") for k in (6, 8))
+    if width * height > MOST_PIXELS:
+        raise ValueError("a picture of more pixels than are decoded")
     common, at = _palette(data, 13, data[10])
     canvas = np.zeros((height, width, 4), dtype=np.uint8)
     delay, disposal, clear_index = 0, 0, None
@@ -248,12 +258,13 @@ FRAMES = "array<struct<delay_ms:int,left:int,top:int,width:int,height:int,grey:b
 
 def _frame_cells(frame: Frame) -> dict:
     """The picture as grey samples where red, green and blue agree, else RGBA; the
-    histogram counts HISTOGRAM bins of brightness of the frame's rectangle."""
+    histogram counts HISTOGRAM bins of red, then of green, then of blue of the frame's
+    rectangle."""
     c = frame.canvas
     grey = bool((c[..., 0] == c[..., 1]).all() and (c[..., 0] == c[..., 2]).all())
-    area = c[frame.top : frame.top + frame.height, frame.left : frame.left + frame.width, :3]
-    light = area[..., 0] if grey else (area.astype(np.uint32) @ np.array([77, 150, 29], np.uint32) >> 8)
-    bins = np.bincount((light.astype(np.int64) * HISTOGRAM >> 8).ravel(), minlength=HISTOGRAM)
+    area = c[frame.top : frame.top + frame.height, frame.left : frame.left + frame.width]
+    counts = [np.bincount((area[..., k] >> 4).ravel(), minlength=HISTOGRAM) for k in range(1 if grey else 3)]
+    bins = np.concatenate(counts * 3 if grey else counts)
     return {
         "delay_ms": frame.delay_ms, "left": frame.left, "top": frame.top, "width": frame.width, "height": frame.height,
         "grey": grey, "pixels": (c[..., 0] if grey else c).tobytes(), "histogram": bins.tolist(),
@@ -269,13 +280,14 @@ def _by_column(df: DataFrame, source: str, added: list[tuple[str, str | DataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 128):
-                part = batch.slice(first, 128)
+            sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False)
+            for first, last in blocks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), BATCH_BYTES):
+                part = batch.slice(first, last - first)
                 cells = [make(x) for x in part.column(0).to_pylist()]
                 columns = [pa.array([c[k] for c in cells], added[k][2]) for k in range(len(added))]
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names=[*kept, *(a[0] for a in added)])
 
-    return df.select(F.col(source).alias("__source"), *order[1:]).mapInArrow(run, schema)
+    return df.select(F.col(source).alias("__source"), *order[1:]).mapInArrow(released(run), schema)
 
 
 def with_gif(df: DataFrame, payload: str = "payload", media: str = "media") -> DataFrame:
@@ -327,11 +339,11 @@ def media_digests(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     )
     back = with_frames(with_gif(raw))
     area = F.transform("frames", lambda f: F.substring(f["pixels"], f["top"] * f["width"] + 1, f["height"] * f["width"]))
-    # array_join is for strings; bytes are joined by folding
-    payload = F.aggregate(area, F.unhex(F.lit("")), lambda a, b: F.concat(a, b))
+    # arrays are joined as strings, in time linear in the bytes
+    payload = F.unhex(F.array_join(F.transform(area, F.hex), ""))
     histogram = F.aggregate(
         "frames",
-        F.array_repeat(F.lit(0).cast("long"), HISTOGRAM),
+        F.array_repeat(F.lit(0).cast("long"), 3 * HISTOGRAM),
         lambda a, f: F.zip_with(a, f["histogram"], lambda x, y: x + y),
     )
     shown = back.select(

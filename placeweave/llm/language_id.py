@@ -3,8 +3,9 @@
 Learning counts byte trigrams of words for each language.  A document is taken as
 words drawn from a mixture of languages: expectation maximisation estimates the
 proportions from each word's trigram likelihoods, for the likeliest single
-language and for nested sets of the languages with the largest proportions; the
-set with the best penalised likelihood (BIC) is kept.
+language and for nested sets of the languages with the largest proportions, as
+long as a further language improves the penalised likelihood (BIC) of any document
+of the block; each document keeps its best set.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeweave.llm.shared import released
 from placeweave.llm.text_arrays import _SEPARATOR, blocks, text_buffer, words
 
 BINS = 1 << 14
@@ -85,7 +87,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some), pa.array(c[some])], names=["lang", "bin", "n"])
 
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, F.col(lang).cast("string"))
-    found = rows.mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
+    found = rows.mapInArrow(released(count), "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(found.column("lang").to_pylist()))
     counts = np.zeros((len(languages), BINS))
     if languages:
@@ -107,7 +109,7 @@ def _mixture(like: np.ndarray, row: np.ndarray, at: np.ndarray, n: np.ndarray, s
     return share, np.add.reduceat(np.log(np.maximum(whole, 1e-30)).astype(np.float64), at)
 
 
-def proportions(model: LanguageModel, raw: np.ndarray, offsets: np.ndarray, most: int, steps: int) -> np.ndarray:
+def proportions(model: LanguageModel, raw: np.ndarray, offsets: np.ndarray, steps: int) -> np.ndarray:
     """Language proportions (rows x languages); 0 throughout where a row has no word."""
     rows, languages = len(offsets) - 1, len(model.languages)
     out = np.zeros((rows, languages), dtype=np.float32)
@@ -127,7 +129,7 @@ def proportions(model: LanguageModel, raw: np.ndarray, offsets: np.ndarray, most
     cost = -2 * single.max(axis=1)
     share, _ = _mixture(like, row, at, n, steps)
     order = np.argsort(-share, axis=1, kind="stable")
-    for size in range(2, min(most, languages) + 1):
+    for size in range(2, languages + 1):
         chosen = order[:, :size]
         part, log = _mixture(np.take_along_axis(like, chosen[row], axis=1), row, at, n, steps)
         now = -2 * (log + peak) + (size - 1) * np.log(n)
@@ -136,17 +138,20 @@ def proportions(model: LanguageModel, raw: np.ndarray, offsets: np.ndarray, most
         fresh = np.zeros_like(best)
         np.put_along_axis(fresh, chosen, part, axis=1)
         best[better] = fresh[better]
+        if not better.any():
+            break
     out[docs] = best
     return out
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", most: int = 4, steps: int = 8) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", steps: int = 8) -> DataFrame:
     """``docs`` with lang_pred and score added: the main language and its proportion.
 
     A null text, one without a letter, and any text if nothing was learned, give
     ``und`` with score 0.  Ties go to the language first by name.  Rows are judged
     one by one, so repeated rows agree; columns of ``docs`` named like an added
-    one are replaced.  Only the text is read for the prediction.
+    one are replaced.  Only the text is read for the prediction; a text may mix any
+    number of the learned languages.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -162,7 +167,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", most: in
             best, score = np.full(len(column), len(names) - 1), np.zeros(len(column))
             for first, last in blocks(offsets):
                 base = offsets[first]
-                share = proportions(known, raw[base : offsets[last]], offsets[first : last + 1] - base, most, steps)
+                share = proportions(known, raw[base : offsets[last]], offsets[first : last + 1] - base, steps)
                 if share.shape[1]:
                     some = share.max(axis=1) > 0
                     best[first:last] = np.where(some, share.argmax(axis=1), len(names) - 1)
@@ -172,7 +177,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", most: in
             score = np.where(letters & (best < len(names) - 1), np.clip(score, 0, 1), 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names[best], pa.string()), pa.array(score)], names=[*kept, "lang_pred", "score"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(released(run), schema)
 
 
 def held_out(id: str = "doc_id") -> F.Column:

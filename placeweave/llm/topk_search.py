@@ -5,8 +5,9 @@ ring around it.  From each group's size and radius follows the most that any of
 its members can score with a query (inner product with the pivot plus query norm
 times radius).  A sample of witnesses gives each query a score that its k-th best
 certainly reaches, so a query is sent only to units (small groups together, large
-ones in parts) that may hold something better; units are solved locally and the
-best k of the local bests remain.
+ones in parts) that may hold something better.  Queries of one pivot form blocks,
+and a unit's rows go only to blocks with a query that was sent to it; units are
+solved locally and the best k of the local bests remain.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import staged
+from placeweave.llm.shared import discard, released, staged
 
-#: Bounds of what is broadcast: pivots, rings around each, witnesses.
-PIVOTS, RINGS, WITNESSES = 64, 8, 4096
+#: Bounds of what is broadcast: pivots (as many as the root of the rows, between these),
+#: rings around each, witnesses.
+PIVOTS, RINGS, WITNESSES = (16, 1024), 8, 4096
 #: Rows of a unit and of a block of queries, about.
 UNIT_ROWS, QUERY_ROWS = 4096, 1024
 
@@ -74,7 +76,8 @@ def voronoi_knn_join(
     if not witnesses:
         return packed.sparkSession.createDataFrame([], f"query_id long, rank int, `{id}` long, score long")
     witness = context.broadcast((np.array([r["id"] for r in witnesses]), np.frombuffer(b"".join(r["v"] for r in witnesses)).reshape(-1, dim)))
-    pivots = np.unique(np.frombuffer(b"".join(r["v"] for r in witnesses[:PIVOTS])).reshape(-1, dim), axis=0)
+    wanted = min(max(PIVOTS[0], int(packed.count() ** 0.5)), PIVOTS[1])
+    pivots = np.unique(np.frombuffer(b"".join(r["v"] for r in witnesses[:wanted])).reshape(-1, dim), axis=0)
     shared = context.broadcast(pivots)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,12 +89,12 @@ def voronoi_knn_join(
             radius = np.sqrt(np.maximum(square[np.arange(len(x)), cell], 0))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array(radius), batch.column(1)], names=["id", "cell", "radius", "v"])
 
-    placed = staged(packed.mapInArrow(assign, "id long, cell int, radius double, v binary"))
-    widest = {r["cell"]: r["r"] for r in placed.groupBy("cell").agg(F.max("radius").alias("r")).collect()}  # a row a pivot
-    reach = F.element_at(F.array(*[F.lit(float(widest.get(c, 0.0))) for c in range(len(pivots))]), F.col("cell") + 1)
-    ring = F.when(reach > 0, F.least(F.floor(F.col("radius") / reach * RINGS), F.lit(RINGS - 1))).otherwise(0).cast("int")
-    grouped = placed.withColumn("group", F.col("cell") * RINGS + ring)
-    groups = grouped.groupBy("group").agg(F.count("*").alias("n"), F.max("radius").alias("r")).orderBy("group").collect()  # PIVOTS * RINGS at most
+    placed = staged(packed.mapInArrow(released(assign), "id long, cell int, radius double, v binary"))
+    discard(packed)
+    reach = placed.groupBy("cell").agg(F.max("radius").alias("reach"))  # a row a pivot
+    ring = F.when(F.col("reach") > 0, F.least(F.floor(F.col("radius") / F.col("reach") * RINGS), F.lit(RINGS - 1))).otherwise(0).cast("int")
+    grouped = placed.join(F.broadcast(reach), "cell").withColumn("group", F.col("cell") * RINGS + ring).drop("reach")
+    groups = grouped.groupBy("group").agg(F.count("*").alias("n"), F.max("radius").alias("r")).orderBy("group").collect()  # pivots * RINGS at most
 
     # small neighbouring groups share a unit, a large one is dealt over several
     first, parts, unit, room = {}, {}, -1, 0
@@ -102,8 +105,9 @@ def voronoi_knn_join(
         room -= g["n"]
         if parts[g["group"]] > 1:
             unit, room = unit + parts[g["group"]] - 1, 0
-    pick = lambda d: F.element_at(F.array(*[F.lit(d.get(g, 0)) for g in range(len(pivots) * RINGS)]), F.col("group") + 1)
-    in_units = grouped.withColumn("unit", (pick(first) + F.pmod(F.xxhash64("id"), pick(parts).cast("long"))).cast("int"))
+    spark = data.sparkSession
+    dealt = spark.createDataFrame([(g, first[g], parts[g]) for g in first], "group int, first int, parts long")
+    in_units = grouped.join(F.broadcast(dealt), "group").withColumn("unit", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int"))
     names = np.array([g["group"] for g in groups])
     radii = np.array([g["r"] for g in groups])
     bounds = context.broadcast((pivots[names // RINGS], radii, [range(first[g], first[g] + parts[g]) for g in names]))
@@ -124,14 +128,18 @@ def voronoi_knn_join(
                 rows = [(i, u) for i in range(len(x)) for u in sorted({u for g in np.flatnonzero(may[i]) for u in units[g]})]
                 i = np.array([a for a, _ in rows], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[i]), pa.array([u for _, u in rows], pa.int32()), pa.array(floor[i]), part.column(1).take(pa.array(i))],
-                    names=["id", "unit", "floor", "v"],
+                    [pa.array(own[i]), pa.array([u for _, u in rows], pa.int32()), pa.array(floor[i]), *(part.column(k).take(pa.array(i)) for k in (1, 2))],
+                    names=["id", "unit", "floor", "v", "block"],
                 )
 
-    query_rows = packed.join(asked, "id", "left_semi").dropDuplicates(["id"])
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    routed = query_rows.mapInArrow(route, "id long, unit int, floor double, v binary").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    copied = in_units.select("id", "unit", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    # queries of one pivot see much the same units, so they share blocks
+    query_rows = placed.join(asked, "id", "left_semi").dropDuplicates(["id"]).select("id", "v", "cell")
+    queries_of = query_rows.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("long").alias("blocks"))  # a row a pivot
+    block = F.struct("cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("part"))
+    asking = query_rows.join(F.broadcast(queries_of), "cell").select("id", "v", block.alias("block"))
+    routed = staged(asking.mapInArrow(released(route), "id long, unit int, floor double, v binary, block struct<cell:int,part:int>"))
+    met = routed.select(F.col("unit").alias("unit"), F.col("block").alias("block")).distinct()
+    copied = in_units.select("id", "unit", "v").join(met, "unit")
 
     def solve(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from placeweave.llm import gif
 from placeweave.llm.jaccard_join import ngram_jaccard_join, without_near_copies
-from placeweave.llm.language_id import held_out, identify, learn
+from placeweave.llm.language_id import _word_trigrams, held_out, identify, learn
 from placeweave.llm.line_dedup import BANDS, ROWS, dedup_lines
 from placeweave.llm.mixing import calibrated_sample, mix_sources, sampled, shares
 from placeweave.llm.packing import _Encoder, hilbert, pack_documents
@@ -218,6 +219,54 @@ def test_language_mixture(spark, table):
     assert got.lang_pred in ("en", "de") and 0.4 < got.score < 0.65
 
 
+def mixture_model(score: np.ndarray, steps: int = 8) -> np.ndarray:
+    """Proportions of one document from its words' log-likelihoods (words x languages): plain
+    loops of expectation maximisation, nested sets of languages, Bayes' information criterion."""
+
+    def run(languages):
+        share = {k: 1 / len(languages) for k in languages}
+        part = lambda row: {k: share[k] * math.exp(row[k] - max(row)) for k in languages}
+        for _ in range(steps):
+            sums = dict.fromkeys(languages, 0.0)
+            for row in score:
+                p = part(row)
+                for k in languages:
+                    sums[k] += p[k] / max(sum(p.values()), 1e-30)
+            share = {k: v / len(score) for k, v in sums.items()}
+        return share, sum(math.log(max(sum(part(row).values()), 1e-30)) + max(row) for row in score)
+
+    n, languages = len(score), score.shape[1]
+    single = score.sum(axis=0)
+    best, cost = {int(single.argmax()): 1.0}, -2 * single.max()
+    order = sorted(range(languages), key=lambda k: -run(range(languages))[0][k]) if languages > 1 else [0]
+    for size in range(2, languages + 1):
+        share, log = run(order[:size])
+        now = -2 * log + (size - 1) * math.log(n)
+        if now < cost:
+            best, cost = share, now
+    return np.array([best.get(k, 0.0) for k in range(languages)])
+
+
+def test_language_mixture_against_loops(spark):
+    """Documents of up to six languages: proportions as plain loops give them."""
+    r = np.random.default_rng(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = [["".join(letters[(k * 4 + j) % 26] for j in r.integers(0, 9, size=r.integers(3, 8))) for _ in range(40)] for k in range(6)]
+    speak = lambda k, n: [vocabulary[k][j] for j in r.integers(40, size=n)]
+    model = learn(spark.createDataFrame([(" ".join(speak(k, 300)), f"l{k}") for k in range(6) for _ in range(4)], "text string, lang string"))
+    texts = [" ".join(w for k in r.permutation(6)[:size] for w in speak(k, int(r.integers(10, 60)))) for size in (1, 2, 3, 5, 5, 6, 6) for _ in range(3)]
+    got = identify(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    many = 0
+    for row in got:
+        raw = np.frombuffer(row.text.encode(), np.uint8)
+        bins, starts, _ = _word_trigrams(raw, np.array([0, len(raw)]))
+        score = np.stack([np.add.reduceat(model.logp[k][bins].astype(float), starts) for k in range(6)], axis=1)
+        want = mixture_model(score)
+        many += (want > 0.02).sum() >= 5
+        assert row.lang_pred == f"l{want.argmax()}" and row.score == pytest.approx(want.max(), abs=0.005)
+    assert many >= 5
+
+
 def test_hilbert():
     side = 8
     points = np.array(list(itertools.product(range(side), repeat=3)))
@@ -415,6 +464,62 @@ def test_lzw_deferred_clear():
     assert gif.lzw_unpack(stream, 8, len(data)) == data
 
 
+def plain_lzw(stream: bytes, root: int) -> bytes:
+    """The samples of a code stream, one code after the other from a string of bits."""
+    bits = "".join(f"{b:08b}"[::-1] for b in stream)
+    clear, out, at, width, table, before = 1 << root, [], 0, root + 1, {}, None
+    while True:
+        code = int(bits[at : at + width][::-1], 2)
+        at += width
+        if code == clear:
+            table, width, before = {k: bytes([k]) for k in range(clear)}, root + 1, None
+            continue
+        if code == clear + 1:
+            return b"".join(out)
+        word = table[code] if code in table else before + before[:1]
+        if before is not None and len(table) + 2 < 4096:
+            table[len(table) + 2] = before + word[:1]
+            if len(table) + 2 == 1 << width and width < 12:
+                width += 1
+        out.append(word)
+        before = word
+
+
+def plain_gif(data: bytes) -> tuple[bytes, int, Counter]:
+    """(samples of all frames, frames, colours) of a file as write_gif lays it out."""
+    palette, at, frames = data[13 : 13 + 768], 13 + 768, []
+    while data[at] != 0x3B:
+        at += 8  # the control block
+        assert data[at] == 0x2C
+        root, at, stream = data[at + 10], at + 11, b""
+        while data[at]:
+            stream, at = stream + data[at + 1 : at + 1 + data[at]], at + 1 + data[at]
+        at += 1
+        frames.append(plain_lzw(stream, root))
+    samples = b"".join(frames)
+    return samples, len(frames), Counter((c, palette[3 * s + c] >> 4) for s in samples for c in range(3))
+
+
+def test_media_against_plain_decoder(spark):
+    """What is stored, decoded by a plain reader: payload, frames and colours; nothing depends on order."""
+    texts = ["", "abc", "é日" * 40, prose(21, 700), "aaaa" * 6000, prose(22, 9000)]
+    rows = gif.media_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for row in rows:
+        raw = texts[row.doc_id].encode()
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        stored = gif.write_gif(payload)
+        samples, frames, colours = plain_gif(stored)
+        assert samples == payload and (row.media_bytes, row.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        bins = ",".join(str(colours[c, b]) for c in range(3) for b in range(16))
+        assert row.feature == f"frames={frames};ms={100 * frames};histogram={bins}"
+
+
+def test_gif_too_large():
+    huge = b"GIF89a\xff\xff\xff\xff\0\0\0"
+    with pytest.raises(ValueError, match="pixels"):
+        list(gif.read_gif(huge))
+
+
 def test_media(spark, docs, empty, table):
     for df in (docs, table("documents")):
         texts = [(r.doc_id, r.text) for r in df.collect()]
@@ -442,6 +547,13 @@ def test_topk(spark):
         best = sorted((-int(ints[q] @ v), k) for k, v in ints.items() if k != q)[:5]
         want |= {(q, i + 1, k, -s) for i, (s, k) in enumerate(best)}
     assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == want
+    twice = spark.createDataFrame([*[(k, v, "x", 1, None) for k, v in vectors[:60]], (20, vectors[20][1], "y", 2, None)], "vec_id long, embedding array<double>, unit string, block int, cell int")
+    again = [(r.query_id, r.rank, r.vec_id) for r in voronoi_knn_join(twice, F.col("vec_id") % 20 == 0, 4).collect()]
+    plain = []
+    for q in (0, 20, 40):
+        best = sorted((-int(ints[q] @ ints[k]), k) for k in [*range(60), 20] if k != q)[:4]
+        plain += [(q, i + 1, k) for i, (_, k) in enumerate(best)]
+    assert sorted(again) == sorted(plain)  # a repeated id is a candidate each time and asks once
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in voronoi_knn_join(few, F.col("vec_id") % 20 == 0, 5).collect()] == [(0, 1, 1, 64 * 128)]
     assert voronoi_knn_join(few.where("false"), F.col("vec_id") % 20 == 0, 5).count() == 0
