@@ -223,22 +223,14 @@ def overlap_bound(n: int, a: bytes, m: int, b: bytes) -> int:
     return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
-class _Cell:
-    """Items of a cell (id, label, part, set); those of different parts meet, or all,
-    if there is one part only."""
+class _Bounds:
+    """Items of a cell (id, label, part, size, bitmap); those of different parts meet,
+    or all, if there is one part only."""
 
-    def __init__(self, rows: list[tuple], sets: Sets, num: int, den: int) -> None:
-        self.ids, self.label, self.part = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:3])
-        found = sets([r[3] for r in rows])
-        self.n = np.array([len(x) for x in found], dtype=np.int64)
+    def __init__(self, rows: list[tuple], num: int, den: int) -> None:
+        self.ids, self.label, self.part, self.n = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:4])
+        self.bits = [np.frombuffer(r[4], np.uint64) for r in rows]
         self.num, self.den = num, den
-        _, self.codes = np.unique(np.concatenate(found), return_inverse=True)
-        self.at = np.concatenate([[0], np.cumsum(self.n)])
-        self.mark = np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=bool)
-        self.bits = [np.frombuffer(_bits(x, 8, 15), np.uint64) for x in found]
-
-    def _own(self, k: int) -> np.ndarray:
-        return self.codes[self.at[k] : self.at[k + 1]]
 
     def _candidates(self, open_with: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
         """Each item with those behind it whose size and bitmap allow a link."""
@@ -266,6 +258,27 @@ class _Cell:
                 if len(hits):
                     yield k, hits
 
+    def hopeful(self) -> np.ndarray:
+        """Ids that may be linked with an item of another label."""
+        some = np.zeros(len(self.ids), dtype=bool)
+        for k, hits in self._candidates(lambda k, both: self.label[both] != self.label[k]):
+            some[k] = some[hits] = True
+        return self.ids[some]
+
+
+class _Cell(_Bounds):
+    """Items of a cell (id, label, part, body) with their sets."""
+
+    def __init__(self, rows: list[tuple], sets: Sets, num: int, den: int) -> None:
+        found = sets([r[3] for r in rows])
+        super().__init__([(*r[:3], len(x), _bits(x, 8, 15)) for r, x in zip(rows, found, strict=True)], num, den)
+        _, self.codes = np.unique(np.concatenate(found), return_inverse=True)
+        self.at = np.concatenate([[0], np.cumsum(self.n)])
+        self.mark = np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=bool)
+
+    def _own(self, k: int) -> np.ndarray:
+        return self.codes[self.at[k] : self.at[k + 1]]
+
     def _enough(self, common: np.ndarray | int, k: int, j: np.ndarray | int):
         return self.den * common >= self.num * (self.n[k] + self.n[j] - common)
 
@@ -305,10 +318,13 @@ def _parts(items: str, elements: str) -> F.Column:
     return F.ceil(F.greatest(F.col(items) / CELL_ITEMS, F.col(elements) / CELL_ELEMENTS)).cast("int")
 
 
-def _by_cell(rows: DataFrame, bodies: DataFrame, sets: Sets, num: int, den: int, make: Callable[[_Cell], pa.RecordBatch], schema: str) -> DataFrame:
-    """What ``make`` gives for every cell (tile, p, q) of rows (id, label, part)."""
-    full = rows.join(bodies.select("id", "body"), "id")
-    ordered = full.repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q", "id").select("tile", "p", "q", "id", "label", "part", "body")
+CELL = ["tile", "p", "q"]
+
+
+def _by_cell(rows: DataFrame, make: Callable[[tuple, list[tuple]], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``make`` gives for the rows of every cell, as tuples without the cell's columns."""
+    kept = [c for c in rows.columns if c not in CELL]
+    ordered = rows.repartition(*CELL).sortWithinPartitions(*CELL, "id").select(*CELL, *kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, held = None, []
@@ -316,20 +332,33 @@ def _by_cell(rows: DataFrame, bodies: DataFrame, sets: Sets, num: int, den: int,
             for tile, p, q, *item in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if (tile, p, q) != cell:
                     if len(held) > 1:
-                        yield make(_Cell(held, sets, num, den))
+                        yield make(cell, held)
                     cell, held = (tile, p, q), []
                 held.append(tuple(item))
         if len(held) > 1:
-            yield make(_Cell(held, sets, num, den))
+            yield make(cell, held)
 
     return ordered.mapInArrow(released(run), schema)
 
 
-def _open_links(placed: DataFrame, bodies: Fetch, sets: Sets, num: int, den: int) -> DataFrame | None:
+def _promising(rows: DataFrame, items: DataFrame, num: int, den: int) -> DataFrame:
+    """Those rows of cells that, by bitmaps alone, may have a link to another component."""
+
+    def make(cell: tuple, held: list[tuple]) -> pa.RecordBatch:
+        found = _Bounds(held, num, den).hopeful()
+        columns = [pa.array([x] * len(found), kind) for x, kind in zip(cell, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*CELL, "id"])
+
+    full = rows.join(items.select("id", "n", "bits"), "id").select(*CELL, "id", "label", "part", "n", "bits")
+    return rows.join(_by_cell(full, make, "tile long, p int, q int, id long"), [*CELL, "id"], "left_semi")
+
+
+def _open_links(placed: DataFrame, items: DataFrame | None, bodies: Fetch, sets: Sets, num: int, den: int) -> DataFrame | None:
     """Verified links between items of one tile and different components ``c``.
 
     The members of a tile's largest component are never compared with each other:
-    they are cut into parts that meet only the parts of the other items.  Returns
+    they are cut into parts that meet only the parts of the other items.  With
+    ``items`` bitmaps say first which rows of a cell are worth their bodies.  Returns
     None where no tile has two components.
     """
     by_component = placed.groupBy("tile", "c").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
@@ -348,14 +377,19 @@ def _open_links(placed: DataFrame, bodies: Fetch, sets: Sets, num: int, den: int
     part = F.when(largest, rests + F.pmod(draw, mains.cast("long"))).otherwise(F.pmod(draw, rests.cast("long")))
     met = F.when(largest, F.sequence(F.lit(0), rests - 1)).otherwise(F.sequence(F.lit(0), rests + mains - 1))
     rows = placed.join(totals, "tile").select("tile", "id", F.col("c").alias("label"), part.cast("int").alias("part"), F.explode(met).alias("other"))
-    rows = staged(rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "label", "part"))
+    rows = rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "label", "part")
+    if items is not None:
+        cells = staged(rows)
+        rows = _promising(cells, items, num, den)
+    rows = staged(rows)
 
-    def make(cell: _Cell) -> pa.RecordBatch:
-        a, b = cell.links()
+    def make(_: tuple, held: list[tuple]) -> pa.RecordBatch:
+        a, b = _Cell(held, sets, num, den).links()
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    links = staged(_by_cell(rows, bodies(member_filter(rows, "id")), sets, num, den, make, "a long, b long").distinct())
-    discard(totals, rows)
+    full = rows.join(bodies(member_filter(rows, "id")).select("id", "body"), "id").select(*CELL, "id", "label", "part", "body")
+    links = staged(_by_cell(full, make, "a long, b long").distinct())
+    discard(totals, rows, *([cells] if items is not None else []))
     return links
 
 
@@ -373,11 +407,13 @@ def link_counts(members: DataFrame, bodies: Fetch, sets: Sets, num: int, den: in
     )
     rows = staged(rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), F.col("id").alias("doc"), F.col("digest").alias("id"), "label", "part"))
 
-    def make(cell: _Cell) -> pa.RecordBatch:
+    def make(_: tuple, held: list[tuple]) -> pa.RecordBatch:
+        cell = _Cell(held, sets, num, den)
         return pa.RecordBatch.from_arrays([pa.array(cell.ids), pa.array(cell.counts())], names=["digest", "links"])
 
     each = bodies(member_filter(rows, "doc")).groupBy(F.col("digest").alias("id")).agg(F.first("body").alias("body"))
-    counted = staged(_by_cell(rows, each, sets, num, den, make, "digest long, links long").groupBy("digest").agg(F.sum("links").alias("links")))
+    full = rows.join(each, "id").select(*CELL, "id", "label", "part", "body")
+    counted = staged(_by_cell(full, make, "digest long, links long").groupBy("digest").agg(F.sum("links").alias("links")))
     discard(rows)
     return counted
 
@@ -440,7 +476,7 @@ def similar_components(
 
     grouped = tiles.where("tile is not null").select("tile", "id", "n").distinct()
     placed = staged(grouped.join(found, "id", "left").select("tile", "id", "n", F.coalesce("component", "id").alias("c")))
-    late = _open_links(placed, bodies, sets, num, den)
+    late = _open_links(placed, items, bodies, sets, num, den)
     discard(placed)
     if late is None or late.isEmpty():
         return found

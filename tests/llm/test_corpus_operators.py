@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from placeweave.llm import gif
+from placeweave.llm import gif, tiles
 from placeweave.llm.jaccard_join import ngram_jaccard_join, without_near_copies
 from placeweave.llm.language_id import _word_trigrams, held_out, identify, learn
 from placeweave.llm.line_dedup import BANDS, ROWS, dedup_lines
@@ -121,9 +121,58 @@ def test_jaccard_hot_group(spark):
     assert got == brute_components(dict(rows))
 
 
+def brute_links(texts: list[tuple]) -> dict[int, int]:
+    """Other rows that each row's text is linked with."""
+    sets = [(k, shingles(t)) for k, t in texts]
+    found = Counter({k: 0 for k, _ in sets})
+    for (a, x), (b, y) in itertools.combinations(sets, 2):
+        if x and y and 100 * (c := len(x & y)) >= 75 * (len(x) + len(y) - c):
+            found[a] += 1
+            found[b] += 1
+    return dict(found)
+
+
 def test_jaccard_table(spark, table):
-    got = {r.doc_id: r.component_id for r in QUERIES["op1_ngram_jaccard"](spark, SF).collect()}
-    assert got == brute_components({r.doc_id: r.text for r in table("documents").select("doc_id", "text").collect()})
+    rows = QUERIES["op1_ngram_jaccard"](spark, SF).collect()
+    texts = [(r.doc_id, r.text) for r in table("documents").select("doc_id", "text").collect()]
+    assert {r.doc_id: r.component_id for r in rows} == brute_components(dict(texts))
+    assert {r.doc_id: r.n_links for r in rows} == brute_links(texts)
+
+
+def test_jaccard_links_in_cells(spark, monkeypatch):
+    """Counts over many parts of a component, with exact copies; a template at 0.70 gives no pairs."""
+    monkeypatch.setattr(tiles, "CELL_ITEMS", 16)
+    base, r = prose(31, 90).split(), np.random.default_rng(2)
+    texts = []
+    for k in range(90):
+        w = list(base)
+        for j in r.choice(90, size=k % 5, replace=False):
+            w[j] = f"new{r.integers(9)}"
+        texts.append((k, " ".join(w)))
+    for k in range(60):  # all like one template, below the threshold to each other and to it
+        w = list(base)
+        for j in (10, 30, 50):
+            w[j] = f"own{k}x{j}"
+        texts.append((100 + k, " ".join(w)))
+    rows = ngram_jaccard_join(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.component_id for x in rows} == brute_components(dict(texts))
+    assert {x.doc_id: x.n_links for x in rows} == brute_links(texts)
+
+
+def test_cell_links_are_few():
+    """2,000 sets that share 0.70 with one template and no more with each other: no link leaves the
+    cell; with one set near all of them, at most one for each."""
+    r = np.random.default_rng(5)
+    template = np.unique(r.integers(0, 1 << 62, size=200, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([r.choice(template, 166, replace=False), r.integers(0, 1 << 62, size=36, dtype=np.uint64)])) for _ in range(2000)]
+    rows = [(k, k, 0, x.tobytes()) for k, x in enumerate(sets)]
+    a, _ = tiles._Cell(rows, tiles.hash_arrays, 3, 4).links()
+    assert len(a) == 0
+    near = [np.unique(np.concatenate([template[5:], x[:3]])) for x in sets]
+    a, b = tiles._Cell([(k, k, 0, x.tobytes()) for k, x in enumerate([template, *near])], tiles.hash_arrays, 3, 4).links()
+    assert len(a) == 2000
+
+
 
 
 def test_overlap_bound():
