@@ -1,9 +1,10 @@
 """Entity resolution: blocks, scores, the match cascade and leaders (J01-J12, J18, W-c).
 
-Candidates come from equi-joins on blocks that lose nothing the rules accept: grid
-cells for nearby records, the city (or its absence) for matches by name, bands of
-name length for near-identical names without a city.  Records of equal blocking
-fields are scored once: scores are computed on distinct pairs of names.
+Candidates come from equi-joins that lose nothing the rules accept: grid cells for
+nearby records; for matches by name a prefix filter over letter pairs, in which two
+names of the least score share one of the rarest pairs of each.  Names are matched
+as distinct names first, so records of one name are scored once, and only pairs of
+names that score are joined back to the records.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeweave.constants import CELL_DEGREES, NEAR_KM, SCORE_ANYWHERE, SCORE_CANDIDATE, SCORE_MATCH, SCORE_NAME_ONLY
-from placeweave.functions.names import comparable_lengths, comparison_name, differ_only_by_number, distance_km, match_risk, matching_name, may_reach, sorted_tokens, indel_ratio
+from placeweave.functions.names import comparable_lengths, comparison_name, differ_only_by_number, distance_km, match_risk, matching_name, may_reach, name_score, sorted_tokens
 from placeweave.functions.normalize import normalize_address
+from placeweave.session import discard, staged
 
 
 def cell(c: Column) -> Column:
@@ -67,43 +69,78 @@ def _visible() -> Column:
     return ~F.col("i_placed") | ~F.col("e_placed") | near
 
 
-def by_city(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Pairs of one state and city, or without a city on both sides (blocks of J07)."""
-    i, e = _sides(incoming, existing)
-    same = F.coalesce("i_city_key", F.lit("\u0001")) == F.coalesce("e_city_key", F.lit("\u0001"))
-    return i.join(e, (F.col("i_state") == F.col("e_state")) & same).where(_visible())
-
+def letter_pairs(tokens: Column) -> Column:
+    """The L + 1 pairs of neighbouring letters of a name with an end mark on both sides,
+    each with the number of times it came before."""
+    marked = F.concat(F.lit("\u0002"), tokens, F.lit("\u0003"))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(tokens) + 1), lambda k: F.substr(marked, k, F.lit(2)))
+    # bound as a variable, so that it is made once a name
+    counted = F.transform(F.array(pairs), lambda p: F.transform(p, lambda g, k: F.concat(g, F.size(F.filter(F.slice(p, F.lit(1), k), lambda x: x == g)).cast("string"))))
+    return F.element_at(counted, 1)
 
-def by_length(incoming: DataFrame, existing: DataFrame, band: int = 4) -> DataFrame:
-    """Pairs of one state whose names may score SCORE_ANYWHERE, incoming without a city."""
-    return _length_bands(incoming.where("city_key is null"), existing, SCORE_ANYWHERE, band).where(_visible())
 
+def _prefixes(names: DataFrame, often: DataFrame, least: float) -> DataFrame:
+    """(block, tokens, i, e, pair) of the rarest letter pairs of each name.
 
-def without_place(incoming: DataFrame, existing: DataFrame, band: int = 4) -> DataFrame:
-    """Pairs of one state whose names may score SCORE_MATCH, without coordinates on a side or both."""
-    to_all = _length_bands(incoming.where("not placed"), existing, SCORE_MATCH, band)
-    return to_all.unionByName(_length_bands(incoming.where("placed"), existing.where("not placed"), SCORE_MATCH, band))
+    Names with a score of ``least`` or more differ by d = (1 - least/100) (L + M) letters at
+    most and each spoils two pairs, so they share max(L, M) + 1 - 2d pairs or more: the
+    floor(4 (1 - least/100) L) + 1 rarest of one meet those of the other.
+    """
+    length = F.length("tokens")
+    prefix = F.least(F.floor(4 * (1 - least / 100) * length + F.lit(1e-9)) + 1, length + 1).cast("int")
+    pairs = names.select("block", "tokens", "i", "e", F.explode("pairs").alias("pair"))
+    ranked = pairs.join(often, "pair").groupBy("block", "tokens", "i", "e").agg(F.array_sort(F.collect_list(F.struct("n", "pair"))).alias("pairs"))  # of one name
+    rarest = ranked.select("block", "tokens", "i", "e", F.explode(F.slice("pairs", F.lit(1), prefix)).alias("p"))
+    return rarest.select("block", "tokens", "i", "e", F.col("p.pair").alias("pair"))
 
 
-def _length_bands(incoming: DataFrame, existing: DataFrame, least: float, band: int) -> DataFrame:
-    """Pairs of one state whose names may score ``least``, from their lengths.
+def name_pairs(incoming: DataFrame, existing: DataFrame, least: float, by_state: bool = True) -> DataFrame:
+    """(block, a, b, score) of the distinct names of both sides that score ``least`` or more.
 
-    Each incoming record meets the bands of lengths that its reach covers.
+    ``block`` is the state, or one for all.
     """
+    block = F.col("state") if by_state else F.lit("")
+    sides = incoming.select(F.lit(True).alias("new"), block.alias("block"), "tokens").unionByName(existing.select(F.lit(False).alias("new"), block.alias("block"), "tokens"))
+    names = sides.where("block is not null and tokens is not null").groupBy("block", "tokens").agg(F.max("new").alias("i"), F.max(~F.col("new")).alias("e"))
+    grams = staged(names.withColumn("pairs", letter_pairs(F.col("tokens"))))
+    often = grams.select("tokens", "pairs").distinct().select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    prefixes = staged(_prefixes(grams, often, least))
+    a, b = F.col("a"), F.col("b")
+    i = prefixes.where("i").select("block", "pair", F.col("tokens").alias("a"))
+    e = prefixes.where("e").select("block", "pair", F.col("tokens").alias("b"))
+    met = staged(i.join(e, ["block", "pair"]).where(may_reach(a, b, least)).select("block", "a", "b").distinct())
+    scores = met.select("a", "b").distinct().where(_letters_allow(a, b, least)).withColumn("score", name_score(a, b)).where(F.col("score") >= least)
+    found = staged(met.join(scores, ["a", "b"]))
+    discard(grams, prefixes, met)
+    return found
+
+
+def _named(incoming: DataFrame, existing: DataFrame, pairs: DataFrame, by_state: bool = True, same_city: bool = False) -> DataFrame:
+    """The pairs of records whose names are a pair, with score and km."""
     i, e = _sides(incoming, existing)
-    n = F.length("i_tokens")
-    reach = least / (200.0 - least)
-    bands = F.sequence(F.floor(n * reach / band), F.floor(n / reach / band))
-    i = i.withColumn("band", F.explode(bands))
-    e = e.withColumn("e_band", F.floor(F.length("e_tokens") / band))
-    return i.join(e, (F.col("i_state") == F.col("e_state")) & (F.col("band") == F.col("e_band"))).drop("band", "e_band")
+    one, meet = [F.col("i_tokens") == F.col("a")], [F.col("b") == F.col("e_tokens")]
+    if by_state:
+        one.append(F.col("i_state") == F.col("block"))
+        meet.append(F.col("block") == F.col("e_state"))
+    if same_city:  # or none on both sides
+        i, e = i.withColumn("i_in", F.coalesce("i_city_key", F.lit("\u0001"))), e.withColumn("e_in", F.coalesce("e_city_key", F.lit("\u0001")))
+        meet.append(F.col("i_in") == F.col("e_in"))
+    km = distance_km(F.col("i_latitude"), F.col("i_longitude"), F.col("e_latitude"), F.col("e_longitude"))
+    found = i.join(pairs, one).join(e, meet).where(comparable_lengths(F.col("i_plain"), F.col("e_plain")))
+    return found.withColumn("km", km).drop("i_in", "e_in", "a", "b", "block")
+
+
+def without_place(incoming: DataFrame, existing: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs of one state by name, without coordinates on a side or both."""
+    to_all = _named(incoming.where("not placed"), existing, pairs)
+    return to_all.unionByName(_named(incoming.where("placed"), existing.where("not placed"), pairs))
 
 
 def with_scores(pairs: DataFrame, least: float) -> DataFrame:
     """Pairs with score and km; those that cannot reach ``least`` go before scoring."""
     a, b = F.col("i_tokens"), F.col("e_tokens")
     may = pairs.where(comparable_lengths(F.col("i_plain"), F.col("e_plain")) & may_reach(a, b, least) & _letters_allow(a, b, least))
-    scores = may.select("i_tokens", "e_tokens").distinct().withColumn("score", indel_ratio(a, b))
+    scores = may.select("i_tokens", "e_tokens").distinct().withColumn("score", name_score(a, b))
     km = distance_km(F.col("i_latitude"), F.col("i_longitude"), F.col("e_latitude"), F.col("e_longitude"))
     return may.join(scores, ["i_tokens", "e_tokens"]).where(F.col("score") >= least).withColumn("km", km)
 
@@ -136,7 +173,7 @@ def fuzzy_matches(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     of names where coordinates are missing.
     """
     near = with_scores(neighbours(incoming, existing), SCORE_CANDIDATE)
-    rest = with_scores(without_place(incoming, existing), SCORE_MATCH)
+    rest = without_place(incoming, existing, name_pairs(incoming, existing, SCORE_MATCH)).select(*near.columns)
     return near.unionByName(rest).withColumn("match_type", match_type(F.col("score"), F.col("km"))).where("match_type is not null")
 
 
@@ -149,14 +186,15 @@ def candidates(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     key = ["i_id", "e_id"]
     one = refnum_matches(incoming, existing).select(*key, F.lit(1).alias("pass"), F.lit(100.0).alias("score"), F.lit(None).cast("double").alias("km"))
     raw = address_matches(incoming, existing)
-    raw_score = indel_ratio(sorted_tokens(F.col("i_name")), sorted_tokens(F.col("e_name")))
+    raw_score = name_score(sorted_tokens(F.col("i_name")), sorted_tokens(F.col("e_name")))
     two = raw.select(*key, F.lit(2).alias("pass"), raw_score.alias("score"), F.lit(None).cast("double").alias("km"))
     numbers = differ_only_by_number(F.col("i_name"), F.col("e_name"))
     near = with_scores(neighbours(incoming, existing), SCORE_CANDIDATE).where((F.col("km") <= NEAR_KM) & ~numbers)
     three = near.select(*key, F.lit(3).alias("pass"), "score", "km")
     far = F.coalesce(F.col("km") > NEAR_KM, F.lit(True))
-    names = with_scores(by_city(incoming, existing), SCORE_NAME_ONLY).where(far & ~numbers)
-    sure = with_scores(by_length(incoming, existing), SCORE_ANYWHERE).where(far & ~numbers)
+    pairs = name_pairs(incoming, existing, SCORE_NAME_ONLY)
+    names = _named(incoming, existing, pairs, same_city=True).where(_visible() & far & ~numbers)
+    sure = _named(incoming.where("city_key is null"), existing, pairs.where(F.col("score") >= SCORE_ANYWHERE)).where(_visible() & far & ~numbers)
     four = names.select(*key, "score", "km").unionByName(sure.select(*key, "score", "km")).distinct().withColumn("pass", F.lit(4))
     return one.unionByName(two).unionByName(three).unionByName(four.select(*one.columns))
 
@@ -184,28 +222,15 @@ def near_misses(incoming: DataFrame, existing: DataFrame, matched: DataFrame) ->
 
 
 def park_matches(parks: DataFrame, existing: DataFrame) -> DataFrame:
-    """The best name of SCORE_MATCH or more at any distance in any state.
-
-    Names of equal length bands meet; the bands a park reaches are few.
-    """
-    i, e = _sides(parks, existing)
-    reach = SCORE_MATCH / (200.0 - SCORE_MATCH)
-    n = F.length("i_tokens")
-    i = i.withColumn("band", F.explode(F.sequence(F.floor(n * reach / 8), F.floor(n / reach / 8))))
-    e = e.withColumn("e_band", F.floor(F.length("e_tokens") / 8))
-    pairs = with_scores(i.join(e, F.col("band") == F.col("e_band")).drop("band", "e_band"), SCORE_MATCH)
+    """The best name of SCORE_MATCH or more at any distance in any state."""
+    pairs = _named(parks, existing, name_pairs(parks, existing, SCORE_MATCH, by_state=False), by_state=False)
     return best_matches(pairs.select("i_id", "e_id", F.lit(1).alias("pass"), "score", "km"))
 
 
 def battlefield_matches(fields: DataFrame, existing: DataFrame, least: float = 92.0) -> DataFrame:
     """Nearby with a similar name, else by name alone from ``least`` on."""
     near = with_scores(neighbours(fields, existing, by_state=False), SCORE_CANDIDATE).where(F.col("km") <= NEAR_KM)
-    i, e = _sides(fields, existing)
-    reach = least / (200.0 - least)
-    n = F.length("i_tokens")
-    i = i.withColumn("band", F.explode(F.sequence(F.floor(n * reach / 8), F.floor(n / reach / 8))))
-    e = e.withColumn("e_band", F.floor(F.length("e_tokens") / 8))
-    named = with_scores(i.join(e, F.col("band") == F.col("e_band")).drop("band", "e_band"), least)
+    named = _named(fields, existing, name_pairs(fields, existing, least, by_state=False), by_state=False)
     both = near.select("i_id", "e_id", F.lit(1).alias("pass"), "score", "km").unionByName(named.select("i_id", "e_id", F.lit(2).alias("pass"), "score", "km"))
     return best_matches(both)
 

@@ -341,18 +341,22 @@ def breaker_cutoff(spark, sf_dir):
 
 # --- resolution ----------------------------------------------------------------------
 
+_NATION_CODES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(views.CODES))
 _KEYED = f"""
 , keyed AS (SELECT site_id AS id, *, nullif(lower(trim(city)), '') AS city_key, nullif({sql_address('address')}, '') AS address_key,
   {sql_plain('name')} AS plain, CAST(round_even(latitude / 0.05, 0) AS BIGINT) AS cx, CAST(round_even(longitude / 0.05, 0) AS BIGINT) AS cy FROM sites),
 inc AS (SELECT site_id + 1000000 AS id, state, CASE WHEN site_id % 9 = 1 THEN nris_refnum END AS nris_refnum,
   nullif(lower(trim(CASE WHEN site_id % 7 = 1 THEN 'ELSEWHERE' ELSE city END)), '') AS city_key, nullif({sql_address('address')}, '') AS address_key,
   latitude + 0.001 AS latitude, longitude + 0.001 AS longitude, CAST(round_even((latitude + 0.001) / 0.05, 0) AS BIGINT) AS cx, CAST(round_even((longitude + 0.001) / 0.05, 0) AS BIGINT) AS cy
-  FROM sites WHERE site_id % 3 = 1)
+  FROM sites
+  UNION ALL SELECT s_suppkey + 900000000, code, NULL, NULL, NULL, 60.0, -150.0 + s_suppkey % 100 / 100, 1200, CAST(round_even((-150.0 + s_suppkey % 100 / 100) / 0.05, 0) AS BIGINT)
+  FROM supplier JOIN (VALUES {_NATION_CODES}) AS c(nation, code) ON nation = s_nationkey)
 """
 
 
 def _sides(spark, sf_dir):
-    return resolve.keyed(views.incoming(spark, sf_dir), "record_id"), resolve.keyed(views.sites(spark, sf_dir), "site_id")
+    """Both sides with their keys, staged since a cascade reads them many times."""
+    return staged(resolve.keyed(views.incoming(spark, sf_dir), "record_id")), staged(resolve.keyed(views.sites(spark, sf_dir), "site_id"))
 
 
 @query(with_tables("sites", body=_KEYED + "SELECT i.id AS record_id, e.id AS site_id FROM inc i JOIN keyed e ON i.nris_refnum = e.nris_refnum"))
@@ -397,7 +401,7 @@ def match_audit(spark, sf_dir):
     with_tables(
         "sites",
         body=""", cur AS (SELECT site_id, nris_refnum, name, city, address, source_shpo FROM sites WHERE nris_refnum IS NOT NULL QUALIFY row_number() OVER (PARTITION BY nris_refnum ORDER BY site_id) = 1),
-inc AS (SELECT site_id + 1000000 AS arrival, nris_refnum, 'New ' || name AS name, CASE WHEN site_id % 7 = 1 THEN 'ELSEWHERE' ELSE city END AS city, address, true AS source_shpo FROM sites WHERE site_id % 3 = 1),
+inc AS (SELECT site_id + 1000000 AS arrival, nris_refnum, 'New ' || name AS name, CASE WHEN site_id % 7 = 1 THEN 'ELSEWHERE' ELSE city END AS city, address, true AS source_shpo FROM sites),
 f AS (SELECT nris_refnum, arg_min(name, arrival) AS name, arg_min(city, arrival) FILTER (WHERE city IS NOT NULL AND city <> '') AS city,
   arg_min(address, arrival) FILTER (WHERE address IS NOT NULL AND address <> '') AS address, bool_or(source_shpo) AS source_shpo FROM inc WHERE nris_refnum IS NOT NULL GROUP BY 1)
 SELECT coalesce(cur.site_id, -1) AS site_id, coalesce(cur.nris_refnum, f.nris_refnum) AS nris_refnum, coalesce(nullif(cur.name, ''), f.name, cur.name) AS name, coalesce(nullif(cur.city, ''), f.city, cur.city) AS city,
@@ -411,7 +415,7 @@ def upsert_first_wins(spark, sf_dir):
     rows = views.sites(spark, sf_dir)
     current = tables.keep_first(rows.where("nris_refnum is not null"), ["nris_refnum"], "site_id").select(*fields)
     k = F.col("site_id")
-    new = rows.where(k % 3 == 1).select(
+    new = rows.select(
         (k + 1_000_000).alias("arrival"), "nris_refnum", F.concat(F.lit("New "), "name").alias("name"),
         F.when(k % 7 == 1, "ELSEWHERE").otherwise(F.col("city")).alias("city"), "address", F.lit(True).alias("source_shpo"),
     )
@@ -421,7 +425,7 @@ def upsert_first_wins(spark, sf_dir):
 @query(
     with_tables(
         "sites",
-        body=""", m AS (SELECT site_id, 'filled' AS city, 'filled road' AS address FROM sites WHERE site_id % 2 = 0)
+        body=""", m AS (SELECT o_custkey AS site_id, 'filled ' || o_orderstatus AS city, 'filled road' AS address FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1)
 SELECT s.site_id, CASE WHEN m.site_id IS NOT NULL AND primary_source <> 'manual' THEN coalesce(nullif(s.city, ''), m.city) ELSE s.city END AS city,
   CASE WHEN m.site_id IS NOT NULL AND primary_source <> 'manual' THEN coalesce(nullif(s.address, ''), m.address) ELSE s.address END AS address,
   CASE WHEN m.site_id IS NOT NULL AND primary_source <> 'manual' THEN true ELSE source_shpo END AS source_shpo FROM sites s LEFT JOIN m ON s.site_id = m.site_id""",
@@ -429,7 +433,8 @@ SELECT s.site_id, CASE WHEN m.site_id IS NOT NULL AND primary_source <> 'manual'
 )
 def fill_empty(spark, sf_dir):
     rows = views.sites(spark, sf_dir)
-    matched = rows.where(F.col("site_id") % 2 == 0).select("site_id", F.lit("filled").alias("city"), F.lit("filled road").alias("address"))
+    first = tables.keep_first(views.table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderkey")
+    matched = first.select(F.col("o_custkey").alias("site_id"), F.concat(F.lit("filled "), "o_orderstatus").alias("city"), F.lit("filled road").alias("address"))
     return tables.fill_empty(rows, matched, ["city", "address"], "source_shpo").select("site_id", "city", "address", "source_shpo")
 
 

@@ -1,7 +1,7 @@
 """Site-shaped views of the given tables, in Spark and (the same) in SQL.
 
 ``sites`` turns customers into sites with every kind of dirt the normalisers meet;
-``incoming`` has a third of them as new records that are disturbed, and suppliers
+``incoming`` has all of them as new records that are disturbed, and suppliers
 that match nothing.  Categories, periods and areas come from line items and orders.
 """
 
@@ -125,12 +125,13 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of the sites as new records: words reversed, moved by 0.001 degrees, and
-    some with another number, another city or without their number in the register."""
+    """All sites as new records: words reversed, moved by 0.001 degrees, and some with
+    another number, another city or without their number in the register; and the
+    suppliers, far from any site and under names of their own."""
     k = F.col("site_id")
     words = F.array_join(F.reverse(F.split("name", " ")), " ")
     renumbered = F.regexp_replace("name", r"\d+", (k % 90 + 900).cast("string"))
-    return sites(spark, sf_dir).where(k % 3 == 1).select(
+    disturbed = sites(spark, sf_dir).select(
         (k + 1_000_000).alias("record_id"), k.alias("arrival"),
         F.when(k % 9 == 1, F.col("nris_refnum")).alias("nris_refnum"),
         F.when(k % 5 == 1, renumbered).otherwise(words).alias("name"), "state",
@@ -138,3 +139,10 @@ def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("latitude") + 0.001).alias("latitude"), (F.col("longitude") + 0.001).alias("longitude"),
         "date_constructed", "nhl_designation_date", "full_description",
     )
+    state = F.element_at(F.array(*[F.lit(c) for c in CODES]), F.col("s_nationkey") + 1)
+    strangers = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") + 900_000_000).alias("record_id"), (F.col("s_suppkey") + 900_000_000).alias("arrival"), F.lit(None).cast("string").alias("nris_refnum"),
+        F.concat_ws(" ", F.lit("Works of"), "s_name").alias("name"), state.alias("state"), F.lit(None).cast("string").alias("city"), F.lit(None).cast("string").alias("address"),
+        F.lit(60.0).alias("latitude"), (F.lit(-150.0) + F.col("s_suppkey") % 100 / 100).alias("longitude"),
+    )
+    return disturbed.unionByName(strangers, allowMissingColumns=True)
