@@ -36,6 +36,8 @@ ITEMS = "id long, n long, digest long, bits binary"
 BODIES = "id long, digest long, body binary"
 #: Items and elements of a part of a cell, about; a larger tile is cut into parts that meet.
 CELL_ITEMS, CELL_ELEMENTS = 2048, 1 << 21
+#: Cells of so many items are verified without bounding first.
+FEW = 8
 #: Gives the rows (ITEMS or BODIES) of the ids that pass a membership filter.
 Fetch = Callable[[np.ndarray], DataFrame]
 #: Gives the sorted distinct hashes of each body.
@@ -236,6 +238,15 @@ class _Bounds:
         """Each item with those behind it whose size and bitmap allow a link."""
         n, num, den = self.n, self.num, self.den
         crossing = self.part.min() != self.part.max()
+        if not len(self.bits[0]):  # so few that a bound does not pay
+            for k in range(len(n) - 1):
+                later = np.arange(k + 1, len(n))
+                ok = _compatible(n[later], n[k], num, den) & open_with(k, later)
+                if crossing:
+                    ok &= self.part[later] != self.part[k]
+                if ok.any():
+                    yield k, later[ok]
+            return
         width = np.array([len(x) for x in self.bits])
         for w in np.unique(width):
             # similar sizes have bitmaps of one width or of neighbouring widths
@@ -269,9 +280,9 @@ class _Bounds:
 class _Cell(_Bounds):
     """Items of a cell (id, label, part, body) with their sets."""
 
-    def __init__(self, rows: list[tuple], sets: Sets, num: int, den: int) -> None:
-        found = sets([r[3] for r in rows])
-        super().__init__([(*r[:3], len(x), _bits(x, 8, 15)) for r, x in zip(rows, found, strict=True)], num, den)
+    def __init__(self, rows: list[tuple], found: list[np.ndarray], num: int, den: int) -> None:
+        few = len(rows) <= FEW
+        super().__init__([(*r[:3], len(x), b"" if few else _bits(x, 8, 15)) for r, x in zip(rows, found, strict=True)], num, den)
         _, self.codes = np.unique(np.concatenate(found), return_inverse=True)
         self.at = np.concatenate([[0], np.cumsum(self.n)])
         self.mark = np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=bool)
@@ -321,33 +332,46 @@ def _parts(items: str, elements: str) -> F.Column:
 CELL = ["tile", "p", "q"]
 
 
-def _by_cell(rows: DataFrame, make: Callable[[tuple, list[tuple]], pa.RecordBatch], schema: str) -> DataFrame:
-    """What ``make`` gives for the rows of every cell, as tuples without the cell's columns."""
+def _by_cell(rows: DataFrame, make: Callable[[list[tuple[tuple, list[tuple]]]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``make`` gives for some cells at a time, each with its rows as tuples."""
     kept = [c for c in rows.columns if c not in CELL]
     ordered = rows.repartition(*CELL).sortWithinPartitions(*CELL, "id").select(*CELL, *kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held = None, []
+        cell, held, full, count = None, [], [], 0
         for batch in batches:
             for tile, p, q, *item in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if (tile, p, q) != cell:
                     if len(held) > 1:
-                        yield make(cell, held)
+                        full.append((cell, held))
+                        count += len(held)
+                    if count >= CELL_ITEMS:
+                        yield from make(full)
+                        full, count = [], 0
                     cell, held = (tile, p, q), []
                 held.append(tuple(item))
         if len(held) > 1:
-            yield make(cell, held)
+            full.append((cell, held))
+        if full:
+            yield from make(full)
 
     return ordered.mapInArrow(released(run), schema)
 
 
+def _cells(full: list[tuple[tuple, list[tuple]]], sets: Sets, num: int, den: int) -> Iterator[_Cell]:
+    """The cells of rows (id, label, part, body); the sets of all are made together."""
+    found = iter(sets([r[3] for _, held in full for r in held]))
+    for _, held in full:
+        yield _Cell(held, [next(found) for _ in held], num, den)
+
+
 def _promising(rows: DataFrame, items: DataFrame, num: int, den: int) -> DataFrame:
     """Those rows of cells that, by bitmaps alone, may have a link to another component."""
 
-    def make(cell: tuple, held: list[tuple]) -> pa.RecordBatch:
-        found = _Bounds(held, num, den).hopeful()
-        columns = [pa.array([x] * len(found), kind) for x, kind in zip(cell, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*CELL, "id"])
+    def make(cells: list[tuple[tuple, list[tuple]]]) -> Iterator[pa.RecordBatch]:
+        found = [(cell, _Bounds(held, num, den).hopeful()) for cell, held in cells]
+        columns = [pa.array([cell[k] for cell, ids in found for _ in ids], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate([ids for _, ids in found]))], names=[*CELL, "id"])
 
     full = rows.join(items.select("id", "n", "bits"), "id").select(*CELL, "id", "label", "part", "n", "bits")
     return rows.join(_by_cell(full, make, "tile long, p int, q int, id long"), [*CELL, "id"], "left_semi")
@@ -383,9 +407,9 @@ def _open_links(placed: DataFrame, items: DataFrame | None, bodies: Fetch, sets:
         rows = _promising(cells, items, num, den)
     rows = staged(rows)
 
-    def make(_: tuple, held: list[tuple]) -> pa.RecordBatch:
-        a, b = _Cell(held, sets, num, den).links()
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    def make(cells: list[tuple[tuple, list[tuple]]]) -> Iterator[pa.RecordBatch]:
+        a, b = (np.concatenate(x) for x in zip(*(cell.links() for cell in _cells(cells, sets, num, den)), strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     full = rows.join(bodies(member_filter(rows, "id")).select("id", "body"), "id").select(*CELL, "id", "label", "part", "body")
     links = staged(_by_cell(full, make, "a long, b long").distinct())
@@ -407,9 +431,9 @@ def link_counts(members: DataFrame, bodies: Fetch, sets: Sets, num: int, den: in
     )
     rows = staged(rows.select("tile", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), F.col("id").alias("doc"), F.col("digest").alias("id"), "label", "part"))
 
-    def make(_: tuple, held: list[tuple]) -> pa.RecordBatch:
-        cell = _Cell(held, sets, num, den)
-        return pa.RecordBatch.from_arrays([pa.array(cell.ids), pa.array(cell.counts())], names=["digest", "links"])
+    def make(cells: list[tuple[tuple, list[tuple]]]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(cells, sets, num, den):
+            yield pa.RecordBatch.from_arrays([pa.array(cell.ids), pa.array(cell.counts())], names=["digest", "links"])
 
     each = bodies(member_filter(rows, "doc")).groupBy(F.col("digest").alias("id")).agg(F.first("body").alias("body"))
     full = rows.join(each, "id").select(*CELL, "id", "label", "part", "body")
