@@ -11,7 +11,7 @@ more with the probability of the rest.  Draws are hashes of ids.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeweave.llm.shared import discard, staged
@@ -52,32 +52,34 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     """``cells`` (dimensions, tokens) with ``weight``: tokens raked to the targets.
 
     Targets are DataFrames (value, share) for each dimension; values without a
-    target get no weight.  A round is one pass over each dimension.  After each two
-    rounds the cells, a summary of the corpus, are staged, so plans stay small, and
-    the largest change is read.  Where no weights meet all targets, the last
-    dimension's are met.
+    target get no weight.  A round is one pass over each dimension, a window over the
+    cells, which are a summary of the corpus.  After each two rounds they are staged,
+    so plans stay small, and the largest change is read.  Where no weights meet all
+    targets, the last dimension's are met.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
-    now = staged(cells.withColumn("weight", F.col("tokens").cast("double")))
+    shares = {d: f"__share_{k}" for k, d in enumerate(targets)}
+    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for dimension, target in targets.items():
+        now = now.join(target.select(F.col("value").alias(dimension), F.col("share").alias(shares[dimension])), dimension, "left")
+    now = staged(now.fillna(0.0, list(shares.values())))
     done = 0
     while done < rounds:
-        step, last = now, now
-        for k in range(min(2, rounds - done)):
-            step = step.withColumn("__moved", F.lit(0.0))
-            for dimension, target in targets.items():
-                sums = step.groupBy(dimension).agg(F.sum("weight").alias("__sum"))
-                share = F.coalesce("share", F.lit(0.0))
-                factor = sums.join(target.withColumnRenamed("value", dimension), dimension, "left").select(
-                    dimension, F.when(F.col("__sum") > 0, share * total / F.col("__sum")).otherwise(0.0).alias("__factor")
-                )
+        step, last = now.withColumn("__moved", F.lit(0.0)), now
+        for _ in range(min(2, rounds - done)):
+            for dimension, share in shares.items():
+                whole = F.sum("weight").over(Window.partitionBy(dimension))
+                factor = F.when(whole > 0, F.col(share) * total / whole).otherwise(0.0)
                 moved = F.greatest("__moved", F.when(F.col("weight") > 0, F.abs(F.col("__factor") - 1)).otherwise(0.0))
-                step = step.join(factor, dimension).withColumns({"__moved": moved, "weight": F.col("weight") * F.col("__factor")}).drop("__factor")
+                step = step.withColumn("__factor", factor).withColumns({"__moved": moved, "weight": F.col("weight") * F.col("__factor")})
             done += 1
-        now = staged(step)
+        step = staged(step.drop("__factor"))
         discard(last)
-        if (now.agg(F.max("__moved")).first()[0] or 0.0) <= tolerance:  # one number
+        now = step.drop("__moved")
+        now.staged_path = step.staged_path
+        if (step.agg(F.max("__moved")).first()[0] or 0.0) <= tolerance:  # one number
             break
-    return now.drop("__moved")
+    return now.drop(*shares.values())
 
 
 def _placed(docs: DataFrame, kept: list[str], text: str, topic_of: F.Column | None, tokens_of: F.Column | None) -> tuple[DataFrame, list[str]]:
