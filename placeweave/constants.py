@@ -19,6 +19,11 @@ STATE_CODES = {
     "american samoa": "AS", "u.s. virgin islands": "VI", "northern mariana islands": "MP",
 }
 
+#: upper-case state names of national layers that STATE_CODES lacks
+LAYER_STATES = {"N. MARIANA ISLANDS": "MP", "PALAU": "PW", "VIRGIN ISLANDS": "VI", "FED. STATES": "FM", "MARSHALL ISLANDS": "MH"}
+#: long names that national layers do not use
+LAYER_UNUSED = ["u.s. virgin islands", "northern mariana islands"]
+
 LAT_RANGE = (17.9, 71.4)
 LON_RANGE = (-180.0, -64.5)
 

@@ -72,3 +72,25 @@ def outliers(sites: DataFrame, date_fields: list[str]) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Counts of the non-null values of a column."""
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+
+
+def summary(sites: DataFrame, sources: DataFrame, designations: DataFrame) -> DataFrame:
+    """(what, n): the rows of the three tables."""
+    count = lambda df, what: df.agg(F.count("*").alias("n")).select(F.lit(what).alias("what"), "n")
+    return count(sites, "total_sites").unionByName(count(sources, "total_sources")).unionByName(count(designations, "total_designations"))
+
+
+def states_with_coordinates(sites: DataFrame) -> DataFrame:
+    """States that have a site with coordinates."""
+    return sites.where("latitude is not null and longitude is not null and state is not null").select("state").distinct()
+
+
+def report_outliers(found: DataFrame, most: int = 50) -> DataFrame:
+    """What the report lists of the outliers: the first by site."""
+    return found.orderBy("site_id", "kind", "detail").limit(most)
+
+
+def site_richness(sites: DataFrame) -> DataFrame:
+    """(site_id, richness) of each site."""
+    words = word_count(best_description(F.col("full_description"), F.col("short_description")))
+    return sites.select("site_id", richness_class(words).alias("richness"))

@@ -566,3 +566,6 @@ def near_misses(spark, sf_dir):
 def insert_leaders(spark, sf_dir):
     """Records that are inserted when they arrive one after the other."""
     return resolve.insert_leaders(*_sides(spark, sf_dir), staged)
+
+
+from placeweave.plans import merging  # noqa: E402, F401  (registers its queries)

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeweave.constants import DESIGNATIONS
 
 PLACEMARKS = 2000
+#: in the order of the file (fixed values)
 PROPERTIES = [
-    "nris_refnum", "name", "state", "city", "county", "address", "date_constructed", "nhl_designation_date", "nrhp_cert_date",
+    "name", "nris_refnum", "state", "city", "county", "address", "date_constructed", "nhl_designation_date", "nrhp_cert_date",
     "condition", "public_access", "website_url", "short_description", "confidence_score", "review_status",
 ]
+#: columns of the review file and of the review tool's (fixed values)
 REVIEW_COLUMNS = [
-    "site_id", "name", "state", "city", "address", "latitude", "longitude", "confidence_score", "review_status",
-    "review_priority", "primary_source", "short_description",
+    "site_id", "name", "state", "city", "nris_refnum", "confidence_score", "review_priority", "review_status",
+    "reviewer_notes", "latitude", "longitude", "short_description", "condition", "public_access",
+]
+TOOL_COLUMNS = [
+    "site_id", "name", "state", "nris_refnum", "confidence_score", "review_priority", "review_status",
+    "reviewer_notes", "latitude", "longitude", "short_description",
 ]
 
 
@@ -23,11 +30,34 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def review_rows(sites: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Flagged sites by priority and score."""
-    chosen = [c for c in columns or REVIEW_COLUMNS if c in sites.columns]
+    """Flagged sites by priority and score, the site's number as ``id`` (K01, with TOOL_COLUMNS K02)."""
+    chosen = [_or_null(sites, c).alias("id" if c == "site_id" else c) for c in columns or REVIEW_COLUMNS]
     return sites.where(F.col("review_status") == "flagged").orderBy("review_priority", "confidence_score", "site_id").select(*chosen)
 
 
+def feature_collection(features: DataFrame, path: str) -> None:
+    """Lines of features as one collection a part file (K05): head, features, end."""
+    lines = features.select(F.col("feature").alias("value"))
+
+    def wrapped(batches):
+        first = True
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            text = [("" if first and not k else ",") + v for k, v in enumerate(values)]
+            first = first and not text
+            yield pa.RecordBatch.from_arrays([pa.array(text, pa.string())], names=["value"])
+
+    whole = lines.mapInArrow(lambda b: _enclosed(wrapped(b)), "value string")
+    whole.write.mode("overwrite").text(path)
+
+
+def _enclosed(batches):
+    line = lambda x: pa.RecordBatch.from_arrays([pa.array([x], pa.string())], names=["value"])
+    yield line('{"type":"FeatureCollection","features":[')
+    yield from batches
+    yield line("]}")
+
+
 def full_rows(sites: DataFrame) -> DataFrame:
     """All columns by state and name, nulls first."""
     return sites.orderBy("state", "name")

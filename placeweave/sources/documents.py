@@ -154,9 +154,18 @@ def detail_fields(pages: DataFrame) -> DataFrame:
 
 
 def listed_sites(listing: DataFrame, details: DataFrame) -> DataFrame:
-    """Listing rows with what their detail page adds; the listing is preferred."""
-    d = details.select(F.col("nps_number").alias("refnum"), F.col("county").alias("__county"), F.col("location").alias("address"), F.col("year_built").alias("date_constructed"))
-    return listing.join(d, "refnum", "left").withColumn("county", F.coalesce(F.nullif("county", F.lit("")), "__county")).drop("__county")
+    """Listing rows with what their detail page adds; the listing is preferred.
+
+    ``details`` carry the refnum of the listing they belong to, or else their own number.
+    The detail page's location is the city, its directions are the address.
+    """
+    d = details.select(
+        F.col("refnum" if "refnum" in details.columns else "nps_number").alias("refnum"), F.col("county").alias("__county"), F.col("location").alias("__city"), F.col("directions").alias("address"),
+        F.col("year_built").alias("date_constructed"),
+    )
+    empty = F.lit("")
+    filled = {"county": F.coalesce(F.nullif("county", empty), "__county"), "city": F.coalesce(F.nullif("city", empty), "__city")}
+    return listing.join(d, "refnum", "left").withColumns(filled).drop("__county", "__city")
 
 
 def geocoder_replies(lines: DataFrame, column: str = "value") -> DataFrame:

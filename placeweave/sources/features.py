@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeweave.constants import STATE_CODES
+from placeweave.constants import LAYER_STATES, LAYER_UNUSED, STATE_CODES
 from placeweave.functions.names import is_generic, pick_entry, strip_invisible, strip_patterns, unshout
 from placeweave.functions.normalize import blank_to_null, epoch_ms_to_iso, literal_map
 
@@ -48,6 +48,21 @@ def area_centroid(ring: Column) -> Column:
     return F.when(total != 0, F.struct((moment(0) / (3 * total)).alias("lon"), (moment(1) / (3 * total)).alias("lat")))
 
 
+def polygon_centroid(rings: Column) -> Column:
+    """struct(lon, lat): area-weighted centroid of all rings, where outer rings turn one
+    way and holes the other, as in map services; null if empty or flat (S17)."""
+    parts = F.filter(F.transform(rings, lambda r: F.struct(ring_area(r).alias("area"), area_centroid(r).alias("at"))), lambda p: p["at"].isNotNull())
+    total = F.aggregate(parts, F.lit(0.0), lambda s, p: s + p["area"])
+    mean = lambda n: F.aggregate(parts, F.lit(0.0), lambda s, p: s + p["area"] * p["at"][n]) / total
+    return F.when(total != 0, F.struct(mean("lon").alias("lon"), mean("lat").alias("lat")))
+
+
+def ring_area(ring: Column) -> Column:
+    """Twice the signed area of a closed ring."""
+    pairs = F.zip_with(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), lambda p, q: p[0] * q[1] - q[0] * p[1])
+    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
+
+
 def place(geometry: Column) -> tuple[Column, Column]:
     """(lon, lat): the point, else the first of several, else the mean of the outer ring."""
     point = F.try_element_at(geometry["points"], F.lit(1))
@@ -62,7 +77,11 @@ def listed_date(c: Column) -> Column:
 
 
 def clean_name(c: Column, config: dict) -> Column:
-    """Invisible characters, artefacts, several entries and capitals, as configured."""
+    """Invisible characters, artefacts, several entries and capitals, as configured.
+
+    Names of an exported geodatabase (``adapter``: gdb) stay as they are (S16)."""
+    if config.get("adapter") == "gdb":
+        return F.trim(c)
     c = strip_invisible(c)
     if config.get("name_strip_patterns"):
         c = strip_patterns(c, config["name_strip_patterns"])
@@ -88,7 +107,8 @@ def parse_source(features: DataFrame, config: dict, generic_terms: list[str] | N
         address = F.nullif(F.concat_ws(" ", *[first_filled(attributes, [p]) for p in config["address_parts"]]), F.lit(""))
     state = F.lit(config.get("state_code"))
     if config.get("state_name_field"):
-        named = F.try_element_at(literal_map({k.upper(): v for k, v in STATE_CODES.items()}), F.upper(F.trim(attributes[config["state_name_field"]])))
+        codes = {k.upper(): v for k, v in STATE_CODES.items() if k not in LAYER_UNUSED} | LAYER_STATES
+        named = F.try_element_at(literal_map(codes), F.upper(F.trim(attributes[config["state_name_field"]])))
         state = F.coalesce(named, state)
     tag = f"shpo_{config['key']}"
     rows = features.select(
