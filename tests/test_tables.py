@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -120,6 +122,83 @@ def fuzzy_model(i, sites) -> list[tuple]:
     return sorted(found, key=lambda x: (-x[0], x[1]))
 
 
+NUMBER = re.compile(r"\d+(?:st|nd|rd|th)?\b")
+
+
+def only_numbers_differ(a: str, b: str) -> bool:
+    x, y = a.strip().lower(), b.strip().lower()
+    return NUMBER.sub("#", x) == NUMBER.sub("#", y) and NUMBER.findall(x) != NUMBER.findall(y)
+
+
+def kilometres(i, e) -> float | None:
+    if None in (i.latitude, i.longitude, e.latitude, e.longitude):
+        return None
+    p, q = math.radians(i.latitude), math.radians(e.latitude)
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(e.longitude - i.longitude) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(h))
+
+
+def cascade_model(i, stored) -> tuple | None:
+    """(pass, site) of one record, every site after the other."""
+    found = []
+    for e in stored:
+        if i.nris_refnum is not None and i.nris_refnum == e.nris_refnum:
+            found.append((1, -100.0, e.id))
+        if i.state != e.state:
+            continue
+        if i.address_key and i.city_key and (i.address_key, i.city_key) == (e.address_key, e.city_key):
+            found.append((2, -score(*(" ".join(sorted(x.name.split())) for x in (i, e))), e.id))
+        if min(len(i.plain), len(e.plain)) / max(len(i.plain), len(e.plain)) < 0.4 or only_numbers_differ(i.name, e.name):
+            continue
+        cells = i.placed and e.placed and abs(i.cx - e.cx) <= 1 and abs(i.cy - e.cy) <= 1
+        if not (cells or not i.placed or not e.placed):
+            continue
+        s, km = score(i.tokens, e.tokens), kilometres(i, e)
+        if km is not None and km <= 0.5:
+            if s >= 70:
+                found.append((3, -s, e.id))
+        elif (s >= 90 and i.city_key == e.city_key) or (s >= 95 and i.city_key is None):
+            found.append((4, -s, e.id))
+    return min(found) if found else None
+
+
+def test_cascade_equals_a_sequential_model(spark):
+    inc, sites = places(spark, "record_id", 1000, 140, 13).cache(), places(spark, "site_id", 1, 140, 14).cache()
+    stored = sites.collect()
+    want = {i.id: m for i in inc.collect() if (m := cascade_model(i, stored))}
+    got = {r.record_id: (r["pass"], r.site_id) for r in resolve.cascade(inc, sites).collect()}
+    assert got == {k: (m[0], m[2]) for k, m in want.items()} and {m[0] for m in want.values()} == {1, 2, 3, 4}
+
+
+def test_parks_and_battlefields_equal_a_sequential_model(spark):
+    inc, sites = places(spark, "record_id", 1000, 60, 23).cache(), places(spark, "site_id", 1, 90, 24).cache()
+    stored = sites.collect()
+    comparable = lambda i, e: min(len(i.plain), len(e.plain)) / max(len(i.plain), len(e.plain)) >= 0.4
+    parks, fields = {}, {}
+    for i in inc.collect():
+        scored = [(score(i.tokens, e.tokens), e) for e in stored if comparable(i, e)]
+        if best := [(-s, e.id) for s, e in scored if s >= 85]:
+            parks[i.id] = min(best)[1]
+        near = [(1, -s, e.id) for s, e in scored if i.placed and e.placed and abs(i.cx - e.cx) <= 1 and abs(i.cy - e.cy) <= 1 and s >= 70 and kilometres(i, e) <= 0.5]
+        if best := near + [(2, -s, e.id) for s, e in scored if s >= 92]:
+            fields[i.id] = min(best)[2]
+    assert {r.record_id: r.site_id for r in resolve.park_matches(inc, sites).collect()} == parks
+    assert {r.record_id: r.site_id for r in resolve.battlefield_matches(inc, sites).collect()} == fields
+
+
+def test_name_pairs_lose_nothing(spark):
+    """Every two names of the least score or more come out of the prefix filter, short and empty ones too."""
+    r = random.Random(5)
+    words = ["Oldham", "Mill", "Stone", "aa", "a", "b", "", "Bridge", "Harbor", "Éire", "Chapel"]
+    names = {" ".join(sorted(" ".join(r.sample(words, r.choice([1, 1, 2, 3]))).split())) + r.choice(["", "", "s", "x"]) for _ in range(150)} | {"", "a", "ab"}
+    left, right = sorted(names)[::2], sorted(names)[1::2] + sorted(names)[:20]
+    frame = lambda xs: spark.createDataFrame([("PA", x) for x in xs], "state string, tokens string")
+    ratio = lambda a, b: 100.0 if a == b else score(a, b)
+    for least in (85.0, 90.0, 95.0):
+        want = {(a, b) for a in left for b in right if (a or b) and ratio(a, b) >= least or a == b}
+        assert {(x.a, x.b) for x in resolve.name_pairs(frame(left), frame(right), least).collect()} == want
+
+
 def test_audit_and_near_misses_see_what_has_no_coordinates(spark):
     inc, sites = places(spark, "record_id", 1000, 120, 3).cache(), places(spark, "site_id", 1, 120, 4).cache()
     records, stored = inc.collect(), sites.collect()
