@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from placeweave.constants import AREA_NATURES, ERAS
 from placeweave.functions.scores import era_confidence
-from placeweave.operators.tables import insert_or_ignore
+from placeweave.operators.tables import insert_or_ignore, numbered
+
+#: Ids that are ranked together.
+COARSE = 100_000
 
 
 def eras(spark) -> DataFrame:
@@ -47,21 +50,21 @@ def top_natures(areas: DataFrame, k: int = 3) -> DataFrame:
     return first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("site_id", "nature", "rank")
 
 
-def chunk_numbers(df: DataFrame, by: list[str], order: list[str], size: int, name: str = "chunk") -> DataFrame:
-    """Consecutive chunks of ``size`` rows inside each group."""
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn(name, F.floor((place - 1) / size).cast("long"))
+def chunk_numbers(df: DataFrame, by: list[str], order: str, size: int, name: str = "chunk") -> DataFrame:
+    """Consecutive chunks of ``size`` rows inside each group, in the order of a whole number."""
+    places = numbered(df, by, [order], F.floor(F.col(order) / COARSE), "__place")
+    return places.withColumn(name, F.floor(F.col("__place") / size).cast("long")).drop("__place")
 
 
 def request_batches(sites: DataFrame, size: int, by: list[str]) -> DataFrame:
     """Groups of sites as JSON arrays for a classifier outside.
 
-    Batches are numbered inside each value of ``by``, so no window spans all rows.
+    Batches are numbered inside each value of ``by``.
     """
-    numbered = chunk_numbers(sites, by, ["site_id"], size, "batch")
+    batched = chunk_numbers(sites, by, "site_id", size, "batch")
     cells = [c for c in sites.columns if c not in by]
     body = F.array_sort(F.collect_list(F.struct("site_id", *[c for c in cells if c != "site_id"])))  # of one batch
-    return numbered.groupBy(*by, "batch").agg(F.count("*").alias("n"), F.to_json(body).alias("request"))
+    return batched.groupBy(*by, "batch").agg(F.count("*").alias("n"), F.to_json(body).alias("request"))
 
 
 def breaker_cutoff(batches: DataFrame, by: list[str], order: str, failed: str, run: int = 5) -> DataFrame:

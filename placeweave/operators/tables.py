@@ -16,6 +16,23 @@ def keep_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("__place", place).where("__place = 1").drop("__place")
 
 
+def numbered(df: DataFrame, by: list[str], order: list[str], coarse: Column, name: str) -> DataFrame:
+    """``df`` with the place of each row in its group from 0 on, in the given order.
+
+    ``coarse`` is a value that the order never decreases, such as the first letters of a
+    name: rows are ranked inside its values and what comes before is added, so that a
+    group that holds a third of all rows is not ranked by one task.
+    """
+    rows = df.withColumn("__coarse", coarse)
+    before = Window.partitionBy(*by).orderBy("__coarse").rowsBetween(Window.unboundedPreceding, -1)
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    starts = rows.groupBy(*by, "__coarse").agg(F.count("*").alias("__n"))
+    starts = starts.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n").withColumnsRenamed({c: f"__g_{c}" for c in [*by, "__coarse"]})
+    inside = F.row_number().over(Window.partitionBy(*by, "__coarse").orderBy(*order))
+    met = [same(c, f"__g_{c}") for c in [*by, "__coarse"]]
+    return rows.withColumn("__rank", inside).join(starts, met).withColumn(name, (F.col("__start") + F.col("__rank") - 1).cast("long")).select(*df.columns, name)
+
+
 def checksum(columns: list[str]) -> Column:
     """SHA-256 of the row as JSON, fields by name."""
     return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)

@@ -247,6 +247,19 @@ FROM (SELECT *, {" + ".join(f"CAST({f} AS INTEGER)" for f in C.SOURCE_FLAGS)} AS
 _SCORE = "round(" + " + ".join(f"{k} * {w}::DOUBLE" for k, w in C.SCORE_WEIGHTS.items()) + ", 4)"
 
 
+def _unclassified(spark, sf_dir):
+    """Factors of the registry as it is before anything is classified: periods are all it knows."""
+    none = spark.createDataFrame([], "site_id long, confidence double")
+    return scoring.factor_scores(views.sites(spark, sf_dir), none, none, views.periods(spark, sf_dir), none)
+
+
+_BEFORE = (
+    _FACTORS.replace("FROM site_categories GROUP BY site_id", "FROM site_categories WHERE false GROUP BY site_id")
+    .replace("s.site_id IN (SELECT site_id FROM site_categories WHERE kind = 'type')", "false")
+    .replace("s.site_id IN (SELECT site_id FROM areas)", "false")
+)
+
+
 def _factors(spark, sf_dir):
     cats = views.site_categories(spark, sf_dir)
     return scoring.factor_scores(views.sites(spark, sf_dir), cats.where("kind = 'type'"), views.areas(spark, sf_dir), views.periods(spark, sf_dir), cats)
@@ -270,11 +283,11 @@ def score_statuses(spark, sf_dir):
 @query(
     with_tables(
         "sites", "site_categories", "areas", "periods",
-        body=_FACTORS + f", s AS (SELECT site_id, name, {_SCORE} AS confidence_score FROM factors) SELECT site_id, name, confidence_score, CAST(trunc((1.0 - confidence_score) * 100) AS INTEGER) AS review_priority FROM s WHERE confidence_score < 0.5",
+        body=_BEFORE + f", s AS (SELECT site_id, name, {_SCORE} AS confidence_score FROM factors) SELECT site_id, name, confidence_score, CAST(trunc((1.0 - confidence_score) * 100) AS INTEGER) AS review_priority FROM s WHERE confidence_score < 0.5",
     )
 )
 def review_queue(spark, sf_dir):
-    return scoring.review_queue(scoring.scored(_factors(spark, sf_dir))).select("site_id", "name", "confidence_score", "review_priority")
+    return scoring.review_queue(scoring.scored(_unclassified(spark, sf_dir))).select("site_id", "name", "confidence_score", "review_priority")
 
 
 # --- enrichment ----------------------------------------------------------------------
@@ -324,7 +337,7 @@ def events_top3(spark, sf_dir):
 
 @query(with_tables("sites", body=" SELECT state, site_id, (row_number() OVER (PARTITION BY state ORDER BY site_id) - 1) // 10 AS chunk FROM sites WHERE address IS NOT NULL"))
 def chunk_batches(spark, sf_dir):
-    return enrich.chunk_numbers(views.sites(spark, sf_dir).where("address is not null"), ["state"], ["site_id"], 10).select("state", "site_id", "chunk")
+    return enrich.chunk_numbers(views.sites(spark, sf_dir).where("address is not null"), ["state"], "site_id", 10).select("state", "site_id", "chunk")
 
 
 @query(
@@ -472,10 +485,7 @@ def priority_merge(spark, sf_dir):
 
 @query("SELECT page_id, coalesce(len(regexp_extract_all(html, '(?s)<li[^>]*>.*?</li>')), 0) AS n_items, nullif(trim(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)), '') AS heading FROM pages")
 def page_fields(spark, sf_dir):
-    pages = views.table(spark, sf_dir, "pages")
-    heading = F.nullif(F.trim(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
-    items = F.size(F.regexp_extract_all("html", F.lit(r"(?s)(<li[^>]*>.*?</li>)"), F.lit(1)))
-    return pages.select("page_id", items.cast("long").alias("n_items"), heading.alias("heading"))
+    return documents.page_outline(views.table(spark, sf_dir, "pages"))
 
 
 @query()
@@ -493,12 +503,12 @@ def json_props(spark, sf_dir):
     return events.select("event_id", features.first_filled(attributes, ["missing", "k"]).alias("k"))
 
 
-@query(with_tables("sites", body=" SELECT site_id, state, name, round(longitude, 6) AS lon, round(latitude, 6) AS lat FROM sites WHERE latitude IS NOT NULL AND longitude IS NOT NULL"))
+@query(with_tables("sites", body=" SELECT site_id, state, name, nris_refnum, city, county, address, date_constructed, review_status, round(longitude, 6) AS lon, round(latitude, 6) AS lat FROM sites WHERE latitude IS NOT NULL AND longitude IS NOT NULL"))
 def geojson_features(spark, sf_dir):
     lines = exports.geojson_features(views.sites(spark, sf_dir))
     read = F.from_json("feature", "struct<geometry:struct<coordinates:array<double>>,properties:map<string,string>>")
     return lines.select("site_id", "state", read.alias("f")).select(
-        "site_id", "state", F.col("f.properties")["name"].alias("name"), F.round(F.col("f.geometry.coordinates")[0], 6).alias("lon"), F.round(F.col("f.geometry.coordinates")[1], 6).alias("lat")
+        "site_id", "state", *[F.col("f.properties")[c].alias(c) for c in ("name", "nris_refnum", "city", "county", "address", "date_constructed", "review_status")], F.round(F.col("f.geometry.coordinates")[0], 6).alias("lon"), F.round(F.col("f.geometry.coordinates")[1], 6).alias("lat")
     )
 
 
@@ -515,6 +525,14 @@ def kml_parts(spark, sf_dir):
     return marks.groupBy("state", F.coalesce("part", F.lit(0)).alias("part")).agg(F.count("*").alias("n"))
 
 
+@query(with_tables("sites", body=" SELECT site_id, coalesce(state, 'Unknown') AS state, name, round(longitude, 6) AS lon, round(latitude, 6) AS lat FROM sites WHERE latitude IS NOT NULL AND longitude IS NOT NULL"))
+def kml_marks(spark, sf_dir):
+    marks = exports.kml_placemarks(views.sites(spark, sf_dir))
+    spot = F.split(F.regexp_extract("placemark", "<coordinates>([^<]*)<", 1), ",")
+    name = F.replace(F.regexp_extract("placemark", "<name>([^<]*)<", 1), F.lit("&amp;"), F.lit("&"))
+    return marks.select("site_id", "state", name.alias("name"), F.round(spot[0].cast("double"), 6).alias("lon"), F.round(spot[1].cast("double"), 6).alias("lat"))
+
+
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS started, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def run_progress_windows(spark, sf_dir):
     return incremental.progress_windows(views.table(spark, sf_dir, "events"), "event_type")

@@ -74,7 +74,7 @@ SQL = {
     "site_categories": """
 SELECT l_orderkey * 10 + l_linenumber AS arrival, l_orderkey % 1500 AS site_id,
   CASE l_linenumber % 4 WHEN 0 THEN 'era' WHEN 1 THEN 'event' WHEN 2 THEN 'type' ELSE 'ownership' END AS kind,
-  l_partkey % 12 AS category, 1 + l_linenumber % 4 AS rank, 1 - l_discount * 5 AS confidence
+  l_partkey % 12 AS category, 1 + l_linenumber % 4 AS rank, 1 - l_discount * 10 AS confidence
 FROM lineitem""",
     "periods": """
 SELECT o_orderkey AS period_id, o_custkey AS site_id, CAST(1700 + o_orderkey % 300 AS INT) AS start_year,
@@ -109,7 +109,7 @@ def site_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.element_at(F.array(*[F.lit(x) for x in ("era", "event", "type", "ownership")]), (F.col("l_linenumber") % 4 + 1).cast("int"))
     return items.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("arrival"), (F.col("l_orderkey") % 1500).alias("site_id"), kind.alias("kind"),
-        (F.col("l_partkey") % 12).alias("category"), (1 + F.col("l_linenumber") % 4).alias("rank"), (1 - F.col("l_discount") * 5).alias("confidence"),
+        (F.col("l_partkey") % 12).alias("category"), (1 + F.col("l_linenumber") % 4).alias("rank"), (1 - F.col("l_discount") * 10).alias("confidence"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeweave.constants import DESIGNATIONS
+from placeweave.operators.tables import numbered
 
 PLACEMARKS = 2000
 #: in the order of the file (fixed values)
@@ -116,15 +117,15 @@ def kml_placemarks(sites: DataFrame) -> DataFrame:
     """
     spots = sites.where("latitude is not null and longitude is not null").withColumn("state", F.coalesce("state", F.lit("Unknown")))
     sizes = spots.groupBy("state").agg(F.count("*").alias("__n"))
-    place = F.row_number().over(Window.partitionBy("state").orderBy("name", "site_id"))
     escape = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     mark = F.concat(
         F.lit("<Placemark><name>"), escape(F.col("name")), F.lit("</name><description><![CDATA["), description_html(sites),
         F.lit("]]></description><Point><coordinates>"), F.concat_ws(",", F.col("longitude").cast("string"), F.col("latitude").cast("string")),
         F.lit("</coordinates></Point></Placemark>"),
     )
-    numbered = spots.withColumn("__part", (F.floor((place - 1) / PLACEMARKS) + 1).cast("long")).join(sizes, "state")
-    return numbered.select("state", F.when(F.col("__n") > PLACEMARKS, F.col("__part")).alias("part"), "site_id", mark.alias("placemark"))
+    placed = numbered(spots, ["state"], ["name", "site_id"], F.substring("name", 1, 3), "__place")
+    placed = placed.withColumn("__part", F.floor(F.col("__place") / PLACEMARKS) + 1).join(sizes, "state")
+    return placed.select("state", F.when(F.col("__n") > PLACEMARKS, F.col("__part")).alias("part"), "site_id", mark.alias("placemark"))
 
 
 def best_designation(designations: DataFrame) -> DataFrame:

@@ -121,6 +121,13 @@ def _plain(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(html, r"<[^>]+>", " "), r"\s+", " "))
 
 
+def page_outline(pages: DataFrame) -> DataFrame:
+    """(page_id, n_items, heading): list items and first heading of pages, for pages without tables."""
+    heading = F.nullif(F.trim(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1)), F.lit(""))
+    items = F.size(F.regexp_extract_all("html", F.lit(r"(?s)(<li[^>]*>.*?</li>)"), F.lit(1)))
+    return pages.select("page_id", F.coalesce(items, F.lit(0)).cast("long").alias("n_items"), heading.alias("heading"))
+
+
 def listing_rows(pages: DataFrame) -> DataFrame:
     """(page_id, row_no, name, refnum, date, city, county) of the table rows of listing pages."""
     rows = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"(?s)(<tr.*?</tr>)"), F.lit(1))).alias("row_no", "row"))

@@ -40,4 +40,4 @@ def test_matches_sql(spark, oracle, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
 def test_runs(spark, name):
-    assert registry.QUERIES[name](spark, str(DATA)).columns
+    assert registry.QUERIES[name](spark, str(DATA)).count() > 0
