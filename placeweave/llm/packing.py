@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from placeweave.llm.shared import released, shuffle_width
 from placeweave.llm.text_arrays import blocks, mix64, span_hashes, text_buffer, words
-from placeweave.llm.token_counts import CACHE, load_tokenizer
+from placeweave.llm.token_counts import CACHE, LONGEST, check_split, load_tokenizer
 
 AXES, AXIS_BITS = 3, 10
 #: Low bits of a key: a hash of the id, so a range can end inside equal places.
@@ -219,7 +219,7 @@ class _Encoder:
         ids = self.words.get(word)
         if ids is None:
             ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-            if len(self.words) < CACHE and len(word) < 64:
+            if len(self.words) < CACHE and len(word) < LONGEST:
                 self.words[word] = ids
         return ids
 
@@ -287,6 +287,7 @@ def pack_documents(
     but not a key, so a hot group is spread over ranges.  An empty table gives no
     rows; further columns are ignored.
     """
+    check_split(path, ["NFC", "Replace", "Lowercase"], WORD)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

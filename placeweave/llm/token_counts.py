@@ -9,6 +9,7 @@ distinct string once while it stays in a bounded cache.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from itertools import chain, filterfalse
@@ -23,6 +24,8 @@ from placeweave.llm.text_arrays import blocks, text_buffer
 
 #: Strings of a worker's cache; beyond them strings are merged each time they come.
 CACHE = 1 << 18
+#: Longer strings are not kept, so a worker's cache has a bounded number of bytes.
+LONGEST = 64
 #: The split pattern of byte-level BPE vocabularies of this family (a fixed value).
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -48,6 +51,22 @@ def proven_whole(path: str) -> frozenset[str]:
     return frozenset(t for t, e in zip(texts, coded, strict=True) if len(e) == 1)
 
 
+def check_split(path: str, normalizers: list[str], pattern: str | None) -> None:
+    """Raise ValueError unless the file normalises and splits as the caller's rules do.
+
+    ``pattern``: that of its Split step; None for a byte-level step with its own pattern.
+    """
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    steps = lambda x, key: [] if x is None else x[key] if x["type"] == "Sequence" else [x]
+    found = [x["type"] for x in steps(told.get("normalizer"), "normalizers")]
+    splits = steps(told.get("pre_tokenizer"), "pretokenizers")
+    own = [x["pattern"]["Regex"] for x in splits if x["type"] == "Split" and "Regex" in x["pattern"]]
+    bytes_only = [x for x in splits if x["type"] == "ByteLevel" and not x["add_prefix_space"] and x["use_regex"] == (pattern is None)]
+    if found != normalizers or len(bytes_only) != 1 or own != ([pattern] if pattern else []) or told["model"]["type"] != "BPE":
+        raise ValueError(f"{path} does not split texts as this operator does")
+
+
 class _Counter:
     """Counts of one worker; kept between its tasks."""
 
@@ -75,7 +94,7 @@ class _Counter:
         room = max(0, CACHE - len(self.extra))
         late: dict[str, int] = {}
         for k, (word, n) in enumerate(zip(unknown, coded, strict=True)):
-            (self.extra if k < room else late)[word] = n
+            (self.extra if k < room and len(word) < LONGEST else late)[word] = n
         known = self.extra
         if late:
             return [n + sum(known[w] if w in known else late[w] for w in rest) for n, rest in zip(found, rests, strict=True)]
@@ -89,11 +108,12 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id: str = "doc_id
     """Rows (id, n_bytes, n_tokens, over_limit), one for each row of ``docs``.
 
     ``path``: a byte-level BPE file of the tokenizers library whose pre-tokenizer
-    splits by PRE_TOKEN; ``n_tokens`` is what the library gives without added
+    splits by PRE_TOKEN, else ValueError; ``n_tokens`` is what the library gives without added
     special tokens, special strings inside a text counted as it does by default.
     A null text is an empty one: no bytes, no tokens.  Null and repeated ids are
     passed through; further columns are ignored.
     """
+    check_split(path, [], None)
     shared = docs.sparkSession.sparkContext.broadcast(proven_whole(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,6 +13,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from placeweave.llm import gif, tiles
@@ -224,6 +225,15 @@ def test_url_filters(spark, url, want):
     assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got) == Counter([(1, *want), (1, *want), (2, *want)])
 
 
+def test_url_filters_long(spark):
+    """A very long path, a host of very many labels, nothing but a scheme, one URL on a third of the rows."""
+    urls = ["http://x.net/de/" + "a" * 200_000, "http://" + "a." * 400 + "com/en/q", "://", None, "", *["http://y.org/es/1"] * 40]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(pages, spark.createDataFrame(RULES, "host string, path string, verdict string")).collect()}
+    assert got[0] == ("net/de/", "allow") and got[1] == ("com/en/", "block") and got[2] == got[3] == got[4] == (None, "allow")
+    assert len(got) == len(urls) and {got[k] for k in range(5, 45)} == {("org/es/", "block")}
+
+
 def test_url_filters_without_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     none = spark.createDataFrame([], "host string, path string, verdict string")
@@ -398,6 +408,64 @@ def test_sharding_balance(spark):
     assert len(sizes) == 7 and max(sizes) < 1.03 * sum(sizes) / 7
 
 
+def tree_model(rows: list[tuple], shards: int) -> dict[int, int]:
+    """The shard of each (id, text, source, lang), one cut of sorted keys after the other."""
+    from placeweave.llm import sharding as S
+
+    h = lambda x: xxhash.xxh64_intdigest(x, seed=42)
+    size = {k: len((t or "").encode()) + 8 for k, t, *_ in rows}
+    crc = {k: zlib.crc32((t or "").encode()) for k, t, *_ in rows}
+    value = {k: [h((x or "").encode()) % S.VALUES for x in (s, g)] + [min(S.VALUES - 1, int(math.log2(size[k] - 7) * S.VALUES / 32))] for k, _, s, g in rows}
+    places = []
+    for d in range(3):
+        mass = Counter()
+        for k in size:
+            mass[value[k][d]] += size[k]
+        places.append({v: sum(m for w, m in mass.items() if w < v) * ((1 << S.DIM_BITS) - 1) // sum(mass.values()) for v in mass})
+    leader = {}
+    for k in sorted(size):
+        leader.setdefault((crc[k], size[k]), k)
+    at = {k: [places[0][value[leader[crc[k], size[k]]][0]], places[1][value[leader[crc[k], size[k]]][1]], places[2][value[k][2]]] for k in size}
+    tie = {k: (crc[k] << S.ID_BITS) + h(k.to_bytes(8, "little", signed=True)) % (1 << S.ID_BITS) for k in size}
+    whole, out = S.WHOLE_GROUP * sum(size.values()) / shards, {}
+
+    def split(ids: list[int], first: int, k: int) -> None:
+        if k == 1 or not ids:
+            out.update(dict.fromkeys(ids, first))
+            return
+        d = max(range(3), key=lambda j: max(at[i][j] for i in ids) - min(at[i][j] for i in ids))
+        key = {i: (at[i][d] << (S.KEY_BITS - S.DIM_BITS)) + tie[i] for i in ids}
+        goal, cut = sum(size[i] for i in ids) * (k // 2) / k, None
+        for bits in (S.ID_BITS, 0):
+            sums = Counter()
+            for i in ids:
+                sums[key[i] >> bits] += size[i]
+            before = 0
+            for x in sorted(sums):
+                if before + sums[x] >= goal:
+                    break
+                before += sums[x]
+            if bits == 0 or sums[x] <= whole or sum(key[i] >> bits == x for i in ids) == 1:
+                cut = (x + (goal - before > before + sums[x] - goal)) << bits
+                break
+        split([i for i in ids if key[i] < cut], first, k // 2)
+        split([i for i in ids if key[i] >= cut], first + k // 2, k - k // 2)
+
+    split(list(size), 0, shards)
+    return out
+
+
+def test_sharding_is_the_tree(spark):
+    r = np.random.default_rng(17)
+    rows = [(k, prose(k, int(r.integers(1, 80))), f"s{min(int(r.integers(9)), 4)}", ["en", "fr", None][k % 3]) for k in range(300)]
+    rows += [(400 + k, "one text of many copies " * 4, f"s{k % 3}", "en") for k in range(120)] + [(600, None, None, None), (601, "", "s0", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    for shards in (2, 5, 7):
+        assert {x.doc_id: x.shard for x in kd_shards(df, shards).collect()} == tree_model(rows, shards)
+    plain = kd_shards(df.select("doc_id", "text"), 3)  # without metadata
+    assert plain.count() == len(rows) and plain.select("shard").distinct().count() == 3
+
+
 def brute_lines(texts: list[tuple]) -> dict:
     filled = sorted({(k, i, line) for k, t in texts if k is not None for i, line in enumerate((t or "").split("\n")) if line.strip(" \t\r\n\x0b\x0c")})
     sets = {line: {line[i : i + 8] for i in range(len(line) - 7)} if len(line) >= 8 else {line} for _, _, line in filled}
@@ -445,6 +513,32 @@ def test_line_dedup_short_edits(spark):
     assert got == want
 
 
+def test_line_dedup_recall(spark):
+    """Planted pairs of lines at similarities from 0.75 to 0.9: at least 99 % share a tile and are linked."""
+    r, letters = np.random.default_rng(41), np.array(list("abcdefghijklmnopqrstuvwxyz     "))
+    sets = lambda x: {x[i : i + 8] for i in range(len(x) - 7)}
+    rows, pairs = [], 0
+    while pairs < 3000:
+        line = "".join(letters[r.integers(len(letters), size=int(r.integers(90, 300)))]).strip() + "."
+        other = list(line)
+        for at in r.choice(len(line) - 1, size=max(1, int(len(line) * r.uniform(0.008, 0.018))), replace=False):
+            other[at] = "#"
+        other = "".join(other)
+        x, y = sets(line), sets(other)
+        if 0.75 <= len(x & y) / len(x | y) < 0.9:
+            rows += [(2 * pairs, line), (2 * pairs + 1, other)]
+            pairs += 1
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id % 2 = 1 and n_dropped = 1").count()
+    assert got >= 0.99 * pairs
+
+
+def test_line_dedup_long_document(spark):
+    """A document of very many repeated lines takes time linear in its lines."""
+    rows = [(1, "\n".join(["the same line again and again"] * 300_000 + ["a last line of its own"]))]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).first()
+    assert got.text == "the same line again and again\na last line of its own" and got.n_dropped == 299_999
+
+
 def frame(index, palette=b"\0\0\0\xff\0\0\0\xff\0\0\0\xff", flags=0x81, disposal=0, clear=None, left=0, top=0, w=2, h=2, interlace=False, delay=7) -> bytes:
     """A frame of four colours (root of two bits): a clear code before each sample keeps codes at three bits."""
     bits = "".join(f"{c:03b}"[::-1] for s in index for c in (4, s)) + f"{5:03b}"[::-1]
@@ -669,6 +763,28 @@ def test_calibrated_sample(spark, docs, empty, table):
     assert own.n_tokens == 3 and own.topic in ("even", None)
 
 
+def test_other_vocabularies_are_refused(spark, docs):
+    with pytest.raises(ValueError, match="split"):
+        token_counts(docs, tokenizer_path("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="split"):
+        pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_pipeline_awkward(spark, docs, empty):
+    """Nulls, blanks, repeated rows and clashing columns pass every stage; an empty table stays empty."""
+    import corpus_pipeline
+
+    for start in (docs, empty):
+        now = start
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            before, now = now, stage(spark, now, SF)
+            if k < 4:
+                assert now.columns == before.columns
+                now = now.cache()
+            assert now.count() <= before.count() or k == 4
+        assert (start is docs) == (now.count() > 0)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
