@@ -98,14 +98,15 @@ def _prefix(hashes: np.ndarray, length: int, frequent: np.ndarray, rank: np.ndar
 
 
 def ngram_jaccard_join(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4, count_links: bool = True
 ) -> DataFrame:
     """Rows (id, n_shingles, component_id, n_links) of the links with similarity num/den or more.
 
     Words are runs of bytes other than space and \\t..\\r, A-Z counted as a-z; a
     document's set are its distinct shingles of ``width`` words, with fewer words
     the whole sequence.  ``n_links`` is the number of other rows a row is linked
-    with, copies included.  Null and empty texts have the empty set and no links.
+    with, copies included; without ``count_links`` it is left out, and pairs inside a
+    component are no longer compared.  Null and empty texts have the empty set and no links.
     Repeated rows and repeated ids each give a row; rows of one id are one
     document to the components.  Rows with a null id keep a null component and
     take no part.  An empty table gives no rows; further columns are ignored.
@@ -175,6 +176,10 @@ def ngram_jaccard_join(
     copies = items.join(classes.where("weight > 1").select("digest", "first"), "digest").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     found = staged(similar_components(tiles, bodies, hash_arrays, num, den, copies, items))
     discard(tiles)
+    if not count_links:
+        joined = items.join(found, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+        nulls = rows.where("id is null").select("id", *[F.lit(None).cast("long").alias(c) for c in ("n_shingles", "component_id")])
+        return joined.unionByName(nulls).withColumnRenamed("id", id)
     members = classes.where("n > 0").join(found, F.col("first") == F.col("id")).select(F.col("first").alias("id"), "digest", "n", F.col("component").alias("c"), "weight")
     counted = link_counts(members, bodies, hash_arrays, num, den)
     # other texts, and the other copies of its own
@@ -200,5 +205,5 @@ def _batch(held: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def without_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    found = ngram_jaccard_join(docs, id, text).where(F.col(id) != F.col("component_id")).select(id).distinct()
+    found = ngram_jaccard_join(docs, id, text, count_links=False).where(F.col(id) != F.col("component_id")).select(id).distinct()
     return docs.join(found, id, "left_anti")
