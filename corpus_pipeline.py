@@ -27,7 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a main language; those without a letter or without one go.
 
     A null ``lang`` is filled with the prediction.  The model is learned from the
-    stage's own labelled documents.
+    stage's own labelled documents; without any, nothing is known and all go.
+    Repeated rows are judged alike; further columns pass through.
     """
     ship_package(with_settings(spark))
     judged = identify(docs, learn(docs.where(~held_out("doc_id"))))
@@ -36,7 +37,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines; those that had nothing else go."""
+    """Documents without repeated lines; those that had nothing else go.
+
+    Null and empty texts and rows with a null id stay as they are; further columns pass through.
+    """
     ship_package(with_settings(spark))
     cleaned = dedup_lines(docs)
     left = cleaned.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
@@ -44,19 +48,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one with the smallest id.
+
+    Null and empty texts are near nothing and stay, as do rows with a null id; all rows
+    of the id that stays do so; further columns pass through.
+    """
     ship_package(with_settings(spark))
     return without_near_copies(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled by their calibrated probabilities."""
+    """Documents sampled by their calibrated probabilities, each once or not at all.
+
+    Languages and sources are evened out (POWERS), topics keep their share.  A null
+    source or language is a value of its own; rows of one id and cell stay together.
+    """
     ship_package(with_settings(spark))
     return calibrated_sample(docs).where("kept").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens."""
+    """The pieces of all documents in sequences of 2048 tokens.
+
+    A null or empty text is its end token alone; repeated rows are packed each time.
+    """
     ship_package(with_settings(spark))
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
