@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 from contextlib import suppress
 
@@ -27,7 +26,6 @@ def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
 
     def call(batches: Batches) -> Batches:
         yield from run(batches)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         with suppress(OSError, AttributeError):  # only where the C library has it
             ctypes.CDLL(None).malloc_trim(0)
