@@ -10,8 +10,8 @@ sequences of powers of two, so nothing is padded.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -212,27 +212,27 @@ class _Encoder:
 
     def _clear(self) -> None:
         self.table.clear()
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
         self.ids, self.starts, self.counts = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+            ids = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
             if len(self.words) < CACHE and len(word) < LONGEST:
                 self.words[word] = ids
         return ids
 
-    def _piece(self, piece: str) -> list[int]:
-        """Ids of a piece; letters alone or before one mark need no splitting pattern."""
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece, four bytes each; letters alone or before one mark need no splitting pattern."""
         if self.foreign.search(piece):
-            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
         low = piece.lower()
         if low.isalpha():
             return self._word(low)
         if low[-1] in ",." and low[:-1].isalpha():
             return self._word(low[:-1]) + self._word(low[-1])
-        return list(chain.from_iterable(map(self._word, self.word.findall(low))))
+        return b"".join(map(self._word, self.word.findall(low)))
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, number of them in each row), ``end_id`` behind each row."""
@@ -252,8 +252,8 @@ class _Encoder:
             first = new[first]
             data = raw.tobytes()
             coded = [self._piece(data[a:b].decode()) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            counts = np.fromiter(map(len, coded), np.int64, len(coded))
-            more = np.fromiter(chain.from_iterable(coded), np.uint32, int(counts.sum()))
+            counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+            more = np.frombuffer(b"".join(coded), np.uint32)
             self.table.add(fresh)
             self.starts.add(self.ids.size + np.cumsum(counts) - counts)
             self.counts.add(counts)
