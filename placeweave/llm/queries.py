@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placeweave.llm.centroids import bisector_clusters
 from placeweave.llm.gif import media_digests
 from placeweave.llm.jaccard_join import ngram_jaccard_join
 from placeweave.llm.language_id import held_out, identify, learn
 from placeweave.llm.line_dedup import dedup_lines
+from placeweave.llm.main_text import extract_main_text
 from placeweave.llm.mixing import DIMENSIONS, POWERS, calibrated_sample, mix_sources, sampled, shares
 from placeweave.llm.packing import pack_documents
+from placeweave.llm.resampling import importance_resample
 from placeweave.llm.sharding import kd_shards
 from placeweave.llm.token_counts import token_counts
 from placeweave.llm.topk_search import voronoi_knn_join
@@ -193,3 +196,77 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisector_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    """Rounds written out: every distance, the least of each vector, floors of means."""
+    far = "CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    steps = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS c, x FROM v ORDER BY sha256('2:' || vec_id) NULLS LAST, x LIMIT {k})",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS MATERIALIZED (SELECT i, any_value(vec_id) AS vec_id, min([{far}, c.c]) AS best FROM v, c{n} c GROUP BY i)")
+        if n < rounds:
+            steps.append(
+                f"""s{n} AS MATERIALIZED (SELECT best[2] AS c, p, sum(v.x[p]) AS s, count(*) AS n FROM a{n} JOIN v USING (i), range(1, 65) AS r(p) GROUP BY ALL)"""
+            )
+            steps.append(
+                f"""c{n + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS x FROM s{n} GROUP BY c) m ON c.c = m.c)"""
+            )
+    return f"""WITH {", ".join(steps)}
+SELECT a.vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance, CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.best[2] = c.c"""
+
+
+ORACLE_SQL["op11_centroid_clusters"] = _clusters_sql()
+
+
+@query
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+#: By patterns instead of events, for pages with one marked article of headings and paragraphs.
+ORACLE_SQL["op12_main_text"] = r"""
+WITH inner_html AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS a FROM pages),
+parts AS (SELECT page_id, url, list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'), lambda x:
+  trim(regexp_replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS blocks FROM inner_html),
+told AS (SELECT page_id, url, regexp_replace(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)), '&amp($|\n)', '&\1') AS text FROM parts)
+SELECT page_id, url, text, length(text) AS n_chars FROM told
+"""
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: CRC-32 byte by byte over a table that is made bit by bit.
+ORACLE_SQL["op13_resampling"] = r"""
+WITH bits AS (SELECT list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n) ORDER BY n) AS crc FROM range(256) AS r(n)),
+d AS MATERIALIZED (SELECT row_number() OVER () AS i, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+dw AS MATERIALIZED (SELECT i, unnest(w) AS w FROM d),
+dcount AS (SELECT w, count(*) AS n, 0 AS m FROM dw GROUP BY w), tcount AS (SELECT w, 0 AS n, count(*) AS m FROM t GROUP BY w),
+words AS MATERIALIZED (SELECT w, sum(n) AS n, sum(m) AS m, hex(encode(w)) AS h FROM (FROM dcount UNION ALL FROM tcount) GROUP BY w),
+bucketed AS MATERIALIZED (SELECT w, n, m, xor(list_reduce(list_transform(range(length(h) // 2), lambda k: CAST('0x' || substr(h, 2 * k + 1, 2) AS BIGINT)),
+  lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM words, bits),
+totals AS (SELECT bucket, sum(n) AS s, sum(m) AS t, sum(sum(n)) OVER () AS bs, sum(sum(m)) OVER () AS bt FROM bucketed GROUP BY bucket),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (bs + 10000)::DOUBLE / ((s + 1)::DOUBLE * (bt + 10000)::DOUBLE))) AS BIGINT) AS gain FROM totals),
+sums AS (SELECT i, sum(gain) AS g FROM dw JOIN bucketed USING (w) JOIN gains USING (bucket) GROUP BY i),
+weights AS (SELECT d.i, doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(CASE WHEN len(w) = 0 THEN 0 ELSE (g - ((g % len(w)) + len(w)) % len(w)) // len(w) END AS BIGINT) AS weight,
+  CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN sums ON d.i = sums.i),
+scores AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weights),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scores)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= 10 * n // 100 THEN r END AS rank FROM ranked
+"""
