@@ -61,6 +61,7 @@ ENDED_BY_ARTICLE = frozenset("form header li nav ol ul".split())
 WRAPPERS = frozenset("body div main section table tbody td tr".split())
 
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_CUT = re.compile(r"<[A-Za-z/!?]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -169,11 +170,13 @@ def content_lines(chars: np.ndarray, tags: np.ndarray) -> np.ndarray:
 
     The threshold starts at the mean and moves half way between the means of both sides until it stays.
     """
+    if len(chars) == 0:
+        return np.zeros(0, bool)
     ratio = chars / np.maximum(tags, 1)
     reach = np.arange(-REACH, REACH + 1)
     kernel = np.exp(-(reach**2) / (2 * SIGMA**2))
     smooth = np.convolve(ratio, kernel / kernel.sum(), mode="full")[REACH : REACH + len(ratio)]
-    threshold = smooth.mean() if len(smooth) else 0.0
+    threshold = smooth.mean()
     for _ in range(len(smooth)):  # each step moves a line to the other side, or the threshold stays
         above = smooth > threshold
         if not above.any() or above.all():
@@ -212,6 +215,8 @@ def main_text(html: str) -> str:
     """The article of a page: its blocks in page order, joined by an empty line."""
     page = _Lines()
     page.feed(html)
+    if _CUT.match(page.rawdata):  # the page ends inside a tag or a comment
+        page.rawdata = ""
     page.close()
     page.end_line()
     content = content_lines(np.array([len(line[0]) for line in page.lines]), np.array([line[2] for line in page.lines]))
