@@ -3,9 +3,8 @@
 Learning counts byte trigrams of words for each language.  A document is taken as
 words drawn from a mixture of languages: expectation maximisation estimates the
 proportions from each word's trigram likelihoods, for the likeliest single
-language and for nested sets of the languages with the largest proportions, as
-long as a further language improves the penalised likelihood (BIC) of any document
-of the block; each document keeps its best set.
+language and for all nested sets of the languages with the largest proportions;
+each document keeps the set of the best penalised likelihood (BIC).
 """
 
 from __future__ import annotations
@@ -138,8 +137,6 @@ def proportions(model: LanguageModel, raw: np.ndarray, offsets: np.ndarray, step
         fresh = np.zeros_like(best)
         np.put_along_axis(fresh, chosen, part, axis=1)
         best[better] = fresh[better]
-        if not better.any():
-            break
     out[docs] = best
     return out
 
@@ -148,8 +145,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", steps: i
     """``docs`` with lang_pred and score added: the main language and its proportion.
 
     A null text, one without a letter, and any text if nothing was learned, give
-    ``und`` with score 0.  Ties go to the language first by name.  Rows are judged
-    one by one, so repeated rows agree; columns of ``docs`` named like an added
+    ``und`` with score 0.  Ties go to the language first by name.  A row's answer
+    depends on its text and the model alone, whatever stands beside it; so repeated rows agree; columns of ``docs`` named like an added
     one are replaced.  Only the text is read for the prediction; a text may mix any
     number of the learned languages.
     """

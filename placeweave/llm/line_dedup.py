@@ -2,9 +2,10 @@
 
 A line is the set of its character shingles.  Minima of random orders of the
 shingles give signatures, bands of them open tiles; lines of one tile are verified
-by their exact Jaccard similarity (tiles.py).  A short line loses too large a share
-of its shingles to a single edit, so short lines are also linked where one inserted,
-deleted or replaced character is all they differ by, found exactly.  Components
+by their exact Jaccard similarity (tiles.py).  A shorter line loses too large a share
+of its shingles to a single edit, so lines are also linked where one inserted, deleted
+or replaced character, a twentieth of the line or less, is all they differ by; where
+that does not follow from the similarity such pairs are found exactly.  Components
 come from a distributed union-find, and one line of each component stays: the first
 by document id and place.
 """
@@ -29,9 +30,9 @@ SHINGLE = 8
 #: A pair of similarity s shares a tile with probability 1 - (1 - s**ROWS)**BANDS:
 #: 0.9998 at 0.75, 0.99998 at 0.8, above 0.999999998 at 0.9.
 BANDS, ROWS = 16, 3
-#: Lines of so many characters are also linked by a single edit; from 63 characters
-#: on, one replaced character leaves a similarity of 0.75.
-SHORT, SHORT_END = 20, 80
+#: An edit that is at most this share of the longer line is a link at every length; from
+#: EDIT_SEEN characters on it leaves a similarity above 0.75, which the bands find.
+EDIT_SHARE, EDIT_SEEN = 1 / 20, 80
 _BLOCK_CHARS = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MASKS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32)
@@ -49,7 +50,7 @@ _TOGETHER, _SET_BITS = 1 << 12, np.uint64(52)
 class _Lines:
     """The non-blank lines of a block of documents, as arrays of code points."""
 
-    def __init__(self, texts: list[str]) -> None:
+    def __init__(self, texts: list[str], number: int = 0) -> None:
         joined = "\n".join(texts) + "\n"
         try:  # a byte a character where all have code points below 256
             points = np.frombuffer(joined.encode("latin-1"), np.uint8)
@@ -63,7 +64,7 @@ class _Lines:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         doc_starts = np.cumsum(lengths) - lengths
         doc = np.searchsorted(doc_starts, starts, side="right") - 1
-        number = np.arange(len(starts)) - np.searchsorted(starts, doc_starts[doc])
+        number = number + np.arange(len(starts)) - np.searchsorted(starts, doc_starts[doc])
         use = np.logical_or.reduceat(~blank, starts)
         self.starts, self.ends, self.doc, self.number = starts[use], ends[use], doc[use], number[use]
         POWERS.need(len(code) + 1)
@@ -113,7 +114,7 @@ class _Lines:
 
     def short(self) -> np.ndarray:
         size = self.ends - self.starts
-        return np.flatnonzero((size >= SHORT) & (size <= SHORT_END))
+        return np.flatnonzero((size * EDIT_SHARE >= 1) & (size <= EDIT_SEEN))
 
     def halves(self, which: np.ndarray) -> np.ndarray:
         """Four keys a line: two lines that differ by one edit share one or more.
@@ -174,16 +175,39 @@ def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
 
 
 def _line_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, _Lines]]:
-    """(first row, lines) of blocks of documents of a batch (doc, text)."""
+    """(first row, lines) of blocks of documents of a batch (doc, text).
+
+    A longer document comes in pieces that end where lines end, so only a very long
+    line is held whole.
+    """
     _, offsets = text_buffer(batch.column(1))
     texts = batch.column(1).fill_null("")
     first = 0
     while first < len(texts):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + _BLOCK_CHARS, side="right")) - 1)
-        yield first, _Lines(texts.slice(first, last - first).to_pylist())
+        if offsets[last] - offsets[first] <= _BLOCK_CHARS:
+            yield first, _Lines(texts.slice(first, last - first).to_pylist())
+        else:
+            number = 0
+            for piece in _pieces(texts[first].as_py()):
+                yield first, _Lines([piece], number)
+                number += piece.count("\n") + 1
+                POWERS.shrink()
         first = last
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """A text in parts of about _BLOCK_CHARS that end before line ends."""
+    at = 0
+    while at <= len(text):
+        end = text.rfind("\n", at, at + _BLOCK_CHARS) if len(text) - at > _BLOCK_CHARS else len(text)
+        if end < 0:
+            end = text.find("\n", at + _BLOCK_CHARS)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end + 1
+
+
 _SCAN = f"doc long, number int, line long, halves array<long>, {POSTINGS}"
 _NEEDED = "kind int, key long, id long, body binary"
 _REPLACED, _SHORTENED, _WHOLE, _BODY = range(4)
@@ -297,8 +321,8 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: in
     """``docs`` with n_lines, n_dropped and the text without repeated lines.
 
     Lines end at ``\\n``.  Of lines that are equal, or linked by a Jaccard similarity
-    of num/den or more over SHINGLE characters, or, with SHORT to SHORT_END
-    characters each, by one inserted, deleted or replaced character, the one with
+    of num/den or more over SHINGLE characters, or by one inserted, deleted or replaced
+    character that is at most EDIT_SHARE of each, the one with
     the smallest (id, place) stays and the others go, with their line ends.  Lines
     of fewer than SHINGLE characters match equal ones only; blank lines stay.  Null and empty
     texts stay as they are; rows with a null id are returned unchanged and take no

@@ -51,6 +51,11 @@ class _Powers:
                 self.up = np.concatenate([self.up, self.up * np.uint64(pow(_BASE, m, 1 << 64))])
                 self.down = np.concatenate([self.down, self.down * np.uint64(pow(_BASE_INVERSE, m, 1 << 64))])
 
+    def shrink(self) -> None:
+        """Forget what only a very long span needed."""
+        if len(self.up) > 4 * BLOCK_BYTES:
+            self.up, self.down = self.up[: 2 * BLOCK_BYTES].copy(), self.down[: 2 * BLOCK_BYTES].copy()
+
 
 _POWERS = _Powers()
 
@@ -99,13 +104,26 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of every span, from one running polynomial sum."""
-    n = len(raw)
-    _POWERS.need(n + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_CODE[raw] * _POWERS.up[:n], out=sums[1:])
-        return mix64((sums[ends] - sums[starts]) * _POWERS.down[starts] + (ends - starts).astype(np.uint64) * _MULT)
+    """A 64-bit hash of the bytes of every span, from running polynomial sums.
+
+    ``starts`` and ``ends`` ascend.  Long texts are summed in pieces, so temporaries are
+    those of a block or of the longest span, and the table of powers stays that small.
+    """
+    out = np.zeros(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        base = starts[i]
+        j = int(np.searchsorted(starts, base + BLOCK_BYTES))
+        piece = raw[base : ends[j - 1]]
+        _POWERS.need(len(piece) + 1)
+        s, e = starts[i:j] - base, ends[i:j] - base
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_CODE[piece] * _POWERS.up[: len(piece)], out=sums[1:])
+            out[i:j] = mix64((sums[e] - sums[s]) * _POWERS.down[s] + (e - s).astype(np.uint64) * _MULT)
+        _POWERS.shrink()
+        i = j
+    return out
 
 
 def shingle_sets(column: pa.Array, width: int = 5) -> Iterator[tuple[int, np.ndarray]]:

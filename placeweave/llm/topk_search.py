@@ -26,12 +26,24 @@ from placeweave.llm.shared import discard, released, staged
 PIVOTS, RINGS, WITNESSES = (16, 1024), 8, 4096
 #: Rows of a unit and of a block of queries, about.
 UNIT_ROWS, QUERY_ROWS = 4096, 1024
+_ROUNDING = float(np.finfo(np.float64).eps)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, dim)
 
 
+def _error(dim: int, norm: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """More than what rounding can change an inner product of vectors of these norms by."""
+    return 4 * (dim + 2) * _ROUNDING * norm * other
+
+
+def _whole_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers of any size."""
+    whole = [int(c) for c in q]
+    return np.array([sum(a * int(b) for a, b in zip(whole, row, strict=True)) for row in x], dtype=object)
+
+
 def _pack_vectors(df: DataFrame, id: str, vector: str, dim: int) -> DataFrame:
     """(id, v): floor(64 x) of every component, as packed doubles, short ones padded by 0."""
 
@@ -60,9 +72,11 @@ def voronoi_knn_join(
     ``queries`` is a condition on ``data``; candidates are all rows of another id.
     Ties go to the smaller id.  Rows with a null id, a null vector or a null or
     non-finite component take no part; shorter vectors count as padded by zeros.
-    An id that is repeated is a candidate each time and asks once.  Scores are
-    whole numbers and exact below 2**53.  Equal vectors are one group, whatever
-    their number; it is solved in parts.
+    An id that is repeated is a candidate each time and asks once.  Scores are exact
+    at any size: bounds and floors allow for rounding, and those that a double may not
+    hold are taken again in whole numbers.  Scores beyond a long are given as the nearest
+    long, in no order among themselves.
+    Equal vectors are one group, whatever their number; it is solved in parts.
     """
     v = F.col(vector).cast("array<double>")
     sound = F.col(id).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -84,9 +98,8 @@ def voronoi_knn_join(
         p = shared.value
         for batch in batches:
             x = _matrix(batch.column(1), dim)
-            square = (x * x).sum(axis=1)[:, None] - 2 * x @ p.T + (p * p).sum(axis=1)
-            cell = square.argmin(axis=1)
-            radius = np.sqrt(np.maximum(square[np.arange(len(x)), cell], 0))
+            cell = ((p * p).sum(axis=1) - 2 * x @ p.T).argmin(axis=1)
+            radius = np.sqrt(((x - p[cell]) ** 2).sum(axis=1)) * (1 + _ROUNDING)  # from the difference, which does not cancel
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array(radius), batch.column(1)], names=["id", "cell", "radius", "v"])
 
     placed = staged(packed.mapInArrow(released(assign), "id long, cell int, radius double, v binary"))
@@ -110,25 +123,30 @@ def voronoi_knn_join(
     in_units = grouped.join(F.broadcast(dealt), "group").withColumn("unit", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int"))
     names = np.array([g["group"] for g in groups])
     radii = np.array([g["r"] for g in groups])
-    bounds = context.broadcast((pivots[names // RINGS], radii, [range(first[g], first[g] + parts[g]) for g in names]))
+    bounds = context.broadcast((pivots[names // RINGS], radii, np.array([first[g] for g in names]), np.array([parts[g] for g in names])))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The units a query has to see, with the score its k-th best reaches."""
         ids, w = witness.value
-        p, r, units = bounds.value
+        p, r, begin, wide = bounds.value
+        far = np.sqrt((p * p).sum(axis=1)) + r
+        longest = np.sqrt((w * w).sum(axis=1)).max()
         for batch in batches:
             for at in range(0, batch.num_rows, QUERY_ROWS):
                 part = batch.slice(at, QUERY_ROWS)
                 own, x = part.column(0).to_numpy(zero_copy_only=False), _matrix(part.column(1), dim)
+                norm = np.sqrt((x * x).sum(axis=1))
                 known = x @ w.T
                 known[own[:, None] == ids] = -np.inf
                 floor = np.partition(known, -k, axis=1)[:, -k] if known.shape[1] >= k else np.full(len(x), -np.inf)
-                most = x @ p.T + np.sqrt((x * x).sum(axis=1))[:, None] * r
-                may = most * (1 + 1e-12) + 1e-6 >= floor[:, None]
-                rows = [(i, u) for i in range(len(x)) for u in sorted({u for g in np.flatnonzero(may[i]) for u in units[g]})]
-                i = np.array([a for a, _ in rows], dtype=np.int64)
+                floor = floor - _error(dim, norm, longest)
+                most = x @ p.T + norm[:, None] * r
+                query, group = np.nonzero(~(most + _error(dim, norm[:, None], far) < floor[:, None]))
+                n = wide[group]
+                unit = np.repeat(begin[group] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                i, unit = np.divmod(np.unique(np.repeat(query, n) * (begin[-1] + wide[-1]) + unit), begin[-1] + wide[-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[i]), pa.array([u for _, u in rows], pa.int32()), pa.array(floor[i]), *(part.column(k).take(pa.array(i)) for k in (1, 2))],
+                    [pa.array(own[i]), pa.array(unit.astype(np.int32)), pa.array(floor[i]), *(part.column(k).take(pa.array(i)) for k in (1, 2))],
                     names=["id", "unit", "floor", "v", "block"],
                 )
 
@@ -148,17 +166,21 @@ def voronoi_knn_join(
             order = np.argsort(x_ids, kind="stable")
             x_ids, x = x_ids[order], _matrix(right.column("v"), dim)[order]
             q_ids, q, floor = left.column("id").to_numpy(), _matrix(left.column("v"), dim), left.column("floor").to_numpy()
+            longest = np.sqrt((x * x).sum(axis=1)).max()
             for at in range(0, len(q), 256):
                 score = q[at : at + 256] @ x.T
                 score[q_ids[at : at + 256, None] == x_ids] = -np.inf
                 least = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(score), -np.inf)
                 least = np.maximum(least, floor[at : at + 256])
+                top = np.sqrt((q[at : at + 256] ** 2).sum(axis=1)) * longest
                 for i in range(len(score)):
-                    hit = np.flatnonzero((score[i] >= least[i]) & (score[i] > -np.inf))
-                    hit = hit[np.argsort(-score[i][hit], kind="stable")][:k]  # ids ascend among equal scores
+                    slack = 0.0 if top[i] < 2**52 else 2 * _error(dim, top[i], 1.0)
+                    hit = np.flatnonzero((score[i] >= least[i] - slack) & (score[i] > -np.inf))
+                    whole = score[i][hit].astype(np.int64) if slack == 0 else _whole_scores(q[at + i], x[hit])
+                    hit, whole = (a[np.argsort(-whole, kind="stable")][:k] for a in (hit, whole))  # ids ascend among equal scores
                     out[0].append(np.full(len(hit), q_ids[at + i]))
                     out[1].append(x_ids[hit])
-                    out[2].append(score[i][hit].astype(np.int64))
+                    out[2].append(np.clip(whole, -(2**63) + 1, 2**63 - 1).astype(np.int64))
         return pa.table({n: pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for n, c in zip(("query_id", "id", "score"), out, strict=True)})
 
     local = routed.groupBy("unit", "block").cogroup(copied.groupBy("unit", "block")).applyInArrow(solve, "query_id long, id long, score long")

@@ -325,6 +325,24 @@ def test_language_mixture_against_loops(spark):
     assert many >= 5
 
 
+def test_language_of_a_text_alone(spark, table):
+    """A row's answer is the same alone, in any order and beside any others."""
+    model = learn(table("documents").where(~held_out("doc_id")))
+    r = np.random.default_rng(12)
+    words = {x.lang: x.text.split() for x in table("documents").where("lang is not null and length(text) > 300").collect()}
+    langs = sorted(words)
+    texts = []
+    for _ in range(150):
+        used = [langs[k] for k in r.choice(len(langs), size=int(r.integers(1, len(langs) + 1)), replace=False)]
+        texts.append(" ".join(words[x][k] for x in used for k in r.integers(len(words[x]), size=int(r.integers(1, 12)))))
+    schema = "doc_id long, text string"
+    rows = list(enumerate(texts))
+    together = {x.doc_id: (x.lang_pred, x.score) for x in identify(spark.createDataFrame(rows, schema).coalesce(1), model).collect()}
+    turned = {x.doc_id: (x.lang_pred, x.score) for x in identify(spark.createDataFrame(rows[::-1], schema).repartition(5), model).collect()}
+    alone = {x.doc_id: (x.lang_pred, x.score) for x in identify(spark.createDataFrame(rows, schema).repartition(150), model).collect()}
+    assert together == turned == alone and len({x for x, _ in together.values()}) == len(langs)
+
+
 def test_hilbert():
     side = 8
     points = np.array(list(itertools.product(range(side), repeat=3)))
@@ -642,6 +660,27 @@ def plain_gif(data: bytes) -> tuple[bytes, int, Counter]:
     return samples, len(frames), Counter((c, palette[3 * s + c] >> 4) for s in samples for c in range(3))
 
 
+def test_lines_of_long_documents_in_pieces(monkeypatch):
+    from placeweave.llm import line_dedup
+
+    text = "\n".join([prose(k, 3 + k % 9) for k in range(60)] + ["", "x" * 900, "", "end"])
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["a\nb", text])], names=["doc", "text"])
+    told = lambda: [(first + int(d), int(n), int(i)) for first, x in line_dedup._line_blocks(batch) for d, n, i in zip(x.doc, x.number, x.ids, strict=True)]
+    whole = told()
+    monkeypatch.setattr(line_dedup, "_BLOCK_CHARS", 200)
+    assert told() == whole and len(whole) == 64
+
+
+def test_spans_of_long_texts_in_pieces(monkeypatch):
+    from placeweave.llm import text_arrays
+
+    column = pa.array([prose(1, 400), None, "x" * 5000 + " y", prose(2, 30)])
+    whole = [(k, x.tolist()) for k, x in text_arrays.shingle_sets(column, 3)]
+    monkeypatch.setattr(text_arrays, "BLOCK_BYTES", 64)
+    assert [(k, x.tolist()) for k, x in text_arrays.shingle_sets(column, 3)] == whole
+    assert len(text_arrays._POWERS.up) <= 4 * 64
+
+
 def test_media_against_plain_decoder(spark):
     """What is stored, decoded by a plain reader: payload, frames and colours; nothing depends on order."""
     texts = ["", "abc", "é日" * 40, prose(21, 700), "aaaa" * 6000, prose(22, 9000)]
@@ -701,6 +740,28 @@ def test_topk(spark):
     assert voronoi_knn_join(few.where("false"), F.col("vec_id") % 20 == 0, 5).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 1000.0, 1e6, 1e7])
+def test_topk_large_and_negative(spark, monkeypatch, scale):
+    """One query against thousands of equal or opposite vectors; all scores may be negative; several units."""
+    from placeweave.llm import topk_search
+
+    same = [(0, [-scale, 0.0])] + [(k, [scale, 0.0]) for k in range(1, 5701)]
+    got = sorted(tuple(x) for x in voronoi_knn_join(spark.createDataFrame(same, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 20).collect())
+    assert got == [(0, k, k, -int(64 * scale) ** 2) for k in range(1, 21)]
+    r = np.random.default_rng(8)
+    around = [(k, [float(x) for x in scale * (np.array([3.0, 3.0, 1.0]) + r.normal(size=3) * 0.01)]) for k in range(1, 900)]
+    rows = around + [(1000 + 20 * k, [float(x) for x in -scale * (np.array([3.0, 2.0, 1.0]) + r.normal(size=3))]) for k in range(9)]
+    monkeypatch.setattr(topk_search, "UNIT_ROWS", 50)
+    monkeypatch.setattr(topk_search, "QUERY_ROWS", 4)
+    got = sorted(tuple(x) for x in voronoi_knn_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") >= 1000, 7).collect())
+    ints = {k: [int(np.floor(64 * x)) for x in v] for k, v in rows}
+    want = []
+    for q in (k for k in ints if k >= 1000):
+        best = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), k) for k, v in ints.items() if k != q)[:7]
+        want += [(q, i + 1, k, -s) for i, (s, k) in enumerate(best)]
+    assert got == sorted(want)
+
+
 def test_mixing(spark, docs, empty):
     rows = mix_sources(docs).collect()
     assert len(rows) == len(awkward()) and all(0 <= r.probability <= 1 for r in rows)
