@@ -60,6 +60,20 @@ def _pack_vectors(df: DataFrame, id: str, vector: str, dim: int) -> DataFrame:
     return df.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).mapInArrow(run, "id long, v binary")
 
 
+def _dealt(groups: list[tuple[int, int]], room: int) -> tuple[dict[int, int], dict[int, int]]:
+    """(first part, number of parts) of groups (number, rows): small neighbouring ones share
+    a part of about ``room`` rows, a large one is dealt over several of its own."""
+    first, parts, part, left = {}, {}, -1, 0
+    for group, n in groups:
+        if n > left:
+            part, left = part + 1, room
+        first[group], parts[group] = part, max(1, -(-n // room))
+        left -= n
+        if parts[group] > 1:
+            part, left = part + parts[group] - 1, 0
+    return first, parts
+
+
 def _sample(rows: DataFrame, n: int, seed: int) -> list:
     return rows.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(n).collect()
 
@@ -109,15 +123,7 @@ def voronoi_knn_join(
     grouped = placed.join(F.broadcast(reach), "cell").withColumn("group", F.col("cell") * RINGS + ring).drop("reach")
     groups = grouped.groupBy("group").agg(F.count("*").alias("n"), F.max("radius").alias("r")).orderBy("group").collect()  # pivots * RINGS at most
 
-    # small neighbouring groups share a unit, a large one is dealt over several
-    first, parts, unit, room = {}, {}, -1, 0
-    for g in groups:
-        if g["n"] > room or g["n"] > UNIT_ROWS:
-            unit, room = unit + 1, UNIT_ROWS
-        first[g["group"]], parts[g["group"]] = unit, max(1, -(-g["n"] // UNIT_ROWS))
-        room -= g["n"]
-        if parts[g["group"]] > 1:
-            unit, room = unit + parts[g["group"]] - 1, 0
+    first, parts = _dealt([(g["group"], g["n"]) for g in groups], UNIT_ROWS)
     spark = data.sparkSession
     dealt = spark.createDataFrame([(g, first[g], parts[g]) for g in first], "group int, first int, parts long")
     in_units = grouped.join(F.broadcast(dealt), "group").withColumn("unit", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int"))
@@ -150,12 +156,13 @@ def voronoi_knn_join(
                     names=["id", "unit", "floor", "v", "block"],
                 )
 
-    # queries of one pivot see much the same units, so they share blocks
+    # queries of neighbouring pivots see much the same units, so they share blocks
     query_rows = placed.join(asked, "id", "left_semi").dropDuplicates(["id"]).select("id", "v", "cell")
-    queries_of = query_rows.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("long").alias("blocks"))  # a row a pivot
-    block = F.struct("cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("part"))
-    asking = query_rows.join(F.broadcast(queries_of), "cell").select("id", "v", block.alias("block"))
-    routed = staged(asking.mapInArrow(released(route), "id long, unit int, floor double, v binary, block struct<cell:int,part:int>"))
+    asked_of = [(r["cell"], r["n"]) for r in query_rows.groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").collect()]  # a row a pivot
+    block, shares = _dealt(asked_of, QUERY_ROWS)
+    blocks = spark.createDataFrame([(c, block[c], shares[c]) for c in block], "cell int, first int, parts long")
+    asking = query_rows.join(F.broadcast(blocks), "cell").select("id", "v", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("block"))
+    routed = staged(asking.mapInArrow(released(route), "id long, unit int, floor double, v binary, block int"))
     met = routed.select(F.col("unit").alias("unit"), F.col("block").alias("block")).distinct()
     copied = in_units.select("id", "unit", "v").join(met, "unit")
 
