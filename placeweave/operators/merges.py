@@ -164,16 +164,14 @@ def merge_stats(outcomes: DataFrame, by: list[str], column: str = "outcome") ->
     return outcomes.groupBy(*by, column).agg(F.count("*").alias("n"))
 
 
-def cascade_outcomes(records: DataFrame, matched: DataFrame, inserts: DataFrame) -> DataFrame:
-    """``records`` (id) with matched_nris, matched_address, matched_fuzzy, inserted or skipped.
+def cascade_outcomes(records: DataFrame, assigned: DataFrame) -> DataFrame:
+    """``records`` (id) with matched_nris, matched_address, matched_fuzzy or inserted.
 
-    ``matched``: record_id and pass of the cascade; ``inserts``: id and leader; a
-    record that meets one inserted before it counts as matched_batch.
+    ``assigned``: what ``batches.assignments`` gives; a record counts by the pass that it
+    matches by, be it a stored site or one inserted before.
     """
-    names = F.when(F.col("pass") == 1, "matched_nris").when(F.col("pass") == 2, "matched_address").when(F.col("pass") >= 3, "matched_fuzzy")
-    out = records.join(matched.select(F.col("record_id").alias("id"), "pass"), "id", "left").join(inserts.select("id", "leader"), "id", "left")
-    rest = F.when(F.col("leader"), "inserted").when(F.col("leader").isNotNull(), "matched_batch").otherwise("skipped")
-    return out.withColumn("outcome", F.coalesce(names, rest)).drop("pass", "leader")
+    names = F.when(F.col("inserted"), "inserted").when(F.col("pass") == 1, "matched_nris").when(F.col("pass") == 2, "matched_address").otherwise("matched_fuzzy")
+    return records.join(assigned.select(F.col("record_id").alias("id"), names.alias("outcome")), "id")
 
 
 def run_events(counts: DataFrame, stage: Column, at: Column) -> DataFrame:

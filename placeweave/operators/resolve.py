@@ -1,4 +1,4 @@
-"""Entity resolution: blocks, scores, the match cascade and leaders (J01-J12, J18, W-c).
+"""Entity resolution: blocks, scores and the match cascade (J01-J11, J18, W-c).
 
 Candidates come from equi-joins that lose nothing the rules accept: grid cells for
 nearby records; for matches by name a prefix filter over letter pairs, in which two
@@ -9,15 +9,22 @@ names that score are joined back to the records.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeweave.constants import CELL_DEGREES, NEAR_KM, SCORE_ANYWHERE, SCORE_CANDIDATE, SCORE_MATCH, SCORE_NAME_ONLY
+from placeweave.constants import CELL_DEGREES, EARTH_KM, NEAR_KM, SCORE_ANYWHERE, SCORE_CANDIDATE, SCORE_MATCH, SCORE_NAME_ONLY
 from placeweave.functions.names import comparable_lengths, comparison_name, differ_only_by_number, distance_km, match_risk, matching_name, may_reach, name_score, sorted_tokens
 from placeweave.functions.normalize import normalize_address
 from placeweave.session import discard, staged
 
 
+#: Width of the cells in which records within NEAR_KM are looked for.
+FINE_DEGREES = 0.01
+
+
 def cell(c: Column) -> Column:
     """Grid cell of a coordinate, halves to even."""
     return F.bround(c / CELL_DEGREES).cast("long")
@@ -177,26 +184,103 @@ def fuzzy_matches(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     return near.unionByName(rest).withColumn("match_type", match_type(F.col("score"), F.col("km"))).where("match_type is not null")
 
 
-def candidates(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Every pair that a pass of the cascade accepts: (record, site, pass, score, km).
+def first_of(records: DataFrame, by: list[str]) -> DataFrame:
+    """The record with the smallest id of each value of ``by``, nulls being a value.
+
+    Equal scores go to the smaller id, so of records that a rule cannot tell apart only
+    this one can be a match.
+    """
+    return records.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.min_by(F.struct(*records.columns), "id").alias("__r")).select("__r.*")
+
+
+#: What the rules of the cascade read of a record; records that agree in it are judged alike.
+MATCH_KEYS = ["nris_refnum", "name", "state", "city_key", "address_key", "latitude", "longitude"]
+
+
+def match_classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, one of each class of equal match keys, the first by id; (id, class) of all)."""
+    keyed_rows = records.withColumn("__k", F.md5(F.to_json(F.struct(*MATCH_KEYS))))
+    firsts = keyed_rows.groupBy("__k").agg(F.min_by(F.struct(*records.columns), "id").alias("__r"))
+    members = keyed_rows.select("id", "__k").join(firsts.select("__k", F.col("__r.id").alias("class")), "__k").select("id", "class")
+    return firsts.select("__r.*"), members
+
+
+def fine_cells(incoming: DataFrame, existing: DataFrame, km: float) -> tuple[DataFrame, DataFrame]:
+    """Both sides (i_, e_) with cells fy, fx in which all pairs so near meet, once each.
+
+    Rows without coordinates, or with one that is 0, have none.  An existing record lies in
+    one cell; an incoming one goes to all cells that the box of ``km`` around it touches,
+    two or four of them at most latitudes.
+    """
+    sound = "placed and latitude <> 0 and longitude <> 0"
+    i, e = _sides(incoming.where(sound), existing.where(sound))
+    up = km / (EARTH_KM * math.pi / 180) * 1.001
+    side = F.asin(F.least(F.lit(1.0), F.sin(F.lit(math.radians(up))) / F.greatest(F.cos(F.radians("i_latitude")), F.lit(1e-9)))) * (180 / math.pi) * 1.001
+    fine = lambda c: F.floor(c / FINE_DEGREES)
+    i = i.withColumn("fy", F.explode(F.sequence(fine(F.col("i_latitude") - up), fine(F.col("i_latitude") + up))))
+    i = i.withColumn("fx", F.explode(F.sequence(fine(F.col("i_longitude") - side), fine(F.col("i_longitude") + side))))
+    return i, e.withColumns({"fy": fine(F.col("e_latitude")), "fx": fine(F.col("e_longitude"))})
+
+
+def near_pairs(incoming: DataFrame, existing: DataFrame, by_state: bool = True, apart: float | None = None) -> DataFrame:
+    """Pairs within NEAR_KM and in adjacent cells with a score of SCORE_CANDIDATE or more, with score and km.
+
+    Distinct names of a fine cell meet first and each pair of names is scored once; only
+    records of names that score meet.  With ``apart``, pairs of that score or more come out
+    only if they are of different cities, and no others of them are looked at.
+    """
+    i, e = fine_cells(incoming, existing, NEAR_KM)
+    block = ["state", "fy", "fx"] if by_state else ["fy", "fx"]
+    names = lambda df, side: df.select(*[F.col(f"{side}_state").alias("state") if c == "state" else c for c in block], f"{side}_tokens", f"{side}_plain").distinct()
+    a, b = F.col("i_tokens"), F.col("e_tokens")
+    met = names(i, "i").join(names(e, "e"), block).where(comparable_lengths(F.col("i_plain"), F.col("e_plain")) & may_reach(a, b, SCORE_CANDIDATE)).select("i_tokens", "e_tokens").distinct()
+    scores = staged(met.where(_letters_allow(a, b, SCORE_CANDIDATE)).withColumn("score", name_score(a, b)).where(F.col("score") >= SCORE_CANDIDATE))
+    cell = [F.col("l.fy") == F.col("r.fy"), F.col("l.fx") == F.col("r.fx"), F.col("l.e_tokens") == F.col("r.e_tokens")]
+    if by_state:
+        cell.append(F.col("l.i_state") == F.col("r.e_state"))
+    left = i.join(scores, "i_tokens")
+    if apart is not None:
+        city = lambda side: F.coalesce(f"{side}_city_key", F.lit("\u0001"))
+        e = e.withColumn("e_in", city("e"))
+        cities = e.select("fy", "fx", "e_tokens", "e_state", "e_in").distinct()
+        left = left.alias("l").join(cities.alias("r"), cell).where((F.col("score") < apart) | (city("i") != F.col("e_in"))).select("l.*", "r.e_in")
+        cell.append(F.col("l.e_in") == F.col("r.e_in"))
+    km = distance_km(F.col("i_latitude"), F.col("i_longitude"), F.col("e_latitude"), F.col("e_longitude"))
+    found = left.alias("l").join(e.alias("r"), cell).select("l.*", *[f"r.{c}" for c in e.columns if c.startswith("e_") and c not in ("e_tokens", "e_in")]).withColumn("km", km)
+    return found.where((F.col("km") <= NEAR_KM) & _visible() & comparable_lengths(F.col("i_plain"), F.col("e_plain"))).drop("fy", "fx", "e_in")
+
+
+def candidates(incoming: DataFrame, existing: DataFrame, passes: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
+    """Pairs that a pass of the cascade accepts: (record, site, pass, score, km).
 
     1 number in the register, 2 address, 3 nearby with a similar name that does not
-    differ by a number only, 4 by name alone.
+    differ by a number only, 4 by name alone.  Of sites that a pass cannot tell apart
+    only the one with the smallest id comes out, so pairs do not grow with repeated sites.
     """
     key = ["i_id", "e_id"]
-    one = refnum_matches(incoming, existing).select(*key, F.lit(1).alias("pass"), F.lit(100.0).alias("score"), F.lit(None).cast("double").alias("km"))
-    raw = address_matches(incoming, existing)
-    raw_score = name_score(sorted_tokens(F.col("i_name")), sorted_tokens(F.col("e_name")))
-    two = raw.select(*key, F.lit(2).alias("pass"), raw_score.alias("score"), F.lit(None).cast("double").alias("km"))
+    nowhere = F.lit(None).cast("double").alias("km")
     numbers = differ_only_by_number(F.col("i_name"), F.col("e_name"))
-    near = with_scores(neighbours(incoming, existing), SCORE_CANDIDATE).where((F.col("km") <= NEAR_KM) & ~numbers)
-    three = near.select(*key, F.lit(3).alias("pass"), "score", "km")
-    far = F.coalesce(F.col("km") > NEAR_KM, F.lit(True))
-    pairs = name_pairs(incoming, existing, SCORE_NAME_ONLY)
-    names = _named(incoming, existing, pairs, same_city=True).where(_visible() & far & ~numbers)
-    sure = _named(incoming.where("city_key is null"), existing, pairs.where(F.col("score") >= SCORE_ANYWHERE)).where(_visible() & far & ~numbers)
-    four = names.select(*key, "score", "km").unionByName(sure.select(*key, "score", "km")).distinct().withColumn("pass", F.lit(4))
-    return one.unionByName(two).unionByName(three).unionByName(four.select(*one.columns))
+    found = []
+    if 1 in passes:
+        one = refnum_matches(incoming, first_of(existing.where("nris_refnum is not null"), ["nris_refnum"]))
+        found.append(one.select(*key, F.lit(1).alias("pass"), F.lit(100.0).alias("score"), nowhere))
+    if 2 in passes:
+        at = existing.where("address_key is not null and city_key is not null and state is not null")
+        raw_score = name_score(sorted_tokens(F.col("i_name")), sorted_tokens(F.col("e_name")))
+        two = address_matches(incoming, first_of(at, ["state", "address_key", "city_key", "name"]))
+        found.append(two.select(*key, F.lit(2).alias("pass"), raw_score.alias("score"), nowhere))
+    if 3 in passes:
+        near = near_pairs(incoming, first_of(existing.where("placed"), ["state", "name", "latitude", "longitude"])).where(~numbers)
+        found.append(near.select(*key, F.lit(3).alias("pass"), "score", "km"))
+    if 4 in passes:
+        far = F.coalesce(F.col("km") > NEAR_KM, F.lit(True))
+        firsts = first_of(existing, ["state", "name", "city_key", "cx", "cy"])
+        pairs = name_pairs(incoming, existing, SCORE_NAME_ONLY)
+        names = _named(incoming, firsts, pairs, same_city=True).where(_visible() & far & ~numbers)
+        sure = _named(incoming.where("city_key is null"), firsts, pairs.where(F.col("score") >= SCORE_ANYWHERE)).where(_visible() & far & ~numbers)
+        four = names.select(*key, "score", "km").unionByName(sure.select(*key, "score", "km")).distinct()
+        found.append(four.select(*key, F.lit(4).alias("pass"), "score", "km"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def best_matches(found: DataFrame) -> DataFrame:
@@ -205,9 +289,14 @@ def best_matches(found: DataFrame) -> DataFrame:
     return found.withColumn("__r", F.row_number().over(order)).where("__r = 1").drop("__r").withColumnsRenamed({"i_id": "record_id", "e_id": "site_id"})
 
 
-def cascade(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """(record_id, site_id, pass, score, km) of the records that match."""
-    return best_matches(candidates(incoming, existing))
+def cascade(incoming: DataFrame, existing: DataFrame, passes: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
+    """(record_id, site_id, pass, score, km) of the records that match.
+
+    Records of equal match keys are matched once.
+    """
+    classes, members = match_classes(incoming)
+    found = best_matches(candidates(staged(classes), existing, passes)).withColumnRenamed("record_id", "class")
+    return members.join(found, "class").select(F.col("id").alias("record_id"), "site_id", "pass", "score", "km")
 
 
 def near_misses(incoming: DataFrame, existing: DataFrame, matched: DataFrame) -> DataFrame:
@@ -221,18 +310,29 @@ def near_misses(incoming: DataFrame, existing: DataFrame, matched: DataFrame) ->
     return seen.withColumn("__r", F.row_number().over(order)).where("__r = 1").select(F.col("i_id").alias("record_id"), F.col("e_id").alias("site_id"), "score", "km")
 
 
+def park_candidates(parks: DataFrame, existing: DataFrame) -> DataFrame:
+    """Names of SCORE_MATCH or more at any distance in any state (J09), of equal names the first site."""
+    firsts = first_of(existing, ["name"])
+    pairs = _named(parks, firsts, name_pairs(parks, existing, SCORE_MATCH, by_state=False), by_state=False)
+    return pairs.select("i_id", "e_id", F.lit(1).alias("pass"), "score", "km")
+
+
 def park_matches(parks: DataFrame, existing: DataFrame) -> DataFrame:
-    """The best name of SCORE_MATCH or more at any distance in any state."""
-    pairs = _named(parks, existing, name_pairs(parks, existing, SCORE_MATCH, by_state=False), by_state=False)
-    return best_matches(pairs.select("i_id", "e_id", F.lit(1).alias("pass"), "score", "km"))
+    """The best name of each park."""
+    return best_matches(park_candidates(parks, existing))
+
+
+def battlefield_candidates(fields: DataFrame, existing: DataFrame, least: float = 92.0) -> DataFrame:
+    """Nearby with a similar name, else by name alone from ``least`` on among all that a record sees."""
+    near = near_pairs(fields, first_of(existing, ["name", "latitude", "longitude"]), by_state=False)
+    firsts = first_of(existing, ["name", "cx", "cy"])
+    named = _named(fields, firsts, name_pairs(fields, existing, least, by_state=False), by_state=False).where(_visible())
+    return near.select("i_id", "e_id", F.lit(1).alias("pass"), "score", "km").unionByName(named.select("i_id", "e_id", F.lit(2).alias("pass"), "score", "km"))
 
 
 def battlefield_matches(fields: DataFrame, existing: DataFrame, least: float = 92.0) -> DataFrame:
-    """Nearby with a similar name, else by name alone from ``least`` on."""
-    near = with_scores(neighbours(fields, existing, by_state=False), SCORE_CANDIDATE).where(F.col("km") <= NEAR_KM)
-    named = _named(fields, existing, name_pairs(fields, existing, least, by_state=False), by_state=False)
-    both = near.select("i_id", "e_id", F.lit(1).alias("pass"), "score", "km").unionByName(named.select("i_id", "e_id", F.lit(2).alias("pass"), "score", "km"))
-    return best_matches(both)
+    """The best site of each battlefield."""
+    return best_matches(battlefield_candidates(fields, existing, least))
 
 
 def match_audit(incoming: DataFrame, existing: DataFrame) -> DataFrame:
@@ -245,41 +345,3 @@ def match_audit(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     doubtful = best.where((F.col("score") < 100) & (comparison_name(F.col("i_name")) != comparison_name(F.col("e_name"))))
     risk = match_risk(F.col("score"), F.col("km"), F.col("match_type"), F.col("i_city_key"), F.col("e_city_key"))
     return doubtful.select(F.col("i_id").alias("record_id"), F.col("e_id").alias("site_id"), "match_type", "score", "km", risk.alias("risk"))
-
-
-def leaders(records: DataFrame, edges: DataFrame, taken: DataFrame, stage) -> DataFrame:
-    """(id, leader) of records inserted one after the other, as sets.
-
-    ``edges`` (later, earlier): pairs where the later record would match the
-    earlier one had it been inserted; ``taken``: records that match a stored site.
-    Inserted are the rows of the first maximal independent set in arrival order,
-    found in a few rounds (Blelloch, Fineman, Shun, SPAA 2012): a record becomes a
-    leader when all its earlier neighbours are settled as no leaders, and none when
-    one of them leads.  ``stage`` writes a round's state and reads it back.
-    """
-    state = stage(records.select("id").join(taken.select("id").withColumn("leader", F.lit(False)), "id", "left"))
-    edges = stage(edges)
-    while True:
-        open_rows = state.where("leader is null").select("id")
-        if open_rows.isEmpty():
-            return state
-        seen = edges.join(state.withColumnRenamed("id", "earlier"), "earlier").join(open_rows.withColumnRenamed("id", "later"), "later", "left_semi")
-        verdict = seen.groupBy("later").agg(F.max(F.coalesce("leader", F.lit(False))).alias("led"), F.max(F.col("leader").isNull()).alias("waits"))
-        state = stage(
-            state.join(verdict.withColumnRenamed("later", "id"), "id", "left").select(
-                "id",
-                F.when(F.col("leader").isNotNull(), F.col("leader"))
-                .when(F.coalesce("led", F.lit(False)), False)
-                .when(~F.coalesce("waits", F.lit(False)), True)
-                .alias("leader"),
-            )
-        )
-
-
-def insert_leaders(incoming: DataFrame, existing: DataFrame, stage) -> DataFrame:
-    """(id, leader) of records in order of their ids, where each meets the stored
-    sites and the records inserted before it by all passes of the cascade (J12)."""
-    pairs = candidates(incoming, incoming).where("i_id > e_id")
-    edges = pairs.select(F.col("i_id").alias("later"), F.col("e_id").alias("earlier")).distinct()
-    taken = candidates(incoming, existing).select(F.col("i_id").alias("id")).distinct()
-    return leaders(incoming, edges, taken, stage)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from placeweave import constants as C
 from placeweave.functions import names as N
 from placeweave.functions import normalize as Z
-from placeweave.operators import merges, profile, resolve, scoring, tables
+from placeweave.operators import batches, merges, profile, resolve, scoring, tables
 from placeweave.plans import views
 from placeweave.plans.registry import _TITLE, _WORDS, SQL_STATE, _sides, query
 from placeweave.plans.views import with_tables
@@ -337,8 +337,7 @@ def outlier_report(spark, sf_dir):
 def cascade_outcomes(spark, sf_dir):
     """(state, outcome, n) of all incoming records."""
     inc, sites = _sides(spark, sf_dir)
-    found = staged(resolve.cascade(inc, sites))
-    return merges.merge_stats(merges.cascade_outcomes(inc.select("id", "state"), found, resolve.insert_leaders(inc, sites, staged)), ["state"])
+    return merges.merge_stats(merges.cascade_outcomes(inc.select("id", "state"), batches.assignments(inc, sites)), ["state"])
 
 
 @query()

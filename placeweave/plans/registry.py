@@ -11,7 +11,7 @@ from placeweave import constants as C
 from placeweave.functions import names as N
 from placeweave.functions import normalize as Z
 from placeweave.functions import scores as S
-from placeweave.operators import enrich, profile, resolve, scoring, tables, validate
+from placeweave.operators import batches, enrich, profile, resolve, scoring, tables, validate
 from placeweave.plans import views
 from placeweave.plans.views import with_tables
 from placeweave.session import staged
@@ -583,7 +583,7 @@ def near_misses(spark, sf_dir):
 @query()
 def insert_leaders(spark, sf_dir):
     """Records that are inserted when they arrive one after the other."""
-    return resolve.insert_leaders(*_sides(spark, sf_dir), staged)
+    return batches.insert_leaders(*_sides(spark, sf_dir))
 
 
 from placeweave.plans import merging  # noqa: E402, F401  (registers its queries)

@@ -6,9 +6,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from placeweave.operators import enrich, resolve, scoring, tables
+from placeweave.operators import batches, enrich, resolve, scoring, tables
 from placeweave.plans import registry
-from placeweave.session import staged
 from placeweave.sinks import exports
 from placeweave.streaming import incremental
 
@@ -81,7 +80,7 @@ def test_leaders_equal_a_sequential_model(spark):
                 model.add(i)
         rows = spark.createDataFrame([(i,) for i in range(n)], "id long")
         e = spark.createDataFrame(sorted(edges), "later long, earlier long")
-        got = resolve.leaders(rows, e, spark.createDataFrame([(i,) for i in taken], "id long"), staged)
+        got = batches.leaders(rows, e, spark.createDataFrame([(i,) for i in taken], "id long"))
         assert {x["id"] for x in got.collect() if x["leader"]} == model
 
 
@@ -180,7 +179,8 @@ def test_parks_and_battlefields_equal_a_sequential_model(spark):
         if best := [(-s, e.id) for s, e in scored if s >= 85]:
             parks[i.id] = min(best)[1]
         near = [(1, -s, e.id) for s, e in scored if i.placed and e.placed and abs(i.cx - e.cx) <= 1 and abs(i.cy - e.cy) <= 1 and s >= 70 and kilometres(i, e) <= 0.5]
-        if best := near + [(2, -s, e.id) for s, e in scored if s >= 92]:
+        sees = lambda e: not i.placed or not e.placed or abs(i.cx - e.cx) <= 1 and abs(i.cy - e.cy) <= 1  # noqa: E731, B023
+        if best := near + [(2, -s, e.id) for s, e in scored if s >= 92 and sees(e)]:
             fields[i.id] = min(best)[2]
     assert {r.record_id: r.site_id for r in resolve.park_matches(inc, sites).collect()} == parks
     assert {r.record_id: r.site_id for r in resolve.battlefield_matches(inc, sites).collect()} == fields
@@ -232,7 +232,7 @@ def test_inserts_meet_all_passes(spark):
         (25, None, "Elm Grange", "PA", "Town", None, None, None), (26, None, "Elm Grange", "NJ", "Town", None, None, None), (27, None, "Unlike", "PA", "Ville", None, None, None), (28, None, "Elm Grange", "PA", "Ville", None, 43.0, -75.0),
     ]
     inc, sites = resolve.keyed(spark.createDataFrame(rows, f"record_id long, {cols}"), "record_id"), resolve.keyed(spark.createDataFrame(stored, f"site_id long, {cols}"), "site_id")
-    got = {x["id"]: x["leader"] for x in resolve.insert_leaders(inc, sites, staged).collect()}
+    got = {x["id"]: x["leader"] for x in batches.insert_leaders(inc, sites).collect()}
     assert len(got) == len(rows) and {k for k, v in got.items() if v} == {21, 26, 27, 28}
 
 
