@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeweave.functions.normalize import validate_coordinates
-from placeweave.operators.tables import checksum, insert_or_ignore, keep_last, upsert_first_wins
+from placeweave.operators.tables import checksum, folded, insert_or_ignore, keep_last, last_replies, upsert_first_wins
 from placeweave.operators.validate import validate_sites
 
 LETTERS = ("A", "B", "C", "D")
@@ -102,11 +102,12 @@ def upsert_changed(current: DataFrame, incoming: DataFrame, flags: list[str], at
     return out.withColumns(changed).select(*current.columns)
 
 
-def apply_lookups(sites: DataFrame, replies: DataFrame) -> dict[str, DataFrame]:
+def apply_lookups(sites: DataFrame, replies: DataFrame, method: str = "web_search", order: str | None = "at") -> dict[str, DataFrame]:
     """Looked-up addresses (site_id, latitude, longitude, address, source_url, confidence)
     with sound coordinates, exchanged ones put right, take effect; one with a source
-    leaves provenance (W13)."""
-    r = replies.select("site_id", F.col("latitude").try_cast("double").alias("__lat"), F.col("longitude").try_cast("double").alias("__lon"), F.col("address").alias("__address"), "source_url", "confidence")
+    leaves provenance (W13).  The last reply of a site counts, sound or not (J17)."""
+    r = last_replies(replies, "site_id", order)
+    r = r.select("site_id", F.col("latitude").try_cast("double").alias("__lat"), F.col("longitude").try_cast("double").alias("__lon"), F.col("address").alias("__address"), "source_url", "confidence")
     r = r.withColumn("__p", validate_coordinates(F.col("__lat"), F.col("__lon"))).where("__lat is not null and __lon is not null and __p.valid")
     hit = F.col("__p").isNotNull()
     put = {
@@ -114,7 +115,7 @@ def apply_lookups(sites: DataFrame, replies: DataFrame) -> dict[str, DataFrame]:
         "coordinates_source": F.when(hit, "ai_lookup").otherwise(F.col("coordinates_source")), "geocode_quality": F.when(hit, "ai_lookup").otherwise(F.col("geocode_quality")),
         "address": F.coalesce(F.nullif(F.trim("__address"), F.lit("")), F.col("address")),
     }
-    sourced = r.where(F.length("source_url") > 0).select("site_id", "source_url", F.coalesce("confidence", F.lit("low")).alias("confidence"), F.lit("claude_web_search").alias("method"))
+    sourced = r.where(F.length("source_url") > 0).select("site_id", "source_url", F.coalesce("confidence", F.lit("low")).alias("confidence"), F.lit(method).alias("method"))
     return {
         "sites": sites.join(r.drop("source_url", "confidence"), "site_id", "left").withColumns(put).select(*sites.columns),
         "sources": provenance(sourced, "ai_geocode", F.lit(None), ["confidence", "method"], F.col("source_url")),
@@ -135,16 +136,20 @@ def apply_batches(sites: DataFrame, requests: DataFrame, replies: DataFrame) ->
     return out.withColumns({"enrichment_status": status, "enrichment_raw_json": F.coalesce("__raw", "enrichment_raw_json")}).select(*sites.columns)
 
 
-def apply_nominations(sites: DataFrame, nominations: DataFrame) -> dict[str, DataFrame]:
+def apply_nominations(sites: DataFrame, nominations: DataFrame, order: str | None = "at") -> dict[str, DataFrame]:
     """Extracted nominations take effect on their sites.
 
     ``nominations``: site_id, start_year, end_year, areas, criteria, statement,
-    condition; all fields of a failed extraction are null.  The flag is set always.
+    condition; all fields of a failed extraction are null.  The flag is set always.  Of
+    several nominations of a site the last text, condition and extraction count, and all
+    periods, areas and criteria are added.
     """
+    fields = [c for c in nominations.columns if c != order]
     n = nominations
-    read = F.greatest(*[F.col(c).isNotNull() for c in n.columns if c != "site_id"])
-    raw = F.when(read, F.to_json(F.struct(*n.columns)))
-    told = n.select("site_id", F.nullif("statement", F.lit("")).alias("__text"), F.nullif("condition", F.lit("")).alias("__condition"), raw.alias("__raw"), F.lit(True).alias("__hit"))
+    read = F.greatest(*[F.col(c).isNotNull() for c in fields if c != "site_id"])
+    when = [order] if order in n.columns else []
+    told = n.select("site_id", *when, F.col("statement").alias("__text"), F.col("condition").alias("__condition"), F.when(read, F.to_json(F.struct(*fields))).alias("__raw"), F.lit(True).alias("__hit"))
+    told = folded(told, "site_id", ["__text", "__condition", "__raw", "__hit"], when[0] if when else None, last=True)
     put = {
         "full_description": F.coalesce("__text", "full_description"), "condition": F.coalesce("__condition", "condition"),
         "enrichment_raw_json": F.coalesce("__raw", "enrichment_raw_json"), "source_nomination": F.coalesce("__hit", "source_nomination"),

@@ -65,23 +65,30 @@ def review_queue(sites: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def apply_actions(sites: DataFrame, actions: DataFrame) -> DataFrame:
-    """The last action of each site (site_id, action, notes, fields, at) takes effect.
+    """Review actions (site_id, action, notes, fields, priority, at) take effect in order.
 
-    ``approve`` sets the status, ``flag`` sets status and priority 1, ``edit`` puts
-    the given fields (a map) and marks the site manual; notes replace notes.
+    ``approve`` sets the status and notes, ``flag`` status, notes and priority (1 if none
+    is given), ``edit`` puts the given fields (a map of column names to text) and marks the
+    site manual.  Each action is a map of the columns that it writes; of each column the
+    last write counts, so an edit before an approval stays.  Empty notes of an approval
+    write nothing, those of a flag and a null value of an edited field write a null.
+    Actions of one time count in the order of their content; unknown ones and fields
+    that are no column of ``sites`` do nothing.
     """
-    last = Window.partitionBy("site_id").orderBy(F.desc("at"))
-    final = actions.withColumn("__r", F.row_number().over(last)).where("__r = 1").select("site_id", "action", F.col("notes").alias("__notes"), "fields")
-    out = sites.join(final, "site_id", "left")
-    act = F.col("action")
-    changed = {
-        "review_status": F.when(act == "approve", "approved").when(act == "flag", "flagged").otherwise(F.col("review_status")),
-        "review_priority": F.when(act == "flag", 1).otherwise(F.col("review_priority")),
-        "primary_source": F.when(act == "edit", "manual").otherwise(F.col("primary_source")),
-    }
-    for c in sites.columns:
-        if c not in changed and c != "site_id" and dict(sites.dtypes)[c] == "string":
-            changed[c] = F.when(act == "edit", F.coalesce(F.try_element_at("fields", F.lit(c)), F.col(c))).otherwise(F.col(c))
-    if "review_notes" in sites.columns:
-        changed["review_notes"] = F.coalesce("__notes", changed["review_notes"])
-    return out.withColumns(changed).select(*sites.columns)
+    kinds = dict(sites.dtypes)
+    act, text = F.col("action"), lambda c: c.cast("string")
+    notes = F.col("notes")
+    priority = F.coalesce(text(F.col("priority")), F.lit("1")) if "priority" in actions.columns else F.lit("1")
+    none = F.lit(None).cast("map<string,string>")
+    approve = F.map_concat(F.create_map(F.lit("review_status"), F.lit("approved")), F.when(F.length(notes) > 0, F.create_map(F.lit("reviewer_notes"), notes)).otherwise(F.from_json(F.lit("{}"), "map<string,string>")))
+    flag = F.create_map(F.lit("review_status"), F.lit("flagged"), F.lit("reviewer_notes"), notes, F.lit("review_priority"), priority)
+    edited = F.map_filter(F.coalesce("fields", F.from_json(F.lit("{}"), "map<string,string>")), lambda k, v: k != "primary_source")
+    writes = F.when(act == "approve", approve).when(act == "flag", flag).when(act == "edit", F.map_concat(edited, F.create_map(F.lit("primary_source"), F.lit("manual")))).otherwise(none)
+    log = actions.select("site_id", F.struct("at", "action", F.coalesce(notes, F.lit("")).alias("n")).alias("order"), F.explode(writes).alias("column", "value"))
+    written = log.where(F.col("column").isin(*[c for c in sites.columns if c != "site_id"])).groupBy("site_id", "column").agg(F.max(F.struct("order", "value")).getField("value").alias("value"))
+    puts = written.groupBy("site_id").agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("__put"))  # at most one entry a column
+    put = lambda c: F.try_element_at("__put", F.lit(c)).try_cast(kinds[c])
+    told = lambda c: F.coalesce(F.map_contains_key("__put", F.lit(c)), F.lit(False))
+    out = sites.join(puts, "site_id", "left")
+    simple = [c for c in sites.columns if c != "site_id" and not kinds[c].startswith(("array", "map", "struct"))]
+    return out.withColumns({c: F.when(told(c), put(c)).otherwise(F.col(c)) for c in simple}).select(*sites.columns)

@@ -87,13 +87,31 @@ def append_rows(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return current.unionByName(incoming, allowMissingColumns=True)
 
 
-def fill_empty(sites: DataFrame, matched: DataFrame, fields: list[str], flag: str) -> DataFrame:
-    """Fill empty fields from the matched record (site_id, fields) and set the flag.
+def folded(records: DataFrame, key: str, fields: list[str], order: str | None, last: bool = False) -> DataFrame:
+    """One row a key: of each field the first non-empty value in the given order, or the last.
 
-    Sites whose primary source is manual or unknown stay as they are.
+    Records of one key are folded by partial aggregates, however many there are; without
+    an order the least value stands for the first.
+    """
+    kinds, pick = dict(records.dtypes), F.max if last else F.min
+    told = [F.col(order).alias("o")] if order else []
+    values = [pick(F.when(_filled(F.col(f), kinds[f]).isNotNull(), F.struct(*told, F.col(f).alias("v")))).getField("v").alias(f) for f in fields]
+    return records.groupBy(key).agg(*values)
+
+
+def _order(records: DataFrame, order: str | None) -> str | None:
+    return order if order in records.columns else None
+
+
+def fill_empty(sites: DataFrame, matched: DataFrame, fields: list[str], flag: str, order: str | None = "arrival") -> DataFrame:
+    """Fill empty fields from the matched records (site_id, fields) and set the flag.
+
+    Several records may match a site: the first non-empty value by arrival counts for each
+    field.  Sites whose primary source is manual or unknown stay as they are.
     """
     kinds = dict(sites.dtypes)
-    found = matched.select("site_id", *[F.col(f).alias(f"__{f}") for f in fields], F.lit(True).alias("__hit"))
+    found = folded(matched, "site_id", fields, _order(matched, order))
+    found = found.select("site_id", *[F.col(f).alias(f"__{f}") for f in fields], F.lit(True).alias("__hit"))
     may = F.col("__hit").isNotNull() & (F.col("primary_source") != "manual")
     out = sites.join(found, "site_id", "left")
     changed = {f: F.when(may, F.coalesce(_filled(F.col(f), kinds[f]), F.col(f"__{f}"), F.col(f))).otherwise(F.col(f)) for f in fields}
@@ -101,13 +119,17 @@ def fill_empty(sites: DataFrame, matched: DataFrame, fields: list[str], flag: st
     return out.withColumns(changed).select(*sites.columns)
 
 
-def overwrite_fields(sites: DataFrame, matched: DataFrame, fields: list[str], flag: str) -> DataFrame:
-    """Incoming non-empty fields replace the site's (W06, W11); manual and reviewed sites stay."""
-    found = matched.select("site_id", *[F.col(f).alias(f"__{f}") for f in fields], F.lit(True).alias("__hit"))
-    manual = F.coalesce((F.col("primary_source") == "manual") & (F.col("review_status") == "approved"), F.lit(False))
-    may = F.col("__hit").isNotNull() & ~manual
-    kinds = dict(sites.dtypes)
-    changed = {f: F.when(may, F.coalesce(_filled(F.col(f"__{f}"), kinds[f]), F.col(f))).otherwise(F.col(f)) for f in fields}
+def overwrite_fields(sites: DataFrame, matched: DataFrame, fields: list[str], flag: str, order: str | None = "arrival") -> DataFrame:
+    """Non-empty fields of the matched records replace the site's.
+
+    Of several records the last non-empty value by arrival counts.  A site with reviewer
+    notes changes only if its primary source is known and not manual; the flag is set where
+    a record gives any field.
+    """
+    found = folded(matched, "site_id", fields, _order(matched, order), last=True)
+    found = found.select("site_id", *[F.col(f).alias(f"__{f}") for f in fields]).where(" or ".join(f"`__{f}` is not null" for f in fields)).withColumn("__hit", F.lit(True))
+    may = F.col("__hit").isNotNull() & (F.col("reviewer_notes").isNull() | (F.col("primary_source") != "manual"))
+    changed = {f: F.when(may, F.coalesce(F.col(f"__{f}"), F.col(f))).otherwise(F.col(f)) for f in fields}
     changed[flag] = F.when(may, True).otherwise(F.col(flag))
     return sites.join(found, "site_id", "left").withColumns(changed).select(*sites.columns)
 
@@ -126,26 +148,32 @@ def priority_wins(provenance: DataFrame, ranks: dict[str, int], fields: list[str
 
 def apply_replies(requests: DataFrame, replies: DataFrame, key: str, order: str) -> DataFrame:
     """Requests with their last reply; a request without one keeps nulls."""
-    return requests.join(keep_last(replies, [key], order), key, "left")
+    return requests.join(last_replies(replies, key, order), key, "left")
 
 
-def apply_geocodes(sites: DataFrame, hits: DataFrame, corrected: bool) -> DataFrame:
+def last_replies(replies: DataFrame, key: str, order: str | None) -> DataFrame:
+    """The last reply of each key, equal ones by their values; by partial aggregates."""
+    others = [c for c in replies.columns if c != key]
+    told = [F.col(_order(replies, order)).alias("o")] if _order(replies, order) else []
+    ranked = F.struct(*told, F.to_json(F.struct(*others)).alias("t")) if others else F.lit(0)
+    return replies.groupBy(key).agg(F.max_by(F.struct(*replies.columns), ranked).alias("__r")).select("__r.*")
+
+
+def apply_geocodes(sites: DataFrame, hits: DataFrame, corrected: bool, order: str | None = "at") -> DataFrame:
     """Coordinates from replies (site_id, lat, lon, quality, source) that are valid.
 
-    ``corrected`` stores exchanged coordinates as corrected, else as they came.
+    ``corrected`` stores exchanged coordinates as corrected, else as they came.  Of several
+    valid replies of a site the last counts.
     """
     from placeweave.functions.normalize import validate_coordinates
 
-    h = hits.select("site_id", F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), F.col("quality").alias("__q"), F.col("source").alias("__s"))
-    out = sites.join(h, "site_id", "left").withColumn("__p", validate_coordinates(F.col("__lat"), F.col("__lon")))
-    ok = F.coalesce(F.col("__p.valid"), F.lit(False)) & F.col("__lat").isNotNull()
-    lat, lon = (F.col("__p.latitude"), F.col("__p.longitude")) if corrected else (F.col("__lat"), F.col("__lon"))
-    changed = {
-        "latitude": F.when(ok, lat).otherwise(F.col("latitude")), "longitude": F.when(ok, lon).otherwise(F.col("longitude")),
-        "geocode_quality": F.when(ok, F.col("__q")).otherwise(F.col("geocode_quality")),
-        "coordinates_source": F.when(ok, F.col("__s")).otherwise(F.col("coordinates_source")),
-    }
-    return out.withColumns(changed).select(*sites.columns)
+    h = hits.withColumn("__p", validate_coordinates(F.col("lat"), F.col("lon"))).where("lat is not null and __p.valid")
+    lat, lon = (F.col("__p.latitude"), F.col("__p.longitude")) if corrected else (F.col("lat"), F.col("lon"))
+    when = [order] if _order(hits, order) else []
+    h = last_replies(h.select("site_id", lat.alias("__lat"), lon.alias("__lon"), F.col("quality").alias("__q"), F.col("source").alias("__s"), F.lit(True).alias("__hit"), *when), "site_id", order)
+    out, ok = sites.join(h, "site_id", "left"), F.col("__hit").isNotNull()
+    put = {"latitude": "__lat", "longitude": "__lon", "geocode_quality": "__q", "coordinates_source": "__s"}
+    return out.withColumns({c: F.when(ok, F.col(v)).otherwise(F.col(c)) for c, v in put.items()}).select(*sites.columns)
 
 
 def latest_runs(events: DataFrame) -> DataFrame:
