@@ -11,6 +11,8 @@ are one vertex, their first arrival.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,11 +140,23 @@ def battlefield_groups(records: DataFrame, least: float = 92.0) -> tuple[DataFra
     return near.select(F.col("i_id").alias("later"), F.col("e_id").alias("earlier")), belongs, sees
 
 
-#: Of each kind of merge what it accepts and what groups its rules make.
+def state_alike(passes: tuple[int, ...] = (1, 2, 3, 4)) -> Column:
+    """Records that the cascade matches with one of equal match keys."""
+    has = lambda *names: reduce(Column.__and__, [F.col(c).isNotNull() for c in names])
+    near = F.col("placed") & (F.col("latitude") != 0) & (F.col("longitude") != 0)
+    by_pass = {1: has("nris_refnum"), 2: has("state", "address_key", "city_key"), 3: has("state", "tokens") & near, 4: has("state", "tokens")}
+    return reduce(Column.__or__, [F.coalesce(by_pass[p], F.lit(False)) for p in passes])
+
+
+def _named() -> Column:
+    return F.col("tokens").isNotNull()
+
+
+#: Of each kind of merge what it accepts, what groups its rules make, and which records meet their equals.
 RULES = {
-    "state": (resolve.candidates, state_groups),
-    "parks": (resolve.park_candidates, park_groups),
-    "battlefields": (resolve.battlefield_candidates, battlefield_groups),
+    "state": (resolve.candidates, state_groups, state_alike),
+    "parks": (resolve.park_candidates, park_groups, _named),
+    "battlefields": (resolve.battlefield_candidates, battlefield_groups, _named),
 }
 
 
@@ -154,9 +168,9 @@ def assignments(incoming: DataFrame, existing: DataFrame, kind: str = "state", p
     score, then stored before inserted and the smaller id; one that meets none is inserted
     and its own leader.  Ids of sites and of records are of different kinds.
     """
-    accept, groups = RULES[kind]
+    accept, groups, alike = RULES[kind]
     more = {} if passes is None else {"passes": passes}
-    rows, members = resolve.match_classes(incoming)
+    rows, members = resolve.match_classes(incoming, alike(**more))
     rows, members = staged(rows), staged(members)
     stored = staged(accept(rows, existing, **more))
     edges, belongs, sees = groups(rows, **more)

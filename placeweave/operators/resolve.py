@@ -197,9 +197,14 @@ def first_of(records: DataFrame, by: list[str]) -> DataFrame:
 MATCH_KEYS = ["nris_refnum", "name", "state", "city_key", "address_key", "latitude", "longitude"]
 
 
-def match_classes(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, one of each class of equal match keys, the first by id; (id, class) of all)."""
-    keyed_rows = records.withColumn("__k", F.md5(F.to_json(F.struct(*MATCH_KEYS))))
+def match_classes(records: DataFrame, alike: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, one of each class of equal match keys, the first by id; (id, class) of all).
+
+    Where ``alike`` is given, records without it are classes of their own: those that no
+    rule would match with an equal one.
+    """
+    own = F.lit(None) if alike is None else F.when(~F.coalesce(alike, F.lit(False)), F.col("id"))
+    keyed_rows = records.withColumn("__k", F.md5(F.to_json(F.struct(*MATCH_KEYS, own.cast("string").alias("own")))))
     firsts = keyed_rows.groupBy("__k").agg(F.min_by(F.struct(*records.columns), "id").alias("__r"))
     members = keyed_rows.select("id", "__k").join(firsts.select("__k", F.col("__r.id").alias("class")), "__k").select("id", "class")
     return firsts.select("__r.*"), members

@@ -596,9 +596,9 @@ def name_scores(spark, sf_dir):
 @query(
     with_tables(
         "sites",
-        body=""", a AS (SELECT o_custkey AS site_id, CASE o_orderkey % 3 WHEN 0 THEN 'approve' WHEN 1 THEN 'flag' ELSE 'edit' END AS action, o_orderkey AS seen FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)
-SELECT s.site_id, CASE action WHEN 'edit' THEN 'Edited ' || seen ELSE name END AS name, CASE action WHEN 'approve' THEN 'approved' WHEN 'flag' THEN 'flagged' ELSE review_status END AS review_status,
-  CASE action WHEN 'edit' THEN 'manual' ELSE primary_source END AS primary_source FROM sites s LEFT JOIN a ON a.site_id = s.site_id""",
+        body=""", a AS (SELECT o_custkey AS site_id, max(o_orderkey) FILTER (WHERE o_orderkey % 3 = 2) AS edited, max(o_orderkey) FILTER (WHERE o_orderkey % 3 < 2) AS judged FROM orders GROUP BY 1)
+SELECT s.site_id, CASE WHEN edited IS NOT NULL THEN 'Edited ' || edited ELSE name END AS name, CASE judged % 3 WHEN 0 THEN 'approved' WHEN 1 THEN 'flagged' ELSE review_status END AS review_status,
+  CASE WHEN edited IS NOT NULL THEN 'manual' ELSE primary_source END AS primary_source FROM sites s LEFT JOIN a ON a.site_id = s.site_id""",
     )
 )
 def reviewed_sites(spark, sf_dir):

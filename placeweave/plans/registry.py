@@ -587,3 +587,4 @@ def insert_leaders(spark, sf_dir):
 
 
 from placeweave.plans import merging  # noqa: E402, F401  (registers its queries)
+from placeweave.plans import source_plans  # noqa: E402, F401

@@ -63,7 +63,9 @@ def test_assignments_equal_a_loop(spark, kind, accepts):
 
 
 def test_exact_passes_only(spark):
-    inc, sites = places(spark, "record_id", 1000, 150, 41).cache(), places(spark, "site_id", 1, 20, 42).cache()
+    """Equal records that no rule of these passes matches are inserted each."""
+    inc = places(spark, "record_id", 1000, 150, 41)
+    inc, sites = inc.unionByName(inc.where("id % 3 = 0").withColumn("id", F.col("id") + 500)).cache(), places(spark, "site_id", 1, 20, 42).cache()
     exact = lambda i, found: [m for e in found if (m := cascade_model_exact(i, e))]
     want = sequential(inc.collect(), sites.collect(), exact)
     got = sorted((r.record_id, r.site_id, r.leader_id, r["pass"], r.inserted) for r in batches.assignments(inc, sites, passes=(1, 2)).collect())

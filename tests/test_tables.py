@@ -32,13 +32,13 @@ def test_insert_or_ignore(spark):
 
 
 def test_fill_and_overwrite(spark):
-    rows = [(1, "", "x", "arcgis", "flagged", False), (2, "", "x", "manual", "approved", False), (3, None, "x", None, None, False)]
-    sites = spark.createDataFrame(rows, "site_id int, city string, url string, primary_source string, review_status string, hit boolean")
-    found = spark.createDataFrame([(k, "new", "y") for k in (1, 2, 3)], "site_id int, city string, url string")
+    rows = [(1, "", "x", "arcgis", "seen", False), (2, "", "x", "manual", "seen", False), (3, None, "x", None, None, False), (4, "", "x", "manual", None, False), (5, "", "x", None, "seen", False)]
+    sites = spark.createDataFrame(rows, "site_id int, city string, url string, primary_source string, reviewer_notes string, hit boolean")
+    found = spark.createDataFrame([(k, "new", "y") for k in range(1, 6)], "site_id int, city string, url string")
     filled = {r["site_id"]: (r["city"], r["url"], r["hit"]) for r in tables.fill_empty(sites, found, ["city", "url"], "hit").collect()}
-    assert filled == {1: ("new", "x", True), 2: ("", "x", False), 3: (None, "x", False)}
-    over = {r["site_id"]: (r["city"], r["url"]) for r in tables.overwrite_fields(sites, found, ["city", "url"], "hit").collect()}
-    assert over == {1: ("new", "y"), 2: ("", "x"), 3: ("new", "y")}
+    assert filled == {1: ("new", "x", True), 2: ("", "x", False), 3: (None, "x", False), 4: ("", "x", False), 5: ("", "x", False)}
+    over = {r["site_id"]: (r["city"], r["url"], r["hit"]) for r in tables.overwrite_fields(sites, found, ["city", "url"], "hit").collect()}
+    assert over == {1: ("new", "y", True), 2: ("", "x", False), 3: ("new", "y", True), 4: ("new", "y", True), 5: ("", "x", False)}
 
 
 def test_geocodes_and_runs(spark):
@@ -55,7 +55,7 @@ def test_review_actions(spark):
     sites = spark.createDataFrame([(1, "a", "flagged", 9, None), (2, "b", "flagged", 9, None)], "site_id int, name string, review_status string, review_priority int, primary_source string")
     acts = spark.createDataFrame([(1, "approve", None, None, 1), (1, "flag", "n", None, 2), (2, "edit", None, {"name": "B"}, 1)], "site_id int, action string, notes string, fields map<string,string>, at int")
     got = {r["site_id"]: tuple(r)[1:] for r in scoring.apply_actions(sites, acts).collect()}
-    assert got == {1: ("a", "flagged", 1, None), 2: ("B", "flagged", 9, "manual")}
+    assert got == {1: ("a", "flagged", 1, None), 2: ("B", "flagged", 9, "manual")}  # test_source_merges.py has longer logs
 
 
 def test_classifications(spark):
