@@ -1,13 +1,12 @@
-"""Incremental landing as Structured Streaming."""
+"""Incremental landing as Structured Streaming (R02, R03); master.py keeps the table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from placeweave.operators.tables import checksum, upsert_first_wins
+from placeweave.operators.tables import checksum
 
 
 def landing_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -20,48 +19,6 @@ def without_redelivery(stream: DataFrame, keys: list[str], at: str = "fetched_at
     return marked.dropDuplicatesWithinWatermark([*keys, "checksum"])
 
 
-#: Parts of the master table by hashed key: a micro-batch rewrites those it touches.
-BUCKETS = 64
-
-
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def _versions(spark: SparkSession, master: str, before: int | None) -> DataFrame:
-    """The newest rows of each bucket, with ``bucket``; those of batches before ``before`` only."""
-    rows = spark.read.parquet(master)
-    if before is not None:
-        rows = rows.where(F.col("v") < before)
-    newest = rows.groupBy("bucket").agg(F.max("v").alias("v"))  # a row a bucket
-    return rows.join(F.broadcast(newest), ["bucket", "v"]).drop("v")
-
-
-def read_master(spark: SparkSession, master: str) -> DataFrame:
-    """The table that ``upsert_stream`` keeps."""
-    return _versions(spark, master, None).drop("bucket")
-
-
-def upsert_stream(stream: DataFrame, master: str, checkpoint: str, key: str, order: str, flags: list[str]) -> StreamingQuery:
-    """Merge every micro-batch into a table and stop when all is read.
-
-    The table is ``master/v=N/bucket=B``: batch N writes the buckets its keys fall
-    into, from their newest state before it, so other buckets are neither read nor
-    written and a repeated batch writes the same again.
-    """
-
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        touched = [r[0] for r in batch.select(_bucket(key).alias("b")).distinct().collect()]  # BUCKETS at most
-        before = batch.drop(order).limit(0)
-        if number:
-            before = _versions(spark, master, number).where(F.col("bucket").isin(touched)).select(*before.columns)
-        merged = upsert_first_wins(before, batch, key, order, flags).withColumn("bucket", _bucket(key))
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{master}/v={number}")
-
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
 def progress_windows(events: DataFrame, stage: str = "stage", at: str = "ts", width: str = "1 hour", delay: str = "2 hours") -> DataFrame:
     """Events of each stage in tumbling windows (R03); late ones count within ``delay``."""
     marked = events.withWatermark(at, delay) if events.isStreaming else events

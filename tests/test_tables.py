@@ -258,32 +258,6 @@ def test_exports(spark, tmp_path):
     assert [p.name for p in (tmp_path / "states").glob("state=*")] == ["state=PA"]
 
 
-def test_streamed_upsert_equals_batch(spark, tmp_path):
-    schema = "ref string, name string, at int"
-    parts = [[("a", "A", 1), ("b", None, 2)], [("a", "late", 3), ("b", "B", 4), ("c", "C", 5)]]
-    for k, rows in enumerate(parts):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/p{k}"))
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    incremental.upsert_stream(stream, str(tmp_path / "master"), str(tmp_path / "cp"), "ref", "at", []).awaitTermination()
-    last = max((tmp_path / "master").glob("v=*"), key=lambda p: int(p.name[2:]))
-    assert {(r["ref"], r["name"]) for r in spark.read.parquet(str(last)).collect()} == {("a", "A"), ("b", "B"), ("c", "C")}
-
-
-def test_streamed_upsert_touches_few_buckets(spark, tmp_path):
-    """Keys of earlier batches stay, only buckets of new keys are written again, all batches give one batch's table."""
-    schema = "ref string, name string, at int"
-    parts = [[(f"k{k}", "first", k) for k in range(100)], [("k3", "late", 200), ("new", "N", 201)], [("k4", None, 300)]]
-    for k, rows in enumerate(parts):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/p{k}"))
-    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    master = str(tmp_path / "master")
-    incremental.upsert_stream(stream, master, str(tmp_path / "cp"), "ref", "at", []).awaitTermination()
-    got = {(r["ref"], r["name"]) for r in incremental.read_master(spark, master).collect()}
-    assert got == {(f"k{k}", "first") for k in range(100)} | {("new", "N")}
-    sizes = sorted(len(list(p.glob("bucket=*"))) for p in (tmp_path / "master").glob("v=*"))
-    assert sizes[0] == 1 and sizes[1] <= 2 < sizes[2]
-
-
 def test_redelivery(spark, tmp_path):
     rows = spark.sql("SELECT * FROM VALUES (1, 'x', timestamp'2024-01-01 00:00:00'), (1, 'x', timestamp'2024-01-01 00:01:00'), (1, 'y', timestamp'2024-01-01 00:02:00') AS t(id, v, fetched_at)")
     rows.coalesce(1).write.parquet(str(tmp_path / "in"))
