@@ -40,19 +40,38 @@ def by_source(sites: DataFrame, flags: list[str]) -> DataFrame:
 
 def distributions(sites: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n) of the non-null values of several columns, by one grouping-sets pass."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
-    return sites.select(pairs.alias("p")).select("p.*").where("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
+    texts = sites.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    counts = texts.groupingSets([[c] for c in columns], *columns).agg(F.count("*").alias("n"), F.grouping_id().alias("__g"))
+    # a column's bit is 0 in its own set, the first column's is the highest
+    own = {c: (1 << len(columns)) - 1 - (1 << (len(columns) - 1 - k)) for k, c in enumerate(columns)}
+    name = F.coalesce(*[F.when(F.col("__g") == g, F.lit(c)) for c, g in own.items()])
+    return counts.select(name.alias("column"), F.coalesce(*columns).alias("value"), "n").where("value is not null")
 
 
 def coordinate_coverage(sites: DataFrame) -> DataFrame:
-    """(state, total, with_coordinates, rate) by state, and under a null state of all sites."""
+    """(state, total, with_coordinates, rate) by state, and under a null state of all sites, in one rollup."""
     spot = F.count_if(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    sums = sites.where("state is not null").groupBy("state").agg(F.count("*").alias("total"), spot.alias("with_coordinates"))
-    every = sites.agg(F.count("*").alias("total"), spot.alias("with_coordinates")).withColumn("state", F.lit(None).cast("string"))
-    both = sums.unionByName(every)
+    sums = sites.rollup("state").agg(F.count("*").alias("total"), spot.alias("with_coordinates"), F.grouping("state").alias("__all"))
+    rows = sums.where("state is not null or __all = 1").drop("__all")
+    none = rows.sparkSession.createDataFrame([(None, 0, 0)], rows.schema)  # a rollup of no rows has no total
+    both = rows.unionByName(none).groupBy("state").agg(F.max("total").alias("total"), F.max("with_coordinates").alias("with_coordinates"))
     return both.withColumn("rate", F.round(F.when(F.col("total") > 0, F.col("with_coordinates") / F.col("total")).otherwise(0.0), 4))
 
 
+def totals(outcomes: DataFrame, by: list[str], outcome: str = "outcome") -> DataFrame:
+    """(by, outcome, n): records of each outcome and of all, for each value of ``by`` and over all.
+
+    One cube-like pass of grouping sets; the outcome ``total`` is of all records, and
+    ``updated`` of those that matched a stored site or one of the batch.  ``level`` is the
+    number of columns of ``by`` that a row keeps.
+    """
+    sets = [s for k in range(len(by), -1, -1) for s in ([*by[:k], outcome], by[:k])]
+    counts = outcomes.groupingSets(sets, *by, outcome).agg(F.count("*").alias("n"), F.grouping(outcome).alias("__t"), sum((1 - F.grouping(c) for c in by), F.lit(0)).cast("int").alias("level"))
+    each = counts.withColumn(outcome, F.when(F.col("__t") == 1, "total").otherwise(F.col(outcome))).drop("__t")
+    matched = each.where(F.col(outcome).startswith("matched")).groupBy(*by, "level").agg(F.sum("n").alias("n")).withColumn(outcome, F.lit("updated"))
+    return each.unionByName(matched)
+
+
 def description_richness(sites: DataFrame) -> DataFrame:
     words = word_count(best_description(F.col("full_description"), F.col("short_description")))
     return sites.groupBy(richness_class(words).alias("richness")).agg(F.count("*").alias("n"))
