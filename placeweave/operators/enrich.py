@@ -83,14 +83,19 @@ def breaker_cutoff(batches: DataFrame, by: list[str], order: str, failed: str, r
 def apply_classifications(current: DataFrame, derived: DataFrame, replies: DataFrame, dimension: DataFrame) -> DataFrame:
     """Category rows with derived ones first, then replied ones, once per (site, kind, category).
 
-    ``dimension`` (kind, slug, category): unknown slugs are dropped.  A missing rank
-    counts 1, a missing confidence 0.5, a missing source ``ai``.
+    ``dimension`` (kind, slug, category): unknown slugs are left out, ``unknown_slugs`` has
+    them.  A missing rank counts 1, a missing confidence 0.5, a missing source ``ai``.
     """
     cols = ["site_id", "kind", "slug", "rank", "confidence", "source", "arrival"]
     both = derived.withColumn("arrival", F.struct(F.lit(0), "arrival")).select(*cols).unionByName(replies.withColumn("arrival", F.struct(F.lit(1), "arrival")).select(*cols))
-    known = both.join(F.broadcast(dimension), ["kind", "slug"]).select(
+    known = both.join(dimension, ["kind", "slug"]).select(
         "site_id", "kind", "category", F.coalesce("rank", F.lit(1)).alias("rank"), F.coalesce("confidence", F.lit(0.5)).alias("confidence"),
         F.coalesce("source", F.lit("ai")).alias("source"), "arrival",
     )
     sound = F.col("rank").between(1, 3) & F.col("confidence").between(0, 1)
     return insert_or_ignore(current, known, ["site_id", "kind", "category"], sound, "arrival")
+
+
+def unknown_slugs(replies: DataFrame, dimension: DataFrame) -> DataFrame:
+    """(kind, slug, n) of what replies name and the dimension does not have."""
+    return replies.join(dimension.select("kind", "slug"), ["kind", "slug"], "left_anti").groupBy("kind", "slug").agg(F.count("*").alias("n"))

@@ -587,4 +587,4 @@ def insert_leaders(spark, sf_dir):
 
 
 from placeweave.plans import merging  # noqa: E402, F401  (registers its queries)
-from placeweave.plans import landing_plans, source_plans, stream_plans  # noqa: E402, F401
+from placeweave.plans import file_plans, landing_plans, source_plans, stream_plans  # noqa: E402, F401

@@ -27,7 +27,8 @@ TOOL_COLUMNS = [
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """With a header; quotes inside texts are doubled, white space at their ends stays."""
+    df.write.mode("overwrite").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def review_rows(sites: DataFrame, columns: list[str] | None = None) -> DataFrame:
