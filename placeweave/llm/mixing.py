@@ -11,6 +11,8 @@ more with the probability of the rest.  Draws are hashes of ids.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,7 +57,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     target get no weight.  A round is one pass over each dimension, a window over the
     cells, which are a summary of the corpus.  After each two rounds they are staged,
     so plans stay small, and the largest change is read.  Where no weights meet all
-    targets, the last dimension's are met.
+    targets, the last dimension's are met; raking that has not settled after ``rounds`` warns.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
     shares = {d: f"__share_{k}" for k, d in enumerate(targets)}
@@ -63,7 +65,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     for dimension, target in targets.items():
         now = now.join(target.select(F.col("value").alias(dimension), F.col("share").alias(shares[dimension])), dimension, "left")
     now = staged(now.fillna(0.0, list(shares.values())))
-    done = 0
+    done, change = 0, 0.0
     while done < rounds:
         step, last = now.withColumn("__moved", F.lit(0.0)), now
         for _ in range(min(2, rounds - done)):
@@ -77,8 +79,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
         discard(last)
         now = step.drop("__moved")
         now.staged_path = step.staged_path
-        if (step.agg(F.max("__moved")).first()[0] or 0.0) <= tolerance:  # one number
+        change = step.agg(F.max("__moved")).first()[0] or 0.0  # one number
+        if change <= tolerance:
             break
+    else:
+        warnings.warn(f"raking ended after {rounds} rounds while weights still changed by a factor of {1 + change:.6g}", stacklevel=2)
     return now.drop(*shares.values())
 
 

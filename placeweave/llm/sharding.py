@@ -20,8 +20,6 @@ BITS = 10
 BINS = 1 << BITS
 #: A key is 18 bits of the dimension, 32 of the text's checksum, 10 of the id's hash.
 DIM_BITS, ID_BITS, KEY_BITS = 18, 10, 60
-#: A group of equal texts stays whole at a cut if it has at most this part of a shard.
-WHOLE_GROUP = 0.01
 ROWS_PER_SLOT_GROUP = 20_000
 
 
@@ -61,10 +59,8 @@ def _pick(values: dict[int, int], node: F.Column) -> F.Column:
     return F.element_at(F.array(*[F.lit(values.get(k, 0)).cast("long") for k in range(max(values) + 1)]), (node + 1).cast("int"))
 
 
-def _cut_points(rows: DataFrame, targets: dict[int, float], whole: float) -> dict[int, int]:
-    """For each node the key from which on rows go right; ``rows``: node, key, size.
-
-    Equal texts with at most ``whole`` bytes together stay on one side."""
+def _cut_points(rows: DataFrame, targets: dict[int, float]) -> dict[int, int]:
+    """For each node the key from which on rows go right; ``rows``: node, key, size."""
     low, below = dict.fromkeys(targets, 0), dict.fromkeys(targets, 0.0)
     open_nodes = set(targets)
     for shift in range(KEY_BITS - BITS, -1, -BITS):
@@ -91,7 +87,7 @@ def _cut_points(rows: DataFrame, targets: dict[int, float], whole: float) -> dic
                 continue
             low[node] += at[0] << shift
             below[node] = sums
-            if at[2] == 1 or shift == 0 or (shift == ID_BITS and at[1] <= whole):  # the nearer side
+            if at[2] == 1 or shift == 0:  # the nearer side
                 if targets[node] - sums > sums + at[1] - targets[node]:
                     low[node] += 1 << shift
                 open_nodes.discard(node)
@@ -108,9 +104,8 @@ def kd_shards(docs: DataFrame, shards: int = 24, id: str = "doc_id", text: str =
     other inside a node and are parted only where a quantile falls among them, so
     a group of copies that holds a third of all bytes is split, not one shard.
     For that, copies count with the source and language of their smallest id.  At
-    most one group at each cut, so at most shards - 1, is parted; one of at most
-    WHOLE_GROUP of a shard's bytes goes to the nearer side instead.  ``source`` and
-    ``lang`` may be absent or null.  Slots are gapless in each shard, also with repeated rows and null ids.  An
+    most one group at each cut, so at most shards - 1, is parted, whatever its size.
+    ``source`` and ``lang`` may be absent or null.  Slots are gapless in each shard, also with repeated rows and null ids.  An
     empty table gives no rows; further columns are ignored.
     """
     bytes_of = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
@@ -141,8 +136,7 @@ def kd_shards(docs: DataFrame, shards: int = 24, id: str = "doc_id", text: str =
         key = F.shiftleft(F.element_at(F.array(*DIMENSIONS), (_pick(widest, F.col("node")) + 1).cast("int")), KEY_BITS - DIM_BITS) + F.col("tie")
         rows = rows.withColumn("key", key)
         goals = {n: seen[n]["mass"] * (k // 2) / k for n, k in nodes.items() if k > 1 and n in seen}
-        whole = WHOLE_GROUP * sum(r["mass"] for r in seen.values()) / shards
-        cuts = _cut_points(rows, goals, whole) if goals else {}
+        cuts = _cut_points(rows, goals) if goals else {}
         step = {n: k // 2 for n, k in nodes.items() if k > 1}
         right = F.lit(False)
         if cuts:

@@ -445,7 +445,7 @@ def tree_model(rows: list[tuple], shards: int) -> dict[int, int]:
         leader.setdefault((crc[k], size[k]), k)
     at = {k: [places[0][value[leader[crc[k], size[k]]][0]], places[1][value[leader[crc[k], size[k]]][1]], places[2][value[k][2]]] for k in size}
     tie = {k: (crc[k] << S.ID_BITS) + h(k.to_bytes(8, "little", signed=True)) % (1 << S.ID_BITS) for k in size}
-    whole, out = S.WHOLE_GROUP * sum(size.values()) / shards, {}
+    out = {}
 
     def split(ids: list[int], first: int, k: int) -> None:
         if k == 1 or not ids:
@@ -463,7 +463,7 @@ def tree_model(rows: list[tuple], shards: int) -> dict[int, int]:
                 if before + sums[x] >= goal:
                     break
                 before += sums[x]
-            if bits == 0 or sums[x] <= whole or sum(key[i] >> bits == x for i in ids) == 1:
+            if bits == 0 or sum(key[i] >> bits == x for i in ids) == 1:
                 cut = (x + (goal - before > before + sums[x] - goal)) << bits
                 break
         split([i for i in ids if key[i] < cut], first, k // 2)
