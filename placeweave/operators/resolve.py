@@ -22,7 +22,7 @@ from placeweave.session import discard, staged
 
 
 #: Width of the cells in which records within NEAR_KM are looked for.
-FINE_DEGREES = 0.01
+FINE_DEGREES, POLAR_DEGREES = 0.01, 88.0
 
 
 def cell(c: Column) -> Column:
@@ -222,9 +222,13 @@ def fine_cells(incoming: DataFrame, existing: DataFrame, km: float) -> tuple[Dat
     up = km / (EARTH_KM * math.pi / 180) * 1.001
     side = F.asin(F.least(F.lit(1.0), F.sin(F.lit(math.radians(up))) / F.greatest(F.cos(F.radians("i_latitude")), F.lit(1e-9)))) * (180 / math.pi) * 1.001
     fine = lambda c: F.floor(c / FINE_DEGREES)
+    # near the poles, and beyond them where a latitude is none, a row is one cell
+    polar = F.abs(F.col("fy") * FINE_DEGREES) > POLAR_DEGREES
     i = i.withColumn("fy", F.explode(F.sequence(fine(F.col("i_latitude") - up), fine(F.col("i_latitude") + up))))
-    i = i.withColumn("fx", F.explode(F.sequence(fine(F.col("i_longitude") - side), fine(F.col("i_longitude") + side))))
-    return i, e.withColumns({"fy": fine(F.col("e_latitude")), "fx": fine(F.col("e_longitude"))})
+    around = F.sequence(fine(F.col("i_longitude") - side), fine(F.col("i_longitude") + side))
+    i = i.withColumn("fx", F.explode(F.when(polar, F.array(F.lit(0).cast("long"))).otherwise(around)))
+    e = e.withColumn("fy", fine(F.col("e_latitude")))
+    return i, e.withColumn("fx", F.when(polar, F.lit(0)).otherwise(fine(F.col("e_longitude"))))
 
 
 def near_pairs(incoming: DataFrame, existing: DataFrame, by_state: bool = True, apart: float | None = None) -> DataFrame:
@@ -238,12 +242,14 @@ def near_pairs(incoming: DataFrame, existing: DataFrame, by_state: bool = True,
     block = ["state", "fy", "fx"] if by_state else ["fy", "fx"]
     names = lambda df, side: df.select(*[F.col(f"{side}_state").alias("state") if c == "state" else c for c in block], f"{side}_tokens", f"{side}_plain").distinct()
     a, b = F.col("i_tokens"), F.col("e_tokens")
-    met = names(i, "i").join(names(e, "e"), block).where(comparable_lengths(F.col("i_plain"), F.col("e_plain")) & may_reach(a, b, SCORE_CANDIDATE)).select("i_tokens", "e_tokens").distinct()
-    scores = staged(met.where(_letters_allow(a, b, SCORE_CANDIDATE)).withColumn("score", name_score(a, b)).where(F.col("score") >= SCORE_CANDIDATE))
+    met = staged(names(i, "i").join(names(e, "e"), block).where(comparable_lengths(F.col("i_plain"), F.col("e_plain")) & may_reach(a, b, SCORE_CANDIDATE)).select(*block, "i_tokens", "e_tokens").distinct())
+    scores = met.select("i_tokens", "e_tokens").distinct().where(_letters_allow(a, b, SCORE_CANDIDATE)).withColumn("score", name_score(a, b)).where(F.col("score") >= SCORE_CANDIDATE)
+    pairs = staged(met.join(scores, ["i_tokens", "e_tokens"]))
     cell = [F.col("l.fy") == F.col("r.fy"), F.col("l.fx") == F.col("r.fx"), F.col("l.e_tokens") == F.col("r.e_tokens")]
     if by_state:
         cell.append(F.col("l.i_state") == F.col("r.e_state"))
-    left = i.join(scores, "i_tokens")
+    own = [F.col("l.i_tokens") == F.col("p.i_tokens"), *[F.col(f"l.{'i_state' if c == 'state' else c}") == F.col(f"p.{c}") for c in block]]
+    left = i.alias("l").join(pairs.alias("p"), own).select("l.*", "p.e_tokens", "p.score")
     if apart is not None:
         city = lambda side: F.coalesce(f"{side}_city_key", F.lit("\u0001"))
         e = e.withColumn("e_in", city("e"))

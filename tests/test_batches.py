@@ -114,9 +114,9 @@ def test_repeated_sites_make_no_pairs(spark):
 def test_fine_cells_lose_no_near_pair(spark):
     r = random.Random(8)
     cols = "id long, nris_refnum string, name string, state string, city string, address string, latitude double, longitude double"
-    corners = [(0.005, 0.005), (40.0, -75.0), (64.8, -147.7), (-14.27, -170.7), (71.3, 179.999), (71.3, -179.999), (88.0, 10.0)]
+    corners = [(0.005, 0.005), (40.0, -75.0), (64.8, -147.7), (-14.27, -170.7), (71.3, 179.999), (71.3, -179.999), (88.0, 10.0), (89.9, 10.0), (-96.2, 40.0)]
     rows = []
-    for k in range(420):
+    for k in range(540):
         lat, lon = corners[k % len(corners)]
         rows.append((k, None, f"Mill {k % 3}", "PA", None, None, lat + r.uniform(-0.008, 0.008), lon + r.uniform(-0.02, 0.02)))
     df = resolve.keyed(spark.createDataFrame(rows, cols), "id").cache()
