@@ -23,6 +23,8 @@ from placeweave.session import discard, staged
 
 #: Width of the cells in which records within NEAR_KM are looked for.
 FINE_DEGREES, POLAR_DEGREES = 0.01, 88.0
+#: Of their rarest letter pairs two names have to share so many before they are compared.
+COMMON = 6
 
 
 def cell(c: Column) -> Column:
@@ -90,11 +92,11 @@ def _prefixes(names: DataFrame, often: DataFrame, least: float) -> DataFrame:
     """(block, tokens, i, e, pair) of the rarest letter pairs of each name.
 
     Names with a score of ``least`` or more differ by d = (1 - least/100) (L + M) letters at
-    most and each spoils two pairs, so they share max(L, M) + 1 - 2d pairs or more: the
-    floor(4 (1 - least/100) L) + 1 rarest of one meet those of the other.
+    most and each spoils two pairs, so they share T = max(L, M) + 1 - 2d pairs or more: of the
+    floor(4 (1 - least/100) L) + COMMON rarest of each they share COMMON, or T if that is less.
     """
     length = F.length("tokens")
-    prefix = F.least(F.floor(4 * (1 - least / 100) * length + F.lit(1e-9)) + 1, length + 1).cast("int")
+    prefix = F.least(F.floor(4 * (1 - least / 100) * length + F.lit(1e-9)) + COMMON, length + 1).cast("int")
     pairs = names.select("block", "tokens", "i", "e", F.explode("pairs").alias("pair"))
     ranked = pairs.join(often, "pair").groupBy("block", "tokens", "i", "e").agg(F.array_sort(F.collect_list(F.struct("n", "pair"))).alias("pairs"))  # of one name
     rarest = ranked.select("block", "tokens", "i", "e", F.explode(F.slice("pairs", F.lit(1), prefix)).alias("p"))
@@ -115,7 +117,9 @@ def name_pairs(incoming: DataFrame, existing: DataFrame, least: float, by_state:
     a, b = F.col("a"), F.col("b")
     i = prefixes.where("i").select("block", "pair", F.col("tokens").alias("a"))
     e = prefixes.where("e").select("block", "pair", F.col("tokens").alias("b"))
-    met = staged(i.join(e, ["block", "pair"]).where(may_reach(a, b, least)).select("block", "a", "b").distinct())
+    shared = F.ceil(F.greatest(F.length(a), F.length(b)) + 1 - 2 * (1 - least / 100) * (F.length(a) + F.length(b)) - F.lit(1e-9))
+    met = i.join(e, ["block", "pair"]).where(may_reach(a, b, least)).groupBy("block", "a", "b").agg(F.count("*").alias("n"))
+    met = staged(met.where(F.col("n") >= F.least(F.lit(COMMON), shared)).select("block", "a", "b"))
     scores = met.select("a", "b").distinct().where(_letters_allow(a, b, least)).withColumn("score", name_score(a, b)).where(F.col("score") >= least)
     found = staged(met.join(scores, ["a", "b"]))
     discard(grams, prefixes, met)
