@@ -34,6 +34,8 @@ BANDS, ROWS = 16, 3
 #: EDIT_SEEN characters on it leaves a similarity above 0.75, which the bands find.
 EDIT_SHARE, EDIT_SEEN = 1 / 20, 80
 _BLOCK_CHARS = 1 << 18
+#: Characters whose shingles are hashed together.
+_CACHED_CHARS = 1 << 15
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MASKS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32)
 _FACTORS = (mix64(np.arange(101, BANDS * ROWS + 101, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -95,17 +97,31 @@ class _Lines:
         return np.flatnonzero(self.ends - self.starts >= SHINGLE)
 
     def bands(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Band keys (lines x BANDS) and set sizes of lines of SHINGLE characters or more."""
-        hashes, counts, at = self._all_shingles(which)
-        short = (hashes >> np.uint64(32)).astype(np.uint32)
-        keys = np.zeros((len(which), BANDS), dtype=np.uint64)
+        """Band keys (lines x BANDS) and set sizes of lines of SHINGLE characters or more.
+
+        Some lines at a time, so that the passes over their shingles stay in a core's cache.
+        """
+        least, sizes = np.empty((BANDS * ROWS, len(which)), dtype=np.uint32), np.zeros(len(which), dtype=np.int64)
+        ends = np.cumsum(self.ends[which] - self.starts[which])
+        first = 0
+        while first < len(which):
+            begun = ends[first - 1] if first else 0
+            last = min(max(first + 1, int(np.searchsorted(ends, begun + _CACHED_CHARS, side="right"))), first + _TOGETHER, len(which))
+            hashes, counts, at = self._all_shingles(which[first:last])
+            short = (hashes >> np.uint64(32)).astype(np.uint32)
+            mixed = np.empty_like(short)
+            for k in range(BANDS * ROWS):
+                np.bitwise_xor(short, _MASKS[k], out=mixed)
+                np.multiply(mixed, _FACTORS[k], out=mixed)
+                np.minimum.reduceat(mixed, at, out=least[k, first:last])
+            ((_, sizes[first:last]),) = _sorted_sets(hashes, counts)
+            first = last
+        keys = np.zeros((BANDS, len(which)), dtype=np.uint64)
         with np.errstate(over="ignore"):
             for k in range(BANDS * ROWS):
-                least = np.minimum.reduceat((short ^ _MASKS[k]) * _FACTORS[k], at).astype(np.uint64)
-                band = k // ROWS
-                keys[:, band] = (keys[:, band] + least + np.uint64(1)) * _ODD
-            keys = mix64(keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-        return keys, np.concatenate([size for _, size in _sorted_sets(hashes, counts)])
+                keys[k // ROWS] = (keys[k // ROWS] + least[k] + np.uint64(1)) * _ODD
+            keys = mix64(keys.T + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+        return keys, sizes
 
     def sets(self, which: np.ndarray) -> list[np.ndarray]:
         """The sorted distinct shingle hashes of lines of SHINGLE characters or more."""
@@ -241,6 +257,8 @@ def _scan(docs: DataFrame) -> DataFrame:
                 which = lines.long()
                 _, once = np.unique(lines.ids[which], return_index=True)
                 which = which[once]
+                if packer.seen:  # posted by this task before
+                    which = which[[x not in packer.seen for x in lines.ids[which].tolist()]]
                 if len(which):
                     ids = lines.ids[which]
                     keys, size = lines.bands(which)
