@@ -53,6 +53,10 @@ def normalize_date(c: Column) -> Column:
     )
 
 
+#: Milliseconds that a timestamp of microseconds holds.
+EPOCH_MS = (2**63 - 1) // 1000
+
+
 def epoch_ms_to_iso(c: Column) -> Column:
     """A number as epoch milliseconds; m/d/yy with years above 25 in the last century; else null."""
     s = F.trim(c.cast("string"))
@@ -61,7 +65,10 @@ def epoch_ms_to_iso(c: Column) -> Column:
     full = F.when(year >= 100, year).when(year > 25, year + 1900).otherwise(year + 2000)
     text = F.concat_ws("-", F.lpad(full.cast("string"), 4, "0"), F.lpad(F.regexp_extract(s, mdy, 1), 2, "0"), F.lpad(F.regexp_extract(s, mdy, 2), 2, "0"))
     number = s.try_cast("double").try_cast("long")
-    return F.when(s.rlike(mdy), text).when(number.isNotNull(), F.date_format(F.timestamp_millis(number), "yyyy-MM-dd"))
+    # beyond year 9999 the format puts a sign before the year; what no timestamp holds is null
+    held = F.when(number.between(-EPOCH_MS, EPOCH_MS), number)
+    day = F.ltrim(F.date_format(F.timestamp_millis(held), "yyyy-MM-dd"), F.lit("+"))
+    return F.when(s.rlike(mdy), text).when(number.isNotNull(), day)
 
 
 def validate_coordinates(lat: Column, lon: Column) -> Column:
