@@ -587,9 +587,9 @@ SELECT a, b, round(200.0 * line[-1] / (length(x) + length(y)), 6) AS score FROM
 @query("WITH " + _SCORE_SQL)
 def name_scores(spark, sf_dir):
     """Scores of the distinct names of parts of one size that begin alike."""
-    parts = views.table(spark, sf_dir, "part").select("p_name", "p_size")
-    a, b = parts.withColumnRenamed("p_name", "a"), parts.withColumnRenamed("p_name", "b")
-    pairs = a.join(b, "p_size").where(F.substring("a", 1, 1) == F.substring("b", 1, 1)).select("a", "b").distinct()
+    names = views.table(spark, sf_dir, "part").select("p_name", "p_size", F.substring("p_name", 1, 1).alias("first")).distinct()
+    a, b = names.withColumnRenamed("p_name", "a"), names.withColumnRenamed("p_name", "b")
+    pairs = a.join(b, ["p_size", "first"]).select("a", "b").distinct()
     return pairs.withColumn("score", F.round(N.name_score(N.sorted_tokens(F.col("a")), N.sorted_tokens(F.col("b"))), 6))
 
 
