@@ -458,7 +458,8 @@ def fill_empty(spark, sf_dir):
     )
 )
 def keep_first_categories(spark, sf_dir):
-    new = views.site_categories(spark, sf_dir).withColumn("rank", F.col("rank").cast("int"))
+    new = views.site_categories(spark, sf_dir, placed=True).withColumn("rank", F.col("rank").cast("int"))
+    new = new.withColumn("arrival", F.struct("arrival", "file", "row")).drop("file", "row")  # rows of one arrival come as they are stored
     empty = new.drop("arrival").where("false")
     return tables.insert_or_ignore(empty, new, ["site_id", "kind", "category"], F.col("rank").between(1, 3) & F.col("confidence").between(0, 1), "arrival")
 

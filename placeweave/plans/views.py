@@ -104,12 +104,14 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, SQL["sites"])
 
 
-def site_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def site_categories(spark: SparkSession, sf_dir: str, placed: bool = False) -> DataFrame:
+    """Line items as categories; ``placed`` adds where a row is stored (file, row)."""
     items = table(spark, sf_dir, "lineitem")
     kind = F.element_at(F.array(*[F.lit(x) for x in ("era", "event", "type", "ownership")]), (F.col("l_linenumber") % 4 + 1).cast("int"))
     return items.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("arrival"), (F.col("l_orderkey") % 1500).alias("site_id"), kind.alias("kind"),
         (F.col("l_partkey") % 12).alias("category"), (1 + F.col("l_linenumber") % 4).alias("rank"), (1 - F.col("l_discount") * 10).alias("confidence"),
+        *([F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")] if placed else []),
     )
 
 
