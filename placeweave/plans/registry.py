@@ -374,7 +374,8 @@ def _sides(spark, sf_dir):
 
 @query(with_tables("sites", body=_KEYED + "SELECT i.id AS record_id, e.id AS site_id FROM inc i JOIN keyed e ON i.nris_refnum = e.nris_refnum"))
 def refnum_matches(spark, sf_dir):
-    return resolve.refnum_matches(*_sides(spark, sf_dir)).select(F.col("i_id").alias("record_id"), F.col("e_id").alias("site_id"))
+    only = lambda df, id: df.select(F.col(id).alias("id"), "nris_refnum").where("nris_refnum is not null")
+    return resolve.refnum_matches(only(views.incoming(spark, sf_dir), "record_id"), only(views.sites(spark, sf_dir), "site_id")).select(F.col("i_id").alias("record_id"), F.col("e_id").alias("site_id"))
 
 
 @query(with_tables("sites", body=_KEYED + "SELECT i.id AS record_id, e.id AS site_id FROM inc i JOIN keyed e ON i.state = e.state AND i.address_key = e.address_key AND i.city_key = e.city_key"))
