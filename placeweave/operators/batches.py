@@ -82,11 +82,11 @@ def _cells_seen(records: DataFrame) -> DataFrame:
     return records.withColumn("place", F.explode(F.when(F.col("placed"), around).otherwise(F.array(F.lit(_ALL)))))
 
 
-def _similar_names(records: DataFrame, least: float, by_state: bool) -> DataFrame:
+def _similar_names(records: DataFrame, least: float, by_state: bool, renumbered: bool = True) -> DataFrame:
     """(state, name, other, score) of the names of the batch that score ``least`` or more, equal ones too."""
     block = F.col("state") if by_state else F.lit("")
     names = records.where("name is not null").select(block.alias("block"), "name", "tokens", "plain").distinct()
-    pairs = resolve.name_pairs(records, records, least, by_state)
+    pairs = resolve.name_pairs(records, records, least, by_state, renumbered)
     a = names.select("block", F.col("tokens").alias("a"), "name", F.col("plain").alias("x"))
     b = names.select("block", F.col("tokens").alias("b"), F.col("name").alias("other"), F.col("plain").alias("y"))
     return a.join(pairs, ["block", "a"]).join(b, ["block", "b"]).where(comparable_lengths(F.col("x"), F.col("y"))).select("block", "name", "other", "score")
@@ -115,7 +115,7 @@ def state_groups(records: DataFrame, passes: tuple[int, ...] = (1, 2, 3, 4)) ->
     city = F.coalesce("city_key", F.lit("\u0002"))
     named = _cells_of(records.where("name is not null and state is not null"))
     belongs = belongs.unionByName(_rows(named, _group("n", F.col("state"), F.col("name"), city, F.col("place")), _group("m", F.col("state"), F.col("name"), F.col("place"))))
-    alike = _similar_names(records, SCORE_NAME_ONLY, True).where(~differ_only_by_number(F.col("name"), F.col("other")))
+    alike = _similar_names(records, SCORE_NAME_ONLY, True, renumbered=False).where(~differ_only_by_number(F.col("name"), F.col("other")))
     looking = _cells_seen(records.join(alike.withColumnRenamed("block", "state"), ["state", "name"]))
     anywhere = F.when(F.col("city_key").isNull() & (F.col("score") >= SCORE_ANYWHERE), _group("m", F.col("state"), F.col("other"), F.col("place")))
     sees = sees.unionByName(_rows(looking, _group("n", F.col("state"), F.col("other"), city, F.col("place")), anywhere))
@@ -152,12 +152,42 @@ def _named() -> Column:
     return F.col("tokens").isNotNull()
 
 
-#: Of each kind of merge what it accepts, what groups its rules make, and which records meet their equals.
+#: Of each kind of merge what it accepts, what groups its rules make, which records meet their equals, and
+#: how its names meet: the least score, in a state only, and if by numbers only.
 RULES = {
-    "state": (resolve.candidates, state_groups, state_alike),
-    "parks": (resolve.park_candidates, park_groups, _named),
-    "battlefields": (resolve.battlefield_candidates, battlefield_groups, _named),
+    "state": (resolve.candidates, state_groups, state_alike, (SCORE_NAME_ONLY, True, False)),
+    "parks": (resolve.park_candidates, park_groups, _named, (SCORE_MATCH, False, True)),
+    "battlefields": (resolve.battlefield_candidates, battlefield_groups, _named, (92.0, False, True)),
 }
+#: Letter pairs in which the names of one part of a batch meet, about.
+PART = 5_000_000
+
+
+def inserted_ids(rows: DataFrame, taken: DataFrame, kind: str, passes: tuple[int, ...] | None = None) -> DataFrame:
+    """(id) of the records that are inserted; ``taken`` (id) match a stored site.
+
+    Where very many names resemble each other, pairs of all of them would be a clique, of
+    which few lead.  So the batch is taken in parts in order of arrival: the leaders of a
+    part, then what is left after these among the rest (the prefixes of Blelloch, Fineman, Shun).
+    """
+    accept, groups, _, names = RULES[kind]
+    more = {} if passes is None else {"passes": passes}
+    none, led = taken.select("id").where("false"), None
+    left = staged(rows.join(taken, "id", "left_anti"))
+    by_name = passes is None or 3 in passes or 4 in passes
+    while True:
+        last = resolve.sparse_until(left, *names, most=PART) if by_name else None
+        part = left if last is None else left.where(F.col("id") <= last)
+        edges, belongs, sees = groups(part, **more)
+        leads = leaders(part, edges, none, belongs, sees).where("leader").select("id")
+        led = leads if led is None else led.unionByName(leads)
+        if last is None:
+            return led
+        rest = left.where(F.col("id") > last)
+        if rest.isEmpty():
+            return led
+        met = accept(rest, staged(part.join(leads, "id", "left_semi")), **more).select(F.col("i_id").alias("id")).distinct()
+        left = staged(rest.join(met, "id", "left_anti"))
 
 
 def assignments(incoming: DataFrame, existing: DataFrame, kind: str = "state", passes: tuple[int, ...] | None = None) -> DataFrame:
@@ -168,21 +198,20 @@ def assignments(incoming: DataFrame, existing: DataFrame, kind: str = "state", p
     score, then stored before inserted and the smaller id; one that meets none is inserted
     and its own leader.  Ids of sites and of records are of different kinds.
     """
-    accept, groups, alike = RULES[kind]
+    accept, _, alike, _ = RULES[kind]
     more = {} if passes is None else {"passes": passes}
     rows, members = resolve.match_classes(incoming, alike(**more))
     rows, members = staged(rows), staged(members)
     stored = staged(accept(rows, existing, **more))
-    edges, belongs, sees = groups(rows, **more)
-    state = leaders(rows, edges, stored.select(F.col("i_id").alias("id")).distinct(), belongs, sees)
-    led = staged(rows.join(state.where("leader").select("id"), "id", "left_semi"))
+    leads = inserted_ids(rows, stored.select(F.col("i_id").alias("id")).distinct(), kind, passes)
+    led = staged(rows.join(leads, "id", "left_semi"))
     inserted = staged(accept(rows, led, **more))
     found = stored.select(F.col("i_id").alias("class"), F.col("e_id").alias("site_id"), F.lit(None).cast("long").alias("leader_id"), "pass", "score", "km")
     found = found.unionByName(inserted.select(F.col("i_id").alias("class"), F.lit(None).cast("long").alias("site_id"), F.col("e_id").alias("leader_id"), "pass", "score", "km"))
     met = members.join(found, "class").where("leader_id is null or leader_id < id")
     order = [F.col("pass"), -F.coalesce("score", F.lit(-1.0)), F.col("leader_id").isNotNull(), F.coalesce("site_id", "leader_id")]
     best = met.groupBy("id").agg(F.min_by(F.struct("site_id", "leader_id", "pass", "score", "km"), F.struct(*[c.alias(f"k{n}") for n, c in enumerate(order)])).alias("m"))
-    fresh = members.where("id = class").join(state.where("leader").select("id"), "id", "left_semi").select("id", F.lit(True).alias("inserted"))
+    fresh = members.where("id = class").join(leads, "id", "left_semi").select("id", F.lit(True).alias("inserted"))
     own = F.when(F.col("inserted"), F.col("id"))
     out = incoming.select("id").join(best, "id", "left").join(fresh, "id", "left")
     return out.select(
