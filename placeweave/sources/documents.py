@@ -96,18 +96,19 @@ _RING = "array<array<double>>"
 
 def parse_battlefields(collections: DataFrame, war: str) -> DataFrame:
     """Site rows of GeoJSON features (S18): vertex mean over all outer rings, six digits."""
-    f = collections.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+    # generators in place of columns, and an outer one: a filter on a column makes it, and the JSON behind it, once more
+    f = collections.select(F.explode_outer("features").alias("f")).select("f.properties", "f.geometry")
     polygon = F.from_json("geometry.coordinates", f"array<{_RING}>")
     several = F.from_json("geometry.coordinates", f"array<array<{_RING}>>")
     outer = F.when(F.col("geometry.type") == "Polygon", F.element_at(polygon, 1)).when(
         F.col("geometry.type") == "MultiPolygon", F.flatten(F.transform(several, lambda p: p[0]))
     )
-    mean = lambda k: F.round(F.aggregate("outer", F.lit(0.0), lambda s, p: s + p[k]) / F.nullif(F.size("outer"), F.lit(0)), 6)
+    mean = lambda ps, k: F.round(F.aggregate(ps, F.lit(0.0), lambda s, p: s + p[k]) / F.nullif(F.size(ps), F.lit(0)), 6)
     return (
-        f.withColumn("outer", outer)
+        f.select("properties", F.inline_outer(F.transform(F.array(outer), lambda ps: F.struct(mean(ps, 1).alias("latitude"), mean(ps, 0).alias("longitude")))))
         .select(
             title_case(F.trim(F.col("properties")["NAME"])).alias("name"), F.trim(F.element_at(F.split(F.col("properties")["STATE"], "/"), 1)).alias("state"),
-            mean(1).alias("latitude"), mean(0).alias("longitude"), F.lit(war).alias("war"),
+            "latitude", "longitude", F.lit(war).alias("war"),
         )
         .where("name is not null and name <> '' and latitude is not null")
     )
