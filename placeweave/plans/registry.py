@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from placeweave.functions import scores as S
 from placeweave.operators import batches, enrich, profile, resolve, scoring, tables, validate
 from placeweave.plans import views
 from placeweave.plans.views import with_tables
-from placeweave.session import staged
+from placeweave.session import LEAST_SHARE, staged, with_settings
 from placeweave.sinks import exports
 from placeweave.sources import documents, features
 from placeweave.streaming import incremental
@@ -25,7 +26,11 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(run: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[run.__name__] = run
+        @wraps(run)
+        def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return run(with_settings(spark, LEAST_SHARE), sf_dir)
+
+        QUERIES[run.__name__] = spread
         if sql is not None:
             ORACLE_SQL[run.__name__] = sql
         return run

@@ -23,8 +23,13 @@ SETTINGS = {
 _PACKAGE = Path(__file__).resolve().parent
 
 
-def with_settings(spark: SparkSession) -> SparkSession:
-    for key, value in SETTINGS.items():
+#: Shuffled data for which a task is made, where rows are few bytes but names, scores and addresses cost much.
+LEAST_SHARE = "64k"
+
+
+def with_settings(spark: SparkSession, least_share: str = "1m") -> SparkSession:
+    """Set what the library relies on; ``least_share`` is the least that Spark puts in a task after a shuffle."""
+    for key, value in {**SETTINGS, "spark.sql.adaptive.coalescePartitions.minPartitionSize": least_share}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
