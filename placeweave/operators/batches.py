@@ -109,8 +109,7 @@ def state_groups(records: DataFrame, passes: tuple[int, ...] = (1, 2, 3, 4)) ->
     belongs = sees = _rows(records, *keys) if keys else None
     if 3 not in passes and 4 not in passes:
         return none, belongs, sees
-    numbers = differ_only_by_number(F.col("i_name"), F.col("e_name"))
-    near = resolve.near_pairs(records, records, apart=SCORE_NAME_ONLY).where((F.col("i_id") > F.col("e_id")) & ~numbers)
+    near = resolve.near_pairs(records, records, apart=SCORE_NAME_ONLY, renumbered=False).where(F.col("i_id") > F.col("e_id"))
     edges = near.select(F.col("i_id").alias("later"), F.col("e_id").alias("earlier"))
     city = F.coalesce("city_key", F.lit("\u0002"))
     named = _cells_of(records.where("name is not null and state is not null"))
