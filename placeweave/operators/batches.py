@@ -159,7 +159,7 @@ RULES = {
     "battlefields": (resolve.battlefield_candidates, battlefield_groups, _named, (92.0, False, True)),
 }
 #: Letter pairs in which the names of one part of a batch meet, about.
-PART = 5_000_000
+PART = 20_000_000
 
 
 def inserted_ids(rows: DataFrame, taken: DataFrame, kind: str, passes: tuple[int, ...] | None = None) -> DataFrame:
