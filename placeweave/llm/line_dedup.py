@@ -37,7 +37,7 @@ _BLOCK_CHARS = 1 << 18
 #: Characters whose shingles are hashed together.
 _CACHED_CHARS = 1 << 15
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_MASKS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)).astype(np.uint32)
+#: Odd, so that a product is an order of all 32-bit hashes.
 _FACTORS = (mix64(np.arange(101, BANDS * ROWS + 101, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _LINE_END = 10
 
@@ -91,7 +91,12 @@ class _Lines:
         counts = stops - starts
         at = np.cumsum(counts) - counts
         places = np.arange(int(counts.sum())) + np.repeat(starts - at, counts)
-        return self.shingles(places), counts, at
+        low, high = int(starts.min()), int(stops.max())
+        if high - low > 2 * len(places):
+            return self.shingles(places), counts, at
+        with np.errstate(over="ignore"):  # most of a stretch of the text, which is read in a row
+            hashes = mix64((self.sums[low + SHINGLE : high + SHINGLE] - self.sums[low:high]) * self.inverse[low:high])
+        return hashes[places - low], counts, at
 
     def long(self) -> np.ndarray:
         return np.flatnonzero(self.ends - self.starts >= SHINGLE)
@@ -108,13 +113,13 @@ class _Lines:
             begun = ends[first - 1] if first else 0
             last = min(max(first + 1, int(np.searchsorted(ends, begun + _CACHED_CHARS, side="right"))), first + _TOGETHER, len(which))
             hashes, counts, at = self._all_shingles(which[first:last])
+            sizes[first:last] = _set_sizes(hashes, counts)
             short = (hashes >> np.uint64(32)).astype(np.uint32)
+            del hashes
             mixed = np.empty_like(short)
             for k in range(BANDS * ROWS):
-                np.bitwise_xor(short, _MASKS[k], out=mixed)
-                np.multiply(mixed, _FACTORS[k], out=mixed)
+                np.multiply(short, _FACTORS[k], out=mixed)
                 np.minimum.reduceat(mixed, at, out=least[k, first:last])
-            ((_, sizes[first:last]),) = _sorted_sets(hashes, counts)
             first = last
         keys = np.zeros((BANDS, len(which)), dtype=np.uint64)
         with np.errstate(over="ignore"):
@@ -182,6 +187,28 @@ def _sorted_sets(hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.nd
         yield part & np.uint64((1 << 52) - 1), np.bincount((part >> _SET_BITS).astype(np.int64), minlength=len(own))
 
 
+def _set_sizes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The number of distinct hashes in each of at most _TOGETHER lines.
+
+    Equal hashes of a line fall into one slot, of which the last one is kept; only those
+    that found another hash there are sorted.
+    """
+    line = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    part = (hashes >> np.uint64(12)) | (line << _SET_BITS)
+    bits = max(12, (4 * len(part)).bit_length())
+    with np.errstate(over="ignore"):
+        slot = ((part * _ODD) >> np.uint64(64 - bits)).view(np.int64)
+    last = np.empty(1 << bits, dtype=np.int32)
+    last[slot] = np.arange(len(part), dtype=np.int32)
+    kept = last[slot]
+    lost = np.flatnonzero(kept != np.arange(len(part), dtype=np.int32))
+    same = part[lost] == part[kept[lost]]
+    apart = np.sort(part[lost[~same]])
+    repeats = np.bincount(line[lost[same]].view(np.int64), minlength=len(counts))
+    repeats += np.bincount((apart[1:][apart[1:] == apart[:-1]] >> _SET_BITS).view(np.int64), minlength=len(counts))
+    return counts - repeats
+
+
 def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
     """The shingle sets of lines given as UTF-8, each of SHINGLE characters or more."""
     if not bodies:
@@ -256,7 +283,7 @@ def _scan(docs: DataFrame) -> DataFrame:
                 yield _widened(schema, own, len(lines.ids))
                 which = lines.long()
                 _, once = np.unique(lines.ids[which], return_index=True)
-                which = which[once]
+                which = which[np.sort(once)]  # in the order of the text
                 if packer.seen:  # posted by this task before
                     which = which[[x not in packer.seen for x in lines.ids[which].tolist()]]
                 if len(which):
@@ -349,17 +376,19 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: in
     """
     known = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
     lines, found = line_components(known, num, den)
-    each = lines.groupBy("line").agg(F.min(F.struct("doc", "number")).alias("first"), F.count("*").alias("n"))
-    each = each.join(found.withColumnRenamed("id", "line"), "line", "left").withColumn("c", F.coalesce("component", "line"))
-    groups = each.groupBy("c").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    # a document and a line's number there as one number, of which a hash aggregate keeps the least
+    place = F.col("doc").cast("decimal(20,0)") * F.lit(1 << 31) + F.col("number")
+    each = lines.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    each = each.join(found.withColumnRenamed("id", "line"), "line", "left").where("n > 1 or component is not null").withColumn("c", F.coalesce("component", "line"))
+    groups = each.groupBy("c").agg(F.min("first").alias("first"))
     kept_line = each.select("line", "c").join(groups, "c").select("line", "first")
-    gone = lines.join(kept_line, "line").where((F.col("doc") != F.col("first.doc")) | (F.col("number") != F.col("first.number")))
+    gone = lines.join(kept_line, "line").where(place != F.col("first"))
     per_doc = gone.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("number").alias("__gone"))  # of one document
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     parts = F.split(F.col(text), "\n", -1)
     return (
         docs.select(*kept)
-        .join(per_doc, F.col(id) == F.col("__doc"), "left")
+        .join(per_doc.hint("shuffle_hash"), F.col(id) == F.col("__doc"), "left")
         .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1))
         .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
         .withColumn(text, F.when(F.col("__gone").isNotNull(), _without(parts, F.col("__gone"))).otherwise(F.col(text)))

@@ -42,6 +42,10 @@ FEW = 8
 Fetch = Callable[[np.ndarray], DataFrame]
 #: Gives the sorted distinct hashes of each body.
 Sets = Callable[[list[bytes]], list[np.ndarray]]
+#: Cells of at most so many items, each of at most so many elements, are bounded together
+#: by bitmaps of SMALL_BITS, FLUSH_PAIRS pairs at a time.
+SMALL_ITEMS, SMALL_ELEMENTS, SMALL_BITS, FLUSH_PAIRS = 128, 1024, 2048, 1 << 12
+_TRIANGLES = [np.triu_indices(m, 1) for m in range(SMALL_ITEMS + 1)]
 FLUSH_KEYS = 1 << 20
 FLUSH_ITEMS = 1 << 16
 
@@ -199,6 +203,14 @@ def _compatible(n: np.ndarray, m: np.ndarray, num: int, den: int) -> np.ndarray:
     return den * np.minimum(n, m) >= num * np.maximum(n, m)
 
 
+def _similar(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sorted sets have a Jaccard similarity of num / den or more."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")  # two sorted runs are merged
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return den * common >= num * (len(both) - common)
+
+
 def bitmap(hashes: np.ndarray) -> bytes:
     """A hashed bitmap of about two bits per element, a power of two wide."""
     return _bits(hashes, 2, 16)
@@ -325,6 +337,44 @@ class _Cell(_Bounds):
         return total
 
 
+def _small_links(cells: list[tuple[list[tuple], list[np.ndarray]]], num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Verified links between labels of small cells (rows, sets), as ``_Cell.links`` gives them.
+
+    All pairs of the cells are bounded together, by bitmaps of one width; those that are
+    left are verified one by one.
+    """
+    rows, sets = [r for held, _ in cells for r in held], [x for _, found in cells for x in found]
+    left, right = [], []
+    at = 0
+    for held, _ in cells:
+        a, b = _TRIANGLES[len(held)]
+        left.append(a + at)
+        right.append(b + at)
+        at += len(held)
+    ids, label, part = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:3])
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    own = np.repeat(np.arange(len(cells)), [len(held) for held, _ in cells])
+    starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    crossing = np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)
+    k, j = np.concatenate(left), np.concatenate(right)
+    may = (label[k] != label[j]) & _compatible(n[k], n[j], num, den) & ((part[k] != part[j]) | ~crossing[own[k]])
+    k, j = k[may], j[may]
+    bits = np.zeros((len(sets), SMALL_BITS), dtype=bool)
+    bits.ravel()[np.repeat(np.arange(len(sets)) * SMALL_BITS, n) + (np.concatenate(sets) % np.uint64(SMALL_BITS)).astype(np.int64)] = True
+    bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    joined = label.copy()  # labels joined so far; a label may be in several cells
+    for first in range(0, len(k), FLUSH_PAIRS):
+        a, b = k[first : first + FLUSH_PAIRS], j[first : first + FLUSH_PAIRS]
+        x, y = bits[a], bits[b]
+        most = np.minimum(n[a] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), n[b] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+        near = (num + den) * most >= num * (n[a] + n[b])
+        for p, q in zip(a[near].tolist(), b[near].tolist(), strict=True):
+            if joined[p] != joined[q] and _similar(sets[p], sets[q], num, den):
+                mine = slice(starts[own[p]], starts[own[p]] + len(cells[own[p]][0]))
+                joined[mine][joined[mine] == joined[q]] = joined[p]
+                yield min(ids[p], ids[q]), max(ids[p], ids[q])
+
+
 def _parts(items: str, elements: str) -> F.Column:
     return F.ceil(F.greatest(F.col(items) / CELL_ITEMS, F.col(elements) / CELL_ELEMENTS)).cast("int")
 
@@ -360,9 +410,29 @@ def _by_cell(rows: DataFrame, make: Callable[[list[tuple[tuple, list[tuple]]]],
 
 def _cells(full: list[tuple[tuple, list[tuple]]], sets: Sets, num: int, den: int) -> Iterator[_Cell]:
     """The cells of rows (id, label, part, body); the sets of all are made together."""
-    found = iter(sets([r[3] for _, held in full for r in held]))
+    for held, found in _with_sets(full, sets):
+        yield _Cell(held, found, num, den)
+
+
+def _with_sets(full: list[tuple[tuple, list[tuple]]], sets: Sets) -> Iterator[tuple[list[tuple], list[np.ndarray]]]:
+    """(rows, the set of each) of cells of rows (id, label, part, body); a body that comes again is made a set once."""
+    bodies = list(dict.fromkeys(r[3] for _, held in full for r in held))
+    found = dict(zip(bodies, sets(bodies), strict=True))
     for _, held in full:
-        yield _Cell(held, [next(found) for _ in held], num, den)
+        yield held, [found[r[3]] for r in held]
+
+
+def _cell_links(full: list[tuple[tuple, list[tuple]]], sets: Sets, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Verified links of cells of rows (id, label, part, body)."""
+    small, found = [], []
+    for held, own in _with_sets(full, sets):
+        if len(held) <= SMALL_ITEMS and max(map(len, own)) <= SMALL_ELEMENTS:
+            small.append((held, own))
+        else:
+            found.append(np.stack(_Cell(held, own, num, den).links()))
+    if small:
+        found.append(np.array(list(_small_links(small, num, den)), dtype=np.int64).reshape(-1, 2).T)
+    return tuple(np.concatenate(found, axis=1))
 
 
 def _promising(rows: DataFrame, items: DataFrame, num: int, den: int) -> DataFrame:
@@ -408,7 +478,7 @@ def _open_links(placed: DataFrame, items: DataFrame | None, bodies: Fetch, sets:
     rows = staged(rows)
 
     def make(cells: list[tuple[tuple, list[tuple]]]) -> Iterator[pa.RecordBatch]:
-        a, b = (np.concatenate(x) for x in zip(*(cell.links() for cell in _cells(cells, sets, num, den)), strict=True))
+        a, b = _cell_links(cells, sets, num, den)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     full = rows.join(bodies(member_filter(rows, "id")).select("id", "body"), "id").select(*CELL, "id", "label", "part", "body")
@@ -460,12 +530,10 @@ def _linked(pairs: DataFrame, items: DataFrame | None, bodies: Fetch, sets: Sets
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(sets(batch.column("x").to_pylist()), sets(batch.column("y").to_pylist()), strict=True):
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(den * common >= num * (len(both) - common))
+            # a leader is in many pairs; each body of a batch is made a set once
+            both = pa.chunked_array([batch.column("x"), batch.column("y")]).combine_chunks().dictionary_encode()
+            found, of, rows = sets(both.dictionary.to_pylist()), both.indices.to_pylist(), batch.num_rows
+            keep = [_similar(found[i], found[j], num, den) for i, j in zip(of[:rows], of[rows:], strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     survivors = pairs
