@@ -199,6 +199,7 @@ def assignments(incoming: DataFrame, existing: DataFrame, kind: str = "state", p
     """
     accept, _, alike, _ = RULES[kind]
     more = {} if passes is None else {"passes": passes}
+    incoming, existing = staged(incoming), staged(existing)  # their names and addresses are normalised once
     rows, members = resolve.match_classes(incoming, alike(**more))
     rows, members = staged(rows), staged(members)
     stored = staged(accept(rows, existing, **more))
