@@ -33,13 +33,15 @@ BANDS, ROWS = 16, 3
 #: An edit that is at most this share of the longer line is a link at every length; from
 #: EDIT_SEEN characters on it leaves a similarity above 0.75, which the bands find.
 EDIT_SHARE, EDIT_SEEN = 1 / 20, 80
-_BLOCK_CHARS = 1 << 18
-#: Characters whose shingles are hashed together.
+#: Characters of a block, whose tables stay in a core's cache, and of it those whose shingles are hashed together.
+_BLOCK_CHARS = 1 << 16
 _CACHED_CHARS = 1 << 15
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Odd, so that a product is an order of all 32-bit hashes.
 _FACTORS = (mix64(np.arange(101, BANDS * ROWS + 101, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _LINE_END = 10
+#: Lines that are told of together.
+_HELD_LINES = 1 << 14
 
 
 _CODES = mix64(np.arange(256, dtype=np.uint64) + _ODD)
@@ -47,6 +49,8 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: A set's hashes have 52 bits; the 12 above hold the line's place while lines are sorted together.
 _TOGETHER, _SET_BITS = 1 << 12, np.uint64(52)
+#: From so many shingles a line on lines are sorted one by one.
+_EACH = 64
 
 
 class _Lines:
@@ -55,11 +59,11 @@ class _Lines:
     def __init__(self, texts: list[str], number: int = 0) -> None:
         joined = "\n".join(texts) + "\n"
         try:  # a byte a character where all have code points below 256
-            points = np.frombuffer(joined.encode("latin-1"), np.uint8)
-            code, blank = _CODES[points], _BLANK[points]
+            points = low = np.frombuffer(joined.encode("latin-1"), np.uint8)
+            code = _CODES[points]
         except UnicodeEncodeError:
             points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-            code, blank = mix64(points.astype(np.uint64) + _ODD), _BLANK[np.minimum(points, 255)]
+            code, low = mix64(points.astype(np.uint64) + _ODD), points.astype(np.uint8)
         self.text = joined
         ends = np.flatnonzero(points == _LINE_END)
         starts = np.concatenate([[0], ends[:-1] + 1])
@@ -67,60 +71,72 @@ class _Lines:
         doc_starts = np.cumsum(lengths) - lengths
         doc = np.searchsorted(doc_starts, starts, side="right") - 1
         number = number + np.arange(len(starts)) - np.searchsorted(starts, doc_starts[doc])
-        use = np.logical_or.reduceat(~blank, starts)
+        use = ~_BLANK[np.minimum(points[starts], 255)]
+        for k in np.flatnonzero(~use).tolist():  # begins with a blank
+            use[k] = not _BLANK[np.minimum(points[starts[k] : ends[k]], 255)].all()
         self.starts, self.ends, self.doc, self.number = starts[use], ends[use], doc[use], number[use]
         POWERS.need(len(code) + 1)
         self.inverse = POWERS.down
         with np.errstate(over="ignore"):
             self.sums = np.zeros(len(code) + 1, dtype=np.uint64)
             np.cumsum(code * POWERS.up[: len(code)], out=self.sums[1:])
+            #: the low bytes of SHINGLE characters from each place on, and sums of what else they have
+            self.eights = np.ndarray(max(0, len(low) - SHINGLE + 1), "<u8", low, strides=(1,))
+            self.others = None
+            if low is not points:
+                self.others = np.zeros(len(code) + 1, dtype=np.uint64)
+                np.cumsum(np.where(points < 256, np.uint64(0), code * POWERS.up[: len(code)]), out=self.others[1:])
             size = (self.ends - self.starts).astype(np.uint64)
             self.ids = mix64((self.sums[self.ends] - self.sums[self.starts]) * self.inverse[self.starts] + size * _ODD).view(np.int64)
 
     def line(self, k: int) -> str:
         return self.text[self.starts[k] : self.ends[k]]
 
-    def shingles(self, places: np.ndarray) -> np.ndarray:
-        """Hashes of the shingles that start at the given places."""
-        with np.errstate(over="ignore"):
-            return mix64((self.sums[places + SHINGLE] - self.sums[places]) * self.inverse[places])
+    def _shingles(self, at: slice | np.ndarray) -> np.ndarray:
+        """Hashes of the shingles that start at the given places, the same in any block."""
+        found = self.eights[at].astype(np.uint64)
+        if self.others is not None:
+            with np.errstate(over="ignore"):
+                found ^= mix64((self.others[SHINGLE:][at] - self.others[at]) * self.inverse[at])
+        return _mixed(found)
 
     def _all_shingles(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, number of each line, where each line's begin) of lines of SHINGLE characters or more."""
         starts, stops = self.starts[which], self.ends[which] - SHINGLE + 1
         counts = stops - starts
         at = np.cumsum(counts) - counts
-        places = np.arange(int(counts.sum())) + np.repeat(starts - at, counts)
-        low, high = int(starts.min()), int(stops.max())
-        if high - low > 2 * len(places):
-            return self.shingles(places), counts, at
-        with np.errstate(over="ignore"):  # most of a stretch of the text, which is read in a row
-            hashes = mix64((self.sums[low + SHINGLE : high + SHINGLE] - self.sums[low:high]) * self.inverse[low:high])
-        return hashes[places - low], counts, at
+        low, high, total = int(starts.min()), int(stops.max()), int(counts.sum())
+        if high - low > 2 * total:
+            return self._shingles(np.arange(total) + np.repeat(starts - at, counts)), counts, at
+        # most of a stretch of the text, which is read in a row
+        hashes = self._shingles(slice(low, high))
+        return np.concatenate([hashes[a:b] for a, b in zip((starts - low).tolist(), (stops - low).tolist(), strict=True)]), counts, at
+
+    def _runs(self, which: np.ndarray) -> Iterator[slice]:
+        """Some lines at a time, so that the passes over their shingles stay in a core's cache."""
+        ends = np.cumsum(self.ends[which] - self.starts[which])
+        first = 0
+        while first < len(which):
+            begun = ends[first - 1] if first else 0
+            last = min(max(first + 1, int(np.searchsorted(ends, begun + _CACHED_CHARS, side="right"))), first + _TOGETHER, len(which))
+            yield slice(first, last)
+            first = last
 
     def long(self) -> np.ndarray:
         return np.flatnonzero(self.ends - self.starts >= SHINGLE)
 
     def bands(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Band keys (lines x BANDS) and set sizes of lines of SHINGLE characters or more.
-
-        Some lines at a time, so that the passes over their shingles stay in a core's cache.
-        """
+        """Band keys (lines x BANDS) and set sizes of lines of SHINGLE characters or more."""
         least, sizes = np.empty((BANDS * ROWS, len(which)), dtype=np.uint32), np.zeros(len(which), dtype=np.int64)
-        ends = np.cumsum(self.ends[which] - self.starts[which])
-        first = 0
-        while first < len(which):
-            begun = ends[first - 1] if first else 0
-            last = min(max(first + 1, int(np.searchsorted(ends, begun + _CACHED_CHARS, side="right"))), first + _TOGETHER, len(which))
-            hashes, counts, at = self._all_shingles(which[first:last])
-            sizes[first:last] = _set_sizes(hashes, counts)
+        for run in self._runs(which):
+            hashes, counts, at = self._all_shingles(which[run])
+            sizes[run] = _set_sizes(hashes, counts)
             short = (hashes >> np.uint64(32)).astype(np.uint32)
             del hashes
             mixed = np.empty_like(short)
             for k in range(BANDS * ROWS):
                 np.multiply(short, _FACTORS[k], out=mixed)
-                np.minimum.reduceat(mixed, at, out=least[k, first:last])
-            first = last
+                np.minimum.reduceat(mixed, at, out=least[k, run])
         keys = np.zeros((BANDS, len(which)), dtype=np.uint64)
         with np.errstate(over="ignore"):
             for k in range(BANDS * ROWS):
@@ -130,8 +146,7 @@ class _Lines:
 
     def sets(self, which: np.ndarray) -> list[np.ndarray]:
         """The sorted distinct shingle hashes of lines of SHINGLE characters or more."""
-        hashes, counts, _ = self._all_shingles(which)
-        return [x for values, size in _sorted_sets(hashes, counts) for x in np.split(values, np.cumsum(size)[:-1])]
+        return [x for run in self._runs(which) for x in _sorted_sets(*self._all_shingles(which[run])[:2])]
 
     def short(self) -> np.ndarray:
         size = self.ends - self.starts
@@ -173,48 +188,59 @@ class _Lines:
         return self.ids[which][owner], here, rest
 
 
-def _sorted_sets(hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(sorted distinct hashes, number of them in each line) for some lines at a time."""
-    ends = np.cumsum(counts)
-    for first in range(0, len(counts), _TOGETHER):
-        own = counts[first : first + _TOGETHER]
-        part = hashes[ends[first] - counts[first] : ends[min(first + _TOGETHER, len(counts)) - 1]] >> np.uint64(12)
-        part |= np.repeat(np.arange(len(own), dtype=np.uint64) << _SET_BITS, own)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """``mix64(x)`` in the place of x."""
+    y = np.empty_like(x)
+    with np.errstate(over="ignore"):
+        x ^= np.right_shift(x, np.uint64(31), out=y)
+        x *= np.uint64(0x7FB5D329728EA185)
+        x ^= np.right_shift(x, np.uint64(27), out=y)
+        x *= np.uint64(0x81DADEF4BC2DD44D)
+        x ^= np.right_shift(x, np.uint64(33), out=y)
+    return x
+
+
+def _in_order(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of each line in order, cut to _SET_BITS, which are new in it, where each line begins) of at most _TOGETHER lines."""
+    at = np.cumsum(counts) - counts
+    part = hashes >> np.uint64(12)
+    if len(part) < _EACH * len(counts):  # short lines are sorted together
+        part |= np.repeat(np.arange(len(counts), dtype=np.uint64) << _SET_BITS, counts)
         part.sort()
-        fresh = np.ones(len(part), dtype=bool)
-        fresh[1:] = part[1:] != part[:-1]
-        part = part[fresh]
-        yield part & np.uint64((1 << 52) - 1), np.bincount((part >> _SET_BITS).astype(np.int64), minlength=len(own))
+        part &= np.uint64((1 << 52) - 1)
+    else:
+        for first, n in zip(at.tolist(), counts.tolist(), strict=True):
+            part[first : first + n].sort()
+    fresh = np.ones(len(part), dtype=bool)
+    np.not_equal(part[1:], part[:-1], out=fresh[1:])
+    fresh[at] = True
+    return part, fresh, at
 
 
-def _set_sizes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The number of distinct hashes in each of at most _TOGETHER lines.
+def _sorted_sets(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The sorted distinct hashes, cut to _SET_BITS, of each of at most _TOGETHER lines."""
+    part, fresh, at = _in_order(hashes, counts)
+    part, ends = part[fresh], np.cumsum(np.add.reduceat(fresh, at, dtype=np.int64)).tolist()
+    return [part[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    Equal hashes of a line fall into one slot, of which the last one is kept; only those
-    that found another hash there are sorted.
-    """
-    line = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-    part = (hashes >> np.uint64(12)) | (line << _SET_BITS)
-    bits = max(12, (4 * len(part)).bit_length())
-    with np.errstate(over="ignore"):
-        slot = ((part * _ODD) >> np.uint64(64 - bits)).view(np.int64)
-    last = np.empty(1 << bits, dtype=np.int32)
-    last[slot] = np.arange(len(part), dtype=np.int32)
-    kept = last[slot]
-    lost = np.flatnonzero(kept != np.arange(len(part), dtype=np.int32))
-    same = part[lost] == part[kept[lost]]
-    apart = np.sort(part[lost[~same]])
-    repeats = np.bincount(line[lost[same]].view(np.int64), minlength=len(counts))
-    repeats += np.bincount((apart[1:][apart[1:] == apart[:-1]] >> _SET_BITS).view(np.int64), minlength=len(counts))
-    return counts - repeats
+
+def _set_sizes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The number of distinct hashes, cut to _SET_BITS, in each of at most _TOGETHER lines."""
+    _, fresh, at = _in_order(hashes, counts)
+    return np.add.reduceat(fresh, at, dtype=np.int64)
 
 
 def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
     """The shingle sets of lines given as UTF-8, each of SHINGLE characters or more."""
-    if not bodies:
-        return []
-    lines = _Lines([x.decode() for x in bodies])
-    return lines.sets(np.arange(len(bodies)))
+    found: list[np.ndarray] = []
+    texts, chars = [], 0
+    for k, body in enumerate(bodies):
+        texts.append(body.decode())
+        chars += len(body)
+        if chars >= _BLOCK_CHARS or k == len(bodies) - 1:
+            found += _Lines(texts).sets(np.arange(len(texts)))
+            texts, chars = [], 0
+    return found
 
 
 def _line_blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, _Lines]]:
@@ -272,15 +298,26 @@ def _scan(docs: DataFrame) -> DataFrame:
             for x in found:
                 yield _widened(schema, dict(zip(x.schema.names, x.columns, strict=True)), x.num_rows)
 
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if held:
+                doc, number, ids, counts, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                halves = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(keys))
+                own = {"doc": pa.array(doc), "number": pa.array(number), "line": pa.array(ids), "halves": halves}
+                yield _widened(schema, own, len(ids))
+
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
+            yield from told()
             for first, lines in _line_blocks(batch):
                 short = lines.short()
-                counts = np.zeros(len(lines.ids) + 1, dtype=np.int32)
-                counts[short + 1] = 4
-                halves = pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(lines.halves(short).ravel()))
-                own = {"doc": pa.array(doc[first + lines.doc]), "number": pa.array(lines.number.astype(np.int32)), "line": pa.array(lines.ids), "halves": halves}
-                yield _widened(schema, own, len(lines.ids))
+                counts = np.zeros(len(lines.ids), dtype=np.int32)
+                counts[short] = 4
+                held.append((doc[first + lines.doc], lines.number.astype(np.int32), lines.ids, counts, lines.halves(short).ravel()))
+                if sum(len(x[2]) for x in held) >= _HELD_LINES:
+                    yield from told()
                 which = lines.long()
                 _, once = np.unique(lines.ids[which], return_index=True)
                 which = which[np.sort(once)]  # in the order of the text
@@ -290,6 +327,7 @@ def _scan(docs: DataFrame) -> DataFrame:
                     ids = lines.ids[which]
                     keys, size = lines.bands(which)
                     yield from wide(packer.add(ids, size, ids, keys.ravel(), np.full(len(which), BANDS)))
+        yield from told()
         yield from wide(packer.close())
 
     return docs.mapInArrow(released(run), _SCAN)
@@ -303,7 +341,17 @@ def _needed(docs: DataFrame, tiled: np.ndarray, halves: np.ndarray) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tiled, halves = shared.value
         seen: set[int] = set()
+        bodies: list[tuple[np.ndarray, list[bytes]]] = []
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if bodies:
+                id = np.concatenate([x for x, _ in bodies])
+                own = {"id": pa.array(id), "body": pa.array([x for _, part in bodies for x in part], pa.binary()), "kind": pa.array(np.full(len(id), _BODY, np.int32))}
+                bodies.clear()
+                yield _widened(schema, own, len(id))
+
         for batch in batches:
+            yield from told()
             for _, lines in _line_blocks(batch):
                 _, once = np.unique(lines.ids, return_index=True)
                 once = once[[x not in seen for x in lines.ids[once].tolist()]] if seen else once
@@ -312,8 +360,9 @@ def _needed(docs: DataFrame, tiled: np.ndarray, halves: np.ndarray) -> DataFrame
                 seen.update(lines.ids[once].tolist())
                 hit = once[passes(tiled, lines.ids[once]) & (lines.ends[once] - lines.starts[once] >= SHINGLE)]
                 if len(hit):
-                    own = {"id": pa.array(lines.ids[hit]), "body": pa.array([lines.line(k).encode() for k in hit], pa.binary()), "kind": pa.array(np.full(len(hit), _BODY, np.int32))}
-                    yield _widened(schema, own, len(hit))
+                    bodies.append((lines.ids[hit], [lines.line(k).encode() for k in hit]))
+                if sum(len(x) for x, _ in bodies) >= _HELD_LINES:
+                    yield from told()
                 which = np.intersect1d(once, lines.short())
                 if len(which):
                     which = which[passes(halves, lines.halves(which).ravel()).reshape(-1, 4).any(axis=1)]
@@ -323,6 +372,7 @@ def _needed(docs: DataFrame, tiled: np.ndarray, halves: np.ndarray) -> DataFrame
                     kind = np.repeat(np.array([_REPLACED, _SHORTENED, _WHOLE], dtype=np.int32), [len(id), len(id), len(own)])
                     rows = {"kind": pa.array(kind), "key": pa.array(np.concatenate([here, rest, own])), "id": pa.array(np.concatenate([id, id, own]))}
                     yield _widened(schema, rows, len(kind))
+        yield from told()
 
     return docs.mapInArrow(released(run), _NEEDED)
 
@@ -377,9 +427,12 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: in
     known = docs.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("doc"), F.col(text).alias("text"))
     lines, found = line_components(known, num, den)
     # a document and a line's number there as one number, of which a hash aggregate keeps the least
-    place = F.col("doc").cast("decimal(20,0)") * F.lit(1 << 31) + F.col("number")
+    ids = known.agg(F.min("doc").alias("least"), F.max("doc").alias("most")).first()
+    narrow = ids["least"] is None or (ids["least"] >= -(1 << 31) and ids["most"] < 1 << 31)
+    place = F.col("doc").cast("long" if narrow else "decimal(20,0)") * F.lit(1 << 31) + F.col("number")
     each = lines.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    each = each.join(found.withColumnRenamed("id", "line"), "line", "left").where("n > 1 or component is not null").withColumn("c", F.coalesce("component", "line"))
+    each = each.join(found.withColumnRenamed("id", "line"), "line", "left").where("n > 1 or component is not null").select("line", "first", F.coalesce("component", "line").alias("c"))
+    each = staged(each)  # read twice
     groups = each.groupBy("c").agg(F.min("first").alias("first"))
     kept_line = each.select("line", "c").join(groups, "c").select("line", "first")
     gone = lines.join(kept_line, "line").where(place != F.col("first"))
@@ -389,7 +442,7 @@ def dedup_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", num: in
     return (
         docs.select(*kept)
         .join(per_doc.hint("shuffle_hash"), F.col(id) == F.col("__doc"), "left")
-        .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1))
+        .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1))
         .withColumn("n_dropped", F.coalesce(F.size("__gone"), F.lit(0)))
         .withColumn(text, F.when(F.col("__gone").isNotNull(), _without(parts, F.col("__gone"))).otherwise(F.col(text)))
         .select(*kept, "n_lines", "n_dropped")

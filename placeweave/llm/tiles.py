@@ -18,6 +18,7 @@ copies:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +94,7 @@ def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.Record
     owner = np.repeat(np.arange(len(ids), dtype=np.uint32), counts)
     use = fresh[owner]
     owner, keys = owner[use], keys[use]
-    part = (mix64(keys) % np.uint64(buckets)).astype(np.int32)
+    part = (mix64(keys) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
     order = np.argsort(part, kind="stable")
     owner, keys, part = owner[order], keys[order], part[order]
     edges = np.searchsorted(part, np.arange(buckets + 1))
@@ -101,7 +102,8 @@ def _pack(held: list[tuple], seen: set[int], buckets: int) -> Iterator[pa.Record
     for b in range(buckets):
         s = slice(edges[b], edges[b + 1])
         if s.start < s.stop:
-            who, at = np.unique(owner[s], return_inverse=True)
+            fresh = _fresh(owner[s])  # owners ascend
+            who, at = owner[s][fresh], np.cumsum(fresh) - 1
             own, least = ids[who], int(ids[who].min())
             if int(own.max()) - least < 1 << 32:
                 own = (own - least).astype(np.uint32)
@@ -134,6 +136,28 @@ def bucket_count(df: DataFrame) -> int:
     return max(64, 4 * shuffle_width(df.sparkSession))
 
 
+def _fresh(x: np.ndarray) -> np.ndarray:
+    """Where x differs from what comes before."""
+    found = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=found[1:])
+    return found
+
+
+def _repeated(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys in order, their places) of keys of KEY_BYTES that come more than once."""
+    if len(key) < 1 << 64 - 8 * KEY_BYTES:  # key and place are sorted as one number
+        bits = np.uint64(64 - 8 * KEY_BYTES)
+        both = key << bits | np.arange(len(key), dtype=np.uint64)
+        both.sort()
+        key, at = both >> bits, (both & np.uint64((1 << int(bits)) - 1)).view(np.int64)
+    else:
+        at = np.argsort(key, kind="stable")
+        key = key[at]
+    alone = _fresh(key)
+    alone[:-1] &= alone[1:]
+    return key[~alone], at[~alone]
+
+
 def open_tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
     """Leader pairs (tile null) and the items of tiles of three or more (other null),
     where tiles of one smallest id are taken together."""
@@ -149,11 +173,13 @@ def open_tiles(postings: DataFrame, num: int, den: int) -> DataFrame:
             sizes.append(_whole(n, count))
             base += count
         key, own, item, n = (np.concatenate(x) for x in (keys, owners, ids, sizes))
+        key, at = _repeated(key)
+        own = own[at]
         order = np.lexsort((item[own], key))
         key, own = key[order], own[order]
-        once = np.concatenate([[True], (key[1:] != key[:-1]) | (item[own[1:]] != item[own[:-1]])])
+        once = _fresh(key) | _fresh(item[own])
         key, own = key[once], own[once]
-        run = np.concatenate([[True], key[1:] != key[:-1]])
+        run = _fresh(key)
         tile = np.cumsum(run) - 1
         size = np.bincount(tile)
         shared = size[tile] >= 2
@@ -219,7 +245,7 @@ def bitmap(hashes: np.ndarray) -> bytes:
 def _bits(hashes: np.ndarray, times: int, most: int) -> bytes:
     width = 1 << min(max(int(times * len(hashes)).bit_length(), 8), most)
     bits = np.zeros(width, dtype=bool)
-    bits[(hashes % np.uint64(width)).astype(np.int64)] = True
+    bits[(hashes & np.uint64(width - 1)).view(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -295,9 +321,16 @@ class _Cell(_Bounds):
     def __init__(self, rows: list[tuple], found: list[np.ndarray], num: int, den: int) -> None:
         few = len(rows) <= FEW
         super().__init__([(*r[:3], len(x), b"" if few else _bits(x, 8, 15)) for r, x in zip(rows, found, strict=True)], num, den)
-        _, self.codes = np.unique(np.concatenate(found), return_inverse=True)
-        self.at = np.concatenate([[0], np.cumsum(self.n)])
-        self.mark = np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=bool)
+        self.found, self.at = found, np.concatenate([[0], np.cumsum(self.n)])
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        """Small numbers for the hashes, made where a bound left two items to be verified."""
+        return np.unique(np.concatenate(self.found), return_inverse=True)[1]
+
+    @cached_property
+    def mark(self) -> np.ndarray:
+        return np.zeros(int(self.codes.max()) + 1 if len(self.codes) else 1, dtype=bool)
 
     def _own(self, k: int) -> np.ndarray:
         return self.codes[self.at[k] : self.at[k + 1]]
@@ -360,7 +393,9 @@ def _small_links(cells: list[tuple[list[tuple], list[np.ndarray]]], num: int, de
     may = (label[k] != label[j]) & _compatible(n[k], n[j], num, den) & ((part[k] != part[j]) | ~crossing[own[k]])
     k, j = k[may], j[may]
     bits = np.zeros((len(sets), SMALL_BITS), dtype=bool)
-    bits.ravel()[np.repeat(np.arange(len(sets)) * SMALL_BITS, n) + (np.concatenate(sets) % np.uint64(SMALL_BITS)).astype(np.int64)] = True
+    place = (np.concatenate(sets) & np.uint64(SMALL_BITS - 1)).view(np.int64)
+    place += np.repeat(np.arange(len(sets)) * SMALL_BITS, n)
+    bits.ravel()[place] = True
     bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
     joined = label.copy()  # labels joined so far; a label may be in several cells
     for first in range(0, len(k), FLUSH_PAIRS):
@@ -544,7 +579,7 @@ def _linked(pairs: DataFrame, items: DataFrame | None, bodies: Fetch, sets: Sets
         survivors = staged(met.mapInArrow(released(bounded), "a long, b long"))
     whole = bodies(member_filter(_ids(survivors), "id"))
     x, y = (whole.select(F.col("id").alias(side), F.col("body").alias(name)) for side, name in (("a", "x"), ("b", "y")))
-    met = survivors.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    met = survivors.join(y, "b").join(x, "a").select("a", "b", "x", "y")  # a, the leader, is in many pairs: they come together
     links = staged(met.mapInArrow(released(exact), "a long, b long"))
     if items is not None:
         discard(survivors)

@@ -76,3 +76,59 @@ def test_first_line_of_large_ids(spark):
     rows = [(i, f"own text of number {i}\n{line}\n{line}") for i in ids]
     got = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[-(2**62)] == 1 and all(got[i] >= 2 for i in ids if i != -(2**62))
+
+
+def test_shingles_are_the_same_in_any_block():
+    wide = "你好 \U0001f600 0123456789 été 0123456789"
+    lines = ["plain words of one line, and then of one line", "café ÿ\x00\x01 and more of it", "A" * 40]
+    alone = line_dedup.line_sets([x.encode() for x in lines])
+    mixed = line_dedup.line_sets([x.encode() for x in [wide, *lines]])
+    assert all((a == b).all() for a, b in zip(alone, mixed[1:], strict=True))
+    for text, found in zip([wide, *lines], mixed, strict=True):
+        assert len(found) == len({text[k : k + 8] for k in range(len(text) - 7)})
+    # characters that agree in their low bytes only
+    a, b = line_dedup.line_sets(["Łbcdefghij".encode(), "Abcdefghij".encode()])
+    assert len(np.intersect1d(a, b)) == 2
+    keys, sizes = line_dedup._Lines(lines).bands(np.arange(3))
+    same, same_sizes = line_dedup._Lines([wide, *lines]).bands(np.arange(1, 4))
+    assert (keys == same).all() and (sizes == same_sizes).all()
+
+
+def test_sizes_and_sets_of_long_lines():
+    rng = np.random.default_rng(6)
+    for spread in (1, 50, 1 << 50):
+        counts = rng.integers(1, 900, 60)
+        hashes = rng.integers(0, spread, int(counts.sum())).astype(np.uint64) << np.uint64(12)
+        at = np.cumsum(counts) - counts
+        want = [np.unique(hashes[a : a + n] >> np.uint64(12)) for a, n in zip(at, counts, strict=True)]
+        assert line_dedup._set_sizes(hashes, counts).tolist() == list(map(len, want))
+        assert all((x == y).all() for x, y in zip(line_dedup._sorted_sets(hashes, counts), want, strict=True))
+
+
+def test_keys_that_come_once_open_no_tile(monkeypatch):
+    rng = np.random.default_rng(7)
+    key = rng.integers(0, 3000, 4000).astype(np.uint64) << np.uint64(20)
+    values, n = np.unique(key, return_counts=True)
+    for size in (tiles.KEY_BYTES, 7):  # 7: too many rows for one number of key and place
+        monkeypatch.setattr(tiles, "KEY_BYTES", size)
+        found, at = tiles._repeated(key)
+        assert (found == np.repeat(values[n > 1], n[n > 1])).all() and (key[at] == found).all() and len(np.unique(at)) == len(at)
+    assert all(len(x) == 0 for x in tiles._repeated(key[:0]))
+
+
+def test_cells_without_hope_are_not_coded():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 52, 300).astype(np.uint64)) for _ in range(20)]
+    rows = [(i, i, 0, b"") for i in range(20)]
+    cell = tiles._Cell(rows, sets, 3, 4)
+    assert len(cell.links()[0]) == 0 and "codes" not in vars(cell)  # before, all hashes of a cell were sorted first
+    cell = tiles._Cell([*rows, (20, 20, 0, b"")], [*sets, sets[3][5:]], 3, 4)
+    assert [x.tolist() for x in cell.links()] == [[3], [20]]
+
+
+def test_lines_are_read_twice_for_the_result(spark):
+    rows = [(i, f"own text of number {i}\na line that all documents have in common") for i in range(5)]
+    result = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    # places and lines that go; before, places were taken once for the groups and once for the lines
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("Relation [doc#") == 1
+    assert sum(r.n_dropped for r in result.collect()) >= 4
