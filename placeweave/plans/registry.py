@@ -15,7 +15,7 @@ from placeweave.functions import scores as S
 from placeweave.operators import batches, enrich, profile, resolve, scoring, tables, validate
 from placeweave.plans import views
 from placeweave.plans.views import with_tables
-from placeweave.session import LEAST_SHARE, staged, with_settings
+from placeweave.session import LEAST_COUNTED, LEAST_FILE, LEAST_SHARE, staged, with_settings
 from placeweave.sinks import exports
 from placeweave.sources import documents, features
 from placeweave.streaming import incremental
@@ -28,7 +28,7 @@ def query(sql: str | None = None):
     def register(run: Callable[[SparkSession, str], DataFrame]):
         @wraps(run)
         def spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(with_settings(spark, LEAST_SHARE), sf_dir)
+            return run(with_settings(spark, LEAST_SHARE, LEAST_FILE, LEAST_COUNTED), sf_dir)
 
         QUERIES[run.__name__] = spread
         if sql is not None:

@@ -23,14 +23,26 @@ SETTINGS = {
 _PACKAGE = Path(__file__).resolve().parent
 
 
-#: Shuffled data for which a task is made, where rows are few bytes but names, scores and addresses cost much.
+#: Where rows are few bytes but names, scores and addresses cost much: shuffled data for which a task is made.
 LEAST_SHARE = "64k"
+#: What Spark may broadcast there of what it reckons from files, and of what it has counted after a shuffle.
+#: Columns of names take a fiftieth of their size in files, and letter pairs or cells that come out of a row are not
+#: reckoned, so ten megabytes of either were 290 in the driver.
+LEAST_FILE, LEAST_COUNTED = "64k", "1m"
 
 
-def with_settings(spark: SparkSession, least_share: str = "1m") -> SparkSession:
-    """Set what the library relies on; ``least_share`` is the least that Spark puts in a task after a shuffle."""
-    for key, value in {**SETTINGS, "spark.sql.adaptive.coalescePartitions.minPartitionSize": least_share}.items():
-        if spark.conf.get(key, None) != value:
+def with_settings(spark: SparkSession, least_share: str = "1m", least_file: str | None = None, least_counted: str | None = None) -> SparkSession:
+    """Set what the library relies on; ``least_share`` is the least that Spark puts in a task after a shuffle.
+
+    ``least_file`` and ``least_counted`` bound what is broadcast; without them the session's own bounds hold.
+    """
+    at_start = spark.sparkContext.getConf()
+    broadcast = {"spark.sql.autoBroadcastJoinThreshold": least_file, "spark.sql.adaptive.autoBroadcastJoinThreshold": least_counted}
+    broadcast = {key: value or at_start.get(key, None) for key, value in broadcast.items()}
+    for key, value in {**SETTINGS, "spark.sql.adaptive.coalescePartitions.minPartitionSize": least_share, **broadcast}.items():
+        if value is None:
+            spark.conf.unset(key)
+        elif spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
