@@ -26,8 +26,8 @@ _PACKAGE = Path(__file__).resolve().parent
 #: Where rows are few bytes but names, scores and addresses cost much: shuffled data for which a task is made.
 LEAST_SHARE = "64k"
 #: What Spark may broadcast there of what it reckons from files, and of what it has counted after a shuffle.
-#: Columns of names take a fiftieth of their size in files, and letter pairs or cells that come out of a row are not
-#: reckoned, so ten megabytes of either were 290 in the driver.
+#: Names are far smaller in files than as rows, and letter pairs or cells that come out of a row are not reckoned, so
+#: tables that were reckoned below Spark's ten megabytes were up to 430 in the driver.
 LEAST_FILE, LEAST_COUNTED = "64k", "1m"
 
 
